@@ -216,3 +216,111 @@ def q_retrieve_top4(spark, sf_dir):
         F.array_join(F.transform("docs", lambda d: d["path"]), "|").alias("sources"),
         F.aggregate(F.transform("docs", lambda d: F.length(d["content"]).cast("long")),
                     F.lit(0).cast("long"), lambda s, x: s + x).alias("context_chars"))
+
+
+# ------------------------------------------------------------------ CHT
+
+from docsift import prompts as P  # noqa: E402
+from docsift.operators import chat as CH  # noqa: E402
+
+MIN_DF, RELEVANCE_THRESHOLD = 5, 0.5
+
+
+def messages(spark, sf_dir) -> DataFrame:
+    return CH.to_messages(table(spark, sf_dir, "conversations"))
+
+
+@register("chat_messages", f"""
+WITH {Q.MESSAGES_CTE}
+SELECT conv_id, len(msgs)::INTEGER AS n_messages, question, len(hist)::INTEGER AS n_history,
+       msgs[len(msgs)].role AS last_role,
+       (SELECT msgs[len(msgs)].role = 'user') AS ends_with_user,
+       coalesce(list_filter(msgs, lambda x: x.role = 'user')[-1].content, NULL) AS last_user_question
+FROM h""")
+def q_chat_messages(spark, sf_dir):
+    m = messages(spark, sf_dir)
+    return m.select("conv_id", F.size("messages").alias("n_messages"), CH.question("messages").alias("question"),
+                    F.size(CH.history("messages")).alias("n_history"),
+                    F.element_at("messages", -1)["role"].alias("last_role"),
+                    (F.element_at("messages", -1)["role"] == "user").alias("ends_with_user"),
+                    CH.last_user_question("messages").alias("last_user_question"))
+
+
+@register("chat_prompt", f"""
+WITH {Q.MESSAGES_CTE}
+SELECT conv_id, {Q.render(P.RELEVANCE, chat_history=Q.history_text('hist'), question='question')} AS prompt FROM h""")
+def q_chat_prompt(spark, sf_dir):
+    m = messages(spark, sf_dir)
+    h = CH.history("messages")
+    return m.select("conv_id", CH.render(P.RELEVANCE, chat_history=CH.history_text(h),
+                                         question=CH.question("messages")).alias("prompt"))
+
+
+@register("chat_relevance", f"""
+WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)}
+SELECT conv_id, round(lex_share, 6) AS lex_share, verdict,
+       CASE WHEN contains(lower(verdict), 'yes') THEN 'answer' WHEN contains(lower(verdict), 'no') THEN 'refuse'
+            ELSE 'refuse' END AS route
+FROM j""")
+def q_chat_relevance(spark, sf_dir):
+    m = messages(spark, sf_dir).select("conv_id", CH.question("messages").alias("question"))
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    j = CH.classify_relevance(m, lex, "conv_id", "question", RELEVANCE_THRESHOLD)
+    return j.select("conv_id", F.round("lex_share", 6).alias("lex_share"), "verdict",
+                    CH.route("verdict").alias("route"))
+
+
+@register("chat_rewrite", f"""
+WITH {Q.MESSAGES_CTE}
+SELECT conv_id, {Q.rewrite('question', 'hist')} AS query FROM h""")
+def q_chat_rewrite(spark, sf_dir):
+    m = messages(spark, sf_dir)
+    return m.select("conv_id", CH.rewrite_query(CH.question("messages"), CH.history("messages")).alias("query"))
+
+
+@register("chat_transcript", f"""
+WITH {Q.MESSAGES_CTE}
+SELECT conv_id, array_to_string(list_transform(msgs, lambda x: CASE WHEN x.role = 'user' THEN 'user: '
+       ELSE 'assistant: ' END || x.content), chr(10)) AS transcript FROM h""")
+def q_chat_transcript(spark, sf_dir):
+    return messages(spark, sf_dir).select("conv_id", CH.render_transcript("messages").alias("transcript"))
+
+
+def _answers_sql(q_src: str, q_id: str, q_text: str) -> str:
+    topk = Q.text_topk(q_src, q_id, q_text, chunks_sql(), "chunk_id", "content", DIM, 4)
+    return f"""hits AS (SELECT t.query_id, t.rank, c.path, c.content FROM {topk} t
+                       JOIN {chunks_sql()} c ON c.chunk_id = t.cid),
+docs AS (SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context,
+                string_agg(path, '|' ORDER BY rank) AS sources, count(*)::INTEGER AS n_sources
+         FROM hits GROUP BY query_id)"""
+
+
+@register("answer_questions", f"""
+WITH {_answers_sql('benchmark', 'item_id', 'text')}
+SELECT b.item_id AS query_id, b.text AS question,
+       {Q.extractive_answer('b.text', "coalesce(d.context, '')")} AS result,
+       coalesce(d.sources, '') AS sources, coalesce(d.n_sources, 0)::INTEGER AS n_sources
+FROM benchmark b LEFT JOIN docs d ON d.query_id = b.item_id""")
+def q_answer_questions(spark, sf_dir):
+    a = CH.answer(benchmark_questions(spark, sf_dir), sentence_chunks(spark, sf_dir), k=4, dim=DIM)
+    return a.select("query_id", "question", "result", F.array_join("sources", "|").alias("sources"),
+                    F.size("sources").alias("n_sources"))
+
+
+@register("chat_full", f"""
+WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)},
+ok AS (SELECT conv_id, question, {Q.rewrite('question', 'hist')} AS query FROM j WHERE verdict = 'yes'),
+{_answers_sql('ok', 'conv_id', 'query')}
+SELECT ok.conv_id, 'yes' AS verdict, ok.query,
+       {Q.extractive_answer('ok.question', "coalesce(d.context, '')")} AS result,
+       coalesce(d.sources, '') AS sources, coalesce(d.n_sources, 0)::INTEGER AS n_sources
+FROM ok LEFT JOIN docs d ON d.query_id = ok.conv_id
+UNION ALL
+SELECT conv_id, verdict, NULL AS query, '{P.REFUSAL}' AS result, '' AS sources, 0 AS n_sources
+FROM j WHERE verdict <> 'yes'""")
+def q_chat_full(spark, sf_dir):
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    out = CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
+                  threshold=RELEVANCE_THRESHOLD)
+    return out.select("conv_id", "verdict", "query", "result", F.array_join("sources", "|").alias("sources"),
+                      F.size("sources").alias("n_sources"))

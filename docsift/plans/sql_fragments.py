@@ -112,3 +112,54 @@ def text_topk(q_src: str, q_id: str, q_text: str, c_src: str, c_id: str, c_text:
     SELECT qid AS query_id, cid, score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, cid)::INTEGER AS rank FROM s)
     WHERE rank <= {k})"""
+
+
+def render(template: str, **fields: str) -> str:
+    """SQL twin of ``operators.chat.render``: literal pieces and fields joined by ``||``."""
+    import re
+    parts, pos = [], 0
+    for m in re.finditer(r"\{([A-Za-z_][A-Za-z0-9_]*)\}", template):
+        if m.start() > pos:
+            parts.append("'" + template[pos:m.start()].replace("'", "''") + "'")
+        parts.append(f"coalesce(({fields[m.group(1)]})::VARCHAR, '')")
+        pos = m.end()
+    if pos < len(template):
+        parts.append("'" + template[pos:].replace("'", "''") + "'")
+    return "(" + " || ".join(parts) + ")"
+
+
+def extractive_answer(q: str, ctx: str) -> str:
+    best = (f"list_max(list_transform({sentences(ctx)}, lambda s, i: {{'score': "
+            f"len(list_intersect(list_distinct({terms('s')}), list_distinct({terms(q)}))), "
+            f"'neg_pos': -i, 's': s}}))")
+    return f"coalesce(CASE WHEN ({best}).score > 0 THEN trim(({best}).s) ELSE '' END, '')"
+
+
+def history_text(h: str) -> str:
+    return f"array_to_string(list_transform({h}, lambda x: x.role || ': ' || x.content), chr(10))"
+
+
+def rewrite(q: str, h: str) -> str:
+    users = f"list_transform(list_filter({h}, lambda x: x.role = 'user'), lambda x: x.content)"
+    return f"CASE WHEN len({users}) > 0 THEN array_to_string(list_append({users}, {q}), ' ') ELSE {q} END"
+
+
+MESSAGES_CTE = """m AS (
+  SELECT conv_id, list({'turn': turn, 'role': role, 'content': text} ORDER BY turn) AS msgs
+  FROM conversations GROUP BY conv_id),
+h AS (SELECT conv_id, msgs, msgs[len(msgs)].content AS question,
+             list_slice(msgs, 1, len(msgs) - 1) AS hist FROM m)"""
+
+
+def lexicon_cte(min_df: int) -> str:
+    return f"""lex AS (SELECT term FROM (SELECT DISTINCT doc_id, unnest(list_distinct({terms('text')})) AS term
+                              FROM documents) GROUP BY term HAVING count(*) >= {min_df})"""
+
+
+def verdict_cte(threshold: float) -> str:
+    return f"""qt AS (SELECT DISTINCT conv_id, unnest(list_distinct({terms('question')})) AS term FROM h),
+share AS (SELECT qt.conv_id, avg(CASE WHEN lex.term IS NULL THEN 0 ELSE 1 END) AS lex_share
+          FROM qt LEFT JOIN lex USING (term) GROUP BY qt.conv_id),
+j AS (SELECT h.*, share.lex_share,
+             CASE WHEN coalesce(share.lex_share, 0) >= {threshold} THEN 'yes' ELSE 'no' END AS verdict
+      FROM h LEFT JOIN share USING (conv_id))"""
