@@ -72,5 +72,7 @@ def heading_sections(col) -> Column:
 
 def strip_tags(col) -> Column:
     """Drop tags and collapse white space (for turning HTML into plain text)."""
-    no_tags = F.regexp_replace(F.regexp_replace(_c(col), r"(?s)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
+    no_code = F.regexp_replace(F.regexp_replace(_c(col), r"(?is)<script\b.*?</script>", " "),
+                               r"(?is)<style\b.*?</style>", " ")
+    no_tags = F.regexp_replace(no_code, r"<[^>]*>", " ")
     return F.trim(F.regexp_replace(no_tags, r"\s+", " "))

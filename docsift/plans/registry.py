@@ -324,3 +324,177 @@ def q_chat_full(spark, sf_dir):
                   threshold=RELEVANCE_THRESHOLD)
     return out.select("conv_id", "verdict", "query", "result", F.array_join("sources", "|").alias("sources"),
                       F.size("sources").alias("n_sources"))
+
+
+# ------------------------------------------------------------------ cleanup, web
+
+from docsift.operators import cleanup as CL  # noqa: E402
+from docsift.operators import index as IX  # noqa: E402
+from docsift.operators import monitor as MO  # noqa: E402
+from docsift.sources import web as W  # noqa: E402
+
+BP_MIN_DOCS, BP_MIN_SHARE = 3, 0.05
+
+
+@register("drop_boilerplate_lines", f"""
+WITH lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                      generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+sc AS (SELECT source, count(*) AS source_docs FROM documents GROUP BY source),
+pl AS (SELECT source, line, count(DISTINCT doc_id) AS n_docs FROM lines WHERE trim(line) <> '' GROUP BY source, line),
+bp AS (SELECT pl.source, pl.line FROM pl JOIN sc USING (source)
+       WHERE n_docs >= greatest({BP_MIN_DOCS}, sc.source_docs * {BP_MIN_SHARE}))
+SELECT l.doc_id, l.source,
+       coalesce(string_agg(CASE WHEN bp.line IS NULL THEN l.line END, chr(10) ORDER BY l.line_no), '') AS text,
+       count(bp.line) AS n_removed
+FROM lines l LEFT JOIN bp ON l.source = bp.source AND l.line = bp.line
+GROUP BY l.doc_id, l.source""")
+def q_drop_boilerplate(spark, sf_dir):
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return CL.drop_boilerplate_lines(d, min_docs=BP_MIN_DOCS, min_share=BP_MIN_SHARE)
+
+
+@register("extract_article", r"""
+SELECT page_id, nullif(trim(regexp_extract(html, '(?s)<article>(.*?)</article>', 1)), '') AS article FROM pages""")
+def q_extract_article(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", W.article_text(F.col("html")).alias("article"))
+
+
+@register("fetch_pages_offline", r"""
+WITH u AS (SELECT DISTINCT url FROM pages),
+f AS (SELECT u.url, p.html FROM u LEFT JOIN pages p ON p.url = u.url),
+a AS (SELECT url, nullif(trim(regexp_extract(html, '(?s)<article>(.*?)</article>', 1)), '') AS text FROM f)
+SELECT url, text,
+       trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS plain_text
+FROM a WHERE text IS NOT NULL""")
+def q_fetch_pages_offline(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    urls = pages.select("url").distinct()
+    arts = W.scrape_articles(urls, lambda u: W.fetch_offline(u, pages))
+    return arts.select("url", "text", T.strip_tags(F.col("text")).alias("plain_text"))
+
+
+@register("split_headings")
+def q_split_headings(spark, sf_dir):
+    """Look-ahead split (Java regex); RE2 has none, so no SQL oracle."""
+    return C.split_headings(table(spark, sf_dir, "pages"), "html", keep=("page_id",))
+
+
+# ------------------------------------------------------------------ index maintenance
+
+@register("diff_snapshots", f"""
+WITH o AS (SELECT doc_id, text FROM documents WHERE lang IN ('en', 'fr')),
+n AS (SELECT doc_id, {Q.clean('text')} AS text FROM documents WHERE lang IN ('en', 'de'))
+SELECT coalesce(n.doc_id, o.doc_id) AS doc_id,
+       CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change_type
+FROM o FULL OUTER JOIN n ON o.doc_id = n.doc_id
+WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text IS DISTINCT FROM n.text""")
+def q_diff_snapshots(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    old = d.filter(F.col("lang").isin("en", "fr")).select("doc_id", "text")
+    new = d.filter(F.col("lang").isin("en", "de")).select("doc_id", T.clean_text("text").alias("text"))
+    return IX.diff_snapshots(old, new, "doc_id", ["text"]).select("doc_id", "change_type")
+
+
+@register("upsert_index", f"""
+WITH ch AS (
+  SELECT l.doc_id, CASE WHEN l.toxic = 1 THEN 'delete' ELSE 'upsert' END AS op, 2 AS version,
+         {Q.clean('d.text')} AS text
+  FROM labels l JOIN documents d USING (doc_id)
+  UNION ALL
+  SELECT l.doc_id, 'upsert' AS op, 1 AS version, array_to_string(list_slice({Q.tokens('d.text')}, 1, 10), ' ') AS text
+  FROM labels l JOIN documents d USING (doc_id) WHERE l.quality = 0),
+last AS (SELECT doc_id, arg_max(op, version) AS op, arg_max(text, version) AS text FROM ch GROUP BY doc_id)
+SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM last)
+UNION ALL SELECT doc_id, text FROM last WHERE op <> 'delete'""")
+def q_upsert_index(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = table(spark, sf_dir, "labels")
+    j = lab.join(d, "doc_id")
+    newer = j.select("doc_id", F.when(F.col("toxic") == 1, "delete").otherwise("upsert").alias("op"),
+                     F.lit(2).alias("version"), T.clean_text("text").alias("text"))
+    older = j.filter(F.col("quality") == 0).select("doc_id", F.lit("upsert").alias("op"), F.lit(1).alias("version"),
+                                                   T.truncate_tokens("text", 10).alias("text"))
+    return IX.apply_changes(d, newer.unionByName(older), "doc_id")
+
+
+# ------------------------------------------------------------------ monitoring
+
+def _answers(spark, sf_dir) -> DataFrame:
+    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    return c.select(F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+                    .alias("request_id"), F.col("text").alias("result"))
+
+
+@register("answer_metrics", f"""
+WITH a AS (SELECT conv_id::VARCHAR || '-' || turn::VARCHAR AS request_id, text AS result
+           FROM conversations WHERE role = 'assistant'),
+cnt AS (SELECT term, count(*) AS c FROM (SELECT unnest({Q.terms('text')}) AS term FROM documents) GROUP BY term),
+tot AS (SELECT sum(c)::DOUBLE AS n_all, count(*)::DOUBLE AS v_all FROM cnt),
+pt AS (SELECT request_id, term, count(*) AS n FROM (SELECT request_id, unnest({Q.terms('result')}) AS term FROM a)
+       GROUP BY request_id, term),
+lp AS (SELECT pt.request_id, sum(pt.n * (ln(coalesce(cnt.c, 0) + 1) - ln((SELECT n_all + v_all FROM tot)))) AS sum_lp
+       FROM pt LEFT JOIN cnt USING (term) GROUP BY pt.request_id),
+b AS (SELECT request_id, len({Q.terms('result')}) AS n_tokens, len(list_distinct({Q.terms('result')})) AS n_types,
+             len(list_filter({Q.sentences('result')}, lambda s: len({Q.tokens('s')}) > 0)) AS n_sentences,
+             {Q.ntok('result')} AS n_words, result = '{P.REFUSAL}' AS refused FROM a)
+SELECT b.request_id, b.n_tokens::INTEGER AS n_tokens,
+       round(CASE WHEN n_sentences > 0 THEN n_words / n_sentences END, 6) AS mean_sentence_tokens,
+       round(CASE WHEN n_tokens > 0 THEN n_types / n_tokens END, 6) AS type_token_ratio,
+       round(CASE WHEN n_tokens > 0 THEN exp(-lp.sum_lp / n_tokens) END, 4) AS unigram_perplexity,
+       refused
+FROM b LEFT JOIN lp USING (request_id)""")
+def q_answer_metrics(spark, sf_dir):
+    counts = MO.term_counts(spread(table(spark, sf_dir, "documents")))
+    return MO.answer_metrics(_answers(spark, sf_dir), counts)
+
+
+def _daily(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    m = MO.metrics_over_time(ev, "ts", "value", ["event_type"], ntz=True)
+    return m.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
+
+
+DAILY_SQL = """(SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n,
+       round(avg(value), 6) AS avg_value, round(sum(value), 6) AS sum_value
+FROM events GROUP BY ALL)"""
+
+
+@register("metrics_over_time", f"SELECT day, event_type, n, avg_value, sum_value FROM {DAILY_SQL}")
+def q_metrics_over_time(spark, sf_dir):
+    return _daily(spark, sf_dir).select("day", "event_type", "n", "avg_value", "sum_value")
+
+
+@register("drift_zscore", f"""
+SELECT event_type, day, avg_value,
+       round(avg(avg_value) OVER w, 6) AS ref_mean, round(stddev_samp(avg_value) OVER w, 6) AS ref_sd,
+       round(CASE WHEN stddev_samp(avg_value) OVER w > 0
+                  THEN (avg_value - avg(avg_value) OVER w) / stddev_samp(avg_value) OVER w END, 6) AS zscore
+FROM {DAILY_SQL}
+WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""")
+def q_drift_zscore(spark, sf_dir):
+    return MO.zscore_drift(_daily(spark, sf_dir), ["event_type"], "day", "avg_value", 7)
+
+
+@register("drift_psi", """
+WITH c AS (SELECT event_type, sum(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END) AS na,
+                  sum(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END) AS nb FROM events GROUP BY event_type),
+s AS (SELECT event_type, greatest(na / sum(na) OVER (), 0.0001) AS pa, greatest(nb / sum(nb) OVER (), 0.0001) AS pb FROM c)
+SELECT round(sum((pb - pa) * ln(pb / pa)), 6) AS psi FROM s""")
+def q_drift_psi(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn(
+        "period", F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), "a").otherwise("b"))
+    return MO.psi(ev, "event_type", "period", "a", "b")
+
+
+@register("table_counts", """
+SELECT 'documents' AS name, count(*) AS n FROM documents UNION ALL
+SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'conversations', count(*) FROM conversations UNION ALL
+SELECT 'embeddings', count(*) FROM embeddings UNION ALL SELECT 'labels', count(*) FROM labels UNION ALL
+SELECT 'benchmark', count(*) FROM benchmark""")
+def q_table_counts(spark, sf_dir):
+    from functools import reduce
+    names = ["documents", "pages", "conversations", "embeddings", "labels", "benchmark"]
+    parts = [table(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n")
+             for n in names]
+    return reduce(DataFrame.unionByName, parts)
