@@ -13,13 +13,13 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str =
     """(source, line) pairs found in at least ``max(min_docs, min_share x docs of
     the source)`` documents of that source.  Blank lines never count.
 
-    (source, line, doc) is de-duplicated first, so the per-line count is a
-    map-side partial aggregation and a line present in a third of all
+    Lines are de-duplicated within each document row, so the per-line count
+    is a map-side partial aggregation and a line present in a third of all
     documents does not land on one reducer.
     """
-    lines = (docs.select(id_col, source_col, F.explode(F.split(text_col, "\n")).alias("line"))
-                 .filter(F.trim("line") != "")
-                 .distinct())
+    # distinct non-blank lines per document row: de-duplicated without a shuffle
+    uniq = F.array_distinct(F.filter(F.split(text_col, "\n"), lambda l: F.trim(l) != ""))
+    lines = docs.select(source_col, F.explode(uniq).alias("line"))
     per_line = lines.groupBy(source_col, "line").agg(F.count(F.lit(1)).alias("n_docs"))
     per_source = docs.groupBy(source_col).agg(F.count(F.lit(1)).alias("source_docs"))
     j = join_small(per_line, per_source, [source_col])

@@ -24,6 +24,7 @@ from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,19 +181,24 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
         raise ValueError(f"metric must be one of {METRICS}")
     if where is not None:
         candidates = candidates.filter(F.expr(where) if isinstance(where, str) else where)
-    stats = queries.agg(F.count(F.col(query_vec)).alias("n"),
-                        F.max(F.size(query_vec)).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-    blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_broadcast_bytes))
-    if blocks == 1:
-        return _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                          carry, exclude_self)
-    parts = []
-    for b in range(blocks):
-        qb = queries.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)
-        parts.append(_knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                                carry, exclude_self))
-    return reduce(DataFrame.unionByName, parts)
+    # The question side is evaluated once: sized, then collected from the cache.
+    q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)) \
+               .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = q.agg(F.count(F.col(query_vec)).alias("n"), F.max(F.size(query_vec)).alias("d")).first()
+        n, d = int(stats["n"] or 0), int(stats["d"] or 0)
+        blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_broadcast_bytes))
+        if blocks == 1:
+            return _knn_block(q, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
+                              carry, exclude_self)
+        parts = []
+        for b in range(blocks):
+            qb = q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)
+            parts.append(_knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
+                                    carry, exclude_self))
+        return reduce(DataFrame.unionByName, parts)
+    finally:
+        q.unpersist()
 
 
 def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
@@ -278,7 +284,7 @@ def train_centroids(candidates: DataFrame, n_lists: int, vec: str = "embedding",
     from pyspark.ml.functions import array_to_vector
     data = candidates.select(array_to_vector(normalize(F.col(vec))).alias("features"))
     model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, initMode="k-means||").fit(data)
-    return np.array([c.toArray() for c in model.clusterCenters()], dtype=np.float64)
+    return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()], dtype=np.float64)
 
 
 def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
