@@ -176,3 +176,81 @@ def profile_chunks(chunks: DataFrame, by: str = "path", content: str = "content"
         F.round(F.avg(t), 6).alias("avg_tokens"),
         F.sum(F.when(t > limit, 1).otherwise(0)).alias("n_over_limit"),
     ))
+
+
+# ---------------------------------------------------------------- semantic / topic
+
+def chunk_semantic_col(col, threshold: float = 0.1, size: int = 500) -> Column:
+    """TXT-13: cut between adjacent units whose term sets are dissimilar.
+
+    A unit's embedding is its binary bag of terms; similarity with the
+    previous unit is |A n B| / sqrt(|A| |B|) (0 when either is empty).  A new
+    chunk starts where similarity < ``threshold`` or where the chunk would
+    exceed ``size`` tokens; units are the sentence pieces of ``sentence_units``,
+    so no chunk is longer than ``size``.  Row-wise: no window, no shuffle.
+    """
+    units = F.transform(sentence_units(col, size),
+                        lambda u: F.struct(u["s"].alias("s"), u["t"].alias("t"),
+                                           F.array_distinct(T.terms(u["s"])).alias("tt")))
+    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"),
+                    F.lit(0).alias("n"), F.array().cast("array<string>").alias("prev"))
+
+    def step(acc, u):
+        den = F.sqrt((F.size(acc["prev"]) * F.size(u["tt"])).cast("double"))
+        sim = F.when(den > 0, F.size(F.array_intersect(acc["prev"], u["tt"])) / den).otherwise(F.lit(0.0))
+        cut = (acc["n"] > 0) & ((sim < threshold) | (acc["n"] + u["t"] > size))
+        return F.when(cut, F.struct(F.concat(acc["out"], F.array(acc["cur"])).alias("out"), u["s"].alias("cur"),
+                                    u["t"].alias("n"), u["tt"].alias("prev"))) \
+                .otherwise(F.struct(acc["out"].alias("out"), F.concat(acc["cur"], u["s"]).alias("cur"),
+                                    (acc["n"] + u["t"]).alias("n"), u["tt"].alias("prev")))
+
+    def finish(acc):
+        return F.when(acc["n"] > 0, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"])
+
+    return F.aggregate(units, init, step, finish)
+
+
+def chunk_semantic(df: DataFrame, text_col: str = "text", keep=("path",), threshold: float = 0.1,
+                   size: int = 500) -> DataFrame:
+    return explode_chunks(df, chunk_semantic_col(text_col, threshold, size), list(keep))
+
+
+def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str = "sent_no",
+                 text_col: str = "sentence", k: int = 8, vocab: int = 2000, seed: int = 7,
+                 max_iter: int = 10) -> DataFrame:
+    """TXT-14: topic segmentation with Spark ML (CountVectorizer + LDA).
+
+    Each sentence gets its most likely topic; a chunk is a maximal run of
+    consecutive sentences of one document sharing a top topic.  Training
+    is distributed; regrouping is per document (bounded by its length).
+    Returns ``id, chunk_no, topic, content``.
+    """
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.functions import vector_to_array
+    toks = sentences_df.withColumn("_terms", T.terms(text_col))
+    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab, minDF=2.0).fit(toks)
+    tf = cv.transform(toks)
+    lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="_tf", topicDistributionCol="_topics").fit(tf)
+    scored = lda.transform(tf).withColumn("_dist", vector_to_array("_topics"))
+    scored = scored.withColumn("topic", F.array_position(F.col("_dist"), F.array_max("_dist")).cast("int") - 1)
+    per_doc = scored.groupBy(id_col).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(no_col), F.col("topic"), F.col(text_col).alias("s")))).alias("u"))
+    init = F.struct(F.array().cast("array<struct<topic:int,content:string>>").alias("out"),
+                    F.lit(-1).alias("topic"), F.lit("").alias("cur"), F.lit(False).alias("open"))
+
+    def step(acc, u):
+        new = acc["open"] & (u["topic"] != acc["topic"])
+        return F.when(new, F.struct(
+            F.concat(acc["out"], F.array(F.struct(acc["topic"].alias("topic"), acc["cur"].alias("content")))).alias("out"),
+            u["topic"].alias("topic"), u["s"].alias("cur"), F.lit(True).alias("open"))
+        ).otherwise(F.struct(acc["out"].alias("out"), u["topic"].alias("topic"),
+                             F.concat(acc["cur"], u["s"]).alias("cur"), F.lit(True).alias("open")))
+
+    def finish(acc):
+        return F.when(acc["open"], F.concat(acc["out"], F.array(F.struct(acc["topic"].alias("topic"),
+                                                                          acc["cur"].alias("content"))))) \
+                .otherwise(acc["out"])
+
+    runs = per_doc.select(id_col, F.posexplode(F.aggregate("u", init, step, finish)).alias("chunk_no", "c"))
+    return runs.select(id_col, "chunk_no", F.col("c.topic").alias("topic"), F.col("c.content").alias("content"))

@@ -315,7 +315,8 @@ def build_ivf(candidates: DataFrame, path: str, n_lists: int = 16, vec: str = "e
 
 def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int = 4, nprobe: int = 2,
             metric: str = "cosine", query_id: str = "query_id", query_vec: str = "embedding",
-            cand_id: str = "chunk_id", cand_vec: str = "embedding", carry: Sequence[str] = ()) -> DataFrame:
+            cand_id: str = "chunk_id", cand_vec: str = "embedding", carry: Sequence[str] = (),
+            exclude_self: bool = False) -> DataFrame:
     """Approximate top-k: each question scores only its ``nprobe`` nearest cells.
 
     The probed cell set filters the partition column, so the scan reads only
@@ -332,4 +333,4 @@ def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int
     wanted = sorted({int(c) for c in probe.ravel()})
     pruned = index.filter(F.col("centroid").isin(wanted))
     return _knn_block(queries, pruned, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-                      False, cells=cells, cell_col="centroid")
+                      exclude_self, cells=cells, cell_col="centroid")

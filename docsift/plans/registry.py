@@ -498,3 +498,89 @@ def q_table_counts(spark, sf_dir):
     parts = [table(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n")
              for n in names]
     return reduce(DataFrame.unionByName, parts)
+
+
+# ------------------------------------------------------------------ more chunkers
+
+SEM_THRESHOLD, SEM_SIZE = 0.1, 200
+
+
+@register("chunk_semantic", f"""
+SELECT path, (generate_subscripts(ch, 1) - 1)::INTEGER AS chunk_no, unnest(ch) AS content
+FROM (SELECT path, CASE WHEN r.n > 0 THEN list_append(r.out, r.cur) ELSE r.out END AS ch
+      FROM (SELECT path, {Q.semantic('text', SEM_THRESHOLD, SEM_SIZE)} AS r FROM {DOCS_SQL}))""")
+def q_chunk_semantic(spark, sf_dir):
+    d = spread(documents(spark, sf_dir).select("path", "text"))
+    return C.chunk_semantic(d, "text", keep=("path",), threshold=SEM_THRESHOLD, size=SEM_SIZE)
+
+
+@register("chunk_topics")
+def q_chunk_topics(spark, sf_dir):
+    """LDA topic runs over all sentences; iterative ML fit, rows-only check."""
+    d = spread(table(spark, sf_dir, "documents"))
+    sents = C.split_sentences(d, "text", keep=("doc_id",))
+    return C.chunk_topics(sents, "doc_id", "sent_no", "sentence", k=8, max_iter=5)
+
+
+@register("chunks_head", f"""
+SELECT chunk_id, path, chunk_no, {Q.ntok('content')}::INTEGER AS n_tokens FROM {chunks_sql()}
+ORDER BY chunk_id LIMIT 10""")
+def q_chunks_head(spark, sf_dir):
+    """LIM-1: the first rows of the chunk table in key order (a report)."""
+    ch = sentence_chunks(spark, sf_dir)
+    return ch.orderBy("chunk_id").limit(10).select("chunk_id", "path", "chunk_no",
+                                                    T.token_count("content").alias("n_tokens"))
+
+
+@register("sync_embeddings", f"""
+WITH c AS (SELECT * FROM {chunks_sql()}),
+todo AS (SELECT c.* FROM c JOIN documents d USING (doc_id) WHERE d.lang <> 'en'),
+p AS {Q.postings('todo', 'chunk_id', 'content', DIM)}
+SELECT todo.chunk_id, todo.path, todo.chunk_no, count(p.bucket)::INTEGER AS n_nonzero
+FROM todo LEFT JOIN p ON p.id = todo.chunk_id GROUP BY todo.chunk_id, todo.path, todo.chunk_no""")
+def q_sync_embeddings(spark, sf_dir):
+    """EMB-4: chunks of English documents count as already embedded; embed the rest only."""
+    ch = sentence_chunks(spark, sf_dir)
+    lang = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    done = ch.join(lang, "doc_id").filter(F.col("lang") == "en").select("chunk_id")
+    new = E.sync_embeddings(ch.select("chunk_id", "path", "chunk_no", "content"), done, dim=DIM)
+    return new.select("chunk_id", "path", "chunk_no",
+                      F.size(F.filter("embedding", lambda x: x != 0)).alias("n_nonzero"))
+
+
+# ------------------------------------------------------------------ approximate search, learned relevance
+
+IVF_LISTS, IVF_PROBE = 8, 2
+
+
+def _ivf(spark, sf_dir):
+    e = spread(table(spark, sf_dir, "embeddings"))
+    q = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    cen = S.train_centroids(e, IVF_LISTS)
+    index = S.assign_cells(e, cen)
+    approx = S.knn_ivf(q, index, cen, k=5, nprobe=IVF_PROBE, query_id="query_id", cand_id="vec_id",
+                       exclude_self=True)
+    return q, e, approx
+
+
+@register("knn_ivf")
+def q_knn_ivf(spark, sf_dir):
+    """SCH-6: k-means cells, 2 of 8 probed; approximate, rows-only check."""
+    return _ivf(spark, sf_dir)[2]
+
+
+@register("ivf_recall")
+def q_ivf_recall(spark, sf_dir):
+    """recall@5 of the IVF search against exact search over all vectors."""
+    q, e, approx = _ivf(spark, sf_dir)
+    exact = S.knn(q, e, k=5, query_id="query_id", cand_id="vec_id", exclude_self=True)
+    return S.recall_at_k(approx, exact, cand_id="vec_id")
+
+
+@register("chat_relevance_model")
+def q_chat_relevance_model(spark, sf_dir):
+    """CHT-16: logistic regression on document embeddings labelled by quality,
+    applied to every conversation's question (iterative fit: rows-only)."""
+    model = CH.train_relevance(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"), DIM)
+    m = messages(spark, sf_dir).select("conv_id", CH.question("messages").alias("question"))
+    return CH.classify_with_model(m, model, "question", DIM).select("conv_id", "p_relevant", "verdict")

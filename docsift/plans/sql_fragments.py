@@ -163,3 +163,15 @@ share AS (SELECT qt.conv_id, avg(CASE WHEN lex.term IS NULL THEN 0 ELSE 1 END) A
 j AS (SELECT h.*, share.lex_share,
              CASE WHEN coalesce(share.lex_share, 0) >= {threshold} THEN 'yes' ELSE 'no' END AS verdict
       FROM h LEFT JOIN share USING (conv_id))"""
+
+
+def semantic(x: str, threshold: float, size: int) -> str:
+    """SQL twin of ``chunking.chunk_semantic_col`` (state before finishing)."""
+    us = f"list_transform({units(x, size)}, lambda u: {{'s': u.s, 't': u.t, 'tt': list_distinct({terms('u.s')})}})"
+    sim = ("CASE WHEN sqrt((len(acc.prev) * len(u.tt))::DOUBLE) > 0 THEN "
+           "len(list_intersect(acc.prev, u.tt)) / sqrt((len(acc.prev) * len(u.tt))::DOUBLE) ELSE 0.0 END")
+    step = (f"lambda acc, u: CASE WHEN acc.n > 0 AND (({sim}) < {threshold} OR acc.n + u.t > {size}) "
+            "THEN {'out': list_append(acc.out, acc.cur), 'cur': u.s, 'n': u.t, 'prev': u.tt} "
+            "ELSE {'out': acc.out, 'cur': acc.cur || u.s, 'n': acc.n + u.t, 'prev': u.tt} END")
+    init = "{'out': []::VARCHAR[], 'cur': '', 'n': 0, 'prev': []::VARCHAR[]}"
+    return f"list_reduce({us}, {step}, {init})"
