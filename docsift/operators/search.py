@@ -81,26 +81,28 @@ def round6(v: np.ndarray) -> np.ndarray:
 
 
 def _topk_rows(scores: np.ndarray, cids: np.ndarray, k: int):
-    """For each query column: row indices of its top-k by (score desc, id asc)."""
+    """For each query column: row indices of its top-k by (score desc, id asc).
+
+    Vectorised over all questions: a per-column threshold (the k-th best
+    score) keeps every row that can be in the top-k including ties at the
+    border; only those few rows are sorted.
+    """
     n, q = scores.shape
     kk = min(k, n)
-    out_q, out_r = [], []
-    for j in range(q):
-        col = scores[:, j]
-        if n > 4 * kk:
-            # candidates >= the k-th best score (keeps all ties at the border)
-            thr = np.partition(col, n - kk)[n - kk]
-            idx = np.nonzero(col >= thr)[0]
-        else:
-            idx = np.arange(n)
-        order = np.lexsort((cids[idx], -col[idx]))[:kk]
-        out_q.append(np.full(len(order), j, dtype=np.int64))
-        out_r.append(idx[order])
-    return np.concatenate(out_q), np.concatenate(out_r)
+    if kk == 0 or q == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    thr = np.partition(scores, n - kk, axis=0)[n - kk]
+    ri, qi = np.nonzero(scores >= thr[None, :])
+    sc = scores[ri, qi]
+    order = np.lexsort((cids[ri], -sc, qi))
+    qi, ri = qi[order], ri[order]
+    first = np.searchsorted(qi, qi, side="left")
+    keep = (np.arange(len(qi)) - first) < kk
+    return qi[keep].astype(np.int64), ri[keep].astype(np.int64)
 
 
 def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequence[str],
-                     exclude_self: bool, out_fields):
+                     exclude_self: bool, out_fields, sparse_dim: int | None = None):
     """Task function: running top-k per question over the task's rows."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +124,11 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
         for b in it:
             if b.num_rows == 0:
                 continue
-            cm = _matrix(b.column(vec), dim)
+            if sparse_dim:
+                from docsift.operators.embedding import scatter_signed
+                cm = _matrix(scatter_signed(b.column(vec), sparse_dim), dim)
+            else:
+                cm = _matrix(b.column(vec), dim)
             c_ids = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
             s = _scores(cm, qm, qn, metric)
             if exclude_self:
@@ -170,7 +176,7 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
         cand_id: str = "chunk_id", cand_vec: str = "embedding",
         carry: Sequence[str] = (), where: Column | str | None = None,
         exclude_self: bool = False,
-        max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+        max_broadcast_bytes: int = MAX_BROADCAST_BYTES, cand_sparse_dim: int | None = None) -> DataFrame:
     """SCH-1 exact k nearest candidates for every question.
 
     Returns ``query_id, rank, score, <cand_id>, <carry...>`` with
@@ -190,19 +196,19 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
         blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_broadcast_bytes))
         if blocks == 1:
             return _knn_block(q, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                              carry, exclude_self)
+                              carry, exclude_self, sparse_dim=cand_sparse_dim)
         parts = []
         for b in range(blocks):
             qb = q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)
             parts.append(_knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                                    carry, exclude_self))
+                                    carry, exclude_self, sparse_dim=cand_sparse_dim))
         return reduce(DataFrame.unionByName, parts)
     finally:
         q.unpersist()
 
 
 def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-               exclude_self, cells=None, cell_col: str | None = None):
+               exclude_self, cells=None, cell_col: str | None = None, sparse_dim: int | None = None):
     spark = candidates.sparkSession
     ship_package(spark)
     qids, qm = _broadcast_queries(queries, query_id, query_vec, metric)
@@ -220,7 +226,8 @@ def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, can
     src = candidates.filter(F.col(cand_vec).isNotNull()).select(*cols)
     fn = _partial_topk_fn(bq, k, metric, cand_id, cand_vec, list(carry), exclude_self,
                           [T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry])
+                           T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry],
+                          sparse_dim)
     inner_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
                                  T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry])
     partials = src.mapInArrow(fn, inner_schema).withColumnRenamed("cand_id", cand_id)
@@ -236,12 +243,19 @@ def search_text(questions: DataFrame, chunks: DataFrame, k: int = 4, dim: int =
                 where: Column | None = None, embedded: bool = False) -> DataFrame:
     """SCH-2: embed the question texts (and the chunks unless ``embedded``)
     with the hash model, then exact k-NN."""
+    from docsift.functions.hashing import signed_buckets
+    from docsift.functions.text import terms
     from docsift.operators.embedding import hash_vector
     q = questions.select(F.col(question_id).alias("query_id"),
                          hash_vector(F.col(question_text), dim).alias("embedding"))
-    c = chunks if embedded else chunks.withColumn("embedding", hash_vector(F.col(chunk_text), dim))
+    if embedded:
+        return knn(q, chunks, k=k, metric=metric, query_id="query_id", query_vec="embedding",
+                   cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where)
+    # Terms are hashed in the JVM; the search task scatters them into dense
+    # vectors itself, so no dense vector crosses the JVM/Python boundary.
+    c = chunks.withColumn("_sb", signed_buckets(terms(F.col(chunk_text)), dim))
     return knn(q, c, k=k, metric=metric, query_id="query_id", query_vec="embedding",
-               cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where)
+               cand_id=chunk_id, cand_vec="_sb", carry=list(carry), where=where, cand_sparse_dim=dim)
 
 
 def collect_docs(hits: DataFrame, fields: Sequence[str] = ("content", "path")) -> DataFrame:
