@@ -307,7 +307,7 @@ def q_answer_questions(spark, sf_dir):
                     F.size("sources").alias("n_sources"))
 
 
-@register("chat_full", f"""
+CHAT_FULL_SQL = f"""
 WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)},
 ok AS (SELECT conv_id, question, {Q.rewrite('question', 'hist')} AS query FROM j WHERE verdict = 'yes'),
 {_answers_sql('ok', 'conv_id', 'query')}
@@ -317,7 +317,10 @@ SELECT ok.conv_id, 'yes' AS verdict, ok.query,
 FROM ok LEFT JOIN docs d ON d.query_id = ok.conv_id
 UNION ALL
 SELECT conv_id, verdict, NULL AS query, '{P.REFUSAL}' AS result, '' AS sources, 0 AS n_sources
-FROM j WHERE verdict <> 'yes'""")
+FROM j WHERE verdict <> 'yes'"""
+
+
+@register("chat_full", CHAT_FULL_SQL)
 def q_chat_full(spark, sf_dir):
     lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
     out = CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
@@ -586,3 +589,55 @@ def q_chat_relevance_model(spark, sf_dir):
     model = CH.train_relevance(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"), DIM)
     m = messages(spark, sf_dir).select("conv_id", CH.question("messages").alias("question"))
     return CH.classify_with_model(m, model, "question", DIM).select("conv_id", "p_relevant", "verdict")
+
+
+def _chat_answers(spark, sf_dir) -> DataFrame:
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    return CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
+                   threshold=RELEVANCE_THRESHOLD)
+
+
+@register("answer_log", f"""
+WITH c AS ({CHAT_FULL_SQL}),
+m AS (SELECT conv_id, count(*) AS n_messages FROM conversations GROUP BY conv_id)
+SELECT 'conv-' || c.conv_id::VARCHAR AS request_id,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(c.conv_id), '%Y-%m-%d %H:%M:%S') AS ts,
+       m.n_messages::INTEGER AS n_messages, c.result, c.sources
+FROM c JOIN m USING (conv_id)""")
+def q_answer_log(spark, sf_dir):
+    """MON-1: the chain's answers shaped as answer-log rows (request id, time,
+    messages, result, sources); time = 2024-01-01 + conv_id hours."""
+    ans = _chat_answers(spark, sf_dir)
+    msgs = messages(spark, sf_dir)
+    j = ans.join(msgs, "conv_id")
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("conv_id"))
+    log = MO.log_rows(j, F.concat(F.lit("conv-"), F.col("conv_id").cast("string")), ts,
+                      F.transform("messages", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
+    return log.select("request_id", F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                      F.size("messages").alias("n_messages"), "result",
+                      F.array_join("sources", "|").alias("sources"))
+
+
+@register("chat_answer_metrics", f"""
+WITH a AS (SELECT 'conv-' || conv_id::VARCHAR AS request_id, result FROM ({CHAT_FULL_SQL})),
+cnt AS (SELECT term, count(*) AS c FROM (SELECT unnest({Q.terms('text')}) AS term FROM documents) GROUP BY term),
+tot AS (SELECT sum(c)::DOUBLE AS n_all, count(*)::DOUBLE AS v_all FROM cnt),
+pt AS (SELECT request_id, term, count(*) AS n FROM (SELECT request_id, unnest({Q.terms('result')}) AS term FROM a)
+       GROUP BY request_id, term),
+lp AS (SELECT pt.request_id, sum(pt.n * (ln(coalesce(cnt.c, 0) + 1) - ln((SELECT n_all + v_all FROM tot)))) AS sum_lp
+       FROM pt LEFT JOIN cnt USING (term) GROUP BY pt.request_id),
+b AS (SELECT request_id, len({Q.terms('result')}) AS n_tokens, len(list_distinct({Q.terms('result')})) AS n_types,
+             len(list_filter({Q.sentences('result')}, lambda s: len({Q.tokens('s')}) > 0)) AS n_sentences,
+             {Q.ntok('result')} AS n_words, result = '{P.REFUSAL}' AS refused FROM a)
+SELECT b.request_id, b.n_tokens::INTEGER AS n_tokens,
+       round(CASE WHEN n_sentences > 0 THEN n_words / n_sentences END, 6) AS mean_sentence_tokens,
+       round(CASE WHEN n_tokens > 0 THEN n_types / n_tokens END, 6) AS type_token_ratio,
+       round(CASE WHEN n_tokens > 0 THEN exp(-lp.sum_lp / n_tokens) END, 4) AS unigram_perplexity,
+       refused
+FROM b LEFT JOIN lp USING (request_id)""")
+def q_chat_answer_metrics(spark, sf_dir):
+    """MON-2 over the chain's own answers (conversations -> answers -> metrics)."""
+    ans = _chat_answers(spark, sf_dir).select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("request_id"), "result")
+    counts = MO.term_counts(spread(table(spark, sf_dir, "documents")))
+    return MO.answer_metrics(ans, counts)
