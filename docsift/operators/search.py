@@ -33,6 +33,7 @@ from docsift.session import ship_package
 
 METRICS = ("cosine", "dot", "l2")
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024   # question matrix bound (float64)
+MAX_SCORES = 16 * 1024 * 1024             # scores held at once inside a task
 
 
 def _matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -104,6 +105,7 @@ def _topk_rows(scores: np.ndarray, cids: np.ndarray, k: int):
 def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequence[str],
                      exclude_self: bool, out_fields, sparse_dim: int | None = None):
     """Task function: running top-k per question over the task's rows."""
+    max_scores = MAX_SCORES  # captured at plan time
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, qm, cells = bq.value
@@ -130,22 +132,31 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
             else:
                 cm = _matrix(b.column(vec), dim)
             c_ids = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
-            s = _scores(cm, qm, qn, metric)
-            if exclude_self:
-                s[c_ids[:, None] == qids[None, :]] = -np.inf
-            if cells is not None:
-                # IVF: a question only scores rows of the cells it probes
-                row_cell = b.column("centroid").to_numpy(zero_copy_only=False)
-                s[~cells[row_cell]] = -np.inf
-            qi, ri = _topk_rows(s, c_ids, k)
-            keep = np.isfinite(s[ri, qi])
-            qi, ri = qi[keep], ri[keep]
-            part = pa.table({"_qi": pa.array(qi), "score": pa.array(s[ri, qi]),
-                             "cand_id": pa.array(c_ids[ri])}
-                            | {c: b.column(c).take(pa.array(ri)) for c in carry})
-            pool = part if pool is None else pa.concat_tables([pool, part])
-            if pool.num_rows > 8 * k * len(qids):
-                pool = reduce_pool(pool)
+            row_cell = b.column("centroid").to_numpy(zero_copy_only=False) if cells is not None else None
+            # Bound the score matrix: question slices x row slices of at most
+            # MAX_SCORES entries, whatever the batch size and question count.
+            q_step = min(len(qids), 4096)
+            r_step = max(1, max_scores // q_step)
+            for q0 in range(0, len(qids), q_step):
+                qs_ = slice(q0, q0 + q_step)
+                for r0 in range(0, len(c_ids), r_step):
+                    rs_ = slice(r0, r0 + r_step)
+                    s = _scores(cm[rs_], qm[qs_], qn[qs_], metric)
+                    ids = c_ids[rs_]
+                    if exclude_self:
+                        s[ids[:, None] == qids[qs_][None, :]] = -np.inf
+                    if cells is not None:
+                        # IVF: a question only scores rows of the cells it probes
+                        s[~cells[row_cell[rs_]][:, qs_]] = -np.inf
+                    qi, ri = _topk_rows(s, ids, k)
+                    keep = np.isfinite(s[ri, qi])
+                    qi, ri = qi[keep], ri[keep]
+                    part = pa.table({"_qi": pa.array(qi + q0), "score": pa.array(s[ri, qi]),
+                                     "cand_id": pa.array(ids[ri])}
+                                    | {c: b.column(c).take(pa.array(ri + r0)) for c in carry})
+                    pool = part if pool is None else pa.concat_tables([pool, part])
+                    if pool.num_rows > 8 * k * len(qids):
+                        pool = reduce_pool(pool)
         if pool is None or pool.num_rows == 0:
             return
         pool = reduce_pool(pool)

@@ -73,3 +73,31 @@ def test_drop_boilerplate(spark):
                                  "doc_id long, source string, text string")
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in CL.drop_boilerplate_lines(docs, min_docs=3).collect()}
     assert got[0] == ("body 0\n", 2) and got[9] == ("header", 0)
+
+
+def test_sync_index_embeds_only_changes(spark):
+    import numpy as np
+    from docsift.operators.embedding import hash_embed
+    calls = []
+
+    def embed_fn(df):
+        calls.append(df.count())
+        return hash_embed(df, "content", 8)
+
+    v1 = spark.createDataFrame([(1, "a b"), (2, "c d"), (3, "e f")], "chunk_id long, content string")
+    idx1 = IX.sync_index(None, v1, "chunk_id", None, embed_fn)
+    assert idx1.count() == 3 and calls == [3]
+    v2 = spark.createDataFrame([(1, "a b"), (2, "c d changed"), (4, "g")], "chunk_id long, content string")
+    idx2 = IX.sync_index(idx1, v2, "chunk_id", None, embed_fn)
+    got = {r["chunk_id"]: r["content"] for r in idx2.collect()}
+    assert got == {1: "a b", 2: "c d changed", 4: "g"} and calls[-1] == 2
+    cen = np.eye(8)[:2]
+    idx3 = IX.sync_index(idx2.withColumn("centroid", F.lit(0)), v2, "chunk_id", cen, embed_fn)
+    assert "centroid" in idx3.columns and idx3.count() == 3
+
+
+def test_log_rows_schema(spark):
+    ans = spark.createDataFrame([(1, "r", ["p"])], "conv_id long, result string, sources array<string>")
+    log = MO.log_rows(ans, F.concat(F.lit("c-"), F.col("conv_id").cast("string")), F.current_timestamp(),
+                      F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content"))))
+    assert log.schema == MO.ANSWER_LOG_SCHEMA or [f.name for f in log.schema] == [f.name for f in MO.ANSWER_LOG_SCHEMA]

@@ -106,3 +106,14 @@ def test_search_text_and_retrieve(spark):
     docs = S.retrieve(qs, chunks, k=2, dim=64).orderBy("query_id").collect()
     assert [d["n_docs"] for d in docs] == [2, 2]
     assert [x["rank"] for x in docs[0]["docs"]] == [1, 2]
+
+
+def test_sliced_scoring_equals_unsliced(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    q = rng.normal(size=(9, 4)).astype(np.float32)
+    c = rng.normal(size=(50, 4)).astype(np.float32)
+    qdf, cdf = frames(spark, q, c)
+    a = as_dict(S.knn(qdf, cdf, k=3))
+    monkeypatch.setattr(S, "MAX_SCORES", 7)   # 1-row slices
+    b = as_dict(S.knn(qdf, cdf, k=3))
+    assert a == b
