@@ -226,10 +226,16 @@ def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str =
     Returns ``id, chunk_no, topic, content``.
     """
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.feature import CountVectorizerModel
     from pyspark.ml.functions import vector_to_array
     toks = sentences_df.withColumn("_terms", T.terms(text_col))
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=vocab, minDF=2.0).fit(toks)
+    # Vocabulary: the ``vocab`` terms found in most sentences (ties by term), so
+    # the feature order -- and with the seed, the topics -- are repeatable.
+    # Bounded by ``vocab`` before it reaches the driver.
+    top = (toks.select(F.explode(F.array_distinct("_terms")).alias("t")).groupBy("t")
+               .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= 2)
+               .orderBy(F.desc("df"), F.asc("t")).limit(vocab).collect())
+    cv = CountVectorizerModel.from_vocabulary([r["t"] for r in top], inputCol="_terms", outputCol="_tf")
     tf = cv.transform(toks)
     lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="_tf", topicDistributionCol="_topics").fit(tf)
     scored = lda.transform(tf).withColumn("_dist", vector_to_array("_topics"))
