@@ -7,6 +7,7 @@ repeated in plain SQL for the oracle.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,3 +77,19 @@ def strip_tags(col) -> Column:
                                r"(?is)<style\b.*?</style>", " ")
     no_tags = F.regexp_replace(no_code, r"<[^>]*>", " ")
     return F.trim(F.regexp_replace(no_tags, r"\s+", " "))
+
+
+def token_count_with(col, tokenizer) -> Column:
+    """TXT-5 with an injected tokenizer ``f(list[str]) -> list[int]`` (token
+    counts), run once per Arrow batch; null text gives null."""
+    @F.arrow_udf("int")
+    def count(texts: pa.Array) -> pa.Array:
+        vals = texts.to_pylist()
+        idx = [i for i, v in enumerate(vals) if v is not None]
+        got = tokenizer([vals[i] for i in idx]) if idx else []
+        out = [None] * len(vals)
+        for i, n in zip(idx, got):
+            out[i] = int(n)
+        return pa.array(out, type=pa.int32())
+
+    return count(_c(col))

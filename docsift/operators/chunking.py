@@ -260,3 +260,23 @@ def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str =
 
     runs = per_doc.select(id_col, F.posexplode(F.aggregate("u", init, step, finish)).alias("chunk_no", "c"))
     return runs.select(id_col, "chunk_no", F.col("c.topic").alias("topic"), F.col("c.content").alias("content"))
+
+
+def dense_id(df: DataFrame, order_by: list[str], out_col: str = "id", start: int = 1) -> DataFrame:
+    """SNK-3 (batch): dense ids ``start..start+n-1`` in ``order_by`` order.
+
+    No single-partition window over the data: rows are range-partitioned
+    and sorted by the (unique) key, each partition is counted, offsets are
+    a running sum over the per-partition counts (one row per partition,
+    broadcast), and an id is offset + position inside the partition.
+    """
+    from pyspark.sql import Window
+    s = (df.repartitionByRange(*[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_pos", F.monotonically_increasing_id()))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    j = s.join(F.broadcast(offs.select("_pid", "_off", "_first")), "_pid")
+    return j.withColumn(out_col, (F.col("_off") + F.col("_pos") - F.col("_first") + start).cast("long")) \
+            .drop("_pid", "_pos", "_off", "_first")

@@ -641,3 +641,11 @@ def q_chat_answer_metrics(spark, sf_dir):
         F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("request_id"), "result")
     counts = MO.term_counts(spread(table(spark, sf_dir, "documents")))
     return MO.answer_metrics(ans, counts)
+
+
+@register("dense_chunk_ids", f"""
+SELECT row_number() OVER (ORDER BY doc_id, chunk_no) AS id, doc_id, chunk_no FROM {chunks_sql()}""")
+def q_dense_chunk_ids(spark, sf_dir):
+    """SNK-3 (batch): dense ids 1..n over all chunks in (doc_id, chunk_no) order."""
+    ch = sentence_chunks(spark, sf_dir).select("doc_id", "chunk_no")
+    return C.dense_id(ch, ["doc_id", "chunk_no"], "id")

@@ -166,3 +166,11 @@ def extract_section_arrays(df: DataFrame, extractor: Callable[[bytes], list] = t
                                              schema=arrow_schema)
 
     return df.select(path_col, content_col).mapInArrow(run, schema)
+
+
+def keep_symbols(df: DataFrame, symbols: Sequence[str], path_col: str = "path") -> DataFrame:
+    """FLT-2: keep files whose name starts with one of ``symbols``."""
+    import re as _re
+    name = F.regexp_extract(F.col(path_col), r"([^/]+)$", 1)
+    alt = "|".join(_re.escape(s) for s in sorted(set(symbols)))
+    return df.filter(name.rlike(f"^({alt})"))

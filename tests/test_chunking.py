@@ -111,3 +111,16 @@ def test_profile(spark):
     rows = {r["path"]: r for r in C.profile_chunks(df, limit=5).collect()}
     assert rows["p"]["n_chunks"] == 2 and rows["p"]["max_tokens"] == 3
     assert rows["q"]["n_over_limit"] == 1
+
+
+def test_dense_id(spark):
+    df = spark.createDataFrame([(i, f"r{i}") for i in range(37, 0, -1)], "k long, v string").repartition(5)
+    got = sorted((r["id"], r["k"]) for r in C.dense_id(df, ["k"], "id").collect())
+    assert got == [(i, i) for i in range(1, 38)]
+
+
+def test_injected_tokenizer(spark):
+    from docsift.functions.text import token_count_with
+    df = spark.createDataFrame([("a b c",), (None,), ("",)], "t string")
+    got = [r[0] for r in df.select(token_count_with("t", lambda ts: [len(t) for t in ts])).collect()]
+    assert got == [5, None, 0]

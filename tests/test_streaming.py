@@ -132,3 +132,8 @@ def test_fetch_pages_null_on_failure(spark):
     urls = spark.createDataFrame([("u1",), ("u2",)], "url string")
     got = dict(fetch_pages(urls, lambda us: [("<p>ok</p>" if u == "u1" else None) for u in us]).collect())
     assert got == {"u1": "<p>ok</p>", "u2": None}
+
+
+def test_keep_symbols(spark):
+    df = spark.createDataFrame([("/x/AAPL-2023.pdf",), ("/x/TSLA.pdf",), ("/x/MSFT.pdf",), ("/AAPL/x.pdf",)], "path string")
+    assert [r[0] for r in SF.keep_symbols(df, ["TSLA", "AAPL"]).collect()] == ["/x/AAPL-2023.pdf", "/x/TSLA.pdf"]
