@@ -313,23 +313,42 @@ def train_centroids(candidates: DataFrame, n_lists: int, vec: str = "embedding",
 
 
 def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
-                 out_col: str = "centroid") -> DataFrame:
-    """Nearest centroid of every row (cosine), one Arrow pass, centroids broadcast."""
+                 out_col: str = "centroid", dist_col: str = "cell_dist") -> DataFrame:
+    """Nearest centroid of every row (cosine), one Arrow pass, centroids broadcast.
+
+    Also stores the distance between the unit-normalised vector and its
+    centroid, from which a cell's radius is a small aggregation.
+    """
     ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast(centroids)
-    out_schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.IntegerType())])
+    out_schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.IntegerType()),
+                                                  T.StructField(dist_col, T.DoubleType())])
 
     def run(it):
         cen = bc.value
         cn = cen / np.maximum(np.linalg.norm(cen, axis=1, keepdims=True), 1e-12)
         for b in it:
-            m = _matrix(b.column(vec), cen.shape[1]) if b.num_rows else np.zeros((0, cen.shape[1]))
-            cell = np.argmax(m @ cn.T, axis=1).astype(np.int32) if b.num_rows else np.zeros(0, np.int32)
-            yield b.append_column(out_col, pa.array(cell, type=pa.int32()))
+            if b.num_rows == 0:
+                continue
+            m = _matrix(b.column(vec), cen.shape[1])
+            nrm = np.linalg.norm(m, axis=1, keepdims=True)
+            u = np.where(nrm > 0, m / np.where(nrm > 0, nrm, 1.0), 0.0)
+            cell = np.argmax(u @ cn.T, axis=1)
+            dist = np.linalg.norm(u - cen[cell], axis=1)
+            yield b.append_column(out_col, pa.array(cell.astype(np.int32), type=pa.int32())) \
+                   .append_column(dist_col, pa.array(dist, type=pa.float64()))
 
     return df.mapInArrow(run, out_schema)
 
 
+def cell_radii(index: DataFrame, n_lists: int, cell_col: str = "centroid", dist_col: str = "cell_dist") -> np.ndarray:
+    """Largest member distance per cell (one row per cell reaches the driver)."""
+    r = np.zeros(n_lists)
+    for row in index.groupBy(cell_col).agg(F.max(dist_col).alias("r")).collect():
+        r[int(row[cell_col])] = float(row["r"])
+    return r
+
+
 def build_ivf(candidates: DataFrame, path: str, n_lists: int = 16, vec: str = "embedding",
               seed: int = 7, mode: str = "overwrite"):
     """SCH-6 (b): write the corpus partitioned by nearest centroid; returns centroids."""
@@ -341,13 +360,22 @@ def build_ivf(candidates: DataFrame, path: str, n_lists: int = 16, vec: str = "e
 def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int = 4, nprobe: int = 2,
             metric: str = "cosine", query_id: str = "query_id", query_vec: str = "embedding",
             cand_id: str = "chunk_id", cand_vec: str = "embedding", carry: Sequence[str] = (),
-            exclude_self: bool = False) -> DataFrame:
-    """Approximate top-k: each question scores only its ``nprobe`` nearest cells.
+            exclude_self: bool = False, exact: bool = False, radii: np.ndarray | None = None) -> DataFrame:
+    """Top-k over an IVF index: each question first scores only its ``nprobe``
+    nearest cells.
 
     The probed cell set filters the partition column, so the scan reads only
     those cells' files; inside a task a row is scored only for questions
     probing its cell.
+
+    ``exact=True`` (cosine) makes the result equal to exact search: with the
+    k-th score s_k found for a question, a cell c can still hold a row
+    scoring >= s_k only if 1 - max(0, |q - mu_c| - r_c)^2 / 2 >= s_k (unit
+    vectors, triangle inequality, r_c = cell radius); exactly those cells
+    are scanned in a second, again partition-pruned, pass and merged.
     """
+    if exact and metric != "cosine":
+        raise ValueError("exact IVF search is defined for cosine")
     qids, qm = _broadcast_queries(queries, query_id, query_vec, metric)
     cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
     qn = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-12)
@@ -355,7 +383,29 @@ def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int
     cells = np.zeros((len(centroids), len(qids)), dtype=bool)
     for j in range(len(qids)):
         cells[probe[j], j] = True
-    wanted = sorted({int(c) for c in probe.ravel()})
+    first = _ivf_pass(queries, index, cells, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
+                      exclude_self)
+    if not exact:
+        return first
+    if radii is None:
+        radii = cell_radii(index, len(centroids))
+    found = {r["query_id"]: (r["kth"], r["n"]) for r in
+             first.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).collect()}
+    kth = np.array([found.get(int(q), (-np.inf, 0))[0] if found.get(int(q), (0, 0))[1] >= k else -np.inf
+                    for q in qids])
+    d = np.linalg.norm(qn[:, None, :] - centroids[None, :, :], axis=2)          # (Q, cells)
+    upper = 1.0 - np.maximum(d - radii[None, :], 0.0) ** 2 / 2.0
+    more = ((upper + 1e-5) >= kth[:, None]).T & ~cells                          # (cells, Q)
+    if not more.any():
+        return first
+    second = _ivf_pass(queries, index, more, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
+                       exclude_self)
+    both = first.drop("rank").unionByName(second.drop("rank"))
+    return _rank(both, k, cand_id).select("query_id", "rank", "score", cand_id, *carry)
+
+
+def _ivf_pass(queries, index, cells, k, metric, query_id, query_vec, cand_id, cand_vec, carry, exclude_self):
+    wanted = [int(c) for c in np.nonzero(cells.any(axis=1))[0]]
     pruned = index.filter(F.col("centroid").isin(wanted))
     return _knn_block(queries, pruned, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
                       exclude_self, cells=cells, cell_col="centroid")

@@ -568,6 +568,18 @@ def _ivf(spark, sf_dir):
     return q, e, approx
 
 
+@register("knn_ivf_exact", _knn_sql("cosine", 5))
+def q_knn_ivf_exact(spark, sf_dir):
+    """SCH-6 made exact: first probe 2 of 8 cells, then every cell whose
+    radius bound can still beat the k-th score; equals exact search."""
+    e = spread(table(spark, sf_dir, "embeddings"))
+    q = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    cen = S.train_centroids(e, IVF_LISTS)
+    index = S.assign_cells(e, cen)
+    return S.knn_ivf(q, index, cen, k=5, nprobe=IVF_PROBE, query_id="query_id", cand_id="vec_id",
+                     exclude_self=True, exact=True)
+
+
 @register("knn_ivf")
 def q_knn_ivf(spark, sf_dir):
     """SCH-6: k-means cells, 2 of 8 probed; approximate, rows-only check."""

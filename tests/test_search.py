@@ -117,3 +117,15 @@ def test_sliced_scoring_equals_unsliced(spark, monkeypatch):
     monkeypatch.setattr(S, "MAX_SCORES", 7)   # 1-row slices
     b = as_dict(S.knn(qdf, cdf, k=3))
     assert a == b
+
+
+def test_ivf_exact_mode_equals_exact(spark, scratch_dir):
+    rng = np.random.default_rng(6)
+    q = rng.normal(size=(12, 8)).astype(np.float32)
+    c = np.vstack([rng.normal(size=(150, 8)), np.zeros((2, 8))]).astype(np.float32)
+    qdf, cdf = frames(spark, q, c)
+    cen = S.build_ivf(cdf, scratch_dir + "/ivf2", n_lists=6)
+    index = spark.read.parquet(scratch_dir + "/ivf2")
+    exact = as_dict(S.knn(qdf, cdf, k=4))
+    got = as_dict(S.knn_ivf(qdf, index, cen, k=4, nprobe=1, exact=True))
+    assert got == exact
