@@ -137,3 +137,36 @@ def test_fetch_pages_null_on_failure(spark):
 def test_keep_symbols(spark):
     df = spark.createDataFrame([("/x/AAPL-2023.pdf",), ("/x/TSLA.pdf",), ("/x/MSFT.pdf",), ("/AAPL/x.pdf",)], "path string")
     assert [r[0] for r in SF.keep_symbols(df, ["TSLA", "AAPL"]).collect()] == ["/x/AAPL-2023.pdf", "/x/TSLA.pdf"]
+
+
+def test_overwrite_in_place_is_ignored_and_reset_uses_new_root(spark, scratch_dir):
+    import time as _t
+    src = os.path.join(scratch_dir, "in2")
+    write(src, "a.txt", "v1")
+    db = "replay_test"
+    P.use_namespace(spark, db)
+    root = os.path.join(scratch_dir, "ck-root")
+    ck = P.checkpoint_for(spark, f"{db}.raw", root)
+    P.publish_stream(SF.read_files_stream(spark, src), table=f"{db}.raw", checkpoint=ck)
+    assert spark.table(f"{db}.raw").count() == 1
+    _t.sleep(1.1)
+    write(src, "a.txt", "v2 changed in place")
+    P.publish_stream(SF.read_files_stream(spark, src), table=f"{db}.raw", checkpoint=ck)
+    assert spark.table(f"{db}.raw").count() == 1           # the file stream does not re-read it
+    # dropping the table but keeping the old checkpoint would write nothing;
+    # reset_namespace hands out a fresh checkpoint root instead
+    new_root = P.reset_namespace(spark, db, root)
+    assert new_root != root
+    P.use_namespace(spark, db)
+    P.publish_stream(SF.read_files_stream(spark, src), table=f"{db}.raw",
+                     checkpoint=P.checkpoint_for(spark, f"{db}.raw", new_root))
+    rows = spark.table(f"{db}.raw").collect()
+    assert len(rows) == 1 and bytes(rows[0]["content"]).startswith(b"v2")
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_checkpoint_per_target(spark):
+    a = P.checkpoint_for(spark, "db.finance_chunks", "/shared")
+    b = P.checkpoint_for(spark, "db.docs_chunks", "/shared")
+    assert a != b and a.startswith("/shared/")
