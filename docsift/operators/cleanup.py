@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +31,28 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str =
 
 def drop_boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                            text_col: str = "text", min_docs: int = 3, min_share: float = 0.05,
-                           salts: int = 16) -> DataFrame:
+                           salts: int = 16, max_broadcast_lines: int = 1_000_000) -> DataFrame:
     """Rebuild each document without its source's boilerplate lines.
 
     Returns ``id, source, text, n_removed``; line order and blank lines are kept.
+
+    When the boilerplate set is within ``max_broadcast_lines`` (counted
+    first) it is broadcast as one line list per source and every document is
+    filtered where it lies: no shuffle of the corpus text.  Otherwise lines
+    are exploded, flagged through a salted join and regrouped per document.
     """
     bp = boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share) \
-        .withColumn("_bp", F.lit(True))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    if bp.count() <= max_broadcast_lines:
+        per_source = bp.groupBy(source_col).agg(F.collect_list("line").alias("_bp"))
+        j = docs.select(id_col, source_col, text_col).join(F.broadcast(per_source), source_col, "left")
+        lines = F.split(text_col, "\n")
+        kept = F.filter(lines, lambda l: ~F.coalesce(F.array_contains(F.col("_bp"), l), F.lit(False)))
+        return j.select(id_col, source_col, F.array_join(kept, "\n").alias(text_col),
+                        (F.size(lines) - F.size(kept)).cast("long").alias("n_removed"))
+    flag = bp.withColumn("_bp", F.lit(True))
     lines = docs.select(id_col, source_col, F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    flagged = salted_join(lines, bp, [source_col, "line"], "left", salts)
+    flagged = salted_join(lines, flag, [source_col, "line"], "left", salts)
     kept = flagged.groupBy(id_col, source_col).agg(
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.when(F.col("_bp").isNull(), F.struct("line_no", "line")))),

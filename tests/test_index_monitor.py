@@ -101,3 +101,11 @@ def test_log_rows_schema(spark):
     log = MO.log_rows(ans, F.concat(F.lit("c-"), F.col("conv_id").cast("string")), F.current_timestamp(),
                       F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content"))))
     assert log.schema == MO.ANSWER_LOG_SCHEMA or [f.name for f in log.schema] == [f.name for f in MO.ANSWER_LOG_SCHEMA]
+
+
+def test_drop_boilerplate_both_paths_agree(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 2}", f"head\nbody {i}\n\nfoot {i % 2}\nhead") for i in range(12)],
+                                 "doc_id long, source string, text string")
+    a = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3).collect()))
+    b = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3, max_broadcast_lines=0).collect()))
+    assert a == b and a[0][3] == 3
