@@ -198,21 +198,29 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
         raise ValueError(f"metric must be one of {METRICS}")
     if where is not None:
         candidates = candidates.filter(F.expr(where) if isinstance(where, str) else where)
-    # The question side is evaluated once: sized, then collected from the cache.
+
+    def one(qb):
+        return _knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
+                          carry, exclude_self, sparse_dim=cand_sparse_dim)
+    return _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one)
+
+
+def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_bytes: int, run) -> DataFrame:
+    """Size the question side, then run ``run(block)`` on hash blocks of the
+    questions that each fit the broadcast bound; union the results.
+
+    The question side is evaluated once (cached while it is sized and
+    collected); every block is collected by ``run`` and broadcast.
+    """
     q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)) \
                .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = q.agg(F.count(F.col(query_vec)).alias("n"), F.max(F.size(query_vec)).alias("d")).first()
         n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-        blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_broadcast_bytes))
+        blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_bytes))
         if blocks == 1:
-            return _knn_block(q, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                              carry, exclude_self, sparse_dim=cand_sparse_dim)
-        parts = []
-        for b in range(blocks):
-            qb = q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)
-            parts.append(_knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                                    carry, exclude_self, sparse_dim=cand_sparse_dim))
+            return run(q)
+        parts = [run(q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)) for b in range(blocks)]
         return reduce(DataFrame.unionByName, parts)
     finally:
         q.unpersist()
@@ -376,6 +384,15 @@ def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int
     """
     if exact and metric != "cosine":
         raise ValueError("exact IVF search is defined for cosine")
+
+    def one(qb):
+        return _knn_ivf_block(qb, index, centroids, k, nprobe, metric, query_id, query_vec, cand_id, cand_vec,
+                              carry, exclude_self, exact, radii)
+    return _per_question_block(queries, query_id, query_vec, MAX_BROADCAST_BYTES, one)
+
+
+def _knn_ivf_block(queries, index, centroids, k, nprobe, metric, query_id, query_vec, cand_id, cand_vec,
+                   carry, exclude_self, exact, radii):
     qids, qm = _broadcast_queries(queries, query_id, query_vec, metric)
     cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
     qn = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-12)
