@@ -170,3 +170,38 @@ def test_checkpoint_per_target(spark):
     a = P.checkpoint_for(spark, "db.finance_chunks", "/shared")
     b = P.checkpoint_for(spark, "db.docs_chunks", "/shared")
     assert a != b and a.startswith("/shared/")
+
+
+def test_serve_requests_logs_each_request_once(spark, scratch_dir):
+    import json
+    from docsift.operators import chat as CH
+    from docsift.streaming.serve import read_requests_stream, serve_requests
+    docs = spark.createDataFrame([(i, "spark streams data. spark runs sql fast.") for i in range(4)],
+                                 "doc_id long, text string")
+    chunks = docs.select(F.col("doc_id").alias("chunk_id"), F.concat(F.lit("doc/"), "doc_id").alias("path"),
+                         F.col("text").alias("content"))
+    lex = CH.corpus_lexicon(docs, min_df=2)
+    req = os.path.join(scratch_dir, "req")
+    os.makedirs(req)
+
+    def drop(name, rows):
+        with open(os.path.join(req, name), "w") as f:
+            for r in rows:
+                f.write(json.dumps(r) + "\n")
+
+    drop("a.json", [{"request_id": "r1", "messages": [{"role": "user", "content": "does spark run sql"}]},
+                    {"request_id": "r2", "messages": [{"role": "user", "content": "why is the sky blue"}]}])
+    log = os.path.join(scratch_dir, "log")
+    ck = os.path.join(scratch_dir, "serve-ck")
+    serve_requests(read_requests_stream(spark, req), chunks, lex, log, ck, k=2, dim=64)
+    got = {r["request_id"]: r for r in spark.read.parquet(log).collect()}
+    assert got["r1"]["result"] == "spark runs sql fast." and len(got["r1"]["sources"]) == 2
+    assert got["r2"]["sources"] == []
+    serve_requests(read_requests_stream(spark, req), chunks, lex, log, ck, k=2, dim=64)
+    assert spark.read.parquet(log).count() == 2
+    drop("b.json", [{"request_id": "r3", "messages": [{"role": "user", "content": "spark sql"},
+                                                       {"role": "assistant", "content": "yes"},
+                                                       {"role": "user", "content": "does it stream data"}]}])
+    serve_requests(read_requests_stream(spark, req), chunks, lex, log, ck, k=2, dim=64)
+    rows = spark.read.parquet(log).collect()
+    assert sorted(r["request_id"] for r in rows) == ["r1", "r2", "r3"]
