@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.text import clean_text
-from docsift.operators.chunking import chunk_key, chunk_sentences_col
+from docsift.operators.chunking import chunk_key, chunk_sentences_arrow_col
 from docsift.operators.embedding import hash_vector
 from docsift.sources.files import extract_section_arrays, read_files_stream, text_sections
 from docsift.streaming.publish import publish_stream, read_table_stream
@@ -21,7 +21,7 @@ def chunk_files(raw: DataFrame, extractor=text_sections, size: int = 500, overla
     """raw files -> (chunk_id, path, chunk_no, content); row-wise, stream-safe."""
     secs = extract_section_arrays(raw, extractor)
     text = F.array_join(F.transform("sections", lambda s: clean_text(s)), "\n")
-    ch = secs.select("path", F.posexplode(chunk_sentences_col(text, size, overlap)).alias("chunk_no", "content"))
+    ch = secs.select("path", F.posexplode(chunk_sentences_arrow_col(text, size, overlap)).alias("chunk_no", "content"))
     return ch.select(chunk_key("path", "chunk_no", "content").alias("chunk_id"), "path", "chunk_no", "content")
 
 

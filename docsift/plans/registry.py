@@ -53,9 +53,9 @@ def documents(spark, sf_dir) -> DataFrame:
     return d.withColumn("path", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")))
 
 
-def sentence_chunks(spark, sf_dir, size=CHUNK_SIZE, overlap=CHUNK_OVERLAP) -> DataFrame:
+def sentence_chunks(spark, sf_dir, size=CHUNK_SIZE, overlap=CHUNK_OVERLAP, engine="arrow") -> DataFrame:
     d = spread(documents(spark, sf_dir).select("doc_id", "path", "text"))
-    ch = C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap)
+    ch = C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap, engine=engine)
     return ch.withColumn("chunk_id", F.col("doc_id") * CHUNK_ID_BASE + F.col("chunk_no"))
 
 
@@ -119,6 +119,13 @@ def q_chunk_sentences(spark, sf_dir):
     return sentence_chunks(spark, sf_dir).select("path", "chunk_no", "content")
 
 
+@register("chunk_sentences_sql", f"""
+SELECT path, chunk_no, content FROM {chunks_sql()}""")
+def q_chunk_sentences_sql(spark, sf_dir):
+    """The same chunks from the all-JVM engine (SQL fold)."""
+    return sentence_chunks(spark, sf_dir, engine="sql").select("path", "chunk_no", "content")
+
+
 @register("chunk_sentences_no_overlap", f"""
 SELECT path, chunk_no, content FROM {chunks_sql(SMALL_CHUNK, 0)}""")
 def q_chunk_sentences_no_overlap(spark, sf_dir):

@@ -124,3 +124,20 @@ def test_injected_tokenizer(spark):
     df = spark.createDataFrame([("a b c",), (None,), ("",)], "t string")
     got = [r[0] for r in df.select(token_count_with("t", lambda ts: [len(t) for t in ts])).collect()]
     assert got == [5, None, 0]
+
+
+def test_arrow_engine_equals_sql_engine(spark):
+    rng = random.Random(11)
+    words = ["a", "bb", "ccc", "dé", "x.y", "end!", "why?", "..."]
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 60)):
+            parts.append(rng.choice(words) + rng.choice([" ", "  ", "\n", "\t", ". ", "? ", ""]))
+        rows.append((i, "".join(parts)))
+    rows.append((999, None))
+    df = spark.createDataFrame(rows, "id int, t string")
+    for size, overlap in [(5, 2), (12, 0), (3, 3)]:
+        a = dict(df.select("id", C.chunk_sentences_col("t", size, overlap)).collect())
+        b = dict(df.select("id", C.chunk_sentences_arrow_col("t", size, overlap)).collect())
+        assert a == b, (size, overlap)
