@@ -127,8 +127,8 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
             if b.num_rows == 0:
                 continue
             if sparse_dim:
-                from docsift.operators.embedding import scatter_signed
-                cm = _matrix(scatter_signed(b.column(vec), sparse_dim), dim)
+                from docsift.operators.embedding import scatter_hex
+                cm = _matrix(scatter_hex(b.column(vec), sparse_dim), dim)
             else:
                 cm = _matrix(b.column(vec), dim)
             c_ids = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -262,7 +262,7 @@ def search_text(questions: DataFrame, chunks: DataFrame, k: int = 4, dim: int =
                 where: Column | None = None, embedded: bool = False) -> DataFrame:
     """SCH-2: embed the question texts (and the chunks unless ``embedded``)
     with the hash model, then exact k-NN."""
-    from docsift.functions.hashing import signed_buckets
+    from docsift.functions.hashing import md5_prefixes
     from docsift.functions.text import terms
     from docsift.operators.embedding import hash_vector
     q = questions.select(F.col(question_id).alias("query_id"),
@@ -272,7 +272,7 @@ def search_text(questions: DataFrame, chunks: DataFrame, k: int = 4, dim: int =
                    cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where)
     # Terms are hashed in the JVM; the search task scatters them into dense
     # vectors itself, so no dense vector crosses the JVM/Python boundary.
-    c = chunks.withColumn("_sb", signed_buckets(terms(F.col(chunk_text)), dim))
+    c = chunks.withColumn("_sb", md5_prefixes(terms(F.col(chunk_text))))
     return knn(q, c, k=k, metric=metric, query_id="query_id", query_vec="embedding",
                cand_id=chunk_id, cand_vec="_sb", carry=list(carry), where=where, cand_sparse_dim=dim)
 
