@@ -10,10 +10,11 @@ per-task lists.  Ranking is by score rounded to 6 places, then the lower
 candidate id, so results do not depend on summation order.
 
 Beyond the broadcast bound the questions are cut into hash blocks that each
-fit, one corpus pass per block.  ``knn_ivf`` is the approximate path for
-large corpora: the corpus is stored partitioned by its nearest k-means
-centroid and a question only scores rows of the cells it probes, which the
-scan prunes by partition.
+fit, one corpus pass per block.  ``knn_ivf`` is the path for large
+corpora: the corpus is stored partitioned by its nearest k-means centroid
+and a question only scores rows of the cells it probes, which the scan
+prunes by partition; its exact mode adds the cells a radius bound cannot
+exclude, so the answer equals exact search.
 """
 
 from __future__ import annotations

@@ -24,7 +24,7 @@ CHUNK_SIZE, CHUNK_OVERLAP = 500, 50          # sentence chunker (SURVEY §2.4.1)
 SMALL_CHUNK = 100                            # no-overlap variant, forces more cuts
 WINDOW_SIZE, WINDOW_OVERLAP = 200, 20        # fixed token windows
 TRUNCATE_AT = 50
-DIM = 256                                    # hash-embedding buckets for text
+DIM = 1024                                   # hash-embedding buckets (the reference model has 1024 dims)
 CHUNK_ID_BASE = 100000                       # chunk_id = doc_id * base + chunk_no
 
 
