@@ -124,37 +124,38 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
             rank = np.arange(len(qs)) - first
             return tbl.take(pa.array(order[rank < k]))
 
+        # Bound memory: row slices whose dense vectors and score block each
+        # hold at most ``max_scores`` numbers, whatever the batch size, the
+        # dimension and the question count.
+        q_step = min(len(qids), 4096)
+        r_step = max(1, min(max_scores // q_step, max_scores // max(dim, 1)))
         for b in it:
             if b.num_rows == 0:
                 continue
-            if sparse_dim:
-                from docsift.operators.embedding import scatter_hex
-                cm = _matrix(scatter_hex(b.column(vec), sparse_dim), dim)
-            else:
-                cm = _matrix(b.column(vec), dim)
-            c_ids = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
-            row_cell = b.column("centroid").to_numpy(zero_copy_only=False) if cells is not None else None
-            # Bound the score matrix: question slices x row slices of at most
-            # MAX_SCORES entries, whatever the batch size and question count.
-            q_step = min(len(qids), 4096)
-            r_step = max(1, max_scores // q_step)
-            for q0 in range(0, len(qids), q_step):
-                qs_ = slice(q0, q0 + q_step)
-                for r0 in range(0, len(c_ids), r_step):
-                    rs_ = slice(r0, r0 + r_step)
-                    s = _scores(cm[rs_], qm[qs_], qn[qs_], metric)
-                    ids = c_ids[rs_]
+            c_ids_all = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
+            cells_all = b.column("centroid").to_numpy(zero_copy_only=False) if cells is not None else None
+            for r0 in range(0, b.num_rows, r_step):
+                rb = b.slice(r0, r_step)
+                if sparse_dim:
+                    from docsift.operators.embedding import scatter_hex
+                    cm = _matrix(scatter_hex(rb.column(vec), sparse_dim), dim)
+                else:
+                    cm = _matrix(rb.column(vec), dim)
+                ids = c_ids_all[r0:r0 + rb.num_rows]
+                for q0 in range(0, len(qids), q_step):
+                    qs_ = slice(q0, q0 + q_step)
+                    s = _scores(cm, qm[qs_], qn[qs_], metric)
                     if exclude_self:
                         s[ids[:, None] == qids[qs_][None, :]] = -np.inf
                     if cells is not None:
                         # IVF: a question only scores rows of the cells it probes
-                        s[~cells[row_cell[rs_]][:, qs_]] = -np.inf
+                        s[~cells[cells_all[r0:r0 + rb.num_rows]][:, qs_]] = -np.inf
                     qi, ri = _topk_rows(s, ids, k)
                     keep = np.isfinite(s[ri, qi])
                     qi, ri = qi[keep], ri[keep]
                     part = pa.table({"_qi": pa.array(qi + q0), "score": pa.array(s[ri, qi]),
                                      "cand_id": pa.array(ids[ri])}
-                                    | {c: b.column(c).take(pa.array(ri + r0)) for c in carry})
+                                    | {c: rb.column(c).take(pa.array(ri)) for c in carry})
                     pool = part if pool is None else pa.concat_tables([pool, part])
                     if pool.num_rows > 8 * k * len(qids):
                         pool = reduce_pool(pool)
