@@ -72,3 +72,29 @@ def ship_package(spark: SparkSession) -> None:
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in parts:
         env["PYTHONPATH"] = os.pathsep.join(parts + [root])
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               executor_memory_gb: float = 16.0, target_partition_mb: int = 128) -> dict:
+    """Sizing for a cluster run, from the input volume and the executors.
+
+    * file splits of ``target_partition_mb`` so one task reads ~128 MB;
+    * shuffle partitions so one reduce partition is ~``target_partition_mb``
+      even for a full-size shuffle, and never fewer than 2 x total cores;
+      AQE coalesces small ones at run time and splits skewed ones;
+    * the per-task share of execution memory bounds the target size, so a
+      partition (and its sort/aggregation buffers) fits without spilling
+      heavily: memory per task ~ 0.6 x heap / cores.
+    """
+    cores = executors * cores_per_executor
+    per_task_mb = executor_memory_gb * 1024 * 0.6 / cores_per_executor
+    part_mb = int(max(32, min(target_partition_mb, per_task_mb / 4)))
+    shuffle_parts = max(2 * cores, int(input_bytes / (part_mb * 1024 * 1024)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{part_mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{part_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * part_mb}m",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }

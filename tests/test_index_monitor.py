@@ -109,3 +109,12 @@ def test_drop_boilerplate_both_paths_agree(spark):
     a = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3).collect()))
     b = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3, max_broadcast_lines=0).collect()))
     assert a == b and a[0][3] == 3
+
+
+def test_scale_conf():
+    from docsift.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4, executor_memory_gb=16)
+    assert c["spark.sql.files.maxPartitionBytes"] == "128m"
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 * 1024 // 128 + 1
+    small = scale_conf(10 * 1024 ** 2, executors=2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
