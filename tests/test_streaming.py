@@ -205,3 +205,23 @@ def test_serve_requests_logs_each_request_once(spark, scratch_dir):
     serve_requests(read_requests_stream(spark, req), chunks, lex, log, ck, k=2, dim=64)
     rows = spark.read.parquet(log).collect()
     assert sorted(r["request_id"] for r in rows) == ["r1", "r2", "r3"]
+
+
+def test_qa_tables_and_monitoring(spark, scratch_dir):
+    from docsift.operators import chat as CH
+    from docsift.operators.monitor import term_counts
+    from docsift.plans import qa
+    docs = spark.createDataFrame([(i, "spark streams data. spark runs sql fast.") for i in range(4)],
+                                 "doc_id long, text string")
+    chunks = docs.select(F.col("doc_id").alias("chunk_id"), F.concat(F.lit("doc/"), "doc_id").alias("path"),
+                         F.col("text").alias("content"))
+    log_path = os.path.join(scratch_dir, "answer_log")
+    qs = spark.createDataFrame([(1, "does spark run sql")], "query_id long, question string")
+    qa.answer_table(qs, chunks, log_path, k=2, dim=64)
+    turns = spark.createDataFrame([(7, 0, "user", "spark streams data?"), (8, 0, "user", "why is the sky blue")],
+                                  "conv_id long, turn long, role string, text string")
+    qa.chat_table(turns, chunks, CH.corpus_lexicon(docs, min_df=2), log_path, k=2, dim=64)
+    log = spark.read.parquet(log_path)
+    assert sorted(r["request_id"] for r in log.collect()) == ["conv-7", "conv-8", "q-1"]
+    m = qa.monitor_log(log, term_counts(docs), out_path=os.path.join(scratch_dir, "metrics")).collect()
+    assert len(m) == 1 and m[0]["n_answers"] == 3 and abs(m[0]["refusal_rate"] - 1 / 3) < 1e-6
