@@ -54,9 +54,23 @@ def _matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
     return flat.astype(np.float64).reshape(n, d)
 
 
-def _scores(cm: np.ndarray, qm: np.ndarray, qn: np.ndarray, metric: str) -> np.ndarray:
+def _dots(cm: np.ndarray, qm: np.ndarray, q32: np.ndarray | None, q_abs: float) -> np.ndarray:
+    """Dot products; in float32 when it is exact.
+
+    Integer-valued vectors (hash counts) whose every partial sum stays below
+    2^24 in magnitude give exactly the same dot products in float32 (about
+    twice as fast); otherwise float64.
+    """
+    if q32 is not None and cm.size and np.abs(cm).max() * q_abs < 2 ** 24 and np.array_equal(cm, np.rint(cm)):
+        return (cm.astype(np.float32) @ q32.T).astype(np.float64)
+    return cm @ qm.T
+
+
+def _scores(cm: np.ndarray, qm: np.ndarray, qn: np.ndarray, metric: str,
+            dots: np.ndarray | None = None) -> np.ndarray:
     """(n_cand, n_query) scores, higher is better; rounded to 6 places."""
-    dots = cm @ qm.T
+    if dots is None:
+        dots = cm @ qm.T
     if metric == "dot":
         s = dots
     elif metric == "cosine":
@@ -112,6 +126,9 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
         qids, qm, cells = bq.value
         qn = np.sqrt((qm * qm).sum(axis=1))
         dim = qm.shape[1]
+        integral = qm.size > 0 and np.array_equal(qm, np.rint(qm))
+        q32 = qm.astype(np.float32) if integral else None
+        q_abs = float(np.abs(qm).sum(axis=1).max()) if qm.size else 0.0
         pool = None
 
         def reduce_pool(tbl: pa.Table) -> pa.Table:
@@ -144,7 +161,8 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
                 ids = c_ids_all[r0:r0 + rb.num_rows]
                 for q0 in range(0, len(qids), q_step):
                     qs_ = slice(q0, q0 + q_step)
-                    s = _scores(cm, qm[qs_], qn[qs_], metric)
+                    d = _dots(cm, qm[qs_], None if q32 is None else q32[qs_], q_abs)
+                    s = _scores(cm, qm[qs_], qn[qs_], metric, d)
                     if exclude_self:
                         s[ids[:, None] == qids[qs_][None, :]] = -np.inf
                     if cells is not None:

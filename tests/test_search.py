@@ -129,3 +129,13 @@ def test_ivf_exact_mode_equals_exact(spark, scratch_dir):
     exact = as_dict(S.knn(qdf, cdf, k=4))
     got = as_dict(S.knn_ivf(qdf, index, cen, k=4, nprobe=1, exact=True))
     assert got == exact
+
+
+def test_float32_dots_exact_for_integer_vectors():
+    rng = np.random.default_rng(9)
+    cm = rng.integers(-20, 20, size=(300, 64)).astype(np.float64)
+    qm = rng.integers(-5, 5, size=(7, 64)).astype(np.float64)
+    d = S._dots(cm, qm, qm.astype(np.float32), float(np.abs(qm).sum(axis=1).max()))
+    assert np.array_equal(d, cm @ qm.T)
+    frac = cm + 0.5
+    assert np.array_equal(S._dots(frac, qm, qm.astype(np.float32), 1.0), frac @ qm.T)
