@@ -25,22 +25,25 @@ def sentence_units(col, size: int) -> Column:
 
     A sentence of more than ``size`` tokens is cut into pieces of ``size``
     tokens (joined by one space); a sentence without any token is dropped.
+    Each sentence is tokenised once (a first ``transform`` keeps its
+    tokens; the second only reads that array).
     """
-    def to_units(u):
-        toks = T.tokens(u)
-        n = F.size(toks)
+    with_toks = F.transform(T.sentences(col), lambda u: F.struct(u.alias("s"), T.tokens(u).alias("k")))
+
+    def to_units(x):
+        n = F.size(x["k"])
         pieces = F.when(
-            n <= size, F.array(F.struct(u.alias("s"), n.alias("t")))
+            n <= size, F.array(F.struct(x["s"].alias("s"), n.alias("t")))
         ).otherwise(
             F.transform(
                 F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")),
                 lambda i: F.struct(
-                    F.array_join(F.slice(toks, i * size + 1, size), " ").alias("s"),
+                    F.array_join(F.slice(x["k"], i * size + 1, size), " ").alias("s"),
                     F.least(F.lit(size), n - i * size).alias("t")),
             ))
         return F.when(n > 0, pieces).otherwise(F.array().cast("array<struct<s:string,t:int>>"))
 
-    return F.flatten(F.transform(T.sentences(col), to_units))
+    return F.flatten(F.transform(with_toks, to_units))
 
 
 def _suffix_len(cur: Column, overlap: int) -> Column:
@@ -110,11 +113,16 @@ def chunk_sentences_col(col, size: int = 500, overlap: int = 50) -> Column:
     return pack_units(sentence_units(col, size), size, overlap)
 
 
-def chunk_window_col(col, size: int = 200, overlap: int = 20) -> Column:
-    """Fixed windows of ``size`` tokens starting every ``size - overlap`` tokens."""
+def chunk_window_col(col, size: int = 200, overlap: int = 20, tokens_col=None) -> Column:
+    """Fixed windows of ``size`` tokens starting every ``size - overlap`` tokens.
+
+    Pass ``tokens_col`` (a column already holding ``tokens(col)``) to avoid
+    re-tokenising the text inside the per-window lambda; ``chunk_window``
+    does so.
+    """
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
-    toks = T.tokens(col)
+    toks = _c(tokens_col) if tokens_col is not None else T.tokens(col)
     n = F.size(toks)
     step = size - overlap
     starts = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(step))
@@ -150,7 +158,9 @@ def chunk_sentences(df: DataFrame, text_col: str = "text", keep=("path",),
 
 def chunk_window(df: DataFrame, text_col: str = "text", keep=("path",),
                  size: int = 200, overlap: int = 20) -> DataFrame:
-    return explode_chunks(df, chunk_window_col(text_col, size, overlap), list(keep))
+    # tokens once per row, then every window slices that column
+    t = df.select(*keep, T.tokens(text_col).alias("_toks"))
+    return explode_chunks(t, chunk_window_col(None, size, overlap, tokens_col="_toks"), list(keep))
 
 
 def chunk_whole(df: DataFrame, text_col: str = "text", keep=("path",)) -> DataFrame:
