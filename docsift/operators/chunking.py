@@ -194,8 +194,9 @@ def chunk_key(*cols) -> Column:
 def profile_chunks(chunks: DataFrame, by: str = "path", content: str = "content",
                    limit: int = 500) -> DataFrame:
     """TXT-16: per-document chunk statistics, flags chunks over ``limit`` tokens."""
-    t = T.token_count(content)
-    return (chunks.groupBy(by).agg(
+    c = chunks.select(by, T.token_count(content).alias("_t"))   # count tokens once per chunk
+    t = F.col("_t")
+    return (c.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.min(t).alias("min_tokens"),
         F.max(t).alias("max_tokens"),
