@@ -668,3 +668,21 @@ def q_dense_chunk_ids(spark, sf_dir):
     """SNK-3 (batch): dense ids 1..n over all chunks in (doc_id, chunk_no) order."""
     ch = sentence_chunks(spark, sf_dir).select("doc_id", "chunk_no")
     return C.dense_id(ch, ["doc_id", "chunk_no"], "id")
+
+
+@register("extract_page_sections")
+def q_extract_page_sections(spark, sf_dir):
+    """TXT-1 + TXT-3: every stored page as file bytes -> heading-led text
+    sections (HTML extractor) -> cleaned and joined per page.  The extractor
+    uses regex back-references, which the SQL engine lacks: rows-only."""
+    from docsift.sources import files as SF
+    pages = spread(table(spark, sf_dir, "pages")).select(
+        F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("path"),
+        F.encode("html", "UTF-8").alias("content"))
+    secs = SF.extract_sections(pages, SF.html_sections)
+    # one pass: section count and the joined text (TXT-3) per page
+    st = F.struct(F.col("section_no"), T.clean_text(F.col("section")).alias("s"))
+    agg = secs.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n_sections"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(st)), lambda x: x["s"]), "\n").alias("text"))
+    return agg.select("path", "n_sections", F.length("text").alias("n_chars"))
