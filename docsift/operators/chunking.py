@@ -297,12 +297,12 @@ def dense_id(df: DataFrame, order_by: list[str], out_col: str = "id", start: int
     a running sum over the per-partition counts (one row per partition,
     broadcast), and an id is offset + position inside the partition.
     """
-    from pyspark import StorageLevel
     from pyspark.sql import Window
+    from docsift.session import reuse
     s = (df.repartitionByRange(*[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
            .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_pos", F.monotonically_increasing_id())
-           .persist(StorageLevel.MEMORY_AND_DISK))   # read by the counts and the final join
+           .withColumn("_pos", F.monotonically_increasing_id()))
+    s = reuse(s)   # read by the counts and the final join; ids must not be recomputed differently
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))

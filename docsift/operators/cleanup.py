@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.operators.joins import join_small, salted_join
+from docsift.session import reuse
 
 
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
@@ -41,8 +41,7 @@ def drop_boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col:
     filtered where it lies: no shuffle of the corpus text.  Otherwise lines
     are exploded, flagged through a salted join and regrouped per document.
     """
-    bp = boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    bp = reuse(boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share))
     if bp.count() <= max_broadcast_lines:
         per_source = bp.groupBy(source_col).agg(F.collect_list("line").alias("_bp"))
         j = docs.select(id_col, source_col, text_col).join(F.broadcast(per_source), source_col, "left")

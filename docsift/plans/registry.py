@@ -550,9 +550,9 @@ SELECT todo.chunk_id, todo.path, todo.chunk_no, count(p.bucket)::INTEGER AS n_no
 FROM todo LEFT JOIN p ON p.id = todo.chunk_id GROUP BY todo.chunk_id, todo.path, todo.chunk_no""")
 def q_sync_embeddings(spark, sf_dir):
     """EMB-4: chunks of English documents count as already embedded; embed the rest only."""
-    from pyspark import StorageLevel
+    from docsift.session import reuse
     # the chunk table is read twice (source and 'already embedded' keys): chunk once
-    ch = sentence_chunks(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    ch = reuse(sentence_chunks(spark, sf_dir))
     lang = table(spark, sf_dir, "documents").select("doc_id", "lang")
     done = ch.join(lang, "doc_id").filter(F.col("lang") == "en").select("chunk_id")
     new = E.sync_embeddings(ch.select("chunk_id", "path", "chunk_no", "content"), done, dim=DIM)

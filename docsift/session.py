@@ -98,3 +98,19 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * part_mb}m",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     }
+
+
+def reuse(df):
+    """Materialise an intermediate that is read more than once.
+
+    ``spark.docsift.reuse=checkpoint`` writes it with a reliable
+    ``checkpoint()`` under ``spark.checkpoint.dir`` (cuts the lineage, so a
+    lost executor does not trigger recomputation); the default keeps it
+    with ``persist(MEMORY_AND_DISK)``.  Never a local checkpoint.
+    """
+    from pyspark import StorageLevel
+    spark = df.sparkSession
+    if spark.conf.get("spark.docsift.reuse", "persist") == "checkpoint":
+        checkpoint_root(spark)
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -118,3 +118,15 @@ def test_scale_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 * 1024 // 128 + 1
     small = scale_conf(10 * 1024 ** 2, executors=2)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_reuse_checkpoint_mode(spark):
+    from docsift.session import reuse
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    spark.conf.set("spark.docsift.reuse", "checkpoint")
+    try:
+        c = reuse(df)
+        assert c.count() == 10 and "LogicalRDD" in c._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.docsift.reuse")
+    assert reuse(df).is_cached
