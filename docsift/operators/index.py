@@ -95,3 +95,24 @@ def sync_index(old_index: DataFrame | None, source: DataFrame, key: str, centroi
     if centroids is not None:
         fresh = assign_cells(fresh, centroids)
     return fresh if kept is None else kept.unionByName(fresh.select(*kept.columns))
+
+
+def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] | None = ("centroid",)) -> str:
+    """Write ``df`` as the next snapshot version ``root/v=N`` (batch writer only);
+    partitioned by cell when the column exists.  Returns the path."""
+    spark = df.sparkSession
+    path, _ = next_version_path(root, spark)
+    w = df.write.mode("errorifexists")
+    cols = [c for c in (partition_by or []) if c in df.columns]
+    if cols:
+        w = w.partitionBy(*cols)
+    w.parquet(path)
+    return path
+
+
+def read_latest(spark, root: str) -> DataFrame:
+    """The newest snapshot under ``root``."""
+    path, n = next_version_path(root, spark)
+    if n == 0:
+        raise FileNotFoundError(f"no snapshot under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/v={n - 1}")

@@ -130,3 +130,21 @@ def test_reuse_checkpoint_mode(spark):
     finally:
         spark.conf.unset("spark.docsift.reuse")
     assert reuse(df).is_cached
+
+
+def test_snapshot_versions(spark, scratch_dir):
+    import numpy as np
+    from docsift.operators.embedding import hash_embed
+    from docsift.operators.search import assign_cells
+    root = scratch_dir + "/index"
+    src1 = spark.createDataFrame([(1, "a b"), (2, "c d")], "chunk_id long, content string")
+    cen = np.eye(8)[:2]
+    embed = lambda d: hash_embed(d, "content", 8)
+    p0 = IX.write_snapshot(IX.sync_index(None, src1, "chunk_id", cen, embed), root)
+    assert p0.endswith("v=0")
+    src2 = spark.createDataFrame([(2, "c d e"), (3, "f")], "chunk_id long, content string")
+    new = IX.sync_index(IX.read_latest(spark, root), src2, "chunk_id", cen, embed)
+    p1 = IX.write_snapshot(new, root)
+    assert p1.endswith("v=1")
+    latest = {r["chunk_id"]: r["content"] for r in IX.read_latest(spark, root).collect()}
+    assert latest == {2: "c d e", 3: "f"}
