@@ -148,3 +148,13 @@ def test_snapshot_versions(spark, scratch_dir):
     assert p1.endswith("v=1")
     latest = {r["chunk_id"]: r["content"] for r in IX.read_latest(spark, root).collect()}
     assert latest == {2: "c d e", 3: "f"}
+
+
+def test_lookup_join_matches_plain(spark):
+    from docsift.operators.joins import lookup_join
+    left = spark.createDataFrame([(i % 4, i) for i in range(50)], "k int, v int")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (9, "z")], "k int, w string")
+    for kw in ({}, {"max_rows": 0}):
+        a = sorted(map(tuple, left.join(right, "k", "left").collect()), key=repr)
+        b = sorted(map(tuple, lookup_join(left, right, ["k"], "left", **kw).collect()), key=repr)
+        assert a == b
