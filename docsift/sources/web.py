@@ -82,9 +82,19 @@ def fetch_pages(urls: DataFrame, fetcher: Callable[[list], list], url_col: str =
     return urls.mapInArrow(run, schema)
 
 
-def fetch_offline(urls: DataFrame, pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Offline fetcher: left join of URLs to stored pages; a missing page is null."""
-    p = pages.select(F.col("url").alias(url_col), F.col(html_col).alias("html"))
+def fetch_offline(urls: DataFrame, pages: DataFrame, url_col: str = "url", html_col: str = "html",
+                  version_col: str | None = "page_id") -> DataFrame:
+    """Offline fetcher: left join of URLs to stored pages; a missing page is null.
+
+    A fetch returns one body per URL: stored copies of a URL are first
+    reduced to the one with the highest ``version_col`` (a partial
+    aggregation, so a URL stored a million times is no hot join key).
+    """
+    if version_col and version_col in pages.columns:
+        body = F.max_by(F.col(html_col), F.col(version_col))
+    else:
+        body = F.max(F.col(html_col))
+    p = pages.groupBy(F.col("url").alias(url_col)).agg(body.alias("html"))
     return urls.join(p, url_col, "left")
 
 
