@@ -551,10 +551,12 @@ FROM todo LEFT JOIN p ON p.id = todo.chunk_id GROUP BY todo.chunk_id, todo.path,
 def q_sync_embeddings(spark, sf_dir):
     """EMB-4: chunks of English documents count as already embedded; embed the rest only."""
     from docsift.session import reuse
-    # the chunk table is read twice (source and 'already embedded' keys): chunk once
-    ch = reuse(sentence_chunks(spark, sf_dir))
-    lang = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    done = ch.join(lang, "doc_id").filter(F.col("lang") == "en").select("chunk_id")
+    # chunks carry their document's language (no join of many chunks per
+    # document back to the documents); read twice, so chunked once
+    d = spread(documents(spark, sf_dir).select("doc_id", "path", "lang", "text"))
+    ch = C.chunk_sentences(d, "text", keep=("doc_id", "path", "lang"), size=CHUNK_SIZE, overlap=CHUNK_OVERLAP)
+    ch = reuse(ch.withColumn("chunk_id", F.col("doc_id") * CHUNK_ID_BASE + F.col("chunk_no")))
+    done = ch.filter(F.col("lang") == "en").select("chunk_id")
     new = E.sync_embeddings(ch.select("chunk_id", "path", "chunk_no", "content"), done, dim=DIM)
     return new.select("chunk_id", "path", "chunk_no",
                       F.size(F.filter("embedding", lambda x: x != 0)).alias("n_nonzero"))
