@@ -188,8 +188,24 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
     return run
 
 
-def _rank(partials: DataFrame, k: int, cand_id: str) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(cand_id).asc())
+MERGE_FANIN = 1024   # per-task partial lists merged in one step at most
+
+
+def _rank(partials: DataFrame, k: int, cand_id: str, n_parts: int = 1) -> DataFrame:
+    """Merge per-task top-k lists into the global top-k per question.
+
+    With more than ``MERGE_FANIN`` producing tasks the merge has two levels
+    (question x task bucket, then question), so no merge task receives more
+    than about ``max(fan-in, tasks / fan-in) x k`` rows per question.
+    """
+    order = [F.col("score").desc(), F.col(cand_id).asc()]
+    if n_parts > MERGE_FANIN:
+        buckets = int(math.ceil(math.sqrt(n_parts)))
+        w1 = Window.partitionBy("query_id", "_b").orderBy(*order)
+        partials = (partials.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(buckets)))
+                            .withColumn("_r", F.row_number().over(w1))
+                            .filter(F.col("_r") <= k).drop("_b", "_r"))
+    w = Window.partitionBy("query_id").orderBy(*order)
     return (partials.withColumn("rank", F.row_number().over(w))
                     .filter(F.col("rank") <= k))
 
@@ -270,7 +286,8 @@ def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, can
     inner_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
                                  T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry])
     partials = src.mapInArrow(fn, inner_schema).withColumnRenamed("cand_id", cand_id)
-    return _rank(partials, k, cand_id).select("query_id", "rank", "score", cand_id, *carry)
+    n_parts = src.rdd.getNumPartitions() if MERGE_FANIN else 1
+    return _rank(partials, k, cand_id, n_parts).select("query_id", "rank", "score", cand_id, *carry)
 
 
 # ---------------------------------------------------------------- text search

@@ -139,3 +139,15 @@ def test_float32_dots_exact_for_integer_vectors():
     assert np.array_equal(d, cm @ qm.T)
     frac = cm + 0.5
     assert np.array_equal(S._dots(frac, qm, qm.astype(np.float32), 1.0), frac @ qm.T)
+
+
+def test_two_level_merge_equals_single(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    q = rng.normal(size=(3, 4)).astype(np.float32)
+    c = rng.normal(size=(120, 4)).astype(np.float32)
+    qdf, cdf = frames(spark, q, c)
+    a = as_dict(S.knn(qdf, cdf.repartition(12), k=5))
+    monkeypatch.setattr(S, "MERGE_FANIN", 2)
+    b_df = S.knn(qdf, cdf.repartition(12), k=5)
+    assert "_b" not in b_df.columns
+    assert as_dict(b_df) == a
