@@ -238,8 +238,19 @@ def chunk_semantic_col(col, threshold: float = 0.1, size: int = 500) -> Column:
 
 
 def chunk_semantic(df: DataFrame, text_col: str = "text", keep=("path",), threshold: float = 0.1,
-                   size: int = 500) -> DataFrame:
-    return explode_chunks(df, chunk_semantic_col(text_col, threshold, size), list(keep))
+                   size: int = 500, engine: str = "sql") -> DataFrame:
+    """TXT-13 rows.  ``engine="sql"`` (default) stays in the JVM; the Arrow
+    twin gives identical chunks but measured only 1.4x faster at sf0.1, not
+    enough to move the work to Python."""
+    if engine == "arrow":
+        from docsift.session import ship_package
+        ship_package(df.sparkSession)
+        col = chunk_semantic_arrow_col(text_col, threshold, size)
+    elif engine == "sql":
+        col = chunk_semantic_col(text_col, threshold, size)
+    else:
+        raise ValueError("engine must be 'sql' or 'arrow'")
+    return explode_chunks(df, col, list(keep))
 
 
 def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str = "sent_no",
@@ -367,3 +378,47 @@ def chunk_sentences_arrow_col(col, size: int = 500, overlap: int = 50) -> Column
         return pa.array([_py_chunks(t, size, overlap) for t in texts.to_pylist()], type=pa.list_(pa.string()))
 
     return chunk(_c(col))
+
+
+def _py_semantic(text: str | None, threshold: float, size: int) -> list:
+    """Linear twin of ``chunk_semantic_col`` (same units, terms and cuts)."""
+    import math
+    import re
+
+    import regex
+    if text is None:
+        return None
+    tok = re.compile("[^ \\t\\n\\x0b\\f\\r]+")
+    term = regex.compile(r"[\p{L}\p{N}]+")
+    units = []
+    for s in re.findall(r"[^.!?]*[.!?]+|[^.!?]+$", text):
+        toks = tok.findall(s)
+        n = len(toks)
+        if n == 0:
+            continue
+        pieces = [(s, n)] if n <= size else [(" ".join(toks[i:i + size]), len(toks[i:i + size]))
+                                             for i in range(0, n, size)]
+        for p, t in pieces:
+            units.append((p, t, list(dict.fromkeys(term.findall(p.lower())))))
+    out, cur, n, prev = [], "", 0, []
+    for s, t, tt in units:
+        den = math.sqrt(len(prev) * len(tt))
+        sim = len(set(prev) & set(tt)) / den if den > 0 else 0.0
+        if n > 0 and (sim < threshold or n + t > size):
+            out.append(cur)
+            cur, n = s, t
+        else:
+            cur, n = cur + s, n + t
+        prev = tt
+    if n > 0:
+        out.append(cur)
+    return out
+
+
+def chunk_semantic_arrow_col(col, threshold: float = 0.1, size: int = 500) -> Column:
+    """TXT-13 as an Arrow-batched function: identical chunks to the SQL fold."""
+    @F.arrow_udf("array<string>")
+    def chunk(texts: pa.Array) -> pa.Array:
+        return pa.array([_py_semantic(t, threshold, size) for t in texts.to_pylist()], type=pa.list_(pa.string()))
+
+    return chunk(_c(col))

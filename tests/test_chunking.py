@@ -141,3 +141,15 @@ def test_arrow_engine_equals_sql_engine(spark):
         a = dict(df.select("id", C.chunk_sentences_col("t", size, overlap)).collect())
         b = dict(df.select("id", C.chunk_sentences_arrow_col("t", size, overlap)).collect())
         assert a == b, (size, overlap)
+
+
+def test_semantic_engines_agree(spark):
+    rng = random.Random(5)
+    words = ["spark", "data", "Stream", "été", "x1", "chat", "the", "a"]
+    rows = [(i, " ".join(rng.choice(words) + rng.choice(["", ".", "!", "?"]) for _ in range(rng.randint(0, 80))))
+            for i in range(80)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id int, t string")
+    for thr, size in [(0.1, 20), (0.5, 7), (0.0, 500)]:
+        a = dict(df.select("id", C.chunk_semantic_col("t", thr, size)).collect())
+        b = dict(df.select("id", C.chunk_semantic_arrow_col("t", thr, size)).collect())
+        assert a == b, (thr, size)
