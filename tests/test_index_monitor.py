@@ -135,7 +135,6 @@ def test_reuse_checkpoint_mode(spark):
 def test_snapshot_versions(spark, scratch_dir):
     import numpy as np
     from docsift.operators.embedding import hash_embed
-    from docsift.operators.search import assign_cells
     root = scratch_dir + "/index"
     src1 = spark.createDataFrame([(1, "a b"), (2, "c d")], "chunk_id long, content string")
     cen = np.eye(8)[:2]
