@@ -384,9 +384,18 @@ def q_fetch_pages_offline(spark, sf_dir):
     return arts.select("url", "text", T.strip_tags(F.col("text")).alias("plain_text"))
 
 
-@register("split_headings")
+HEADINGS_SQL = r"""list_filter(list_transform(range(1, len(p) + 1),
+       lambda i: CASE WHEN i = 1 THEN p[1] ELSE d[i - 1] || p[i] END), lambda x: trim(x) <> '')"""
+
+
+@register("split_headings", f"""
+SELECT page_id, (generate_subscripts(s, 1) - 1)::INTEGER AS section_no, unnest(s) AS section
+FROM (SELECT page_id, {HEADINGS_SQL} AS s
+      FROM (SELECT page_id, regexp_split_to_array(html, '(?i)<h[1-6]') AS p,
+                   regexp_extract_all(html, '(?i)<h[1-6]') AS d FROM pages))""")
 def q_split_headings(spark, sf_dir):
-    """Look-ahead split (Java regex); RE2 has none, so no SQL oracle."""
+    """TXT-11: a Java look-ahead split keeps each heading tag; the SQL twin
+    (RE2 has no look-ahead) splits on the tag and re-attaches it."""
     return C.split_headings(table(spark, sf_dir, "pages"), "html", keep=("page_id",))
 
 
@@ -672,11 +681,22 @@ def q_dense_chunk_ids(spark, sf_dir):
     return C.dense_id(ch, ["doc_id", "chunk_no"], "id")
 
 
-@register("extract_page_sections")
+@register("extract_page_sections", r"""
+WITH h AS (SELECT 'page/' || page_id::VARCHAR AS path,
+                  regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', ' ', 'g'),
+                                 '(?is)<style\b.*?</style>', ' ', 'g') AS x FROM pages),
+sp AS (SELECT path, regexp_split_to_array(x, '(?i)<h[1-6]') AS p, regexp_extract_all(x, '(?i)<h[1-6]') AS d FROM h),
+pt AS (SELECT path, list_transform(range(1, len(p) + 1),
+                                   lambda i: CASE WHEN i = 1 THEN p[1] ELSE d[i - 1] || p[i] END) AS parts FROM sp),
+sc AS (SELECT path, list_filter(list_transform(parts, lambda q: trim(regexp_replace(regexp_replace(q, '<[^>]*>', ' ', 'g'),
+                                '[ \t\n\x0b\f\r]+', ' ', 'g'))), lambda t: t <> '') AS s FROM pt)
+SELECT path, len(s)::BIGINT AS n_sections,
+       length(array_to_string(list_transform(s, lambda t: regexp_replace(regexp_replace(t, chr(10), '', 'g'),
+              ' ?\.', '.', 'g')), chr(10)))::INTEGER AS n_chars
+FROM sc WHERE len(s) > 0""")
 def q_extract_page_sections(spark, sf_dir):
     """TXT-1 + TXT-3: every stored page as file bytes -> heading-led text
-    sections (HTML extractor) -> cleaned and joined per page.  The extractor
-    uses regex back-references, which the SQL engine lacks: rows-only."""
+    sections (HTML extractor) -> cleaned and joined per page."""
     from docsift.sources import files as SF
     pages = spread(table(spark, sf_dir, "pages")).select(
         F.concat(F.lit("page/"), F.col("page_id").cast("string")).alias("path"),

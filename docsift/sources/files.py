@@ -94,14 +94,20 @@ def text_sections(data: bytes) -> list:
 
 
 def html_sections(data: bytes) -> list:
-    """HTML extractor: text of each heading-led section, tags removed."""
+    """HTML extractor: text of each heading-led section, tags removed.
+
+    Script and style elements are dropped, the page is cut in front of every
+    ``<h1>``..``<h6>``, tags become spaces and ASCII white-space runs one
+    space (the same rules as the SQL twin, so the result is checkable).
+    """
     import re
     html = data.decode("utf-8", errors="replace")
-    html = re.sub(r"(?is)<(script|style)\b.*?</\1>", " ", html)
+    html = re.sub(r"(?is)<script\b.*?</script>", " ", html)
+    html = re.sub(r"(?is)<style\b.*?</style>", " ", html)
     parts = re.split(r"(?i)(?=<h[1-6])", html)
     out = []
     for p in parts:
-        t = re.sub(r"\s+", " ", re.sub(r"<[^>]*>", " ", p)).strip()
+        t = re.sub(r"[ \t\n\x0b\f\r]+", " ", re.sub(r"<[^>]*>", " ", p)).strip(" ")
         if t:
             out.append(t)
     return out
