@@ -10,11 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docsift import prompts as P
 from docsift.functions import text as T
+from docsift.operators import chat as CH
 from docsift.operators import chunking as C
+from docsift.operators import cleanup as CL
 from docsift.operators import embedding as E
+from docsift.operators import index as IX
+from docsift.operators import monitor as MO
 from docsift.operators import search as S
 from docsift.plans import sql_fragments as Q
+from docsift.sources import web as W
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -227,8 +233,6 @@ def q_retrieve_top4(spark, sf_dir):
 
 # ------------------------------------------------------------------ CHT
 
-from docsift import prompts as P  # noqa: E402
-from docsift.operators import chat as CH  # noqa: E402
 
 MIN_DF, RELEVANCE_THRESHOLD = 5, 0.5
 
@@ -338,10 +342,6 @@ def q_chat_full(spark, sf_dir):
 
 # ------------------------------------------------------------------ cleanup, web
 
-from docsift.operators import cleanup as CL  # noqa: E402
-from docsift.operators import index as IX  # noqa: E402
-from docsift.operators import monitor as MO  # noqa: E402
-from docsift.sources import web as W  # noqa: E402
 
 BP_MIN_DOCS, BP_MIN_SHARE = 3, 0.05
 
