@@ -35,6 +35,7 @@ from docsift.session import ship_package
 METRICS = ("cosine", "dot", "l2")
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024   # question matrix bound (float64)
 MAX_SCORES = 16 * 1024 * 1024             # scores held at once inside a task
+DENSE_QUESTIONS = 8 * 1024 * 1024         # sparse questions densified per task up to this many numbers
 
 
 def _matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -121,14 +122,18 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
                      exclude_self: bool, out_fields, sparse_dim: int | None = None):
     """Task function: running top-k per question over the task's rows."""
     max_scores = MAX_SCORES  # captured at plan time
+    dense_limit = DENSE_QUESTIONS
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, qm, cells = bq.value
-        qn = np.sqrt((qm * qm).sum(axis=1))
-        dim = qm.shape[1]
-        integral = qm.size > 0 and np.array_equal(qm, np.rint(qm))
-        q32 = qm.astype(np.float32) if integral else None
-        q_abs = float(np.abs(qm).sum(axis=1).max()) if qm.size else 0.0
+        Q, cells = bq.value
+        qids, dim, qn = Q.ids, Q.dim, Q.norms
+        qm = Q.dense
+        if qm is None and Q.n * dim <= dense_limit:
+            qm = Q.to_dense()   # few questions: one small dense matrix per task, matrix products
+        if qm is not None:
+            integral = qm.size > 0 and np.array_equal(qm, np.rint(qm))
+            q32 = qm.astype(np.float32) if integral else None
+            q_abs = float(np.abs(qm).sum(axis=1).max()) if qm.size else 0.0
         pool = None
 
         def reduce_pool(tbl: pa.Table) -> pa.Table:
@@ -143,9 +148,25 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
 
         # Bound memory: row slices whose dense vectors and score block each
         # hold at most ``max_scores`` numbers, whatever the batch size, the
-        # dimension and the question count.
+        # dimension and the question count; sparse questions are sliced so
+        # the gathered (rows x non-zeros) block stays within the same bound.
         q_step = min(len(qids), 4096)
         r_step = max(1, min(max_scores // q_step, max_scores // max(dim, 1)))
+        if qm is None:
+            # many sparse questions: row slices sized so all (or many) questions'
+            # non-zeros can be gathered at once, then question slices by budget
+            total_nnz = max(1, int(Q.indptr[-1]))
+            r_step = max(64, min(r_step, max_scores // total_nnz))
+            nnz_budget = max(1, max_scores // r_step)
+            bounds, q0 = [], 0
+            while q0 < len(qids):
+                q1 = q0 + 1
+                while q1 < len(qids) and q1 - q0 < q_step and Q.indptr[q1 + 1] - Q.indptr[q0] <= nnz_budget:
+                    q1 += 1
+                bounds.append((q0, q1))
+                q0 = q1
+        else:
+            bounds = [(q0, min(len(qids), q0 + q_step)) for q0 in range(0, len(qids), q_step)]
         for b in it:
             if b.num_rows == 0:
                 continue
@@ -159,10 +180,13 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
                 else:
                     cm = _matrix(rb.column(vec), dim)
                 ids = c_ids_all[r0:r0 + rb.num_rows]
-                for q0 in range(0, len(qids), q_step):
-                    qs_ = slice(q0, q0 + q_step)
-                    d = _dots(cm, qm[qs_], None if q32 is None else q32[qs_], q_abs)
-                    s = _scores(cm, qm[qs_], qn[qs_], metric, d)
+                for q0, q1 in bounds:
+                    qs_ = slice(q0, q1)
+                    if qm is None:
+                        d = Q.sparse_dots(cm, q0, q1)
+                    else:
+                        d = _dots(cm, qm[qs_], None if q32 is None else q32[qs_], q_abs)
+                    s = _scores(cm, None, qn[qs_], metric, d)
                     if exclude_self:
                         s[ids[:, None] == qids[qs_][None, :]] = -np.inf
                     if cells is not None:
@@ -210,12 +234,70 @@ def _rank(partials: DataFrame, k: int, cand_id: str, n_parts: int = 1) -> DataFr
                     .filter(F.col("rank") <= k))
 
 
-def _broadcast_queries(queries: DataFrame, query_id: str, query_vec: str, metric: str):
+class QuestionMatrix:
+    """The broadcast question side: dense rows, or CSR rows for sparse
+    (hashed) questions, which then never become dense anywhere."""
+
+    def __init__(self, ids: np.ndarray, dim: int, dense: np.ndarray | None = None,
+                 indptr: np.ndarray | None = None, indices: np.ndarray | None = None,
+                 values: np.ndarray | None = None):
+        self.ids, self.dim = ids, dim
+        self.dense, self.indptr, self.indices, self.values = dense, indptr, indices, values
+        if dense is not None:
+            self.norms = np.sqrt((dense * dense).sum(axis=1))
+        else:
+            rows = np.repeat(np.arange(len(ids)), np.diff(indptr))
+            self.norms = np.sqrt(np.bincount(rows, weights=values * values, minlength=len(ids)))
+
+    @property
+    def n(self) -> int:
+        return len(self.ids)
+
+    def to_dense(self) -> np.ndarray:
+        if self.dense is not None:
+            return self.dense
+        out = np.zeros((self.n, self.dim))
+        rows = np.repeat(np.arange(self.n), np.diff(self.indptr))
+        out[rows, self.indices] = self.values
+        return out
+
+    @property
+    def nbytes(self) -> int:
+        if self.dense is not None:
+            return self.dense.nbytes
+        return self.indptr.nbytes + self.indices.nbytes + self.values.nbytes
+
+    def sparse_dots(self, cm: np.ndarray, q0: int, q1: int) -> np.ndarray:
+        """Exact (rows x questions q0..q1) dot products of dense rows with CSR questions."""
+        a, b = int(self.indptr[q0]), int(self.indptr[q1])
+        out = np.zeros((cm.shape[0], q1 - q0))
+        if b > a:
+            g = cm[:, self.indices[a:b]] * self.values[a:b]
+            starts = self.indptr[q0:q1] - a
+            nonempty = np.diff(self.indptr[q0:q1 + 1]) > 0
+            out[:, nonempty] = np.add.reduceat(g, starts[nonempty], axis=1)
+        return out
+
+
+def _broadcast_queries(queries: DataFrame, query_id: str, query_vec: str, metric: str,
+                       sparse_dim: int | None = None) -> QuestionMatrix:
+    """Collect one (size-checked) question block.  With ``sparse_dim`` the
+    column holds md5 term prefixes and only non-zero buckets are collected."""
     tbl = queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vec).alias("v")) \
                  .filter(F.col("v").isNotNull()).toArrow()
     qids = tbl.column("q").to_numpy().astype(np.int64)
-    qm = _matrix(tbl.column("v"))
-    return qids, qm
+    if not sparse_dim:
+        qm = _matrix(tbl.column("v"))
+        return QuestionMatrix(qids, qm.shape[1] if qm.ndim == 2 else 0, dense=qm)
+    from docsift.operators.embedding import sparse_hex
+    col = tbl.column("v").combine_chunks() if len(qids) else pa.array([], pa.list_(pa.string()))
+    sp = sparse_hex(col, sparse_dim) if len(qids) else pa.array([], type=pa.list_(
+        pa.struct([("bucket", pa.int32()), ("weight", pa.int32())])))
+    indptr = (sp.offsets.to_numpy() - sp.offsets[0].as_py()).astype(np.int64) if len(qids) else np.zeros(1, np.int64)
+    flat = sp.flatten() if len(qids) else None
+    indices = flat.field("bucket").to_numpy().astype(np.int64) if len(qids) else np.zeros(0, np.int64)
+    values = flat.field("weight").to_numpy().astype(np.float64) if len(qids) else np.zeros(0)
+    return QuestionMatrix(qids, sparse_dim, indptr=indptr, indices=indices, values=values)
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "cosine",
@@ -223,7 +305,8 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
         cand_id: str = "chunk_id", cand_vec: str = "embedding",
         carry: Sequence[str] = (), where: Column | str | None = None,
         exclude_self: bool = False,
-        max_broadcast_bytes: int = MAX_BROADCAST_BYTES, cand_sparse_dim: int | None = None) -> DataFrame:
+        max_broadcast_bytes: int = MAX_BROADCAST_BYTES, cand_sparse_dim: int | None = None,
+        query_sparse_dim: int | None = None) -> DataFrame:
     """SCH-1 exact k nearest candidates for every question.
 
     Returns ``query_id, rank, score, <cand_id>, <carry...>`` with
@@ -237,11 +320,12 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
 
     def one(qb):
         return _knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                          carry, exclude_self, sparse_dim=cand_sparse_dim)
-    return _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one)
+                          carry, exclude_self, sparse_dim=cand_sparse_dim, query_sparse_dim=query_sparse_dim)
+    return _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one, query_sparse_dim)
 
 
-def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_bytes: int, run) -> DataFrame:
+def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_bytes: int, run,
+                        sparse_dim: int | None = None) -> DataFrame:
     """Size the question side, then run ``run(block)`` on hash blocks of the
     questions that each fit the broadcast bound; union the results.
 
@@ -251,9 +335,12 @@ def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_b
     q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)) \
                .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = q.agg(F.count(F.col(query_vec)).alias("n"), F.max(F.size(query_vec)).alias("d")).first()
-        n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-        blocks = max(1, math.ceil(n * max(d, 1) * 8 / max_bytes))
+        stats = q.agg(F.count(F.col(query_vec)).alias("n"), F.max(F.size(query_vec)).alias("d"),
+                      F.sum(F.size(query_vec)).alias("t")).first()
+        n, d, t = int(stats["n"] or 0), int(stats["d"] or 0), int(stats["t"] or 0)
+        # dense: n x d float64; sparse (term prefixes): at most one entry per term
+        size = t * 16 + n * 16 if sparse_dim else n * max(d, 1) * 8
+        blocks = max(1, math.ceil(size / max_bytes))
         if blocks == 1:
             return run(q)
         parts = [run(q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)) for b in range(blocks)]
@@ -263,17 +350,19 @@ def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_b
 
 
 def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-               exclude_self, cells=None, cell_col: str | None = None, sparse_dim: int | None = None):
+               exclude_self, cells=None, cell_col: str | None = None, sparse_dim: int | None = None,
+               query_sparse_dim: int | None = None):
     spark = candidates.sparkSession
     ship_package(spark)
-    qids, qm = _broadcast_queries(queries, query_id, query_vec, metric)
+    Q = _broadcast_queries(queries, query_id, query_vec, metric, query_sparse_dim)
+    qids = Q.ids
     cschema = candidates.schema
     out_fields = [T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
                   T.StructField(cand_id, T.LongType())] + [cschema[c] for c in carry]
     if len(qids) == 0:
         empty = spark.createDataFrame([], T.StructType(out_fields))
         return empty.withColumn("rank", F.lit(1)).select("query_id", "rank", "score", cand_id, *carry)
-    bq = spark.sparkContext.broadcast((qids, qm, cells))
+    bq = spark.sparkContext.broadcast((Q, cells))
     cols = [F.col(cand_id).cast("long").alias(cand_id), F.col(cand_vec).alias(cand_vec)] + \
            [F.col(c) for c in carry if c not in (cand_id, cand_vec)]
     if cells is not None:
@@ -302,16 +391,20 @@ def search_text(questions: DataFrame, chunks: DataFrame, k: int = 4, dim: int =
     from docsift.functions.hashing import md5_prefixes
     from docsift.functions.text import terms
     from docsift.operators.embedding import hash_vector
-    q = questions.select(F.col(question_id).alias("query_id"),
-                         hash_vector(F.col(question_text), dim).alias("embedding"))
     if embedded:
+        q = questions.select(F.col(question_id).alias("query_id"),
+                             hash_vector(F.col(question_text), dim).alias("embedding"))
         return knn(q, chunks, k=k, metric=metric, query_id="query_id", query_vec="embedding",
                    cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where)
-    # Terms are hashed in the JVM; the search task scatters them into dense
-    # vectors itself, so no dense vector crosses the JVM/Python boundary.
+    # Questions travel as their md5 term prefixes and stay sparse (CSR);
+    # chunk terms are hashed in the JVM and scattered inside the search task,
+    # so no dense vector is stored, shuffled or broadcast.
+    q = questions.select(F.col(question_id).alias("query_id"),
+                         md5_prefixes(terms(F.col(question_text))).alias("terms"))
     c = chunks.withColumn("_sb", md5_prefixes(terms(F.col(chunk_text))))
-    return knn(q, c, k=k, metric=metric, query_id="query_id", query_vec="embedding",
-               cand_id=chunk_id, cand_vec="_sb", carry=list(carry), where=where, cand_sparse_dim=dim)
+    return knn(q, c, k=k, metric=metric, query_id="query_id", query_vec="terms",
+               cand_id=chunk_id, cand_vec="_sb", carry=list(carry), where=where, cand_sparse_dim=dim,
+               query_sparse_dim=dim)
 
 
 def collect_docs(hits: DataFrame, fields: Sequence[str] = ("content", "path")) -> DataFrame:
@@ -430,7 +523,8 @@ def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int
 
 def _knn_ivf_block(queries, index, centroids, k, nprobe, metric, query_id, query_vec, cand_id, cand_vec,
                    carry, exclude_self, exact, radii):
-    qids, qm = _broadcast_queries(queries, query_id, query_vec, metric)
+    Qm = _broadcast_queries(queries, query_id, query_vec, metric)
+    qids, qm = Qm.ids, Qm.dense
     cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
     qn = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-12)
     probe = np.argsort(-(qn @ cn.T), axis=1, kind="stable")[:, :nprobe]

@@ -151,3 +151,45 @@ def test_two_level_merge_equals_single(spark, monkeypatch):
     b_df = S.knn(qdf, cdf.repartition(12), k=5)
     assert "_b" not in b_df.columns
     assert as_dict(b_df) == a
+
+
+def test_question_matrix_sparse_dots():
+    rng = np.random.default_rng(13)
+    dense_q = rng.integers(-3, 4, size=(9, 16)).astype(np.float64)
+    dense_q[rng.random(dense_q.shape) < 0.7] = 0
+    dense_q[2] = 0  # a question without terms
+    dense_q[8] = 0  # ... also the last one
+    indptr = np.concatenate([[0], np.cumsum((dense_q != 0).sum(axis=1))])
+    rr, cc = np.nonzero(dense_q)
+    Q = S.QuestionMatrix(np.arange(9), 16, indptr=indptr, indices=cc, values=dense_q[rr, cc])
+    cm = rng.integers(-5, 6, size=(7, 16)).astype(np.float64)
+    assert np.array_equal(Q.sparse_dots(cm, 0, 9), cm @ dense_q.T)
+    assert np.array_equal(Q.sparse_dots(cm, 2, 5), cm @ dense_q[2:5].T)
+    assert np.allclose(Q.norms, np.linalg.norm(dense_q, axis=1))
+
+
+def test_search_text_sliced_sparse_questions(spark, monkeypatch):
+    chunks = spark.createDataFrame([(i, f"p{i % 3}", " ".join(f"w{(i * 7 + j) % 23}" for j in range(12)))
+                                    for i in range(40)], "chunk_id long, path string, content string")
+    qs = spark.createDataFrame([(i, " ".join(f"w{(i * 5 + j) % 23}" for j in range(4))) for i in range(15)] + [(99, "")],
+                               "query_id long, question string")
+    a = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(S, "MAX_SCORES", 20)   # forces tiny row and question slices
+    b = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
+    c = S.search_text(qs, chunks.withColumn("embedding", __import__("docsift.operators.embedding", fromlist=["x"])
+                                            .hash_vector(F.col("content"), 64)),
+                      k=3, dim=64, carry=("path",), embedded=True).orderBy("query_id", "rank").collect()
+    assert a == b == c
+
+
+def test_sparse_gather_path_equals_dense_path(spark, monkeypatch):
+    chunks = spark.createDataFrame([(i, f"p{i % 3}", " ".join(f"w{(i * 3 + j) % 31}" for j in range(10)))
+                                    for i in range(30)], "chunk_id long, path string, content string")
+    qs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 31}" for j in range(5))) for i in range(12)],
+                               "query_id long, question string")
+    a = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(S, "DENSE_QUESTIONS", 0)    # keep questions sparse inside the task
+    b = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(S, "MAX_SCORES", 100)
+    c = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
+    assert a == b == c
