@@ -31,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from docsift.llm.common import documents
+from docsift.llm.common import documents, with_fields
 
 #: entries of a worker's word cache before it starts anew (memory bound only)
 CACHE_WORDS = 1_000_000
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
             ids = pa.ListArray.from_arrays(off, pa.array(np.concatenate(got).astype(np.int32) if got else [], pa.int32()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids], [*keep, "ids"])
     src = docs.select(*keep, docs[text].cast("string").alias("_text"))
-    return src.mapInArrow(run, src.select(*keep).schema.add("ids", "array<int>"))
+    return src.mapInArrow(run, with_fields(src.select(*keep), "ids array<int>"))
 
 
 def decode(rows: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -282,7 +282,7 @@ def decode(rows: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> D
             got = [table.text(np.asarray(x, np.int64)).decode("utf-8") if x else "" for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(got, pa.string())], [*keep, "text"])
     src = rows.select(*keep, "ids")
-    return src.mapInArrow(run, src.select(*keep).schema.add("text", "string"))
+    return src.mapInArrow(run, with_fields(src.select(*keep), "text string"))
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -305,7 +305,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str,
                 [*(b.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())],
                 [*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
     src = docs.select(*keep, docs[text].cast("string").alias("_text"))
-    schema = src.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    schema = with_fields(src.select(*keep), "n_tokens long, ids_sha256 string, decoded_sha256 string")
     return src.mapInArrow(run, schema)
 
 

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docsift.session import checkpoint_root
 
@@ -46,6 +47,11 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return d.select(*cols) if cols else d
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of ``df`` followed by the fields of a DDL string."""
+    return StructType(df.schema.fields + StructType.fromDDL(ddl).fields)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5, is 0 (null ids: the empty string)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
