@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from docsift.llm import quality_rules, secrets
 from docsift.llm.bpe import op2_bpe_round_trip
+from docsift.llm.idfiles import op8_huffman_ids
+from docsift.llm.mixing import op4_mix_sources
+from docsift.llm.quality_model import op9_quality_model
+from docsift.llm.quality_rules import op10_quality_rules
+from docsift.llm.secrets import op3_secret_scan
+from docsift.llm.simhash import op7_simhash
+from docsift.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_mix_sources": op4_mix_sources,
+    "op7_simhash": op7_simhash,
+    "op8_huffman_ids": op8_huffman_ids,
+    "op9_quality_model": op9_quality_model,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_secret_scan": secrets.oracle(),
+    "op10_quality_rules": quality_rules.oracle(),
+}
