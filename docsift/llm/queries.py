@@ -5,6 +5,7 @@ from __future__ import annotations
 from docsift.llm import quality_rules, secrets
 from docsift.llm.bpe import op2_bpe_round_trip
 from docsift.llm.idfiles import op8_huffman_ids
+from docsift.llm.jaccard_join import op6_jaccard_join
 from docsift.llm.mixing import op4_mix_sources
 from docsift.llm.quality_model import op9_quality_model
 from docsift.llm.quality_rules import op10_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_simhash": op7_simhash,
     "op8_huffman_ids": op8_huffman_ids,
     "op9_quality_model": op9_quality_model,
