@@ -6,7 +6,8 @@ characters; a subsequence spread over a span of s steps counts ``DECAY**s``,
 spans above ``SPAN`` count nothing, and a string is scaled by the norm of a
 string of its length whose subsequences all differ.  Gaps let an insult
 match with inserted characters ("i.d-i.o.t"); single characters set apart by
-spaces count as one string; letters fold case and common digit look-alikes.
+spaces count as one string, punctuation is dropped, letters fold case and
+common digit look-alikes, and the ends of a string are marked.
 
 Nyström.  ``LANDMARKS`` strings, found among the words over-represented in
 sentences labelled toxic and among frequent clean ones, span the feature
@@ -40,9 +41,9 @@ from pyspark.sql import functions as F
 
 from docsift.llm.common import Texts, chunks, documents, held_out, training_sample, with_fields
 
-TRAIN_ROWS = 8_000
-LANDMARKS, SPAN, DECAY = 480, 5, 0.7
-ROUNDS = 3
+TRAIN_ROWS = 6_000
+LANDMARKS, SPAN, DECAY = 600, 5, 0.7
+ROUNDS = 4
 MAX_NORM = 64          # longer strings are scaled like one of this length
 
 _FOLD = np.full(256, 31, np.int32)
@@ -86,18 +87,18 @@ def parts(t: Texts):
 
 
 def coded(t: Texts, s: np.ndarray, e: np.ndarray):
-    """Symbols of all parts, each led by the start mark 0, the part of each
-    symbol, and the scale of each part."""
+    """Symbols of all parts, each between two marks 0, the part of each symbol,
+    and the scale of each part."""
     edge = np.zeros(len(t.buf) + 1, np.int32)
     np.add.at(edge, s, 1)
     owner = np.cumsum(edge[:-1], dtype=np.int32) - 1
     np.subtract.at(edge, e, 1)
-    # white space inside a part (between single characters) is dropped
-    solid = np.cumsum(edge[:-1], dtype=np.int32).astype(bool) & (t.buf > 32)
+    # white space and punctuation inside a part are dropped
+    solid = np.cumsum(edge[:-1], dtype=np.int32).astype(bool) & (_FOLD[t.buf] != 31)
     owner = owner[solid]
-    size = np.bincount(owner, minlength=len(s)) + 1
-    c = np.zeros(len(owner) + len(s), np.int32)
-    c[np.arange(len(owner)) + owner + 1] = _FOLD[t.buf[solid]]
+    size = np.bincount(owner, minlength=len(s)) + 2
+    c = np.zeros(len(owner) + 2 * len(s), np.int32)
+    c[np.arange(len(owner)) + 2 * owner + 1] = _FOLD[t.buf[solid]]
     return c, np.repeat(np.arange(len(s), dtype=np.int32), size), _NORM[np.minimum(size, MAX_NORM)]
 
 
@@ -180,19 +181,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> np.ndarray:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 300.0) -> np.ndarray:
     """Squared-hinge linear SVM by Newton steps; the last entry is the offset."""
-    x = np.hstack([z, np.ones((len(z), 1))])
+    x = np.hstack([z, np.ones((len(z), 1))]).astype(np.float32)
     w, reg = np.zeros(x.shape[1]), np.ones(x.shape[1])
     reg[-1] = 1e-3
-    for _ in range(30):
-        m = 1 - y * (x @ w)
-        on = m > 0
-        grad = reg * w - c * (x[on] * (weight[on] * y[on] * m[on])[:, None]).sum(0)
-        hess = np.diag(reg) + c * (x[on].T * weight[on]) @ x[on]
-        step = np.linalg.solve(hess, grad)
+    for _ in range(15):
+        m = 1 - y * (x @ w.astype(np.float32))
+        on = np.flatnonzero(m > 0)
+        part = x[on] * np.sqrt(weight[on])[:, None].astype(np.float32)
+        grad = reg * w - c * (part.T @ (np.sqrt(weight[on]) * y[on] * m[on]).astype(np.float32)).astype(float)
+        step = np.linalg.solve(np.diag(reg) + c * (part.T @ part).astype(float), grad)
         w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3 * max(1.0, np.abs(w).max()):
             break
     return w
 
@@ -215,13 +216,15 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = LANDMARKS) -> Model:
         return Model(None, 0.0, None, float(prior), [])
     # sentences as lists of parts, with their document and its label
     docs: list[list[list[str]]] = []
+    same: dict[str, str] = {}
     for x in texts:
         raw = x.encode("utf-8")
         t = Texts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         s, e, _, sent = parts(t)
         out: list[list[str]] = [[] for _ in range(int(sent[-1]) + 1 if len(sent) else 0)]
         for a, b, k in zip(s.tolist(), e.tolist(), sent.tolist(), strict=True):
-            out[k].append(raw[a:b].decode("utf-8", "replace").strip(".,;:!?\"'()|").lower())
+            w = raw[a:b].decode("utf-8", "replace").strip(".,;:!?\"'()|").lower()
+            out[k].append(same.setdefault(w, w))
         docs.append(out)
     n_docs = {1: Counter(), 0: Counter()}
     for d, label in zip(docs, y.astype(int).tolist(), strict=True):
@@ -232,56 +235,62 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = LANDMARKS) -> Model:
     lift = {w: np.log((k + 0.05) / size[1]) - np.log((clean.get(w, 0) + 0.5 * size[0] / size[1] * 0.1 + 0.05) / size[0]) for w, k in tox.items()}
     ranked = sorted(lift, key=lambda w: (-lift[w], w))
 
-    # landmarks: suspicious words unlike those taken, then common and other clean words
-    pool = sorted(clean, key=hash_of)[:20_000]
     chosen: list[str] = []
-    held = np.zeros((landmarks, 1 << 15), np.float32)
-    for words, most, like in ((ranked[:3000], landmarks // 3, 0.8), (sorted(clean, key=lambda w: (-clean[w], w))[:landmarks], landmarks * 2 // 3, 0.95),
-                              (pool[:2 * landmarks], landmarks, 0.95)):
-        for w, v in zip(words, vectors_of(words), strict=True):
-            if len(chosen) >= most:
-                break
-            if not chosen or (held[:len(chosen)] @ v).max() < like:
-                held[len(chosen)] = v
-                chosen.append(w)
-    held = held[:len(chosen)]
-    values, vectors = np.linalg.eigh((held @ held.T).astype(float))
-    good = values > 1e-4 * values.max()
-    whiten = vectors[:, good] / np.sqrt(values[good])             # K_mm^(-1/2) on its range
-    known: dict[str, np.ndarray] = {}
-    columns = np.ascontiguousarray(held.T)
-
-    def nystroem(words: list[str]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for i in range(0, len(new), 500):
-            known.update(zip(new[i:i + 500], spread(new[i:i + 500], columns) @ whiten, strict=True))
-        return np.array([known[w] for w in words])
-
+    held = np.zeros((0, 1 << 15), np.float32)
+
+    def land(words: list[str], most: int, like: float) -> None:
+        """Take words as landmarks, in order, that are unlike those taken."""
+        nonlocal held
+        v = vectors_of(words)
+        near = (v @ held.T).max(1) if len(held) else np.zeros(len(words))
+        own = v @ v.T
+        take: list[int] = []
+        for i in range(len(words)):
+            if len(take) < most and near[i] < like and (not take or own[i, take].max() < like):
+                take.append(i)
+        chosen.extend(words[i] for i in take)
+        held = np.vstack([held, v[take]])
+
+    share = landmarks // (ROUNDS + 2)
+    land(ranked[:10 * share], share, 0.7)
+    land(sorted(clean, key=lambda w: (-clean[w], w))[:2 * share], share, 0.95)
+    pool = sorted(clean, key=hash_of)[:6_000]
     score = {w: lift.get(w, -3.0) - 1.0 for w in {*tox, *clean}}
     w_svm = None
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
+        # witnesses: of toxic documents their suspicious sentences' (at least the best), of clean ones the three worst
         positive, weight = [], []
         negative = set(pool)
         for d, label in zip(docs, y, strict=True):
-            best = [max(s, key=lambda w: (score.get(w, -9.0), w)) for s in d if s]
+            best = {max(s, key=lambda w: (score.get(w, -9.0), w)) for s in d if s}
+            rank = sorted(best, key=lambda w: (-score.get(w, -9.0), w))
             if label:
-                top = max((score.get(w, -9.0) for w in best), default=-9.0)
-                take = {w for w in best if score.get(w, -9.0) > min(0.0, top - 1e-9)}
+                take = [w for w in rank if score.get(w, -9.0) > 0][:10] or rank[:1]
                 positive += take
                 weight += [1.0 / max(1, len(take))] * len(take)
+                longer = [inserted(w) for w in take[:3] if len(w) > 4 and score.get(w, -9.0) > 0]
+                positive += longer
+                weight += [0.3 / max(1, len(take))] * len(longer)
             else:
-                negative.update(w for w in sorted(best, key=lambda w: -score.get(w, -9.0))[:5])
+                negative.update(rank[:3])
+        worst = sorted(negative, key=lambda w: (-score.get(w, -9.0), w))
+        land(worst[:3 * share], share, 0.95)                       # landmarks where mistakes are made
         negative = sorted(negative)
-        z = nystroem(positive + negative)
-        y_svm = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        pos, neg = np.array(weight), np.array([1.0 + np.log1p(clean.get(w, 0)) for w in negative])
-        w_svm = _svm(z, y_svm, np.concatenate([pos / pos.sum(), neg / neg.sum()]) * len(positive))
-        names = list(known)
-        score.update(zip(names, (np.array([known[w] for w in names]) @ w_svm[:-1] + w_svm[-1]).tolist(), strict=True))
+        values, vectors = np.linalg.eigh((held @ held.T).astype(float))
+        good = values > 1e-4 * values.max()
+        whiten = vectors[:, good] / np.sqrt(values[good])          # K_mm^(-1/2) on its range
+        columns = np.ascontiguousarray(held.T)
+        names = list(dict.fromkeys(positive + negative))
+        z = np.vstack([spread(names[i:i + 500], columns) @ whiten for i in range(0, len(names), 500)])
+        row = {w: i for i, w in enumerate(names)}
+        at = np.array([row[w] for w in positive + negative])
+        y_svm = np.array([1.0] * len(positive) + [-1.0] * len(negative), np.float32)
+        pos, neg = np.array(weight), np.sqrt([1.0 + clean.get(w, 0) for w in negative])
+        w_svm = _svm(z[at], y_svm, np.concatenate([pos / pos.sum(), 2 * neg / neg.sum()]) * len(positive))
         table = (columns @ (whiten @ w_svm[:-1])).astype(np.float32)
-        rest = [w for w in score if w not in known]
-        for i in range(0, len(rest), 20_000):
-            score.update(zip(rest[i:i + 20_000], (spread(rest[i:i + 20_000], table[:, None])[:, 0] + w_svm[-1]).tolist(), strict=True))
+        names = list(score)
+        for i in range(0, len(names), 20_000):
+            score.update(zip(names[i:i + 20_000], (spread(names[i:i + 20_000], table[:, None])[:, 0] + w_svm[-1]).tolist(), strict=True))
     model = Model(table, float(w_svm[-1]), None, float(prior), chosen)
     ev = []
     for x in texts:
@@ -291,6 +300,13 @@ def train(texts: list[str], y: np.ndarray, landmarks: int = LANDMARKS) -> Model:
     return model
 
 
+def inserted(word: str) -> str:
+    """The word with one letter put in at a place, both chosen by its hash."""
+    h = hash_of(word)
+    at = 1 + h % (len(word) - 1)
+    return word[:at] + chr(97 + h // 64 % 26) + word[at:]
+
+
 def hash_of(word: str) -> int:
     import zlib
     return zlib.crc32(word.encode("utf-8"))
