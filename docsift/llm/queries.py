@@ -6,6 +6,7 @@ from docsift.llm import quality_rules, secrets
 from docsift.llm.bpe import op2_bpe_round_trip
 from docsift.llm.idfiles import op8_huffman_ids
 from docsift.llm.jaccard_join import op6_jaccard_join
+from docsift.llm.licenses import op5_license_scan
 from docsift.llm.mixing import op4_mix_sources
 from docsift.llm.quality_model import op9_quality_model
 from docsift.llm.quality_rules import op10_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_secret_scan": op3_secret_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op5_license_scan": op5_license_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_simhash": op7_simhash,
     "op8_huffman_ids": op8_huffman_ids,
