@@ -78,7 +78,7 @@ class LibraryWords:
         """One pass over all new words; a special token between them keeps them apart."""
         for i in range(0, len(words), 2000):
             part = words[i:i + 2000]
-            ids = np.asarray(self.tok.encode(self.sep.join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.asarray(self.tok.encode_batch_fast([self.sep.join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(ids == self.sep_id)
             lo, hi = [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]
             raw = ids.tobytes()
@@ -90,12 +90,18 @@ class LibraryWords:
         if self.sep is None:
             odd = [True] * len(texts)
         words = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        new = set().union(*words).difference(self.known)
-        if len(new) + len(self.known) > CACHE_WORDS:
-            self.known.clear()
-            new = set().union(*words)
-        self.learn(list(new))
         known = self.known
+        new = set().union(*words).difference(known)
+        if len(new) + len(known) > CACHE_WORDS:
+            known.clear()
+            new = set().union(*words)
+        # full stops and commas behind a letter or digit are a pre-token of their own, and ASCII case folds
+        cores = [(w, w.rstrip(".,")) for w in new]
+        cores = [(w, c.lower() if c.isascii() else c, w[len(c):]) if c and c[-1].lower().isalnum() else (w, w, "") for w, c in cores]
+        self.learn(list({x for _, c, tail in cores for x in (c, tail) if x and x not in known}))
+        for w, c, tail in cores:
+            if w is not c:
+                known[w] = known[c] + known[tail] if tail else known[c]
         return [self.whole(t) if o else b"".join([known[w] for w in ws])
                 for t, o, ws in zip(texts, odd, words, strict=True)]
 
@@ -279,8 +285,8 @@ def decoded(spark: SparkSession, path: str, column: str, kind: str, of, id_type:
     def run(batches):
         made = Codes(shipped.value)
         for b in batches:
-            for i in range(0, b.num_rows, 200):
-                s = b.slice(i, 200)
+            for i in range(0, b.num_rows, 2000):
+                s = b.slice(i, 2000)
                 ids = made.unpack(s.column("payload").to_pylist(), s.column("checkpoints").to_pylist(),
                                   s.column("n_tokens").to_pylist())
                 yield pa.RecordBatch.from_arrays(
