@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docsift.functions import text as T
@@ -254,30 +255,32 @@ def chunk_semantic(df: DataFrame, text_col: str = "text", keep=("path",), thresh
 
 
 def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str = "sent_no",
-                 text_col: str = "sentence", k: int = 8, vocab: int = 2000, seed: int = 7,
+                 text_col: str = "sentence", k: int = 8, dims: int = 1 << 14, seed: int = 7,
                  max_iter: int = 10) -> DataFrame:
-    """TXT-14: topic segmentation with Spark ML (CountVectorizer + LDA).
-
-    Each sentence gets its most likely topic; a chunk is a maximal run of
-    consecutive sentences of one document sharing a top topic.  Training
-    is distributed; regrouping is per document (bounded by its length).
-    Returns ``id, chunk_no, topic, content``.
+    """TXT-14: topic segmentation with Spark ML (hashed term counts + LDA).
+
+    Terms are hashed into ``dims`` counters, so every term of the corpus
+    counts and no vocabulary is gathered.  Each sentence gets its most likely
+    topic; a sentence without terms keeps the topic of the one before it (the
+    first ones: of the first that has one; a document without terms: topic
+    0).  A chunk is a maximal run of consecutive sentences of one document
+    sharing a topic.  Training is distributed; regrouping is per document
+    (bounded by its length).  Returns ``id, chunk_no, topic, content``.
     """
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.feature import CountVectorizerModel
+    from pyspark.ml.feature import HashingTF
     from pyspark.ml.functions import vector_to_array
-    toks = sentences_df.withColumn("_terms", T.terms(text_col))
-    # Vocabulary: the ``vocab`` terms found in most sentences (ties by term), so
-    # the feature order -- and with the seed, the topics -- are repeatable.
-    # Bounded by ``vocab`` before it reaches the driver.
-    top = (toks.select(F.explode(F.array_distinct("_terms")).alias("t")).groupBy("t")
-               .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= 2)
-               .orderBy(F.desc("df"), F.asc("t")).limit(vocab).collect())
-    cv = CountVectorizerModel.from_vocabulary([r["t"] for r in top], inputCol="_terms", outputCol="_tf")
-    tf = cv.transform(toks)
-    lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="_tf", topicDistributionCol="_topics").fit(tf)
+    toks = sentences_df.withColumn("_terms", F.coalesce(T.terms(text_col), F.array().cast("array<string>")))
+    tf = HashingTF(numFeatures=dims, inputCol="_terms", outputCol="_tf").transform(toks)
+    lda = LDA(k=k, seed=seed, maxIter=max_iter, featuresCol="_tf", topicDistributionCol="_topics") \
+        .fit(tf.where(F.size("_terms") > 0))
     scored = lda.transform(tf).withColumn("_dist", vector_to_array("_topics"))
-    scored = scored.withColumn("topic", F.array_position(F.col("_dist"), F.array_max("_dist")).cast("int") - 1)
+    own = F.array_position(F.col("_dist"), F.array_max("_dist")).cast("int") - 1
+    scored = scored.withColumn("_own", F.when(F.size("_terms") > 0, own))
+    w = Window.partitionBy(id_col).orderBy(no_col)
+    scored = scored.withColumn("topic", F.coalesce(
+        F.last("_own", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        F.first("_own", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)), F.lit(0)))
     per_doc = scored.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col(no_col), F.col("topic"), F.col(text_col).alias("s")))).alias("u"))
     init = F.struct(F.array().cast("array<struct<topic:int,content:string>>").alias("out"),

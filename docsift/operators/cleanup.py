@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docsift.operators.joins import join_small, salted_join
-from docsift.session import reuse
 
 
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
@@ -31,30 +30,33 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str =
 
 def drop_boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                            text_col: str = "text", min_docs: int = 3, min_share: float = 0.05,
-                           salts: int = 16, max_broadcast_lines: int = 1_000_000) -> DataFrame:
+                           salts: int = 16) -> DataFrame:
     """Rebuild each document without its source's boilerplate lines.
 
-    Returns ``id, source, text, n_removed``; line order and blank lines are kept.
+    Returns ``id, source, text, n_removed``; line order and blank lines are
+    kept; null text stays null with nothing removed; rows that share an id
+    stay apart.
 
-    When the boilerplate set is within ``max_broadcast_lines`` (counted
-    first) it is broadcast as one line list per source and every document is
-    filtered where it lies: no shuffle of the corpus text.  Otherwise lines
-    are exploded, flagged through a salted join and regrouped per document.
+    One plan for all sizes: the corpus sends only (source, line hash, line
+    number) to a salted join with the boilerplate lines, so a line found in
+    a third of all documents is spread; what comes back per document are the
+    numbers of its boilerplate lines, and the text is rebuilt row by row.
     """
-    bp = reuse(boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share))
-    if bp.count() <= max_broadcast_lines:
-        per_source = bp.groupBy(source_col).agg(F.collect_list("line").alias("_bp"))
-        j = docs.select(id_col, source_col, text_col).join(F.broadcast(per_source), source_col, "left")
-        lines = F.split(text_col, "\n")
-        kept = F.filter(lines, lambda l: ~F.coalesce(F.array_contains(F.col("_bp"), l), F.lit(False)))
-        return j.select(id_col, source_col, F.array_join(kept, "\n").alias(text_col),
-                        (F.size(lines) - F.size(kept)).cast("long").alias("n_removed"))
-    flag = bp.withColumn("_bp", F.lit(True))
-    lines = docs.select(id_col, source_col, F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    flagged = salted_join(lines, flag, [source_col, "line"], "left", salts)
-    kept = flagged.groupBy(id_col, source_col).agg(
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(F.col("_bp").isNull(), F.struct("line_no", "line")))),
-            lambda s: s["line"]), "\n").alias(text_col),
-        F.count(F.col("_bp")).alias("n_removed"))
-    return kept
+    bp = boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share)
+    # two independent 64-bit hashes stand for a line
+    line_key = lambda l: F.struct(F.xxhash64(l).alias("a"), F.xxhash64(F.lit(1), l).alias("b"))
+    flag = bp.select(source_col, line_key(F.col("line")).alias("_l"))
+    d = docs.select(id_col, source_col, text_col) \
+        .withColumn("_row", F.struct(F.xxhash64(id_col, text_col).alias("a"), F.xxhash64(F.lit(1), id_col, source_col, text_col).alias("b")))
+    lines = d.where(F.col(text_col).isNotNull()).select("_row", source_col, F.posexplode(F.split(text_col, "\n")).alias("_no", "line")) \
+        .select("_row", source_col, "_no", line_key(F.col("line")).alias("_l"))
+    hit = salted_join(lines, flag, [source_col, "_l"], "inner", salts) \
+        .groupBy("_row").agg(F.collect_set("_no").alias("_drop"))          # at most the document's lines
+    j = d.join(hit, "_row", "left")
+    split = F.split(text_col, "\n")
+    flags = F.coalesce("_drop", F.array().cast("array<int>"))
+    left = F.when(F.size(flags) == 0, split).otherwise(
+        F.transform(F.filter(F.arrays_zip(split.alias("l"), F.sequence(F.lit(0), F.size(split) - 1).alias("i")),
+                             lambda x: ~F.array_contains(F.col("_drop"), x["i"])), lambda x: x["l"]))
+    return j.select(id_col, source_col, F.when(F.col(text_col).isNotNull(), F.array_join(left, "\n")).alias(text_col),
+                    F.size(flags).cast("long").alias("n_removed"))

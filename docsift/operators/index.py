@@ -14,27 +14,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def row_hash(cols: Sequence[str]):
-    return F.xxhash64(*[F.col(c) for c in cols])
-
-
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                    cols: Sequence[str] | None = None) -> DataFrame:
     """SNK-4: changes from ``old`` to ``new`` keyed by ``key``.
 
-    Full outer join on the key comparing a 64-bit hash of ``cols``; returns
-    ``key..., change_type`` (insert / update / delete) and the new values;
-    unchanged rows are not reported.  Keys are unique per snapshot, so the
-    join has no hot key.
+    Full outer join on the key; a row changed if any of ``cols`` differs by
+    null-safe equality (a value that moved to another column, or became
+    null, is a change).  Returns ``key..., change_type`` (insert / update /
+    delete) and the new values; unchanged rows are not reported.  Keys are
+    unique per snapshot, so the join has no hot key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(cols) if cols is not None else [c for c in new.columns if c not in keys]
-    o = old.select(*keys, row_hash(cols).alias("_ho"))
-    n = new.select(*keys, *cols, row_hash(cols).alias("_hn"))
+    o = old.select(*keys, *[F.col(c).alias(f"_o_{i}") for i, c in enumerate(cols)], F.lit(True).alias("_ho"))
+    n = new.select(*keys, *cols, F.lit(True).alias("_hn"))
     j = o.join(n, keys, "full_outer")
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & F.col(f"_o_{i}").eqNullSafe(F.col(c))
     ct = (F.when(F.col("_ho").isNull(), F.lit("insert"))
            .when(F.col("_hn").isNull(), F.lit("delete"))
-           .when(F.col("_ho") != F.col("_hn"), F.lit("update")))
+           .when(~same, F.lit("update")))
     return j.withColumn("change_type", ct).filter(F.col("change_type").isNotNull()) \
             .select(*keys, "change_type", *cols)
 
@@ -43,24 +43,29 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str | Sequence[str],
                   version_col: str = "version", op_col: str = "op") -> DataFrame:
     """SCH-8: upsert / delete rows of a direct index.
 
-    The last write per key wins (``max_by`` on the version, partial
-    aggregation makes a key written many times cheap); keys touched by a
-    change are removed from ``base`` (left anti) and the surviving upserts
-    appended.  Columns of ``changes`` other than key/op/version must match
-    ``base``; null values are kept as written.
+    The last write per key wins (partial aggregation makes a key written many
+    times cheap); of writes with the same version the one whose operation and
+    values order last wins, so the result does not depend on row order.  A
+    null version fails the job.  Keys touched by a change are removed from
+    ``base`` (left anti) and the surviving upserts appended.  Columns of
+    ``changes`` other than key/op/version must match ``base``; null values
+    are kept as written.
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = [c for c in base.columns if c not in keys]
+    version = F.when(F.col(version_col).isNull(), F.raise_error(F.lit(f"null {version_col} in changes"))) \
+        .otherwise(F.col(version_col))
     last = (changes.groupBy(*keys)
-                   .agg(F.max_by(F.struct(op_col, *payload), F.col(version_col)).alias("_w"))
-                   .select(*keys, "_w.*"))
+                   .agg(F.max(F.struct(version.alias("_v"), op_col, *payload)).alias("_w"))
+                   .select(*keys, "_w.*").drop("_v"))
     kept = base.join(last.select(*keys), keys, "left_anti")
     ups = last.filter(F.col(op_col) != "delete").select(*keys, *payload)
     return kept.unionByName(ups)
 
 
 def next_version_path(root: str, spark) -> tuple[str, int]:
-    """Snapshot folders are ``root/v=N``; returns the next free one."""
+    """Snapshot folders are ``root/v=N``; returns the next free one (an
+    unfinished one is skipped, not reused)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -111,8 +116,13 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] | None
 
 
 def read_latest(spark, root: str) -> DataFrame:
-    """The newest snapshot under ``root``."""
-    path, n = next_version_path(root, spark)
-    if n == 0:
-        raise FileNotFoundError(f"no snapshot under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/v={n - 1}")
+    """The newest complete snapshot under ``root``: the highest version whose
+    folder has the writer's commit marker; a write cut off has none."""
+    _, n = next_version_path(root, spark)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in range(n - 1, -1, -1):
+        done = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/v={v}/_SUCCESS")
+        if done.getFileSystem(conf).exists(done):
+            return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+    raise FileNotFoundError(f"no complete snapshot under {root}")

@@ -118,6 +118,35 @@ def _topk_rows(scores: np.ndarray, cids: np.ndarray, k: int):
     return qi[keep].astype(np.int64), ri[keep].astype(np.int64)
 
 
+def _l2_topk(cm: np.ndarray, qm: np.ndarray, out: np.ndarray, ids: np.ndarray, k: int):
+    """Top-k by euclidean distance: (question, row, score).
+
+    |a|^2 + |b|^2 - 2ab selects, with a margin for its rounding error, the rows
+    that can be among the k nearest; their distances are then taken from the
+    differences, so long vectors lose no digits.  ``out`` marks excluded pairs.
+    """
+    cn2, qn2 = (cm * cm).sum(axis=1), (qm * qm).sum(axis=1)
+    d2 = cn2[:, None] + qn2[None, :] - 2.0 * (cm @ qm.T)
+    d2[out] = np.inf
+    kk = min(k, len(cm))
+    if kk == 0 or not len(qm):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    err = 1e-12 * (cn2[:, None] + qn2[None, :]) + 1e-12
+    limit = np.partition(d2 + err, kk - 1, axis=0)[kk - 1]
+    # a hair more, so that distances equal after rounding to 6 places all come in
+    ri, qi = np.nonzero(d2 - err <= (np.sqrt(np.maximum(limit, 0)) + 1e-6)[None, :] ** 2)
+    keep = np.isfinite(d2[ri, qi])
+    ri, qi = ri[keep], qi[keep]
+    sc = np.empty(len(ri))
+    for i in range(0, len(ri), 65536):
+        sc[i:i + 65536] = -np.linalg.norm(cm[ri[i:i + 65536]] - qm[qi[i:i + 65536]], axis=1)
+    sc = round6(sc)
+    order = np.lexsort((ids[ri], -sc, qi))
+    ri, qi, sc = ri[order], qi[order], sc[order]
+    top = (np.arange(len(qi)) - np.searchsorted(qi, qi, side="left")) < kk
+    return qi[top].astype(np.int64), ri[top].astype(np.int64), sc[top]
+
+
 def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequence[str],
                      exclude_self: bool, out_fields, sparse_dim: int | None = None):
     """Task function: running top-k per question over the task's rows."""
@@ -146,6 +175,12 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
             rank = np.arange(len(qs)) - first
             return tbl.take(pa.array(order[rank < k]))
 
+        def add(pool, rb, qi, ri, sc, ids):
+            part = pa.table({"_qi": pa.array(qi), "score": pa.array(sc), "cand_id": pa.array(ids[ri])}
+                            | {c: rb.column(c).take(pa.array(ri)) for c in carry})
+            pool = part if pool is None else pa.concat_tables([pool, part])
+            return reduce_pool(pool) if pool.num_rows > 8 * k * len(qids) else pool
+
         # Bound memory: row slices whose dense vectors and score block each
         # hold at most ``max_scores`` numbers, whatever the batch size, the
         # dimension and the question count; sparse questions are sliced so
@@ -180,27 +215,32 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
                 else:
                     cm = _matrix(rb.column(vec), dim)
                 ids = c_ids_all[r0:r0 + rb.num_rows]
+                finite = np.isfinite(cm).all(axis=1)     # a vector with NaN or inf is never a hit
+                if not finite.all():
+                    cm = np.where(finite[:, None], cm, 0.0)
                 for q0, q1 in bounds:
                     qs_ = slice(q0, q1)
+                    out = np.repeat(~finite[:, None], q1 - q0, axis=1)
+                    if exclude_self:
+                        out |= ids[:, None] == qids[qs_][None, :]
+                    if cells is not None:
+                        # IVF: a question only scores rows of the cells it probes
+                        out |= ~cells[cells_all[r0:r0 + rb.num_rows]][:, qs_]
+                    if metric == "l2":
+                        block = qm[qs_] if qm is not None else Q.dense_rows(q0, q1)
+                        qi, ri, sc = _l2_topk(cm, block, out, ids, k)
+                        pool = add(pool, rb, qi + q0, ri, sc, ids)
+                        continue
                     if qm is None:
                         d = Q.sparse_dots(cm, q0, q1)
                     else:
                         d = _dots(cm, qm[qs_], None if q32 is None else q32[qs_], q_abs)
                     s = _scores(cm, None, qn[qs_], metric, d)
-                    if exclude_self:
-                        s[ids[:, None] == qids[qs_][None, :]] = -np.inf
-                    if cells is not None:
-                        # IVF: a question only scores rows of the cells it probes
-                        s[~cells[cells_all[r0:r0 + rb.num_rows]][:, qs_]] = -np.inf
+                    s[out] = -np.inf
                     qi, ri = _topk_rows(s, ids, k)
                     keep = np.isfinite(s[ri, qi])
                     qi, ri = qi[keep], ri[keep]
-                    part = pa.table({"_qi": pa.array(qi + q0), "score": pa.array(s[ri, qi]),
-                                     "cand_id": pa.array(ids[ri])}
-                                    | {c: rb.column(c).take(pa.array(ri)) for c in carry})
-                    pool = part if pool is None else pa.concat_tables([pool, part])
-                    if pool.num_rows > 8 * k * len(qids):
-                        pool = reduce_pool(pool)
+                    pool = add(pool, rb, qi + q0, ri, s[ri, qi], ids)
         if pool is None or pool.num_rows == 0:
             return
         pool = reduce_pool(pool)
@@ -212,23 +252,18 @@ def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequenc
     return run
 
 
-MERGE_FANIN = 1024   # per-task partial lists merged in one step at most
-
+MERGE_BUCKETS = 64   # buckets of tasks in the first step of a merge
 
-def _rank(partials: DataFrame, k: int, cand_id: str, n_parts: int = 1) -> DataFrame:
-    """Merge per-task top-k lists into the global top-k per question.
 
-    With more than ``MERGE_FANIN`` producing tasks the merge has two levels
-    (question x task bucket, then question), so no merge task receives more
-    than about ``max(fan-in, tasks / fan-in) x k`` rows per question.
-    """
+def _rank(partials: DataFrame, k: int, cand_id: str) -> DataFrame:
+    """Merge per-task top-k lists into the global top-k per question, in two
+    steps (question x bucket of tasks, then question), so no merge task gets
+    the lists of all tasks.  Rows are (query_id, score, id) only."""
     order = [F.col("score").desc(), F.col(cand_id).asc()]
-    if n_parts > MERGE_FANIN:
-        buckets = int(math.ceil(math.sqrt(n_parts)))
-        w1 = Window.partitionBy("query_id", "_b").orderBy(*order)
-        partials = (partials.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(buckets)))
-                            .withColumn("_r", F.row_number().over(w1))
-                            .filter(F.col("_r") <= k).drop("_b", "_r"))
+    w1 = Window.partitionBy("query_id", "_b").orderBy(*order)
+    partials = (partials.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(MERGE_BUCKETS)))
+                        .withColumn("_r", F.row_number().over(w1))
+                        .filter(F.col("_r") <= k).drop("_b", "_r"))
     w = Window.partitionBy("query_id").orderBy(*order)
     return (partials.withColumn("rank", F.row_number().over(w))
                     .filter(F.col("rank") <= k))
@@ -261,6 +296,12 @@ class QuestionMatrix:
         out[rows, self.indices] = self.values
         return out
 
+    def dense_rows(self, q0: int, q1: int) -> np.ndarray:
+        a, b = int(self.indptr[q0]), int(self.indptr[q1])
+        out = np.zeros((q1 - q0, self.dim))
+        out[np.repeat(np.arange(q1 - q0), np.diff(self.indptr[q0:q1 + 1])), self.indices[a:b]] = self.values[a:b]
+        return out
+
     @property
     def nbytes(self) -> int:
         if self.dense is not None:
@@ -288,6 +329,8 @@ def _broadcast_queries(queries: DataFrame, query_id: str, query_vec: str, metric
     qids = tbl.column("q").to_numpy().astype(np.int64)
     if not sparse_dim:
         qm = _matrix(tbl.column("v"))
+        if not np.isfinite(qm).all():
+            raise ValueError(f"question {int(qids[~np.isfinite(qm).all(axis=1)][0])} has a vector with NaN or infinity")
         return QuestionMatrix(qids, qm.shape[1] if qm.ndim == 2 else 0, dense=qm)
     from docsift.operators.embedding import sparse_hex
     col = tbl.column("v").combine_chunks() if len(qids) else pa.array([], pa.list_(pa.string()))
@@ -320,8 +363,14 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
 
     def one(qb):
         return _knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                          carry, exclude_self, sparse_dim=cand_sparse_dim, query_sparse_dim=query_sparse_dim)
-    return _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one, query_sparse_dim)
+                          (), exclude_self, sparse_dim=cand_sparse_dim, query_sparse_dim=query_sparse_dim)
+    hits = _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one, query_sparse_dim)
+    extra = [c for c in carry if c != cand_id]
+    if not extra:
+        return hits.select("query_id", "rank", "score", cand_id, *[c for c in carry if c == cand_id])
+    # only ids and scores are merged; what a hit carries joins the questions x k winners
+    late = candidates.select(F.col(cand_id).cast("long").alias(cand_id), *extra)
+    return hits.join(late, cand_id).select("query_id", "rank", "score", cand_id, *carry)
 
 
 def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_bytes: int, run,
@@ -375,8 +424,7 @@ def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, can
     inner_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
                                  T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry])
     partials = src.mapInArrow(fn, inner_schema).withColumnRenamed("cand_id", cand_id)
-    n_parts = src.rdd.getNumPartitions() if MERGE_FANIN else 1
-    return _rank(partials, k, cand_id, n_parts).select("query_id", "rank", "score", cand_id, *carry)
+    return _rank(partials, k, cand_id).select("query_id", "rank", "score", cand_id, *carry)
 
 
 # ---------------------------------------------------------------- text search
@@ -525,6 +573,8 @@ def _knn_ivf_block(queries, index, centroids, k, nprobe, metric, query_id, query
                    carry, exclude_self, exact, radii):
     Qm = _broadcast_queries(queries, query_id, query_vec, metric)
     qids, qm = Qm.ids, Qm.dense
+    if not len(qids):
+        return _knn_block(queries, index, k, metric, query_id, query_vec, cand_id, cand_vec, carry, exclude_self)
     cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
     qn = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-12)
     probe = np.argsort(-(qn @ cn.T), axis=1, kind="stable")[:, :nprobe]
@@ -541,7 +591,8 @@ def _knn_ivf_block(queries, index, centroids, k, nprobe, metric, query_id, query
              first.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).collect()}
     kth = np.array([found.get(int(q), (-np.inf, 0))[0] if found.get(int(q), (0, 0))[1] >= k else -np.inf
                     for q in qids])
-    d = np.linalg.norm(qn[:, None, :] - centroids[None, :, :], axis=2)          # (Q, cells)
+    d2 = (qn * qn).sum(axis=1)[:, None] + (centroids * centroids).sum(axis=1)[None, :] - 2.0 * (qn @ centroids.T)
+    d = np.sqrt(np.maximum(d2, 0.0))                                            # (questions, cells)
     upper = 1.0 - np.maximum(d - radii[None, :], 0.0) ** 2 / 2.0
     more = ((upper + 1e-5) >= kth[:, None]).T & ~cells                          # (cells, Q)
     if not more.any():

@@ -402,17 +402,26 @@ def q_split_headings(spark, sf_dir):
 # ------------------------------------------------------------------ index maintenance
 
 @register("diff_snapshots", f"""
-WITH o AS (SELECT doc_id, text FROM documents WHERE lang IN ('en', 'fr')),
-n AS (SELECT doc_id, {Q.clean('text')} AS text FROM documents WHERE lang IN ('en', 'de'))
+WITH o AS (SELECT doc_id, text, CASE WHEN lang = 'fr' THEN source END AS a, CASE WHEN lang <> 'fr' THEN source END AS b
+           FROM documents WHERE lang <> 'es'),
+n AS (SELECT doc_id, {Q.clean('text')} AS text, CASE WHEN lang <> 'fr' THEN NULL ELSE source END AS a, source AS b
+      FROM documents WHERE lang <> 'de')
 SELECT coalesce(n.doc_id, o.doc_id) AS doc_id,
-       CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change_type
+       CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete' ELSE 'update' END AS change_type,
+       n.a AS a, n.b AS b
 FROM o FULL OUTER JOIN n ON o.doc_id = n.doc_id
-WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text IS DISTINCT FROM n.text""")
+WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text IS DISTINCT FROM n.text OR o.a IS DISTINCT FROM n.a
+   OR o.b IS DISTINCT FROM n.b""")
 def q_diff_snapshots(spark, sf_dir):
+    """Every document is in at least one snapshot (each leaves out another
+    language); two nullable columns change side by rule."""
     d = table(spark, sf_dir, "documents")
-    old = d.filter(F.col("lang").isin("en", "fr")).select("doc_id", "text")
-    new = d.filter(F.col("lang").isin("en", "de")).select("doc_id", T.clean_text("text").alias("text"))
-    return IX.diff_snapshots(old, new, "doc_id", ["text"]).select("doc_id", "change_type")
+    fr = F.col("lang") == "fr"
+    old = d.filter(F.col("lang") != "es").select(
+        "doc_id", "text", F.when(fr, F.col("source")).alias("a"), F.when(~fr, F.col("source")).alias("b"))
+    new = d.filter(F.col("lang") != "de").select(
+        "doc_id", T.clean_text("text").alias("text"), F.when(fr, F.col("source")).alias("a"), F.col("source").alias("b"))
+    return IX.diff_snapshots(old, new, "doc_id", ["text", "a", "b"]).select("doc_id", "change_type", "a", "b")
 
 
 @register("upsert_index", f"""
@@ -598,10 +607,14 @@ def q_knn_ivf_exact(spark, sf_dir):
                      exclude_self=True, exact=True)
 
 
-@register("knn_ivf")
+@register("knn_ivf", _knn_sql("dot", 5))
 def q_knn_ivf(spark, sf_dir):
-    """SCH-6: k-means cells, 2 of 8 probed; approximate, rows-only check."""
-    return _ivf(spark, sf_dir)[2]
+    """SCH-6 with every cell probed: complete for any metric, here dot product."""
+    e = spread(table(spark, sf_dir, "embeddings"))
+    q = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    cen = S.train_centroids(e, IVF_LISTS)
+    return S.knn_ivf(q, S.assign_cells(e, cen), cen, k=5, nprobe=IVF_LISTS, metric="dot", query_id="query_id",
+                     cand_id="vec_id", exclude_self=True)
 
 
 @register("ivf_recall")

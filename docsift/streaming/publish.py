@@ -19,12 +19,40 @@ from docsift.session import checkpoint_root
 
 
 def checkpoint_for(spark: SparkSession, target: str, root: str | None = None) -> str:
-    """Checkpoint folder derived from the *target* name (one per table)."""
-    root = root or checkpoint_root(spark)
+    """Checkpoint folder derived from the *target* name (one per table).
+
+    The root must be configured (``spark.checkpoint.dir``) or given: a folder
+    made up per process would start the stream anew after a restart, and the
+    sink would skip the batches it has already committed.
+    """
+    if root is None:
+        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir (or give a checkpoint): streams need a folder that outlives the process")
     safe = re.sub(r"[^A-Za-z0-9_.-]", "_", target)
     return os.path.join(root, "streams", safe)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def refuse_new_checkpoint(spark: SparkSession, sink: str | None, checkpoint: str) -> None:
+    """A sink with committed batches and a checkpoint without any: the new
+    stream's first batches would be taken for those already written and be
+    lost.  Fail instead."""
+    if sink and _exists(spark, os.path.join(sink, "_spark_metadata")) and not _exists(spark, os.path.join(checkpoint, "offsets")):
+        raise ValueError(f"{sink} holds committed batches, but {checkpoint} is new; use its old checkpoint or a new target")
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    if not table_exists(spark, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()   # one row
+    return rows[0].data_type if rows else None
+
+
 def publish_stream(df: DataFrame, table: str | None = None, path: str | None = None,
                    checkpoint: str | None = None, fmt: str = "parquet", partition_by=None,
                    await_done: bool = True):
@@ -37,6 +65,7 @@ def publish_stream(df: DataFrame, table: str | None = None, path: str | None = N
         raise ValueError("give exactly one of table or path")
     spark = df.sparkSession
     ck = checkpoint or checkpoint_for(spark, table or path)
+    refuse_new_checkpoint(spark, path or table_location(spark, table), ck)
     w = (df.writeStream.format(fmt).outputMode("append").trigger(availableNow=True)
            .option("checkpointLocation", ck))
     if partition_by:

@@ -153,3 +153,17 @@ def test_semantic_engines_agree(spark):
         a = dict(df.select("id", C.chunk_semantic_col("t", thr, size)).collect())
         b = dict(df.select("id", C.chunk_semantic_arrow_col("t", thr, size)).collect())
         assert a == b, (thr, size)
+
+
+def test_topics_of_sentences_without_terms(spark):
+    from docsift.operators import chunking as CK
+    rows = [(d, i, t) for d in range(6) for i, t in enumerate(["red fox runs.", " !!! ", "red fox sleeps.", "stock market falls.", "..."])]
+    rows += [(9, 0, " ? "), (9, 1, "red fox runs."), (10, 0, "--"), (10, 1, "!!")]
+    got = CK.chunk_topics(spark.createDataFrame(rows, "doc_id long, sent_no int, sentence string"), k=2, max_iter=5).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.chunk_no)):
+        by.setdefault(r.doc_id, []).append(r)
+    for d, chunks in by.items():
+        assert "".join(c.content for c in chunks) == "".join(t for x, _, t in rows if x == d)
+        assert all(a.topic != b.topic for a, b in zip(chunks, chunks[1:]))
+    assert len(by[9]) == 1 and len(by[10]) == 1 and by[10][0].topic == 0

@@ -1,3 +1,4 @@
+import os
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,12 +104,42 @@ def test_log_rows_schema(spark):
     assert log.schema == MO.ANSWER_LOG_SCHEMA or [f.name for f in log.schema] == [f.name for f in MO.ANSWER_LOG_SCHEMA]
 
 
-def test_drop_boilerplate_both_paths_agree(spark):
+def test_drop_boilerplate_lines(spark):
     docs = spark.createDataFrame([(i, f"s{i % 2}", f"head\nbody {i}\n\nfoot {i % 2}\nhead") for i in range(12)],
                                  "doc_id long, source string, text string")
     a = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3).collect()))
-    b = sorted(map(tuple, CL.drop_boilerplate_lines(docs, min_docs=3, max_broadcast_lines=0).collect()))
-    assert a == b and a[0][3] == 3
+    assert a == [(i, f"s{i % 2}", f"body {i}\n", 3) for i in range(12)]
+    odd = docs.unionByName(spark.createDataFrame([(99, "s0", None), (98, None, "head"), (0, "s0", "own\nhead"), (0, "s0", "own\nhead")], docs.schema))
+    got = [tuple(r) for r in CL.drop_boilerplate_lines(odd, min_docs=3).collect() if r.doc_id in (99, 98, 0)]
+    assert sorted(got, key=str) == sorted([(99, "s0", None, 0), (98, None, "head", 0), (0, "s0", "own", 1), (0, "s0", "own", 1),
+                                           (0, "s0", "body 0\n", 3)], key=str)
+
+
+def test_diff_sees_moved_and_nulled_values(spark):
+    s = "k long, a string, b string"
+    old = spark.createDataFrame([(1, "x", None), (2, "x", "y"), (3, None, None), (4, "q", "q")], s)
+    new = spark.createDataFrame([(1, None, "x"), (2, "x", None), (3, None, None), (5, None, None)], s)
+    got = {(r.k, r.change_type) for r in IX.diff_snapshots(old, new, "k").collect()}
+    assert got == {(1, "update"), (2, "update"), (4, "delete"), (5, "insert")}
+
+
+def test_upserts_with_equal_and_null_versions(spark):
+    base = spark.createDataFrame([(1, "old")], "k long, t string")
+    s = "k long, t string, op string, version int"
+    tied = [(1, "a", "upsert", 3), (1, "b", "upsert", 3), (1, "z", "upsert", 2)]
+    for rows in (tied, tied[::-1]):
+        assert [tuple(r) for r in IX.apply_changes(base, spark.createDataFrame(rows, s), "k").collect()] == [(1, "b")]
+    with pytest.raises(Exception, match="null version"):
+        IX.apply_changes(base, spark.createDataFrame([(1, "a", "upsert", None)], s), "k").collect()
+
+
+def test_unfinished_snapshot_is_not_read(spark, scratch_dir):
+    root = os.path.join(scratch_dir, "snap")
+    IX.write_snapshot(spark.createDataFrame([(1,)], "k long"), root)
+    IX.write_snapshot(spark.createDataFrame([(2,)], "k long"), root)
+    os.rename(os.path.join(root, "v=1", "_SUCCESS"), os.path.join(root, "v=1", "_cut"))
+    assert [r.k for r in IX.read_latest(spark, root).collect()] == [1]
+    assert IX.next_version_path(root, spark)[1] == 2
 
 
 def test_scale_conf():

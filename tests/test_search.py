@@ -141,13 +141,13 @@ def test_float32_dots_exact_for_integer_vectors():
     assert np.array_equal(S._dots(frac, qm, qm.astype(np.float32), 1.0), frac @ qm.T)
 
 
-def test_two_level_merge_equals_single(spark, monkeypatch):
+def test_merge_does_not_depend_on_buckets(spark, monkeypatch):
     rng = np.random.default_rng(12)
     q = rng.normal(size=(3, 4)).astype(np.float32)
     c = rng.normal(size=(120, 4)).astype(np.float32)
     qdf, cdf = frames(spark, q, c)
     a = as_dict(S.knn(qdf, cdf.repartition(12), k=5))
-    monkeypatch.setattr(S, "MERGE_FANIN", 2)
+    monkeypatch.setattr(S, "MERGE_BUCKETS", 2)
     b_df = S.knn(qdf, cdf.repartition(12), k=5)
     assert "_b" not in b_df.columns
     assert as_dict(b_df) == a
@@ -193,3 +193,40 @@ def test_sparse_gather_path_equals_dense_path(spark, monkeypatch):
     monkeypatch.setattr(S, "MAX_SCORES", 100)
     c = S.search_text(qs, chunks, k=3, dim=64, carry=("path",)).orderBy("query_id", "rank").collect()
     assert a == b == c
+
+
+def test_vectors_with_nan_are_never_hits(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<float>")
+    c = spark.createDataFrame([(1, [1.0, float("nan")]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [float("inf"), 1.0])],
+                              "chunk_id long, embedding array<float>")
+    for metric in S.METRICS:
+        assert [r.chunk_id for r in S.knn(q, c, k=2, metric=metric).orderBy("rank").collect()] == [2, 3]
+    bad = spark.createDataFrame([(1, [float("nan"), 0.0])], "query_id long, embedding array<float>")
+    with pytest.raises(ValueError, match="NaN"):
+        S.knn(bad, c, k=2)
+
+
+def test_l2_keeps_small_distances_between_long_vectors(spark):
+    base = np.full(64, 462.5)
+    near = [base + d * np.eye(64)[0] for d in (0.0003, 0.0001, 0.0002, 5.0)]
+    q = spark.createDataFrame([(1, base.tolist())], "query_id long, embedding array<double>")
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(near)], "chunk_id long, embedding array<double>")
+    got = [(r.chunk_id, r.score) for r in S.knn(q, c, k=3, metric="l2").orderBy("rank").collect()]
+    assert got == [(1, -0.0001), (2, -0.0002), (0, -0.0003)]
+
+
+def test_no_content_below_the_merge(spark):
+    q = spark.createDataFrame([(1, "red fox")], "query_id long, question string")
+    c = spark.createDataFrame([(1, "p", "red fox"), (2, "p", "blue")], "chunk_id long, path string, content string")
+    hits = S.search_text(q, c, k=1)
+    assert [(r.chunk_id, r.content) for r in hits.collect()] == [(1, "red fox")]
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    merge = plan[plan.index("Window"):]
+    assert "content#" not in merge[:merge.index("MapInArrow")]
+
+
+def test_ivf_without_questions(spark):
+    c = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "chunk_id long, embedding array<float>")
+    cen = np.eye(2)
+    q = spark.createDataFrame([], "query_id long, embedding array<float>")
+    assert S.knn_ivf(q, S.assign_cells(c, cen), cen, k=1).collect() == []

@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from pyspark.sql import functions as F
@@ -225,3 +226,15 @@ def test_qa_tables_and_monitoring(spark, scratch_dir):
     assert sorted(r["request_id"] for r in log.collect()) == ["conv-7", "conv-8", "q-1"]
     m = qa.monitor_log(log, term_counts(docs), out_path=os.path.join(scratch_dir, "metrics")).collect()
     assert len(m) == 1 and m[0]["n_answers"] == 3 and abs(m[0]["refusal_rate"] - 1 / 3) < 1e-6
+
+
+def test_a_new_checkpoint_on_a_committed_sink_is_refused(spark, scratch_dir):
+    src, out = os.path.join(scratch_dir, "in"), os.path.join(scratch_dir, "out")
+    os.makedirs(src)
+    write(src, "a.txt", "one")
+    P.publish_stream(SF.read_files_stream(spark, src, suffix="txt"), path=out, checkpoint=os.path.join(scratch_dir, "c1"))
+    write(src, "b.txt", "two")
+    with pytest.raises(ValueError, match="is new"):
+        P.publish_stream(SF.read_files_stream(spark, src, suffix="txt"), path=out, checkpoint=os.path.join(scratch_dir, "c2"))
+    P.publish_stream(SF.read_files_stream(spark, src, suffix="txt"), path=out, checkpoint=os.path.join(scratch_dir, "c1"))
+    assert spark.read.parquet(out).count() == 2
