@@ -36,3 +36,16 @@ def run_ingest(spark: SparkSession, folder: str, raw_table: str, chunk_table: st
     publish_stream(read_files_stream(spark, folder, pattern, suffix), table=raw_table)
     publish_stream(chunk_files(read_table_stream(spark, raw_table), extractor, size, overlap), table=chunk_table)
     publish_stream(embed_chunks(read_table_stream(spark, chunk_table), dim), table=emb_table)
+
+
+def run_index(spark: SparkSession, chunk_table: str, root: str, centroids=None, dim: int = 256) -> str:
+    """SCH-7: bring the versioned index under ``root`` in step with the chunk
+    table and write the next snapshot; only new and changed chunks are
+    embedded.  Returns the snapshot's path."""
+    from docsift.operators import index as IX
+    try:
+        old = IX.read_latest(spark, root)
+    except FileNotFoundError:
+        old = None
+    source = spark.table(chunk_table).select("chunk_id", "path", "chunk_no", "content")
+    return IX.write_snapshot(IX.sync_index(old, source, "chunk_id", centroids, lambda d: embed_chunks(d, dim)), root)

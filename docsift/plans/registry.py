@@ -446,6 +446,23 @@ def q_upsert_index(spark, sf_dir):
     return IX.apply_changes(d, newer.unionByName(older), "doc_id")
 
 
+@register("sync_index", f"""
+WITH src AS (SELECT doc_id, lang, {Q.clean('text')} AS content FROM documents WHERE lang <> 'de'),
+p AS {Q.postings('src', 'doc_id', 'content', DIM)}
+SELECT src.doc_id, src.lang, count(p.bucket)::INTEGER AS n_nonzero, coalesce(sum(p.weight * p.weight), 0)::BIGINT AS norm2
+FROM src LEFT JOIN p ON p.id = src.doc_id GROUP BY src.doc_id, src.lang""")
+def q_sync_index(spark, sf_dir):
+    """SCH-7: an index of raw texts without Spanish is brought in step with
+    cleaned texts without German; it must equal an index built anew."""
+    d = table(spark, sf_dir, "documents")
+    embed = lambda x: x.withColumn("embedding", E.hash_vector(F.col("content"), DIM))
+    old = embed(d.filter(F.col("lang") != "es").select("doc_id", "lang", F.col("text").alias("content")))
+    source = d.filter(F.col("lang") != "de").select("doc_id", "lang", T.clean_text("text").alias("content"))
+    new = IX.sync_index(old, source, "doc_id", None, embed)
+    return new.select("doc_id", "lang", F.size(F.filter("embedding", lambda x: x != 0)).alias("n_nonzero"),
+                      F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).cast("long").alias("norm2"))
+
+
 # ------------------------------------------------------------------ monitoring
 
 def _answers(spark, sf_dir) -> DataFrame:
