@@ -12,18 +12,22 @@ sets are one point (a class) with many documents.
    the regions of just those pivots, its window, and every link meets in a
    region.  Sizes and places in the order give a bound on the overlap that
    drops most other pairs.
-2. *Pivots inside a region.*  In each region one point, the same one in
-   neighbouring regions as far as possible, is the pivot; its exact distance
-   to the others is computed.  All points of its ball (distance <= r) link to
-   it and need no comparison with each other to be connected.
+2. *Pivots inside a region.*  Regions of up to ``SMALL`` points are compared
+   whole.  In larger ones a point meets the pivot of its first such region;
+   all points of a pivot's ball (distance <= r) link to it and need no
+   comparison with each other to be connected.
 3. *Recursion.*  Regions whose points are one component are closed.  In an
-   open region every component but its largest in turn supplies pivots, up
-   to ``PIVOTS`` a round, compared with all points of other components except
+   open region every component but its largest in turn supplies pivots,
+   ``PIVOTS`` a round, compared with all points of other components except
    where the triangle inequality rules a link out: points of one Voronoi cell
    (nearest pivot) whose distances to that pivot differ by more than ``r``.
    Rounds go on until no region has a pivot left, so no link between
    components is missed.
 
+A pair that meets in many regions is listed once.  Bit sketches (a bit per
+class of shingles) bound the overlap of what is left from above and drop most
+pairs that do not link; the rest are compared exactly.
+
 Which shingles count as frequent changes the work, never the result: a
 shingle is noted where a batch of documents has it several times, and counts
 are summed over all batches.
@@ -52,7 +56,9 @@ from docsift.llm.native import whole
 
 SHINGLE = 5
 NUM, DEN = 75, 100                  # similarity at least NUM / DEN
-PIVOTS = 64
+#: regions of up to so many points are compared whole; pivots a round in larger ones, first and later
+SMALL, PIVOTS = 16, (16, 128)
+SKETCH_BITS = 2048
 #: a shingle is noted if a batch has it in so many points, and frequent with so many noted in all
 NOTED, FREQUENT = 3, 24
 #: bound of the broadcast table of frequent shingles (16 bytes each); the most frequent ones
@@ -107,19 +113,20 @@ def frequent(docs: DataFrame, size: int) -> DataFrame:
 
 
 def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
-    """(doc_id, key, point, n, window): a row per document; ``window`` holds the
-    32-bit keys of the point's pivots in order, null where the same task has
-    already listed the point."""
+    """(doc_id, key, point, n, window, sketch): a row per document; ``window``
+    holds the 32-bit keys of the point's pivots in order, ``sketch`` a bit per
+    class of shingles; both are null where the same task has listed the point."""
     shipped = docs.sparkSession.sparkContext.broadcast(late)
 
     def run(batches):
         late_h, late_n = shipped.value
         seen: set[int] = set()
         for b in batches:
-            ids, ns, wins = [], [], []
+            ids, ns, wins, sketches = [], [], [], []
             for u in point_sets(b.column("_text"), size):
                 n = len(u)
                 ns.append(n)
+                sketches.append(None)
                 if not n:
                     ids.append(None)
                     wins.append(None)
@@ -139,34 +146,59 @@ def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> D
                     if is_late.any():
                         rest = u[is_late]
                         u = np.concatenate([u[~is_late], rest[np.lexsort((rest, late_n[at[is_late]]))]])
+                bits = np.zeros(SKETCH_BITS, np.uint8)
+                bits[(u % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
+                sketches[-1] = np.packbits(bits).tobytes()
                 w = u[:window_length(n)]
-                wins.append((w ^ (w >> np.uint64(32))).astype(np.uint32).view(np.int32))
+                w = (w ^ (w >> np.uint64(32))).astype(np.uint32).view(np.int32)
+                wins.append(w[np.sort(np.unique(w, return_index=True)[1])])     # of clashing keys the first
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("key"), pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(wins, pa.list_(pa.int32()))],
-                ["doc_id", "key", "point", "n", "window"])
+                [b.column("doc_id"), b.column("key"), pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(wins, pa.list_(pa.int32())),
+                 pa.array(sketches, pa.binary())], ["doc_id", "key", "point", "n", "window", "sketch"])
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), whole().alias("_text"))
-    return src.mapInArrow(run, "doc_id long, key long, point long, n int, window array<int>")
+    return src.mapInArrow(run, "doc_id long, key long, point long, n int, window array<int>, sketch binary")
 
 
-def regions(pts: DataFrame) -> DataFrame:
-    """(region, point, n, i, pivot, pn, pi): members of regions with at least two
-    points, each with the region's first pivot.  One sort per region, no buffer:
-    neighbours in the order tell whether a region has a second point."""
-    m = pts.where(F.col("window").isNotNull()).select("point", "n", F.posexplode("window").alias("i", "region"))
-    w = Window.partitionBy("region").orderBy("point", F.desc("i"))
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    m = m.select("region", "point", "n", "i", F.lead("point").over(w).alias("_after"),
-                 F.first("point").over(run).alias("pivot"), F.first("n").over(run).alias("pn"), F.first("i").over(run).alias("pi"))
-    last = F.col("_after").isNull() | (F.col("_after") != F.col("point"))       # of several listings by several tasks
-    other = (F.col("pivot") != F.col("point")) | F.col("_after").isNotNull()
-    return m.where(last & other).drop("_after")
+def possible(x: dict[str, Column], y: dict[str, Column]) -> Column:
+    """Sizes and places allow a link whose first shared shingle is this region's."""
+    need = F.ceil((x["n"] + y["n"]) * F.lit(NUM) / F.lit(float(NUM + DEN)) - 1e-9)
+    return ((x["n"] * DEN >= y["n"] * NUM) & (y["n"] * DEN >= x["n"] * NUM)
+            & (F.least(x["n"] - x["i"], y["n"] - y["i"]) >= need))
+
 
+def fields(c: Column) -> dict[str, Column]:
+    return {k: c[k] for k in ("point", "n", "i")}
 
-def possible(n: str, i: str, pn: str, pi: str) -> Column:
-    """Sizes and places allow a link whose first shared shingle is this pivot."""
-    need = F.ceil((F.col(n) + F.col(pn)) * F.lit(NUM) / F.lit(float(NUM + DEN)) - 1e-9)
-    return ((F.col(n) * DEN >= F.col(pn) * NUM) & (F.col(pn) * DEN >= F.col(n) * NUM)
-            & (F.least(F.col(n) - F.col(i), F.col(pn) - F.col(pi)) >= need))
+
+def row() -> dict[str, Column]:
+    return {k: F.col(k) for k in ("point", "n", "i")}
+
+
+def regions(pts: DataFrame) -> DataFrame:
+    """(region, point, n, i, size, first, others): members of regions with at
+    least two points.  ``first`` is the region's first pivot; in regions of up
+    to ``SMALL`` points ``others`` lists the points before this one that it
+    may link to.  One shuffle by region serves all of it."""
+    m = pts.where(F.col("window").isNotNull()).select("point", "n", F.posexplode("window").alias("i", "region"))
+    w = Window.partitionBy("region").orderBy("point")
+    m = m.withColumn("_after", F.lead("point").over(w)).where(F.col("_after").isNull() | (F.col("_after") != F.col("point")))
+    me = F.struct("point", "n", "i")
+    m = m.select("region", "point", "n", "i", F.row_number().over(w).alias("_rn"), F.col("_after").isNotNull().alias("_more"),
+                 F.first(me).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("first"))
+    m = m.where((F.col("_rn") > 1) | F.col("_more"))
+    m = m.withColumn("size", F.max("_rn").over(Window.partitionBy("region")))
+    before = F.collect_list(F.when(F.col("size") <= SMALL, me)).over(w.rowsBetween(1 - SMALL, -1))
+    others = F.transform(F.filter(before, lambda p: possible(fields(p), row())), lambda p: p["point"])
+    return m.select("region", "point", "n", "i", "size", "first", others.alias("others"))
+
+
+def pairs_of(lists: DataFrame) -> DataFrame:
+    """(a, b), a < b, distinct, from (point, others): a point's lists come
+    together first (at most as long as its window times the list bound), so
+    a pair that meets in many regions is one row."""
+    one = lists.where(F.size("others") > 0).groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("o"))
+    p = one.select("point", F.explode("o").alias("o"))
+    return p.select(F.least("point", "o").alias("a"), F.greatest("point", "o").alias("b")).distinct()
 
 
 # ---------------------------------------------------------------- exact distances
@@ -210,6 +242,25 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return made.join(wanted, "key").select("point", "s").dropDuplicates(["point"])
 
 
+def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs whose bit sketches allow a link: shared shingles are at most the
+    bits in common plus the shingles of the one that share a bit."""
+    j = pairs.join(sketches.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
+        .join(sketches.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 4096):
+                c = b.slice(lo, 4096)
+                x, y = (np.frombuffer(b"".join(c.column(k).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64) for k in ("sa", "sb"))
+                na, nb = c.column("na").to_numpy(), c.column("nb").to_numpy()
+                count = lambda v: np.bitwise_count(v).sum(1, dtype=np.int64)
+                most = count(x & y) + np.minimum(na - count(x), nb - count(y))
+                ok = pa.array(DEN * most >= NUM * (na + nb - most))
+                yield pa.RecordBatch.from_arrays([c.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
+    return j.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
 def unpack(raw) -> np.ndarray:
     b = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     out = np.zeros((len(b), 8), np.uint8)
@@ -272,14 +323,21 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
     """(node, comp) of all points with a link to another point."""
     spark = docs.sparkSession
     reg = stage(regions(pts), "regions")
-    reps = pts.where(F.col("window").isNotNull()).groupBy("point").agg(F.min("key").alias("key"))
-    pairs = reg.where((F.col("pivot") != F.col("point")) & possible("n", "i", "pn", "pi")) \
-        .select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct()
-    reg = reg.select("region", "point", "n", "i")
-    sets = checked = comps = done = None
+    listed = pts.where(F.col("window").isNotNull())
+    reps = listed.groupBy("point").agg(F.min("key").alias("key"))
+    sketches = listed.select("point", "n", "sketch").dropDuplicates(["point"])
+    hot = reg.where(F.col("size") > SMALL)
+    # small regions whole; in a hot region each point meets the pivot of its first hot region
+    home = Window.partitionBy("point").orderBy("i")
+    star = (hot.withColumn("_k", F.row_number().over(home)).where("_k = 1 and first.point <> point")
+            .where(possible(fields(F.col("first")), row())).select("point", F.array("first.point").alias("others")))
+    pairs = pairs_of(reg.where(F.col("size") <= SMALL).select("point", "others").unionByName(star))
+    reg = hot.select("region", "point", "n", "i", F.lit(False).alias("done"))
+    sets = checked = None
+    comps = spark.createDataFrame([], "node long, comp long")
     k = 0
     while True:
-        pairs = stage(pairs, f"pairs-{k}")
+        pairs = stage(plausible(pairs, sketches), f"pairs-{k}")
         wanted = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("point"), "point", "left_anti")
@@ -287,44 +345,51 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
         if not wanted.isEmpty():
             more = stage(sets_of(docs, wanted, size), f"sets-{k}")
             sets = more if sets is None else sets.unionByName(more)
-        if sets is None:
-            return spark.createDataFrame([], "node long, comp long")
-        found = stage(distances(pairs, sets), f"distances-{k}")
-        checked = found if checked is None else checked.unionByName(found)
-        comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if not pairs.isEmpty():
+            found = stage(distances(pairs, sets), f"distances-{k}")
+            checked = found if checked is None else checked.unionByName(found)
+            comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
         # Voronoi cell: nearest pivot so far, in either role
-        cell = (checked.select("a", "b", "dist").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
-                .groupBy(F.col("b").alias("point")).agg(F.min(F.struct("dist", "a")).alias("_near")))
-        m = (reg.join(comps.withColumnRenamed("node", "point"), "point", "left")
-             .withColumn("comp", F.coalesce("comp", "point")))
-        by = m.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("region") \
-            .agg(F.count(F.lit(1)).alias("_parts"), F.max(F.struct("c", "comp")).alias("_top"))
-        m = stage(m.join(by.where("_parts > 1").select("region", F.col("_top.comp").alias("_most")), "region")
-                  .join(cell, "point", "left"), f"open-{k}")
-        reg = m.select("region", "point", "n", "i")
-        turn = m.where("comp <> _most")
-        if done is not None:
-            turn = turn.join(done, ["region", "point"], "left_anti")
-        turn = turn.withColumn("_rn", F.row_number().over(Window.partitionBy("region").orderBy("point"))).where(F.col("_rn") <= PIVOTS)
-        turn = stage(turn, f"pivots-{k}")
+        near = spark.createDataFrame([], "point long, near struct<dist:double,a:bigint>") if checked is None else (
+            checked.select("a", "b", "dist").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
+            .groupBy(F.col("b").alias("point")).agg(F.min(F.struct("dist", "a")).alias("near")))
+        most_pivots = PIVOTS[min(k, len(PIVOTS) - 1)]
+        m = stage(open_regions(reg, comps, near, most_pivots), f"open-{k}")
         if rounds is not None:
-            rounds.append({"pairs": pairs.count(), "linked": found.where("linked").count(), "open": m.count(), "pivots": turn.count()})
-        if turn.isEmpty():
+            rounds.append({"pairs": pairs.count(), "open": m.count(), "pivots": m.where("turn").count()})
+        if m.isEmpty():
             return comps
-        now = turn.select("region", "point")
-        done = now if done is None else done.unionByName(now)
-        p = turn.select("region", F.col("point").alias("a"), F.col("n").alias("pn"), F.col("i").alias("pi"),
-                        F.col("comp").alias("pc"), F.col("_near").alias("_pnear"))
-        r = 1 - NUM / DEN + 1e-9
-        ruled_out = F.coalesce((F.col("_near.a") == F.col("_pnear.a")) & (F.abs(F.col("_near.dist") - F.col("_pnear.dist")) > r), F.lit(False))
-        pairs = (m.join(p, "region").where((F.col("comp") != F.col("pc")) & possible("n", "i", "pn", "pi") & ~ruled_out)
-                 .select("a", F.col("point").alias("b")).distinct())
-        # neither this pair nor its mirror twice
-        known = checked.select("a", "b").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = pairs.join(known, ["a", "b"], "left_anti").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs_of(m.select("point", "others"))
+        if checked is not None:
+            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        reg = m.select("region", "point", "n", "i", (F.col("done") | F.col("turn")).alias("done"))
         k += 1
 
 
+def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -> DataFrame:
+    """Members of regions where some point still has to be a pivot: it is of
+    another component than most of the region and has not been one.  ``turn``
+    marks up to ``most`` of them, ``others`` the turning pivots that a member
+    may link to.  One shuffle by region."""
+    m = (reg.join(comps.withColumnRenamed("node", "point"), "point", "left").join(near, "point", "left")
+         .withColumn("comp", F.coalesce("comp", "point")))
+    whole_region = Window.partitionBy("region")
+    m = m.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("region", "comp")))
+    m = m.withColumn("_most", F.max(F.struct("_c", "comp")).over(whole_region)["comp"])
+    m = m.withColumn("_due", ~F.col("done") & (F.col("comp") != F.col("_most")))
+    m = m.withColumn("_any", F.max("_due").over(whole_region)).where("_any")
+    m = m.withColumn("turn", F.col("_due") & (F.row_number().over(whole_region.orderBy(F.desc("_due"), "point")) <= most))
+    pivots = F.collect_list(F.when(F.col("turn"), F.struct("point", "n", "i", "comp", "near"))).over(whole_region)
+    r = 1 - NUM / DEN + 1e-9
+
+    def meets(p: Column) -> Column:
+        # triangle inequality inside a Voronoi cell: distances to its pivot differ by more than r
+        out = F.coalesce((p["near"]["a"] == F.col("near.a")) & (F.abs(p["near"]["dist"] - F.col("near.dist")) > r), F.lit(False))
+        return (p["comp"] != F.col("comp")) & possible(fields(p), row()) & ~out
+    others = F.transform(F.filter(pivots, meets), lambda p: p["point"])
+    return m.select("region", "point", "n", "i", "done", "turn", others.alias("others"))
+
+
 def components(docs: DataFrame, size: int = SHINGLE, rounds: list | None = None) -> DataFrame:
     """(doc_id, key, n_shingles, component_id, group) of every row; ``group`` is
     the same within a component of several rows and differs between all others."""

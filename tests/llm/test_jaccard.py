@@ -57,7 +57,9 @@ def corpus(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_all_pairs(spark, seed, monkeypatch):
     if seed == 2:                      # several rounds of pivots, and no order by frequency
-        monkeypatch.setattr(J, "PIVOTS", 3)
+        monkeypatch.setattr(J, "PIVOTS", (2, 3))
+        monkeypatch.setattr(J, "SMALL", 2)
+        monkeypatch.setattr(J, "SKETCH_BITS", 64)
         monkeypatch.setattr(J, "LATE", 0)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, 1, "p") for r in rows], "doc_id long, text string, n int, point string").repartition(5)
