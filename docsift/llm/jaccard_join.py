@@ -57,7 +57,7 @@ from docsift.llm.native import whole
 SHINGLE = 5
 NUM, DEN = 75, 100                  # similarity at least NUM / DEN
 #: regions of up to so many points are compared whole; pivots a round in larger ones, first and later
-SMALL, PIVOTS = 16, (16, 128)
+SMALL, PIVOTS = 16, (64, 512)
 SKETCH_BITS = 2048
 #: a shingle is noted if a batch has it in so many points, and frequent with so many noted in all
 NOTED, FREQUENT = 3, 24
