@@ -272,7 +272,8 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, dist, linked) of every pair.  The larger side of a star, the
     points, moves once; AQE splits a pivot that many points share."""
     j = pairs.join(sets.withColumnRenamed("s", "sb"), F.col("b") == F.col("point")).drop("point")
-    j = j.join(sets.withColumnRenamed("s", "sa"), F.col("a") == F.col("point")).drop("point")
+    pivots = sets.join(pairs.select(F.col("a").alias("point")).distinct(), "point", "left_semi").withColumnRenamed("s", "sa")
+    j = j.join(pivots, F.col("a") == F.col("point")).drop("point")
 
     def run(batches):
         known: dict[int, np.ndarray] = {}
@@ -325,28 +326,32 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
     reg = stage(regions(pts), "regions")
     listed = pts.where(F.col("window").isNotNull())
     reps = listed.groupBy("point").agg(F.min("key").alias("key"))
-    sketches = listed.select("point", "n", "sketch").dropDuplicates(["point"])
     hot = reg.where(F.col("size") > SMALL)
     # small regions whole; in a hot region each point meets the pivot of its first hot region
     home = Window.partitionBy("point").orderBy("i")
     star = (hot.withColumn("_k", F.row_number().over(home)).where("_k = 1 and first.point <> point")
             .where(possible(fields(F.col("first")), row())).select("point", F.array("first.point").alias("others")))
     pairs = pairs_of(reg.where(F.col("size") <= SMALL).select("point", "others").unionByName(star))
+    pairs = stage(pairs, "listed")
+    # sketches of the points that can still be asked for, moved once
+    asked = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).union(hot.select("point")).distinct()
+    sketches = stage(listed.select("point", "n", "sketch").join(asked, "point", "left_semi").dropDuplicates(["point"]), "sketches")
     reg = hot.select("region", "point", "n", "i", F.lit(False).alias("done"))
     sets = checked = None
     comps = spark.createDataFrame([], "node long, comp long")
     k = 0
     while True:
         pairs = stage(plausible(pairs, sketches), f"pairs-{k}")
-        wanted = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("point"), "point", "left_anti")
+        asked = stage(pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct(), f"asked-{k}")
+        wanted = asked if sets is None else asked.join(sets.select("point"), "point", "left_anti")
         wanted = stage(wanted.join(reps, "point"), f"wanted-{k}")
         if not wanted.isEmpty():
             more = stage(sets_of(docs, wanted, size), f"sets-{k}")
             sets = more if sets is None else sets.unionByName(more)
         if not pairs.isEmpty():
-            found = stage(distances(pairs, sets), f"distances-{k}")
+            # in later rounds a few of the sets so far; the list of them is small then, and sets stay where they are
+            some = sets if k == 0 else sets.join(asked, "point", "left_semi")
+            found = stage(distances(pairs, some), f"distances-{k}")
             checked = found if checked is None else checked.unionByName(found)
             comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
         # Voronoi cell: nearest pivot so far, in either role
