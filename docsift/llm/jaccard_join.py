@@ -24,6 +24,12 @@ sets are one point (a class) with many documents.
    Rounds go on until no region has a pivot left, so no link between
    components is missed.
 
+4. *Links.*  Both ends of a link lie in one component, so the links are found
+   by comparing all points of a component: large ones are dealt into blocks
+   by the point's hash, every two blocks meet in one task, and the sizes of
+   all intersections of two blocks come from products of 0/1 matrices.
+   Copies are never expanded: a class counts with its number of documents.
+
 A pair that meets in many regions is listed once.  Bit sketches (a bit per
 class of shingles) bound the overlap of what is left from above and drop most
 pairs that do not link; the rest are compared exactly.
@@ -39,8 +45,8 @@ in comparisons.  Tables between the steps lie in the shared folder.
 Cases: null and empty texts have the empty set and link with nothing;
 fewer words than a shingle are one shingle; repeated rows fall in one class;
 a null doc_id links like any other and counts last when the smallest id of a
-component is taken; further columns are ignored by ``components`` and kept by
-``keep_one``; an empty table gives an empty result.  Shingles are compared by
+component is taken; further columns are ignored by ``components``, ``joined``
+and ``link_pairs`` and kept by ``keep_one``; an empty table gives an empty result.  Shingles are compared by
 64-bit hashes, 48 bits of them in the exact comparison.
 """
 
@@ -64,6 +70,8 @@ NOTED, FREQUENT = 3, 24
 #: bound of the broadcast table of frequent shingles (16 bytes each); the most frequent ones
 LATE = 500_000
 BLOOM_BITS = 1 << 24
+#: points and shingles of a block of a component, about; columns of one matrix product
+BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 4096
 
 
 def row_key() -> Column:
@@ -320,8 +328,9 @@ def connect(edges: DataFrame) -> DataFrame:
     return out
 
 
-def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | None = None) -> DataFrame:
-    """(node, comp) of all points with a link to another point."""
+def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(node, comp) of all points with a link to another point, and (point, s)
+    with the sets of these points among others (None: no point was compared)."""
     spark = docs.sparkSession
     reg = stage(regions(pts), "regions")
     listed = pts.where(F.col("window").isNotNull())
@@ -363,7 +372,7 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
         if rounds is not None:
             rounds.append({"pairs": pairs.count(), "open": m.count(), "pivots": m.where("turn").count()})
         if m.isEmpty():
-            return comps
+            return comps, sets
         pairs = pairs_of(m.select("point", "others"))
         if checked is not None:
             pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
@@ -395,23 +404,132 @@ def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -
     return m.select("region", "point", "n", "i", "done", "turn", others.alias("others"))
 
 
-def components(docs: DataFrame, size: int = SHINGLE, rounds: list | None = None) -> DataFrame:
-    """(doc_id, key, n_shingles, component_id, group) of every row; ``group`` is
-    the same within a component of several rows and differs between all others."""
+# ---------------------------------------------------------------- links
+
+def block_pairs(pts: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(comp, i, j, b, point, docs, s): the points of block ``b`` of a component,
+    once for each block they meet; i and j <= i are the two blocks."""
+    docs = pts.where(F.col("point").isNotNull()).groupBy("point").agg(F.count(F.lit(1)).alias("docs"), F.first("n").alias("n"))
+    m = stage(comps.withColumnRenamed("node", "point").join(docs, "point"), "members")
+    many = m.groupBy("comp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("_k"))
+    m = m.join(many, "comp").withColumn("b", F.pmod(F.xxhash64("point"), F.col("_k")).cast("int")).join(sets, "point")
+    m = m.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    return m.select("comp", F.greatest("b", "_o").alias("i"), F.least("b", "_o").alias("j"), "b", "point", "docs", "s")
+
+
+def overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every set of ``y``."""
+    hx, hy = np.concatenate(x), np.concatenate(y)
+    shared = np.intersect1d(hx, hy)
+
+    def places(sets, h):
+        row = np.repeat(np.arange(len(sets)), [len(u) for u in sets])
+        at = np.minimum(np.searchsorted(shared, h), max(0, len(shared) - 1))
+        hit = np.flatnonzero(shared[at] == h) if len(shared) else np.zeros(0, int)
+        hit = hit[np.argsort(at[hit], kind="stable")]
+        return row[hit], at[hit]
+    (rx, cx), (ry, cy) = places(x, hx), places(y, hy)
+    out = np.zeros((len(x), len(y)), np.int64)
+    for lo in range(0, len(shared), COLUMNS):
+        part = []
+        for n, r, c in ((len(x), rx, cx), (len(y), ry, cy)):
+            p, q = np.searchsorted(c, [lo, lo + COLUMNS])
+            one = np.zeros((n, min(COLUMNS, len(shared) - lo)), np.float32)
+            one[r[p:q], c[p:q] - lo] = 1
+            part.append(one)
+        out += (part[0] @ part[1].T).astype(np.int64)
+    return out
+
+
+def compared(t: pa.Table):
+    """Points of two blocks (or of one and itself): their places in ``t``, and
+    which link and their similarity."""
+    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+    b = t.column("b").to_numpy()
+    x, y = np.flatnonzero(b == i), np.flatnonzero(b == j)
+    if not len(x) or not len(y):
+        return x, y, np.zeros((len(x), len(y)), bool), np.zeros((len(x), len(y)))
+    u = [unpack(v.as_buffer()) for v in t.column("s")]
+    n = np.array([len(v) for v in u])
+    inter = overlaps([u[k] for k in x], [u[k] for k in y])
+    total = n[x][:, None] + n[y][None, :] - inter
+    linked = NUM * total <= DEN * inter
+    if i == j:
+        np.fill_diagonal(linked, False)
+    return x, y, linked, inter / total
+
+
+def link_counts(pts: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(point, links): the number of documents of other classes that link to a point."""
+    def run(t: pa.Table) -> pa.Table:
+        x, y, linked, _ = compared(t)
+        point, docs = t.column("point").to_numpy(), t.column("docs").to_numpy()
+        at, links = [x], [linked @ docs[y]]
+        if t.column("i")[0] != t.column("j")[0]:
+            at.append(y)
+            links.append(docs[x] @ linked)
+        return pa.table({"point": pa.array(point[np.concatenate(at)], pa.int64()), "links": pa.array(np.concatenate(links), pa.int64())})
+    found = block_pairs(pts, comps, sets).groupBy("comp", "i", "j").applyInArrow(run, "point long, links long")
+    return found.groupBy("point").agg(F.sum("links").alias("links"))
+
+
+def analysed(docs: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The points of all rows, (node, comp), and the sets of the points in it."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     late = stage(frequent(docs, size), "frequent").toArrow()                      # at most LATE rows
     h, n = late.column("h").to_numpy().view(np.uint64), late.column("n").to_numpy()
     order = np.argsort(h)
     pts = stage(points(docs, (h[order], n[order]), size), "points")
-    comps = linked_points(docs, pts, size, rounds)
+    return pts, *linked_points(docs, pts, size, rounds)
+
+
+def labelled(pts: DataFrame, comps: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, group) of every row, and n_links if ``links`` are given."""
     # per point its smallest id; then per component; hot classes send one row per task
     least = pts.where(F.col("point").isNotNull()).groupBy("point").agg(F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_c"))
     by_point = least.join(comps.withColumnRenamed("node", "point"), "point", "left").withColumn("comp", F.coalesce("comp", "point"))
     by_comp = by_point.groupBy("comp").agg(F.min("_least").alias("component_id"), F.sum("_c").alias("_docs"))
-    shared = stage(by_point.join(by_comp.where("_docs > 1"), "comp").select("point", "comp", "component_id"), "shared")
-    return (pts.join(shared, "point", "left")
-            .select("doc_id", "key", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("comp", "key").alias("group")))
+    shared = by_point.join(by_comp.where("_docs > 1"), "comp")
+    cols = ["point", "comp", "component_id"]
+    if links is not None:
+        shared = shared.join(links, "point", "left").withColumn("n_links", F.col("_c") - 1 + F.coalesce("links", F.lit(0)))
+        cols.append("n_links")
+    j = pts.join(stage(shared.select(*cols), "shared"), "point", "left")
+    return j.select("doc_id", "key", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.coalesce("comp", "key").alias("group"), *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if links is not None else []))
+
+
+def components(docs: DataFrame, size: int = SHINGLE, rounds: list | None = None) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, group) of every row; ``group`` is
+    the same within a component of several rows and differs between all others."""
+    pts, comps, _ = analysed(docs, size, rounds)
+    return labelled(pts, comps)
+
+
+def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``components`` with ``n_links``: how many other rows a row links to."""
+    pts, comps, sets = analysed(docs, size)
+    links = docs.sparkSession.createDataFrame([], "point long, links long") if sets is None else stage(link_counts(pts, comps, sets), "links")
+    return labelled(pts, comps, links)
+
+
+def link_pairs(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """(a, b, similarity), a < b, of all linked pairs of classes; and (doc_id,
+    key, point), the class of every row with words. Rows of one class are equal
+    sets, which link as well and are not listed as pairs."""
+    pts, comps, sets = analysed(docs, size)
+    members = pts.where(F.col("point").isNotNull()).select("doc_id", "key", "point")
+
+    def run(t: pa.Table) -> pa.Table:
+        x, y, linked, sim = compared(t)
+        point = t.column("point").to_numpy()
+        p, q = np.nonzero(linked)
+        a, b = point[x[p]], point[y[q]]
+        once = (a < b) | (t.column("i")[0] != t.column("j")[0])
+        return pa.table({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once], "similarity": sim[p, q][once]})
+    if sets is None:
+        return docs.sparkSession.createDataFrame([], "a long, b long, similarity double"), members
+    return block_pairs(pts, comps, sets).groupBy("comp", "i", "j").applyInArrow(run, "a long, b long, similarity double"), members
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -424,4 +542,4 @@ def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+    return joined(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "n_shingles", "component_id", "n_links")

@@ -82,3 +82,26 @@ def test_long_texts(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert J.components(df).collect() == [] and J.keep_one(df).collect() == []
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_links_equal_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "COLUMNS", 64 if block == 7 else 4096)
+    rows = [(k, t) for k, (_, t) in enumerate(corpus(3))]
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    close = lambda x, y: bool(x & y) and 100 * len(x & y) >= 75 * len(x | y)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.n_links for r in J.joined(df).collect()}
+    assert got == {i: sum(close(sets[i], sets[j]) for j in range(len(rows)) if j != i) for i in range(len(rows))}
+    if block == 7:
+        pairs, members = J.link_pairs(df)
+        classes = {r.point: r.doc_id for r in members.collect()}
+        distinct = list(set(sets))
+        found = [(frozenset([sets[classes[r.a]], sets[classes[r.b]]]), round(r.similarity, 9)) for r in pairs.collect()]
+        want = {frozenset([x, y]): round(len(x & y) / len(x | y), 9) for i, x in enumerate(distinct) for y in distinct[:i] if close(x, y)}
+        assert len(found) == len(want) and dict(found) == want
+    assert J.joined(df.limit(0)).collect() == []
