@@ -1,20 +1,25 @@
 """Operator 5: licence scans by a trained paragraph classifier.
 
-A paragraph is a line with a word.  Its features are hashed word 1- and
-2-grams (case folded, edge punctuation and digits dropped, each at most once,
-scaled to unit length); a multinomial logistic regression gives a probability
-to every licence family and to the class *unknown*.  Training rows are the
-templates below, whole and with words left out, and, as unknown, paragraphs
-of at most ``UNKNOWN_DOCS`` documents (a documented bound) that hold no word
-of a notice; the temperature of the probabilities is fitted on rows left
-out.  A family is reported only if it is likelier than ``ACCEPT`` and the
-paragraph has at least ``CONFIRM`` of the distinct words of one of the
-family's templates; else the paragraph is unknown.
-
-Cases: null and empty texts have no paragraphs and no licence; a very long
-line is one paragraph; equal rows get equal results; an empty table gives an
-empty result (and a model from the templates alone); further columns are
-kept by ``scan``, ``license_*`` columns are the operator's own.
+A paragraph is a run of lines with a letter or digit.  Scored are its lines
+and, for every template, all windows of the template's length in it that hold
+at least ``CONFIRM`` of the template's distinct words and of its distinct
+pairs of neighbouring words, so wrapped notices and notices inside long lines
+are met at any place.  Features are hashed word 1- and 2-grams (case folded,
+edge punctuation and digits dropped, each at most once, scaled to unit
+length); a multinomial logistic regression gives a probability to every
+licence family and to the class *unknown*.  Training rows are the templates
+below, whole and with words left out, and, as unknown, lines of at most
+``UNKNOWN_DOCS`` documents (a documented bound) that hold no word of a notice;
+the temperature of the probabilities is fitted on rows left out.  A line's
+likeliest family, or the family of a window's template, is found if it is
+likelier than ``ACCEPT`` and confirmed by ``CONFIRM``; of finds that overlap
+the likeliest stays, and all else is unknown.
+
+Cases: null and empty texts have no paragraphs and no licence; lines of
+punctuation alone end a paragraph; a very long line is scored whole and in
+windows; equal rows get equal results; an empty table gives an empty result
+(and a model from the templates alone); further columns are kept by ``scan``,
+``license_*`` columns are the operator's own.
 """
 
 from __future__ import annotations
@@ -71,6 +76,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 FAMILIES = tuple(TEMPLATES)
 NOTICE_WORDS = ("licen", "copyright", "rights reserved", "redistribut")
+#: bytes of letters and digits; a line without one ends a paragraph
+SOLID = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 DIMS = 1 << 14
 UNKNOWN_DOCS, UNKNOWN_ROWS = 400, 6_000
 ACCEPT, CONFIRM = 0.5, 0.6
@@ -95,10 +102,9 @@ def paragraphs(t: Texts):
     return start, end, np.searchsorted(t.off, start, "right") - 1
 
 
-def grams(t: Texts):
-    """(code, row) of the distinct 1- and 2-grams of all lines; rows count the lines."""
+def plain_spans(t: Texts):
+    """First byte, end byte and hash of the words of ``plain_words``."""
     s, e, _ = t.words()
-    start, end, doc = paragraphs(t)
     # digits and edge punctuation go: trim ends, and hash the rest without digits folded
     edge = np.zeros(256, bool)
     edge[list(b".,;:!?()[]\"'/-0123456789")] = True
@@ -110,14 +116,26 @@ def grams(t: Texts):
         e[live] -= edge[t.buf[e[live] - 1]]
     ok = s < e
     s, e = s[ok], e[ok]
+    return s, e, t.hashes(s, e)
+
+
+def grams(t: Texts):
+    """(code, row) of the distinct 1- and 2-grams of all lines; rows count the lines."""
+    s, _, h = plain_spans(t)
+    start, end, doc = paragraphs(t)
     row = np.searchsorted(start, s, "right") - 1
-    h = t.hashes(s, e)
+    code, row = coded(h, row)
+    return code, row, start, end, doc
+
+
+def coded(h: np.ndarray, row: np.ndarray):
+    """(code, row) of the distinct 1- and 2-grams of words ``h`` within rows."""
     pair = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) > 1 else h[:0]
     same = row[:-1] == row[1:] if len(h) > 1 else np.zeros(0, bool)
     code = np.concatenate([h, pair[same]]) % np.uint64(DIMS)
     rows = np.concatenate([row, row[:-1][same] if len(h) > 1 else row[:0]])
     key = np.unique(rows.astype(np.int64) * DIMS + code.astype(np.int64))
-    return key % DIMS, key // DIMS, start, end, doc
+    return key % DIMS, key // DIMS
 
 
 class Model:
@@ -204,11 +222,84 @@ def confirmed(family: str, line: str) -> bool:
     return any(len(t & words) >= CONFIRM * len(t) for t in TEMPLATE_WORDS[family])
 
 
+class Forms:
+    """The templates as hashes of words."""
+
+    def __init__(self):
+        self.family, self.words, self.pairs, self.length = [], [], [], []
+        for k, family in enumerate(FAMILIES):
+            for text in TEMPLATES[family]:
+                h = plain_spans(one_text([text]))[2].tolist()
+                self.family.append(k)
+                self.words.append(frozenset(h))
+                self.pairs.append(frozenset(zip(h, h[1:], strict=False)))
+                self.length.append(len(h))
+        self.known = np.array(sorted(set().union(*self.words)), np.uint64)
+        self.of = np.array([[w in t for w in self.known.tolist()] for t in self.words])
+
+
+def windows(h: np.ndarray, stop: np.ndarray, forms: Forms):
+    """(first, end, family) of the confirmed windows over words ``h``, cut to the
+    template's words; ``stop`` is the end of a word's paragraph."""
+    at = np.minimum(np.searchsorted(forms.known, h), len(forms.known) - 1)
+    hit = forms.known[at] == h
+    where = np.arange(len(h))
+    found = set()
+    for k, size in enumerate(forms.length):
+        mine = hit & forms.of[k][at]
+        sums = np.concatenate([[0], np.cumsum(mine)])
+        end = np.minimum(where + size, stop)
+        words, pairs = forms.words[k], forms.pairs[k]
+        for i in np.flatnonzero(mine & (sums[end] - sums[:-1] >= CONFIRM * len(words))).tolist():
+            w = h[i:end[i]].tolist()
+            if len(words.intersection(w)) >= CONFIRM * len(words) and len(pairs.intersection(zip(w, w[1:], strict=False))) >= CONFIRM * len(pairs):
+                last = i + int(np.flatnonzero(mine[i:end[i]])[-1])
+                found.add((i, last + 1, forms.family[k]))
+    return np.array(sorted(found), np.int64).reshape(-1, 3)
+
+
+def finds(t: Texts, m: Model, forms: Forms):
+    """(document, family, first line, last line) of what is found, and per line
+    its document, whether it has a word, and the largest family probability."""
+    s, _, h = plain_spans(t)
+    start, end, doc = paragraphs(t)
+    row = np.searchsorted(start, s, "right") - 1
+    code, rows = coded(h, row)
+    p = m.probabilities(code, rows, len(start))
+    filled = np.bincount(row, minlength=len(start)) > 0
+    top = p[:, :-1].argmax(1) if len(start) else np.zeros(0, int)
+    chance = np.where(filled, p[np.arange(len(start)), top], 0.0)
+    # candidates: (probability, first word, end word, family)
+    first, after = np.searchsorted(row, np.arange(len(start))), np.searchsorted(row, np.arange(len(start)), "right")
+    hits = [(float(chance[i]), int(first[i]), int(after[i]), int(top[i])) for i in np.flatnonzero(chance > ACCEPT)
+            if confirmed(FAMILIES[top[i]], t.buf[start[i]:end[i]].tobytes().decode("utf-8", "replace"))]
+    # a paragraph goes on while lines of one document have a letter or digit
+    solid = np.concatenate([[0], np.cumsum(SOLID[t.buf])])
+    text = solid[end] > solid[start]
+    fresh = ~text | (np.diff(doc, prepend=-1) != 0) | np.concatenate([[True], ~text[:-1]])[:len(text)]
+    part = np.cumsum(fresh)[row] if len(row) else row
+    w = windows(h, np.searchsorted(part, part, "right"), forms)
+    if len(w):
+        sizes = w[:, 1] - w[:, 0]
+        of = np.repeat(np.arange(len(w)), sizes)
+        place = np.repeat(w[:, 0] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(len(of))
+        q = m.probabilities(*coded(h[place], of), len(w))[np.arange(len(w)), w[:, 2]]
+        np.maximum.at(chance, row[w[:, 0]], q)
+        hits += [(float(q[i]), *map(int, w[i])) for i in np.flatnonzero(q > ACCEPT)]
+    out, taken = [], {}
+    for _, i, j, f in sorted(hits, key=lambda x: (-round(x[0], 9), x[1], -x[2], x[3])):
+        if all(taken.get(k, f) == f for k in range(i, j)):
+            taken.update(dict.fromkeys(range(i, j), f))
+            out.append((doc[row[i]], f, row[i], row[j - 1]))
+    return out, doc, filled, chance
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` with ``license_lines`` (lines with a confirmed
-    family), ``license_families`` (sorted, comma-joined), ``license_lines_all``
+    """All columns of ``docs`` with ``license_lines`` (lines with a part of
+    what was found), ``license_families`` (sorted, comma-joined), ``license_lines_all``
     (lines with a word) and ``license_best`` (largest family probability)."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)      # DIMS x families weights
+    forms = Forms()
     keep = [c for c in docs.columns if not c.startswith("license_")]
     src = docs.select(*keep, whole().alias("_text"))
 
@@ -217,17 +308,13 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             found, families, lines, best = [], [], [], []
             for _, t in chunks(b.column("_text"), 1 << 20):
-                code, row, start, end, doc = grams(t)
-                p = m.probabilities(code, row, len(start))
-                filled = np.bincount(row, minlength=len(start)) > 0
-                top = p[:, :-1].argmax(1) if len(start) else np.zeros(0, int)
-                chance = np.where(filled, p[np.arange(len(start)), top], 0.0)
+                got, doc, filled, chance = finds(t, m, forms)
                 per = [set() for _ in range(t.n)]
-                count = np.zeros(t.n, np.int64)
-                for i in np.flatnonzero(chance > ACCEPT):
-                    if confirmed(FAMILIES[top[i]], t.buf[start[i]:end[i]].tobytes().decode("utf-8", "replace")):
-                        per[doc[i]].add(FAMILIES[top[i]])
-                        count[doc[i]] += 1
+                held = np.zeros(len(doc), bool)
+                for d, f, i, j in got:
+                    per[d].add(FAMILIES[f])
+                    held[i:j + 1] = True
+                count = np.bincount(doc[held & filled], minlength=t.n)
                 most = np.zeros(t.n)
                 np.maximum.at(most, doc, chance)
                 found.append(count)

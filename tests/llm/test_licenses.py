@@ -32,3 +32,37 @@ def test_unlike_paragraphs_are_unknown(spark, model):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.scan(df, L.fit(df)).collect() == []
+
+
+WRAPPED = {
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "lgpl": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "apache": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "mit": """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction""",
+}
+
+
+def test_wrapped_headers_and_notices_inside_long_lines(spark, model):
+    prose = "the river was under the bridge and many people of the town came to see it in the evening " * 12
+    rows = []
+    for k, text in WRAPPED.items():
+        rows += [(k, text), (k, f"some text above\n\n{text}\n\nand below"), (k, "".join(f" * {x}\n" for x in text.split("\n"))),
+                 (k, prose + text.replace("\n", " ") + " " + prose)]
+    rows += [("", prose), ("", "Redistribution and use in\n\nsource and binary\n\nforms, with or\n\nwithout modification"), ("", prose + "it was released under the label of the band " + prose),
+             ("apache,gpl", prose + WRAPPED["gpl"].replace("\n", " ") + " " + prose + WRAPPED["apache"].replace("\n", " "))]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, want string, text string")
+    wrong = [(r.want, r.license_families, r.text[:200]) for r in L.scan(df, model).collect() if r.want != r.license_families]
+    assert not wrong
