@@ -6,13 +6,15 @@ the total, at most ``cap`` times its size; what a source cannot take is
 shared out again by weight until no target is above its limit.  Each round
 of that is one aggregation over the table of sources; only three sums reach
 the driver.  The rate of a source is target / size, and each of its
-documents is taken floor(rate) times, plus once more if a hash of its id,
-seeded, falls below the fraction.
+documents is taken floor(rate) times, plus once more if a hash of the whole
+row, seeded, falls below the fraction.  Equal rows are numbered, and the
+number goes into the hash, so each has a draw of its own.
 
 Cases: null or empty text has size 0 and is taken 0 words' worth of times
 like any other; null source is a source of its own and ordered last; a
-source without words has target 0 and rate 0; equal rows get equal
-decisions (the hash is of the id; a null id hashes as one); an empty table
+source without words has target 0 and rate 0; rows of one
+id (or of none) draw by their other columns, and of equal rows reruns take
+the same number; columns with maps are not hashed; an empty table
 gives an empty result; further columns are kept by ``mix`` and its own
 columns begin with ``mix_``.
 """
@@ -28,6 +30,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
 SEED = 20240229
+#: groups that the rows of one key are numbered in
+SALTS = 64
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -74,20 +78,39 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: floa
     return s.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "target", "rate")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """Adds ``mix_key``, a hash of the row, and ``mix_no``: 0, or 1, 2, ... among
+    equal rows.  Only repeated rows move; salts are stored before they are
+    counted, and which of equal rows has which number does not matter."""
+    cols = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and not c.startswith("mix_")]
+    d = docs.withColumn("mix_key", F.xxhash64(*cols, *[c.isNull() for c in cols]))
+    again = stage(d.groupBy("mix_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("mix_key"), "repeated")
+    if again.isEmpty():
+        return d.withColumn("mix_no", F.lit(0).cast("long"))
+    rows = stage(d.join(again, "mix_key", "left_semi").withColumn("_salt", F.floor(F.rand(SEED) * SALTS).cast("int")), "repeated-rows")
+    before = Window.partitionBy("mix_key").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)    # SALTS rows at most
+    offs = rows.groupBy("mix_key", "_salt").agg(F.count(F.lit(1)).alias("_n")) \
+        .select("mix_key", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("mix_key", "_salt").orderBy("mix_key"))
+    more = rows.withColumn("_place", place).join(offs, ["mix_key", "_salt"]).withColumn("mix_no", (F.col("_off") + F.col("_place")).cast("long"))
+    once = d.join(again, "mix_key", "left_anti").withColumn("mix_no", F.lit(0).cast("long"))
+    return once.unionByName(more.select(*once.columns))
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
     """All rows and columns of ``docs`` with ``mix_size``, ``mix_source_size``,
     ``mix_target`` and ``mix_copies`` (how often the mix takes the row)."""
-    sized = docs.withColumn("mix_size", word_count())
+    sized = numbered(docs).withColumn("mix_size", word_count())
     t = stage(targets(ranked_sources(sized), weights, share, cap), "targets").select(
         F.col("source").alias("_source"), F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"), F.col("rate").alias("_rate"))
     # Spark broadcasts the table of sources if it is small by its measured size; else it splits hot sources (AQE)
     j = sized.join(t, F.col("source").eqNullSafe(F.col("_source")), "left")
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 11)
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("mix_key"), F.col("mix_no")), 11)
          .cast("double") / F.lit(float(1 << 53)))
     whole = F.floor("_rate")
     copies = (whole + F.when(u < F.col("_rate") - whole, 1).otherwise(0)).cast("int")
-    return j.withColumn("mix_copies", copies).drop("_source", "_rate")
+    return j.withColumn("mix_copies", copies).drop("_source", "_rate", "mix_key", "mix_no")
 
 
 def emit(mixed: DataFrame) -> DataFrame:

@@ -68,3 +68,14 @@ def test_emit_repeats_rows_and_keeps_columns(spark):
 
 def test_empty_table(spark):
     assert mixing.emit(mixing.mix(table(spark, []))).collect() == []
+
+
+def test_rows_of_one_id_draw_for_themselves(spark):
+    rows = [(None, f"w{i % 3} " * 10, "a", "z", 1) for i in range(900)] + [(7, f"x{i} y", "b", "z", 1) for i in range(900)] + [(i, "w " * 9, "c", "z", 1) for i in range(900)]
+    m = mixing.mix(table(spark, rows).repartition(4)).selectExpr("source", "mix_target", "mix_copies", "mix_size * mix_copies t").collect()
+    for s in "abc":
+        mine = [r for r in m if r.source == s]
+        assert len(mine) == 900
+        assert sum(r.t for r in mine) == pytest.approx(mine[0].mix_target, rel=0.1)
+    again = mixing.mix(table(spark, rows).repartition(7)).selectExpr("source", "mix_target", "mix_copies", "mix_size * mix_copies t").collect()
+    assert sorted(map(str, m)) == sorted(map(str, again))
