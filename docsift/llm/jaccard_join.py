@@ -58,7 +58,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsift.llm.common import chunks, documents, mix, shingle_hashes, stage
-from docsift.llm.native import whole
+from docsift.llm.native import SPACES, whole
 
 SHINGLE = 5
 NUM, DEN = 75, 100                  # similarity at least NUM / DEN
@@ -535,10 +535,12 @@ def link_pairs(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFra
 def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """The columns of ``docs``, one row of each component: the smallest doc_id
     (null last; equal ids: the smallest row key; rows equal in id and text are
-    one row)."""
+    one row), and every row without words: it is linked with nothing."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("key").alias("k")))
     keep = stage(components(docs, size).groupBy("group").agg(first.alias("f")).select(F.col("f.k").alias("_k")), "kept")
-    return docs.withColumn("_k", row_key()).join(keep, "_k", "left_semi").dropDuplicates(["_k"]).select(*docs.columns)
+    worded = F.btrim(whole(), F.lit(SPACES)) != ""
+    kept = docs.where(worded).withColumn("_k", row_key()).join(keep, "_k", "left_semi").dropDuplicates(["_k"]).select(*docs.columns)
+    return kept.unionByName(docs.where(~worded))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,9 @@ def test_links_equal_all_pairs(spark, block, monkeypatch):
         want = {frozenset([x, y]): round(len(x & y) / len(x | y), 9) for i, x in enumerate(distinct) for y in distinct[:i] if close(x, y)}
         assert len(found) == len(want) and dict(found) == want
     assert J.joined(df.limit(0)).collect() == []
+
+
+def test_rows_without_words_all_stay(spark):
+    rows = [(None, None), (None, ""), (None, ""), (3, None), (3, ""), (3, " \t\x0b"), (3, " \t\x0b"), (4, "one two"), (4, "one two"), (None, "one two"), (5, "\u00a0")]
+    kept = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [*rows[:7], (4, "one two"), (5, "\u00a0")]))
