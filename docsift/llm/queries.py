@@ -8,6 +8,7 @@ from docsift.llm.idfiles import op8_huffman_ids
 from docsift.llm.jaccard_join import op6_jaccard_join
 from docsift.llm.licenses import op5_license_scan
 from docsift.llm.mixing import op4_mix_sources
+from docsift.llm.pieces import op13_sentencepiece
 from docsift.llm.quality_model import op9_quality_model
 from docsift.llm.quality_rules import op10_quality_rules
 from docsift.llm.secrets import op3_secret_scan
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_huffman_ids": op8_huffman_ids,
     "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 #: DuckDB SQL of the queries that SQL can express
