@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from docsift.llm import quality_rules, secrets
+from docsift.llm import fim, quality_rules, secrets
 from docsift.llm.bpe import op2_bpe_round_trip
+from docsift.llm.fim import op11_fill_in_middle
 from docsift.llm.idfiles import op8_huffman_ids
 from docsift.llm.jaccard_join import op6_jaccard_join
 from docsift.llm.licenses import op5_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_huffman_ids": op8_huffman_ids,
     "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fill_in_middle": op11_fill_in_middle,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -33,4 +35,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_secret_scan": secrets.oracle(),
     "op10_quality_rules": quality_rules.oracle(),
+    "op11_fill_in_middle": fim.oracle(),
 }
