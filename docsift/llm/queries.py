@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from docsift.llm import fim, quality_rules, secrets
+from docsift.llm import centroids, fim, quality_rules, secrets
 from docsift.llm.bpe import op2_bpe_round_trip
+from docsift.llm.centroids import op12_centroids
 from docsift.llm.fim import op11_fill_in_middle
 from docsift.llm.idfiles import op8_huffman_ids
 from docsift.llm.jaccard_join import op6_jaccard_join
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_centroids": op12_centroids,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -36,4 +38,5 @@ ORACLE: dict[str, str] = {
     "op3_secret_scan": secrets.oracle(),
     "op10_quality_rules": quality_rules.oracle(),
     "op11_fill_in_middle": fim.oracle(),
+    "op12_centroids": centroids.oracle(),
 }
