@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.operators.joins import join_small, salted_join
 
 
+def source_key(source: Column) -> Column:
+    """A source as a join key that a null source equals too."""
+    return F.struct(source.isNull().alias("n"), F.coalesce(source.cast("string"), F.lit("")).alias("s"))
+
+
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
                       text_col: str = "text", min_docs: int = 3, min_share: float = 0.05) -> DataFrame:
     """(source, line) pairs found in at least ``max(min_docs, min_share x docs of
@@ -22,7 +27,9 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col: str =
     lines = docs.select(source_col, F.explode(uniq).alias("line"))
     per_line = lines.groupBy(source_col, "line").agg(F.count(F.lit(1)).alias("n_docs"))
     per_source = docs.groupBy(source_col).agg(F.count(F.lit(1)).alias("source_docs"))
-    j = join_small(per_line, per_source, [source_col])
+    # a null source is a source like any other
+    key = source_key(F.col(source_col))
+    j = join_small(per_line.withColumn("_s", key), per_source.select(key.alias("_s"), "source_docs"), ["_s"])
     return (j.filter(F.col("n_docs") >= F.greatest(F.lit(min_docs).cast("double"),
                                                      F.col("source_docs") * F.lit(min_share)))
              .select(source_col, "line"))
@@ -35,7 +42,7 @@ def drop_boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col:
 
     Returns ``id, source, text, n_removed``; line order and blank lines are
     kept; null text stays null with nothing removed; rows that share an id
-    stay apart.
+    stay apart; documents without a source are one source.
 
     One plan for all sizes: the corpus sends only (source, line hash, line
     number) to a salted join with the boilerplate lines, so a line found in
@@ -45,12 +52,12 @@ def drop_boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", source_col:
     bp = boilerplate_lines(docs, id_col, source_col, text_col, min_docs, min_share)
     # two independent 64-bit hashes stand for a line
     line_key = lambda l: F.struct(F.xxhash64(l).alias("a"), F.xxhash64(F.lit(1), l).alias("b"))
-    flag = bp.select(source_col, line_key(F.col("line")).alias("_l"))
+    flag = bp.select(source_key(F.col(source_col)).alias("_s"), line_key(F.col("line")).alias("_l"))
     d = docs.select(id_col, source_col, text_col) \
         .withColumn("_row", F.struct(F.xxhash64(id_col, text_col).alias("a"), F.xxhash64(F.lit(1), id_col, source_col, text_col).alias("b")))
     lines = d.where(F.col(text_col).isNotNull()).select("_row", source_col, F.posexplode(F.split(text_col, "\n")).alias("_no", "line")) \
-        .select("_row", source_col, "_no", line_key(F.col("line")).alias("_l"))
-    hit = salted_join(lines, flag, [source_col, "_l"], "inner", salts) \
+        .select("_row", source_key(F.col(source_col)).alias("_s"), "_no", line_key(F.col("line")).alias("_l"))
+    hit = salted_join(lines, flag, ["_s", "_l"], "inner", salts) \
         .groupBy("_row").agg(F.collect_set("_no").alias("_drop"))          # at most the document's lines
     j = d.join(hit, "_row", "left")
     split = F.split(text_col, "\n")

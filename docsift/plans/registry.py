@@ -234,7 +234,7 @@ def q_retrieve_top4(spark, sf_dir):
 # ------------------------------------------------------------------ CHT
 
 
-MIN_DF, RELEVANCE_THRESHOLD = 5, 0.5
+MIN_DF_SHARE, RELEVANCE_THRESHOLD = 0.005, 0.5
 
 
 def messages(spark, sf_dir) -> DataFrame:
@@ -268,14 +268,14 @@ def q_chat_prompt(spark, sf_dir):
 
 
 @register("chat_relevance", f"""
-WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)}
+WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF_SHARE)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)}
 SELECT conv_id, round(lex_share, 6) AS lex_share, verdict,
        CASE WHEN contains(lower(verdict), 'yes') THEN 'answer' WHEN contains(lower(verdict), 'no') THEN 'refuse'
             ELSE 'refuse' END AS route
 FROM j""")
 def q_chat_relevance(spark, sf_dir):
     m = messages(spark, sf_dir).select("conv_id", CH.question("messages").alias("question"))
-    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_share=MIN_DF_SHARE)
     j = CH.classify_relevance(m, lex, "conv_id", "question", RELEVANCE_THRESHOLD)
     return j.select("conv_id", F.round("lex_share", 6).alias("lex_share"), "verdict",
                     CH.route("verdict").alias("route"))
@@ -319,7 +319,7 @@ def q_answer_questions(spark, sf_dir):
 
 
 CHAT_FULL_SQL = f"""
-WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)},
+WITH {Q.MESSAGES_CTE}, {Q.lexicon_cte(MIN_DF_SHARE)}, {Q.verdict_cte(RELEVANCE_THRESHOLD)},
 ok AS (SELECT conv_id, question, {Q.rewrite('question', 'hist')} AS query FROM j WHERE verdict = 'yes'),
 {_answers_sql('ok', 'conv_id', 'query')}
 SELECT ok.conv_id, 'yes' AS verdict, ok.query,
@@ -333,7 +333,7 @@ FROM j WHERE verdict <> 'yes'"""
 
 @register("chat_full", CHAT_FULL_SQL)
 def q_chat_full(spark, sf_dir):
-    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_share=MIN_DF_SHARE)
     out = CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
                   threshold=RELEVANCE_THRESHOLD)
     return out.select("conv_id", "verdict", "query", "result", F.array_join("sources", "|").alias("sources"),
@@ -351,12 +351,12 @@ WITH lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS lin
                       generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
 sc AS (SELECT source, count(*) AS source_docs FROM documents GROUP BY source),
 pl AS (SELECT source, line, count(DISTINCT doc_id) AS n_docs FROM lines WHERE trim(line) <> '' GROUP BY source, line),
-bp AS (SELECT pl.source, pl.line FROM pl JOIN sc USING (source)
+bp AS (SELECT pl.source, pl.line FROM pl JOIN sc ON pl.source IS NOT DISTINCT FROM sc.source
        WHERE n_docs >= greatest({BP_MIN_DOCS}, sc.source_docs * {BP_MIN_SHARE}))
 SELECT l.doc_id, l.source,
        coalesce(string_agg(CASE WHEN bp.line IS NULL THEN l.line END, chr(10) ORDER BY l.line_no), '') AS text,
        count(bp.line) AS n_removed
-FROM lines l LEFT JOIN bp ON l.source = bp.source AND l.line = bp.line
+FROM lines l LEFT JOIN bp ON l.source IS NOT DISTINCT FROM bp.source AND l.line = bp.line
 GROUP BY l.doc_id, l.source""")
 def q_drop_boilerplate(spark, sf_dir):
     d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -372,7 +372,7 @@ def q_extract_article(spark, sf_dir):
 
 @register("fetch_pages_offline", r"""
 WITH u AS (SELECT DISTINCT url FROM pages),
-f AS (SELECT u.url, p.html FROM u LEFT JOIN pages p ON p.url = u.url),
+f AS (SELECT u.url, p.html FROM u LEFT JOIN (SELECT url, arg_max(html, page_id) AS html FROM pages GROUP BY url) p ON p.url = u.url),
 a AS (SELECT url, nullif(trim(regexp_extract(html, '(?s)<article>(.*?)</article>', 1)), '') AS text FROM f)
 SELECT url, text,
        trim(regexp_replace(regexp_replace(text, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS plain_text
@@ -652,7 +652,7 @@ def q_chat_relevance_model(spark, sf_dir):
 
 
 def _chat_answers(spark, sf_dir) -> DataFrame:
-    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_df=MIN_DF)
+    lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_share=MIN_DF_SHARE)
     return CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
                    threshold=RELEVANCE_THRESHOLD)
 

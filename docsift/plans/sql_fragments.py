@@ -151,9 +151,9 @@ h AS (SELECT conv_id, msgs, msgs[len(msgs)].content AS question,
              list_slice(msgs, 1, len(msgs) - 1) AS hist FROM m)"""
 
 
-def lexicon_cte(min_df: int) -> str:
+def lexicon_cte(min_share: float) -> str:
     return f"""lex AS (SELECT term FROM (SELECT DISTINCT doc_id, unnest(list_distinct({terms('text')})) AS term
-                              FROM documents) GROUP BY term HAVING count(*) >= {min_df})"""
+                              FROM documents) GROUP BY term HAVING count(*) >= {min_share} * (SELECT count(*) FROM documents))"""
 
 
 def verdict_cte(threshold: float) -> str:

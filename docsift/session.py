@@ -48,11 +48,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there); only when it is unset, as in local tests, is a fresh scratch
-    folder created and set.
+    there); only when it is unset and the session is local, as in tests, is
+    a fresh scratch folder created and set.  On a cluster it must be named.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir: executors and driver need a folder that they share")
     if not root:
         root = tempfile.mkdtemp(prefix="docsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
