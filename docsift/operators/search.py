@@ -1,41 +1,52 @@
-"""Vector search (SCH-1..SCH-6, FLT-3): exact and approximate top-k.
-
-Plan shape (exact): the question side is small and size-checked; it is
-collected once and broadcast as a float64 matrix.  The corpus side is
-streamed: every task scores its rows against all questions with one matrix
-product per Arrow batch and keeps only a running top-k per question, so a
-task emits at most ``questions x k`` rows -- never one row per pair.  A
-final ``row_number() <= k`` (planned as WindowGroupLimit) merges the
-per-task lists.  Ranking is by score rounded to 6 places, then the lower
-candidate id, so results do not depend on summation order.
-
-Beyond the broadcast bound the questions are cut into hash blocks that each
-fit, one corpus pass per block.  ``knn_ivf`` is the path for large
-corpora: the corpus is stored partitioned by its nearest k-means centroid
-and a question only scores rows of the cells it probes, which the scan
-prunes by partition; its exact mode adds the cells a radius bound cannot
-exclude, so the answer equals exact search.
+"""Vector search (SCH-1..SCH-6, FLT-3): exact and approximate top-k by a join of cells.
+
+Questions and candidates both carry a cell; a question meets the candidates of
+the cells it is routed to.  One search is one shuffle:
+
+* candidates of a cell are dealt over salts, so that a group holds about
+  ``GROUP_ROWS`` of them, however large the cell is; the questions of a cell
+  go to each of its salts, in blocks of at most ``max_block_bytes``;
+* a group (cell, salt, question block) arrives sorted, questions first; a
+  task holds the questions of one block and streams the candidates past them,
+  one matrix product per slice, keeping a running top-k per question.  It
+  emits at most ``questions x k`` rows a group -- never one row per pair;
+* ``row_number() <= k`` (planned as WindowGroupLimit) merges the groups in
+  two steps.  Only ids and scores are merged; what a hit carries joins the
+  winners by the number of its stored row.
+
+Only counts per cell reach the driver, never a question.  Exact search
+(``knn``) is the same join with one cell for all.  ``knn_ivf`` routes each
+question to its nearest k-means cells, so the scan of a stored index reads
+just the partitions of cells that some question probes; its exact mode adds a
+second join with the cells that a radius bound cannot exclude given the k-th
+score of the first.  ``operators.lsh`` routes by hash buckets.
+
+Ranking is by score rounded to 6 places, then the candidate id (one column or
+several), then the stored row, so a question has at most k hits whether ids
+repeat or not, and results do not depend on summation order.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.session import ship_package
+from docsift.session import ship_package, stored
 
 METRICS = ("cosine", "dot", "l2")
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024   # question matrix bound (float64)
+MAX_BLOCK_BYTES = 32 * 1024 * 1024        # questions that one task holds (float64)
 MAX_SCORES = 16 * 1024 * 1024             # scores held at once inside a task
 DENSE_QUESTIONS = 8 * 1024 * 1024         # sparse questions densified per task up to this many numbers
+GROUP_ROWS = 2048                         # candidates of a group, about
+WINNERS = 200_000                         # hits broadcast to the stored rows up to this many (24 bytes and the ids each)
+ROW = "_row"                              # number of a stored candidate row
+NO_ID = -(1 << 63)                        # stands for a null id while ranking
 
 
 def _matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
@@ -147,119 +158,14 @@ def _l2_topk(cm: np.ndarray, qm: np.ndarray, out: np.ndarray, ids: np.ndarray, k
     return qi[top].astype(np.int64), ri[top].astype(np.int64), sc[top]
 
 
-def _partial_topk_fn(bq, k: int, metric: str, cid: str, vec: str, carry: Sequence[str],
-                     exclude_self: bool, out_fields, sparse_dim: int | None = None):
-    """Task function: running top-k per question over the task's rows."""
-    max_scores = MAX_SCORES  # captured at plan time
-    dense_limit = DENSE_QUESTIONS
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        Q, cells = bq.value
-        qids, dim, qn = Q.ids, Q.dim, Q.norms
-        qm = Q.dense
-        if qm is None and Q.n * dim <= dense_limit:
-            qm = Q.to_dense()   # few questions: one small dense matrix per task, matrix products
-        if qm is not None:
-            integral = qm.size > 0 and np.array_equal(qm, np.rint(qm))
-            q32 = qm.astype(np.float32) if integral else None
-            q_abs = float(np.abs(qm).sum(axis=1).max()) if qm.size else 0.0
-        pool = None
-
-        def reduce_pool(tbl: pa.Table) -> pa.Table:
-            qi = tbl.column("_qi").to_numpy()
-            sc = tbl.column("score").to_numpy()
-            ci = tbl.column("cand_id").to_numpy()
-            order = np.lexsort((ci, -sc, qi))
-            qs = qi[order]
-            first = np.searchsorted(qs, qs, side="left")
-            rank = np.arange(len(qs)) - first
-            return tbl.take(pa.array(order[rank < k]))
-
-        def add(pool, rb, qi, ri, sc, ids):
-            part = pa.table({"_qi": pa.array(qi), "score": pa.array(sc), "cand_id": pa.array(ids[ri])}
-                            | {c: rb.column(c).take(pa.array(ri)) for c in carry})
-            pool = part if pool is None else pa.concat_tables([pool, part])
-            return reduce_pool(pool) if pool.num_rows > 8 * k * len(qids) else pool
-
-        # Bound memory: row slices whose dense vectors and score block each
-        # hold at most ``max_scores`` numbers, whatever the batch size, the
-        # dimension and the question count; sparse questions are sliced so
-        # the gathered (rows x non-zeros) block stays within the same bound.
-        q_step = min(len(qids), 4096)
-        r_step = max(1, min(max_scores // q_step, max_scores // max(dim, 1)))
-        if qm is None:
-            # many sparse questions: row slices sized so all (or many) questions'
-            # non-zeros can be gathered at once, then question slices by budget
-            total_nnz = max(1, int(Q.indptr[-1]))
-            r_step = max(64, min(r_step, max_scores // total_nnz))
-            nnz_budget = max(1, max_scores // r_step)
-            bounds, q0 = [], 0
-            while q0 < len(qids):
-                q1 = q0 + 1
-                while q1 < len(qids) and q1 - q0 < q_step and Q.indptr[q1 + 1] - Q.indptr[q0] <= nnz_budget:
-                    q1 += 1
-                bounds.append((q0, q1))
-                q0 = q1
-        else:
-            bounds = [(q0, min(len(qids), q0 + q_step)) for q0 in range(0, len(qids), q_step)]
-        for b in it:
-            if b.num_rows == 0:
-                continue
-            c_ids_all = b.column(cid).to_numpy(zero_copy_only=False).astype(np.int64)
-            cells_all = b.column("centroid").to_numpy(zero_copy_only=False) if cells is not None else None
-            for r0 in range(0, b.num_rows, r_step):
-                rb = b.slice(r0, r_step)
-                if sparse_dim:
-                    from docsift.operators.embedding import scatter_hex
-                    cm = _matrix(scatter_hex(rb.column(vec), sparse_dim), dim)
-                else:
-                    cm = _matrix(rb.column(vec), dim)
-                ids = c_ids_all[r0:r0 + rb.num_rows]
-                finite = np.isfinite(cm).all(axis=1)     # a vector with NaN or inf is never a hit
-                if not finite.all():
-                    cm = np.where(finite[:, None], cm, 0.0)
-                for q0, q1 in bounds:
-                    qs_ = slice(q0, q1)
-                    out = np.repeat(~finite[:, None], q1 - q0, axis=1)
-                    if exclude_self:
-                        out |= ids[:, None] == qids[qs_][None, :]
-                    if cells is not None:
-                        # IVF: a question only scores rows of the cells it probes
-                        out |= ~cells[cells_all[r0:r0 + rb.num_rows]][:, qs_]
-                    if metric == "l2":
-                        block = qm[qs_] if qm is not None else Q.dense_rows(q0, q1)
-                        qi, ri, sc = _l2_topk(cm, block, out, ids, k)
-                        pool = add(pool, rb, qi + q0, ri, sc, ids)
-                        continue
-                    if qm is None:
-                        d = Q.sparse_dots(cm, q0, q1)
-                    else:
-                        d = _dots(cm, qm[qs_], None if q32 is None else q32[qs_], q_abs)
-                    s = _scores(cm, None, qn[qs_], metric, d)
-                    s[out] = -np.inf
-                    qi, ri = _topk_rows(s, ids, k)
-                    keep = np.isfinite(s[ri, qi])
-                    qi, ri = qi[keep], ri[keep]
-                    pool = add(pool, rb, qi + q0, ri, s[ri, qi], ids)
-        if pool is None or pool.num_rows == 0:
-            return
-        pool = reduce_pool(pool)
-        qcol = pa.array(qids[pool.column("_qi").to_numpy()])
-        out = pa.table([qcol] + [pool.column(f.name) for f in out_fields[1:]],
-                       names=[f.name for f in out_fields])
-        yield from out.to_batches()
-
-    return run
-
-
 MERGE_BUCKETS = 64   # buckets of tasks in the first step of a merge
 
 
-def _rank(partials: DataFrame, k: int, cand_id: str) -> DataFrame:
+def _rank(partials: DataFrame, k: int, ids: Sequence[str]) -> DataFrame:
     """Merge per-task top-k lists into the global top-k per question, in two
     steps (question x bucket of tasks, then question), so no merge task gets
-    the lists of all tasks.  Rows are (query_id, score, id) only."""
-    order = [F.col("score").desc(), F.col(cand_id).asc()]
+    the lists of all tasks.  Rows are (query_id, score, ids, row) only."""
+    order = [F.col("score").desc(), *[F.col(c).asc() for c in ids]]
     w1 = Window.partitionBy("query_id", "_b").orderBy(*order)
     partials = (partials.withColumn("_b", F.pmod(F.spark_partition_id(), F.lit(MERGE_BUCKETS)))
                         .withColumn("_r", F.row_number().over(w1))
@@ -320,139 +226,291 @@ class QuestionMatrix:
         return out
 
 
-def _broadcast_queries(queries: DataFrame, query_id: str, query_vec: str, metric: str,
-                       sparse_dim: int | None = None) -> QuestionMatrix:
-    """Collect one (size-checked) question block.  With ``sparse_dim`` the
-    column holds md5 term prefixes and only non-zero buckets are collected."""
-    tbl = queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vec).alias("v")) \
-                 .filter(F.col("v").isNotNull()).toArrow()
-    qids = tbl.column("q").to_numpy().astype(np.int64)
-    if not sparse_dim:
-        qm = _matrix(tbl.column("v"))
-        if not np.isfinite(qm).all():
-            raise ValueError(f"question {int(qids[~np.isfinite(qm).all(axis=1)][0])} has a vector with NaN or infinity")
-        return QuestionMatrix(qids, qm.shape[1] if qm.ndim == 2 else 0, dense=qm)
-    from docsift.operators.embedding import sparse_hex
-    col = tbl.column("v").combine_chunks() if len(qids) else pa.array([], pa.list_(pa.string()))
-    sp = sparse_hex(col, sparse_dim) if len(qids) else pa.array([], type=pa.list_(
-        pa.struct([("bucket", pa.int32()), ("weight", pa.int32())])))
-    indptr = (sp.offsets.to_numpy() - sp.offsets[0].as_py()).astype(np.int64) if len(qids) else np.zeros(1, np.int64)
-    flat = sp.flatten() if len(qids) else None
-    indices = flat.field("bucket").to_numpy().astype(np.int64) if len(qids) else np.zeros(0, np.int64)
-    values = flat.field("weight").to_numpy().astype(np.float64) if len(qids) else np.zeros(0)
-    return QuestionMatrix(qids, sparse_dim, indptr=indptr, indices=indices, values=values)
+# ---------------------------------------------------------------- the join
+
+def _is_sparse(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType.elementType, T.StructType)
+
+
+def _dense(col: pa.Array, dim: int | None) -> np.ndarray:
+    """Vectors of a batch as float64 rows; sparse ones are scattered."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    if not pa.types.is_struct(col.type.value_type):
+        return _matrix(col, dim)
+    flat, out = col.flatten(), np.zeros((len(col), dim))
+    rows = np.repeat(np.arange(len(col)), np.diff(col.offsets.to_numpy()))
+    out[rows, flat.field("bucket").to_numpy()] = flat.field("weight").to_numpy()
+    return out
+
+
+def _question_matrix(parts: list[pa.RecordBatch], dim: int | None) -> QuestionMatrix:
+    t = pa.Table.from_batches(parts)
+    ids, col = t.column("_id").to_numpy(), t.column("_v").combine_chunks()
+    if not pa.types.is_struct(col.type.value_type):
+        m = _matrix(col)
+        return QuestionMatrix(ids, m.shape[1], dense=m)
+    flat = col.flatten()
+    off = col.offsets.to_numpy().astype(np.int64)
+    return QuestionMatrix(ids, dim, indptr=off - off[0], indices=flat.field("bucket").to_numpy().astype(np.int64),
+                          values=flat.field("weight").to_numpy().astype(np.float64))
+
+
+class _Group:
+    """Questions of one block and their running top-k."""
+
+    def __init__(self, Q: QuestionMatrix, k: int, metric: str, exclude_self: bool, limits: tuple[int, int]):
+        self.Q, self.k, self.metric, self.exclude_self = Q, k, metric, exclude_self
+        self.max_scores, dense_limit = limits
+        self.qm = Q.dense if Q.dense is not None else Q.to_dense() if Q.n * Q.dim <= dense_limit else None
+        self.q32, self.q_abs = None, 0.0
+        if self.qm is not None and self.qm.size and np.array_equal(self.qm, np.rint(self.qm)):
+            self.q32, self.q_abs = self.qm.astype(np.float32), float(np.abs(self.qm).sum(axis=1).max())
+        self.pool, self.held = [], 0
+        # row slices whose dense vectors and scores each stay within the bound
+        self.q_step = max(1, min(Q.n, 4096))
+        self.r_step = max(1, min(self.max_scores // self.q_step, self.max_scores // max(Q.dim, 1)))
+        self.cuts = [(q, min(Q.n, q + self.q_step)) for q in range(0, Q.n, self.q_step)]
+        if self.qm is None:        # sparse questions: what is gathered for a slice stays within it, too
+            self.r_step = max(64, min(self.r_step, self.max_scores // max(1, int(Q.indptr[-1]))))
+            room, self.cuts, q0 = max(1, self.max_scores // self.r_step), [], 0
+            while q0 < Q.n:
+                q1 = q0 + 1
+                while q1 < Q.n and q1 - q0 < self.q_step and Q.indptr[q1 + 1] - Q.indptr[q0] <= room:
+                    q1 += 1
+                self.cuts.append((q0, q1))
+                q0 = q1
+
+    def add(self, b: pa.RecordBatch, keys: Sequence[str]) -> None:
+        for r0 in range(0, b.num_rows, self.r_step):
+            part = b.slice(r0, self.r_step)
+            ids = [part.column(c).to_numpy() for c in keys]
+            order = np.lexsort(ids[::-1])                 # equal scores: row order is id order
+            ids = [x[order] for x in ids]
+            cm = _dense(part.column("_v"), self.Q.dim)[order]
+            finite = np.isfinite(cm).all(axis=1)          # a vector with NaN or inf is never a hit
+            if not finite.all():
+                cm = np.where(finite[:, None], cm, 0.0)
+            for q0, q1 in self.cuts:
+                self._score(cm, ids, finite, q0, q1)
+
+    def _score(self, cm, ids, finite, q0, q1) -> None:
+        Q, place = self.Q, np.arange(len(cm))
+        out = np.repeat(~finite[:, None], q1 - q0, axis=1)
+        if self.exclude_self:
+            out |= ids[0][:, None] == Q.ids[q0:q1][None, :]
+        if self.metric == "l2":
+            qi, ri, sc = _l2_topk(cm, self.qm[q0:q1] if self.qm is not None else Q.dense_rows(q0, q1), out, place, self.k)
+        else:
+            d = Q.sparse_dots(cm, q0, q1) if self.qm is None else \
+                _dots(cm, self.qm[q0:q1], None if self.q32 is None else self.q32[q0:q1], self.q_abs)
+            s = _scores(cm, None, Q.norms[q0:q1], self.metric, d)
+            s[out] = -np.inf
+            qi, ri = _topk_rows(s, place, self.k)
+            keep = np.isfinite(s[ri, qi])
+            qi, ri = qi[keep], ri[keep]
+            sc = s[ri, qi]
+        self.pool.append([qi + q0, sc, *[x[ri] for x in ids]])
+        self.held += len(qi)
+        if self.held > 8 * self.k * Q.n:
+            self.best()
+
+    def best(self) -> list[np.ndarray]:
+        """(question, score, ids ...) of the top-k so far."""
+        cols = [np.concatenate(x) for x in zip(*self.pool)] if self.pool else None
+        if cols is None or not len(cols[0]):
+            return []
+        order = np.lexsort((*cols[:1:-1], -cols[1], cols[0]))
+        cols = [x[order] for x in cols]
+        top = np.arange(len(order)) - np.searchsorted(cols[0], cols[0], side="left") < self.k
+        cols = [x[top] for x in cols]
+        self.pool, self.held = [cols], int(top.sum())
+        return cols
+
+
+def _stream_fn(k: int, metric: str, keys: Sequence[str], dim: int | None, exclude_self: bool):
+    """Task function over sorted groups: a block of questions, then candidates."""
+    limits = (MAX_SCORES, DENSE_QUESTIONS)   # captured at plan time
+    names = ["query_id", "score", *keys]
+
+    def done(group) -> Iterator[pa.RecordBatch]:
+        cols = group.best() if group else []
+        if cols:
+            yield pa.RecordBatch.from_arrays([pa.array(group.Q.ids[cols[0]]), *map(pa.array, cols[1:])], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked, group = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("_cell", "_salt", "_qb", "_kind")], 1)
+            edges = [0, *(np.flatnonzero((g[1:] != g[:-1]).any(axis=1)) + 1), b.num_rows]
+            for s, e in zip(edges, edges[1:]):
+                key, kind = tuple(g[s, :3]), g[s, 3]
+                if key != at:
+                    yield from done(group)
+                    at, asked, group = key, [], None
+                if kind == 0:
+                    asked.append(b.slice(s, e - s))
+                elif asked:
+                    if group is None:
+                        group = _Group(_question_matrix(asked, dim), k, metric, exclude_self, limits)
+                    group.add(b.slice(s, e - s), keys)
+        yield from done(group)
+
+    return run
+
+
+def _cell_counts(questions: DataFrame) -> dict[int, tuple[int, int]]:
+    """cell -> (questions, their bytes); fails on a question that cannot be compared."""
+    sparse = _is_sparse(questions, "_v")
+    bad = F.lit(False) if sparse else F.exists("_v", lambda x: F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")) | x.isNull())
+    rows = questions.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("_v")).alias("t"), F.min(F.size("_v")).alias("lo"),
+                                          F.max(F.size("_v")).alias("hi"), F.max(F.when(bad, F.col("query_id"))).alias("bad")).collect()
+    for r in rows:                                            # one row a cell
+        if r.bad is not None:
+            raise ValueError(f"question {r.bad} has a vector with NaN or infinity")
+        if not sparse and r.lo != r.hi:
+            raise ValueError(f"vector dimension mismatch: questions of {r.lo} and {r.hi}")
+    return {r["_cell"]: (r.n, r.t * (16 if sparse else 8) + 16 * r.n) for r in rows}
+
+
+def _groups(questions: DataFrame, candidates: DataFrame, keys: Sequence[str], k: int, metric: str, exclude_self: bool,
+            dim: int | None, sizes: dict[int, int], max_block_bytes: int) -> DataFrame | None:
+    """(query_id, score, ids ...): the top-k of every group; None without questions.
+
+    ``questions``: query_id, _cell, _v.  ``candidates``: ids, _cell, _v.
+    ``sizes``: candidates of every cell.
+    """
+    spark = candidates.sparkSession
+    ship_package(spark)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = _cell_counts(questions)
+    # per cell: salts of its candidates and blocks of its questions
+    facts = [(c, min(most, -(-sizes[c] // GROUP_ROWS)), -(-size // max_block_bytes)) for c, (_, size) in sorted(asked.items()) if sizes.get(c)]
+    if not facts:
+        return None
+    if len(facts) == 1:
+        cell, salts, blocks = facts[0]
+
+        def told(df):
+            return df.where(F.col("_cell") == cell).withColumns({"_salts": F.lit(salts), "_blocks": F.lit(blocks)})
+    else:
+        small = spark.createDataFrame(facts, "_cell int, _salts int, _blocks int")    # a row a cell
+
+        def told(df):
+            return df.where(F.col("_cell").isin([f[0] for f in facts])).join(F.broadcast(small), "_cell")
+    long_null = F.lit(None).cast("long")
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    q = told(questions).select("_cell", F.explode(upto("_salts")).alias("_salt"),
+                               F.pmod(F.xxhash64("query_id", "_v"), F.col("_blocks")).cast("int").alias("_qb"),
+                               F.lit(0).alias("_kind"), F.col("query_id").alias("_id"), *[long_null.alias(c) for c in keys], "_v")
+    c = told(candidates).select("_cell", F.pmod(F.xxhash64(*keys, "_v"), F.col("_salts")).cast("int").alias("_salt"),
+                                F.explode(upto("_blocks")).alias("_qb"), F.lit(1).alias("_kind"), long_null.alias("_id"), *keys, "_v")
+    parts = min(most, max(2, sum(s * b for _, s, b in facts)))
+    both = q.unionByName(c).repartition(parts, "_cell", "_salt", "_qb").sortWithinPartitions("_cell", "_salt", "_qb", "_kind")
+    fields = ", ".join(["query_id long", "score double", *[f"`{x}` long" for x in keys]])
+    return both.mapInArrow(_stream_fn(k, metric, keys, dim, exclude_self), fields)
+
+
+def _questions(queries: DataFrame, query_id: str, query_vec: str) -> DataFrame:
+    """(query_id, _v), stored: read by the counts and by the join."""
+    return stored(queries.select(F.col(query_id).cast("long").alias("query_id"), F.col(query_vec).alias("_v")).where(F.col("_v").isNotNull()), "questions")
+
+
+class _Candidates:
+    """The candidate side: ids as longs, the row number, the vector."""
+
+    def __init__(self, df: DataFrame, cand_id: str | Sequence[str], vec: str, carry: Sequence[str], cell: str | None = None):
+        self.names = [cand_id] if isinstance(cand_id, str) else list(cand_id)
+        self.extra = [c for c in carry if c not in self.names]
+        if self.extra and ROW not in df.columns:
+            # a plan evaluated twice need not give its rows the same numbers: store it
+            df = number_rows(df.select(*dict.fromkeys([*self.names, vec, *self.extra, *([cell] if cell else [])])), [cell] if cell else None)
+        self.df, self.vec, self.cell = df, vec, cell
+        self.keys = [*[f"_k{i}" for i in range(len(self.names))], ROW]
+
+    def side(self, rows: DataFrame, cell: Column) -> DataFrame:
+        row = F.col(ROW) if ROW in rows.columns else F.lit(0).cast("long")
+        return rows.where(F.col(self.vec).isNotNull()).select(
+            *[F.coalesce(F.col(n).cast("long"), F.lit(NO_ID)).alias(k) for n, k in zip(self.names, self.keys)],
+            row.alias(ROW), cell.alias("_cell"), F.col(self.vec).alias("_v"))
+
+    def hits(self, ranked: DataFrame | None, rows: DataFrame, n: int, carry: Sequence[str]) -> DataFrame:
+        """query_id, rank, score, ids, carried columns of the winners."""
+        spark = rows.sparkSession
+        if ranked is None:
+            schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("rank", T.IntegerType()), T.StructField("score", T.DoubleType()),
+                                   *[T.StructField(c, T.LongType()) for c in self.names], *[rows.schema[c] for c in self.extra]])
+            return spark.createDataFrame([], schema).select("query_id", "rank", "score", *dict.fromkeys([*self.names, *carry]))
+        won = ranked.select("query_id", "rank", "score", ROW, *[F.when(F.col(k) != NO_ID, F.col(k)).alias(c) for k, c in zip(self.keys, self.names)])
+        if not self.extra:
+            return won.select("query_id", "rank", "score", *dict.fromkeys([*self.names, *carry]))
+        late = rows.select(ROW, *self.extra)
+        return late.join(F.broadcast(won) if n <= WINNERS else won, ROW).select("query_id", "rank", "score", *dict.fromkeys([*self.names, *carry]))
+
+
+def number_rows(df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """``df`` stored with a number of its own for every row (column ``_row``)."""
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), "candidates", partition_by)
 
 
 def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "cosine",
         query_id: str = "query_id", query_vec: str = "embedding",
-        cand_id: str = "chunk_id", cand_vec: str = "embedding",
+        cand_id: str | Sequence[str] = "chunk_id", cand_vec: str = "embedding",
         carry: Sequence[str] = (), where: Column | str | None = None,
-        exclude_self: bool = False,
-        max_broadcast_bytes: int = MAX_BROADCAST_BYTES, cand_sparse_dim: int | None = None,
-        query_sparse_dim: int | None = None) -> DataFrame:
+        exclude_self: bool = False, max_block_bytes: int = MAX_BLOCK_BYTES, dim: int | None = None) -> DataFrame:
     """SCH-1 exact k nearest candidates for every question.
 
-    Returns ``query_id, rank, score, <cand_id>, <carry...>`` with
+    Returns ``query_id, rank, score, <cand_id...>, <carry...>`` with
     ``rank`` 1..min(k, candidates).  ``where`` (FLT-3) filters candidates
-    before scoring, so k rows still come back when enough remain.
+    before scoring, so k rows still come back when enough remain.  Vectors
+    are arrays of numbers, or sparse arrays of (bucket, weight) below
+    ``dim``.  Question ids are unique; candidate ids may repeat (and be
+    null): every candidate row is a candidate of its own.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if where is not None:
         candidates = candidates.filter(F.expr(where) if isinstance(where, str) else where)
-
-    def one(qb):
-        return _knn_block(qb, candidates, k, metric, query_id, query_vec, cand_id, cand_vec,
-                          (), exclude_self, sparse_dim=cand_sparse_dim, query_sparse_dim=query_sparse_dim)
-    hits = _per_question_block(queries, query_id, query_vec, max_broadcast_bytes, one, query_sparse_dim)
-    extra = [c for c in carry if c != cand_id]
-    if not extra:
-        return hits.select("query_id", "rank", "score", cand_id, *[c for c in carry if c == cand_id])
-    # only ids and scores are merged; what a hit carries joins the questions x k winners
-    late = candidates.select(F.col(cand_id).cast("long").alias(cand_id), *extra)
-    return hits.join(late, cand_id).select("query_id", "rank", "score", cand_id, *carry)
-
-
-def _per_question_block(queries: DataFrame, query_id: str, query_vec: str, max_bytes: int, run,
-                        sparse_dim: int | None = None) -> DataFrame:
-    """Size the question side, then run ``run(block)`` on hash blocks of the
-    questions that each fit the broadcast bound; union the results.
-
-    The question side is evaluated once (cached while it is sized and
-    collected); every block is collected by ``run`` and broadcast.
-    """
-    q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias(query_vec)) \
-               .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = q.agg(F.count(F.col(query_vec)).alias("n"), F.max(F.size(query_vec)).alias("d"),
-                      F.sum(F.size(query_vec)).alias("t")).first()
-        n, d, t = int(stats["n"] or 0), int(stats["d"] or 0), int(stats["t"] or 0)
-        # dense: n x d float64; sparse (term prefixes): at most one entry per term
-        size = t * 16 + n * 16 if sparse_dim else n * max(d, 1) * 8
-        blocks = max(1, math.ceil(size / max_bytes))
-        if blocks == 1:
-            return run(q)
-        parts = [run(q.filter(F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks)) == b)) for b in range(blocks)]
-        return reduce(DataFrame.unionByName, parts)
-    finally:
-        q.unpersist()
-
-
-def _knn_block(queries, candidates, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-               exclude_self, cells=None, cell_col: str | None = None, sparse_dim: int | None = None,
-               query_sparse_dim: int | None = None):
-    spark = candidates.sparkSession
-    ship_package(spark)
-    Q = _broadcast_queries(queries, query_id, query_vec, metric, query_sparse_dim)
-    qids = Q.ids
-    cschema = candidates.schema
-    out_fields = [T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
-                  T.StructField(cand_id, T.LongType())] + [cschema[c] for c in carry]
-    if len(qids) == 0:
-        empty = spark.createDataFrame([], T.StructType(out_fields))
-        return empty.withColumn("rank", F.lit(1)).select("query_id", "rank", "score", cand_id, *carry)
-    bq = spark.sparkContext.broadcast((Q, cells))
-    cols = [F.col(cand_id).cast("long").alias(cand_id), F.col(cand_vec).alias(cand_vec)] + \
-           [F.col(c) for c in carry if c not in (cand_id, cand_vec)]
-    if cells is not None:
-        cols.append(F.col(cell_col).alias("centroid"))
-    src = candidates.filter(F.col(cand_vec).isNotNull()).select(*cols)
-    fn = _partial_topk_fn(bq, k, metric, cand_id, cand_vec, list(carry), exclude_self,
-                          [T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry],
-                          sparse_dim)
-    inner_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("score", T.DoubleType()),
-                                 T.StructField("cand_id", T.LongType())] + [cschema[c] for c in carry])
-    partials = src.mapInArrow(fn, inner_schema).withColumnRenamed("cand_id", cand_id)
-    return _rank(partials, k, cand_id).select("query_id", "rank", "score", cand_id, *carry)
+    c = _Candidates(candidates, cand_id, cand_vec, carry)
+    q = _questions(queries, query_id, query_vec).withColumn("_cell", F.lit(0))
+    side = c.side(c.df, F.lit(0))
+    found = _groups(q, side, c.keys, k, metric, exclude_self, dim, {0: side.count()}, max_block_bytes)
+    n = q.count() * k
+    return c.hits(None if found is None else _rank(found, k, c.keys), c.df, n, carry)
 
 
 # ---------------------------------------------------------------- text search
 
+def text_index(chunks: DataFrame, dim: int = 256, chunk_text: str = "content") -> DataFrame:
+    """The chunk table stored with its hash embeddings (sparse) and row
+    numbers: chunked and hashed once for any number of searches."""
+    from docsift.operators.embedding import sparse_vector
+    return number_rows(chunks.withColumn("embedding", sparse_vector(F.col(chunk_text), dim)))
+
+
 def search_text(questions: DataFrame, chunks: DataFrame, k: int = 4, dim: int = 256,
                 question_id: str = "query_id", question_text: str = "question",
-                chunk_id: str = "chunk_id", chunk_text: str = "content",
+                chunk_id: str | Sequence[str] = "chunk_id", chunk_text: str = "content",
                 carry: Sequence[str] = ("path", "content"), metric: str = "cosine",
-                where: Column | None = None, embedded: bool = False) -> DataFrame:
+                where: Column | None = None, embedded: bool = False,
+                centroids: np.ndarray | None = None, nprobe: int = 2, exact: bool = False) -> DataFrame:
     """SCH-2: embed the question texts (and the chunks unless ``embedded``)
-    with the hash model, then exact k-NN."""
-    from docsift.functions.hashing import md5_prefixes
-    from docsift.functions.text import terms
-    from docsift.operators.embedding import hash_vector
-    if embedded:
-        q = questions.select(F.col(question_id).alias("query_id"),
-                             hash_vector(F.col(question_text), dim).alias("embedding"))
-        return knn(q, chunks, k=k, metric=metric, query_id="query_id", query_vec="embedding",
-                   cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where)
-    # Questions travel as their md5 term prefixes and stay sparse (CSR);
-    # chunk terms are hashed in the JVM and scattered inside the search task,
-    # so no dense vector is stored, shuffled or broadcast.
-    q = questions.select(F.col(question_id).alias("query_id"),
-                         md5_prefixes(terms(F.col(question_text))).alias("terms"))
-    c = chunks.withColumn("_sb", md5_prefixes(terms(F.col(chunk_text))))
-    return knn(q, c, k=k, metric=metric, query_id="query_id", query_vec="terms",
-               cand_id=chunk_id, cand_vec="_sb", carry=list(carry), where=where, cand_sparse_dim=dim,
-               query_sparse_dim=dim)
+    with the hash model, then exact k-NN; with ``centroids`` the chunks are a
+    stored index partitioned by cell and are searched by cell (``knn_ivf``)."""
+    from docsift.operators.embedding import hash_vector, sparse_vector
+    if not embedded:
+        if where is not None:
+            chunks, where = chunks.filter(where), None
+        chunks = text_index(chunks, dim, chunk_text)
+    embed = sparse_vector if _is_sparse(chunks, "embedding") else hash_vector
+    q = questions.select(F.col(question_id).alias("query_id"), embed(F.col(question_text), dim).alias("embedding"))
+    if centroids is not None:
+        index = chunks if where is None else chunks.filter(where)
+        return knn_ivf(q, index, centroids, k=k, nprobe=nprobe, metric=metric, cand_id=chunk_id, carry=list(carry), exact=exact)
+    return knn(q, chunks, k=k, metric=metric, query_id="query_id", query_vec="embedding",
+               cand_id=chunk_id, cand_vec="embedding", carry=list(carry), where=where, dim=dim)
 
 
 def collect_docs(hits: DataFrame, fields: Sequence[str] = ("content", "path")) -> DataFrame:
@@ -527,84 +585,84 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
     return df.mapInArrow(run, out_schema)
 
 
-def cell_radii(index: DataFrame, n_lists: int, cell_col: str = "centroid", dist_col: str = "cell_dist") -> np.ndarray:
-    """Largest member distance per cell (one row per cell reaches the driver)."""
-    r = np.zeros(n_lists)
-    for row in index.groupBy(cell_col).agg(F.max(dist_col).alias("r")).collect():
-        r[int(row[cell_col])] = float(row["r"])
-    return r
+def cell_facts(index: DataFrame, cell_col: str = "centroid", dist_col: str | None = "cell_dist") -> dict[int, tuple[int, float]]:
+    """cell -> (rows, largest member distance); one row per cell reaches the driver."""
+    far = F.max(dist_col) if dist_col else F.lit(0.0)
+    return {r[cell_col]: (r.n, float(r.far)) for r in
+            index.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"), far.alias("far")).collect() if r[cell_col] is not None}
 
 
 def build_ivf(candidates: DataFrame, path: str, n_lists: int = 16, vec: str = "embedding",
               seed: int = 7, mode: str = "overwrite"):
-    """SCH-6 (b): write the corpus partitioned by nearest centroid; returns centroids."""
+    """SCH-6 (b): write the corpus partitioned by nearest centroid, with row
+    numbers; returns centroids."""
     cen = train_centroids(candidates, n_lists, vec, seed)
-    assign_cells(candidates, cen, vec).write.mode(mode).partitionBy("centroid").parquet(path)
+    assign_cells(candidates, cen, vec).withColumn(ROW, F.monotonically_increasing_id()) \
+        .write.mode(mode).partitionBy("centroid").parquet(path)
     return cen
 
 
+def _routes(questions: DataFrame, centroids: np.ndarray, cells: Sequence[int], far: Sequence[float]) -> DataFrame:
+    """Adds ``_near``: the cells that hold rows, nearest first, each with the
+    highest cosine that a member can have (unit vectors, triangle inequality:
+    |q - x| >= |q - centroid| - radius)."""
+    spec = (centroids[list(cells)], np.asarray(cells, np.int32), np.asarray(far))
+    out = T.StructType(questions.schema.fields + T.StructType.fromDDL("_near array<struct<cell:int,upper:double>>").fields)
+    ship_package(questions.sparkSession)
+
+    def run(batches):
+        cen, ids, radius = spec
+        cn = cen / np.maximum(np.linalg.norm(cen, axis=1, keepdims=True), 1e-12)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            m = _dense(b.column("_v"), cen.shape[1])
+            q = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+            order = np.argsort(-(q @ cn.T), axis=1, kind="stable")
+            d2 = (q * q).sum(axis=1)[:, None] + (cen * cen).sum(axis=1)[None, :] - 2.0 * (q @ cen.T)
+            upper = 1.0 - np.maximum(np.sqrt(np.maximum(d2, 0.0)) - radius[None, :], 0.0) ** 2 / 2.0
+            flat = pa.StructArray.from_arrays([pa.array(ids[order].ravel()), pa.array(np.take_along_axis(upper, order, 1).ravel())], ["cell", "upper"])
+            off = pa.array(np.arange(0, len(flat) + 1, len(ids), dtype=np.int32))
+            yield b.append_column("_near", pa.ListArray.from_arrays(off, flat))
+    return questions.mapInArrow(run, out)
+
+
 def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int = 4, nprobe: int = 2,
             metric: str = "cosine", query_id: str = "query_id", query_vec: str = "embedding",
-            cand_id: str = "chunk_id", cand_vec: str = "embedding", carry: Sequence[str] = (),
-            exclude_self: bool = False, exact: bool = False, radii: np.ndarray | None = None) -> DataFrame:
-    """Top-k over an IVF index: each question first scores only its ``nprobe``
-    nearest cells.
-
-    The probed cell set filters the partition column, so the scan reads only
-    those cells' files; inside a task a row is scored only for questions
-    probing its cell.
+            cand_id: str | Sequence[str] = "chunk_id", cand_vec: str = "embedding", carry: Sequence[str] = (),
+            exclude_self: bool = False, exact: bool = False, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
+    """Top-k over an IVF index: each question first meets only its ``nprobe``
+    nearest cells; the probed cells filter the partition column, so the scan
+    reads only their files.
 
     ``exact=True`` (cosine) makes the result equal to exact search: with the
     k-th score s_k found for a question, a cell c can still hold a row
     scoring >= s_k only if 1 - max(0, |q - mu_c| - r_c)^2 / 2 >= s_k (unit
-    vectors, triangle inequality, r_c = cell radius); exactly those cells
-    are scanned in a second, again partition-pruned, pass and merged.
+    vectors, triangle inequality, r_c = cell radius); a second join, again
+    reading only those cells, meets exactly these, and both are merged.
     """
     if exact and metric != "cosine":
         raise ValueError("exact IVF search is defined for cosine")
-
-    def one(qb):
-        return _knn_ivf_block(qb, index, centroids, k, nprobe, metric, query_id, query_vec, cand_id, cand_vec,
-                              carry, exclude_self, exact, radii)
-    return _per_question_block(queries, query_id, query_vec, MAX_BROADCAST_BYTES, one)
-
-
-def _knn_ivf_block(queries, index, centroids, k, nprobe, metric, query_id, query_vec, cand_id, cand_vec,
-                   carry, exclude_self, exact, radii):
-    Qm = _broadcast_queries(queries, query_id, query_vec, metric)
-    qids, qm = Qm.ids, Qm.dense
-    if not len(qids):
-        return _knn_block(queries, index, k, metric, query_id, query_vec, cand_id, cand_vec, carry, exclude_self)
-    cn = centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
-    qn = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-12)
-    probe = np.argsort(-(qn @ cn.T), axis=1, kind="stable")[:, :nprobe]
-    cells = np.zeros((len(centroids), len(qids)), dtype=bool)
-    for j in range(len(qids)):
-        cells[probe[j], j] = True
-    first = _ivf_pass(queries, index, cells, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-                      exclude_self)
-    if not exact:
-        return first
-    if radii is None:
-        radii = cell_radii(index, len(centroids))
-    found = {r["query_id"]: (r["kth"], r["n"]) for r in
-             first.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n")).collect()}
-    kth = np.array([found.get(int(q), (-np.inf, 0))[0] if found.get(int(q), (0, 0))[1] >= k else -np.inf
-                    for q in qids])
-    d2 = (qn * qn).sum(axis=1)[:, None] + (centroids * centroids).sum(axis=1)[None, :] - 2.0 * (qn @ centroids.T)
-    d = np.sqrt(np.maximum(d2, 0.0))                                            # (questions, cells)
-    upper = 1.0 - np.maximum(d - radii[None, :], 0.0) ** 2 / 2.0
-    more = ((upper + 1e-5) >= kth[:, None]).T & ~cells                          # (cells, Q)
-    if not more.any():
-        return first
-    second = _ivf_pass(queries, index, more, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-                       exclude_self)
-    both = first.drop("rank").unionByName(second.drop("rank"))
-    return _rank(both, k, cand_id).select("query_id", "rank", "score", cand_id, *carry)
-
-
-def _ivf_pass(queries, index, cells, k, metric, query_id, query_vec, cand_id, cand_vec, carry, exclude_self):
-    wanted = [int(c) for c in np.nonzero(cells.any(axis=1))[0]]
-    pruned = index.filter(F.col("centroid").isin(wanted))
-    return _knn_block(queries, pruned, k, metric, query_id, query_vec, cand_id, cand_vec, carry,
-                      exclude_self, cells=cells, cell_col="centroid")
+    dim = centroids.shape[1]
+    c = _Candidates(index, cand_id, cand_vec, carry, "centroid")
+    facts = cell_facts(c.df, "centroid", "cell_dist" if exact else None)
+    sizes = {cell: n for cell, (n, _) in facts.items()}
+    cells = sorted(sizes)
+    q = _questions(queries, query_id, query_vec)
+    if not cells or q.isEmpty():
+        return c.hits(None, c.df, 0, carry)
+    routes = stored(_routes(q, centroids, cells, [facts[x][1] for x in cells]), "routes")
+    side = c.side(c.df, F.col("centroid"))
+
+    def meet(near: Column, asked: DataFrame) -> DataFrame | None:
+        to = asked.select("query_id", "_v", F.explode(near).alias("_n")).select("query_id", "_v", F.col("_n.cell").alias("_cell"))
+        return _groups(to, side, c.keys, k, metric, exclude_self, dim, sizes, max_block_bytes)
+
+    found = meet(F.slice("_near", 1, nprobe), routes)
+    if exact and nprobe < len(cells):
+        first = stored(_rank(found, k, c.keys).drop("rank"), "first")
+        kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("_kth"))
+        more = F.filter(F.slice("_near", nprobe + 1, len(cells)), lambda x: F.col("_kth").isNull() | (x["upper"] + 1e-5 >= F.col("_kth")))
+        second = meet(more, routes.join(kth, "query_id", "left"))
+        found = first if second is None else first.unionByName(second)
+    return c.hits(_rank(found, k, c.keys), c.df, q.count() * k, carry)

@@ -20,6 +20,7 @@ from docsift.operators import index as IX
 from docsift.operators import monitor as MO
 from docsift.operators import search as S
 from docsift.plans import sql_fragments as Q
+from docsift.session import stored
 from docsift.sources import web as W
 
 QUERIES: dict = {}
@@ -31,7 +32,7 @@ SMALL_CHUNK = 100                            # no-overlap variant, forces more c
 WINDOW_SIZE, WINDOW_OVERLAP = 200, 20        # fixed token windows
 TRUNCATE_AT = 50
 DIM = 1024                                   # hash-embedding buckets (the reference model has 1024 dims)
-CHUNK_ID_BASE = 100000                       # chunk_id = doc_id * base + chunk_no
+CHUNK_KEY = ("doc_id", "chunk_no")            # identity of a chunk
 
 
 def register(name: str, sql: str | None = None):
@@ -61,15 +62,14 @@ def documents(spark, sf_dir) -> DataFrame:
 
 def sentence_chunks(spark, sf_dir, size=CHUNK_SIZE, overlap=CHUNK_OVERLAP, engine="arrow") -> DataFrame:
     d = spread(documents(spark, sf_dir).select("doc_id", "path", "text"))
-    ch = C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap, engine=engine)
-    return ch.withColumn("chunk_id", F.col("doc_id") * CHUNK_ID_BASE + F.col("chunk_no"))
+    return C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap, engine=engine)
 
 
 DOCS_SQL = "(SELECT *, 'doc/' || doc_id::VARCHAR AS path FROM documents)"
 
 
 def chunks_sql(size=CHUNK_SIZE, overlap=CHUNK_OVERLAP) -> str:
-    return (f"(SELECT doc_id, path, chunk_no, content, doc_id * {CHUNK_ID_BASE} + chunk_no AS chunk_id FROM "
+    return (f"(SELECT doc_id, path, chunk_no, content, {{'doc_id': doc_id, 'chunk_no': chunk_no}} AS chunk_key FROM "
             f"{Q.chunk_rows(DOCS_SQL, 'doc_id, path', 'text', size, overlap)})")
 
 
@@ -204,13 +204,13 @@ def benchmark_questions(spark, sf_dir) -> DataFrame:
 
 
 @register("search_text", f"""
-SELECT t.query_id, t.rank, t.score, t.cid AS chunk_id, c.path
-FROM {Q.text_topk('benchmark', 'item_id', 'text', chunks_sql(), 'chunk_id', 'content', DIM, 4)} t
-JOIN {chunks_sql()} c ON c.chunk_id = t.cid""")
+SELECT t.query_id, t.rank, t.score, c.doc_id, c.chunk_no::BIGINT AS chunk_no, c.path
+FROM {Q.text_topk('benchmark', 'item_id', 'text', chunks_sql(), 'chunk_key', 'content', DIM, 4)} t
+JOIN {chunks_sql()} c ON c.chunk_key = t.cid""")
 def q_search_text(spark, sf_dir):
     hits = S.search_text(benchmark_questions(spark, sf_dir), sentence_chunks(spark, sf_dir), k=4, dim=DIM,
-                         carry=("path",))
-    return hits.select("query_id", "rank", "score", "chunk_id", "path")
+                         chunk_id=CHUNK_KEY, carry=("path",))
+    return hits.select("query_id", "rank", "score", *CHUNK_KEY, "path")
 
 
 @register("retrieve_top4", f"""
@@ -218,12 +218,12 @@ SELECT query_id, count(*) AS n_docs,
        string_agg(path, '|' ORDER BY rank) AS sources,
        sum(length(content))::BIGINT AS context_chars
 FROM (SELECT t.query_id, t.rank, c.path, c.content
-      FROM {Q.text_topk('benchmark', 'item_id', 'text', chunks_sql(), 'chunk_id', 'content', DIM, 4)} t
-      JOIN {chunks_sql()} c ON c.chunk_id = t.cid)
+      FROM {Q.text_topk('benchmark', 'item_id', 'text', chunks_sql(), 'chunk_key', 'content', DIM, 4)} t
+      JOIN {chunks_sql()} c ON c.chunk_key = t.cid)
 GROUP BY query_id""")
 def q_retrieve_top4(spark, sf_dir):
     r = S.retrieve(benchmark_questions(spark, sf_dir), sentence_chunks(spark, sf_dir), k=4, dim=DIM,
-                   carry=("path", "content"))
+                   chunk_id=CHUNK_KEY, carry=("path", "content"))
     return r.select(
         "query_id", F.col("n_docs").cast("long").alias("n_docs"),
         F.array_join(F.transform("docs", lambda d: d["path"]), "|").alias("sources"),
@@ -298,9 +298,9 @@ def q_chat_transcript(spark, sf_dir):
 
 
 def _answers_sql(q_src: str, q_id: str, q_text: str) -> str:
-    topk = Q.text_topk(q_src, q_id, q_text, chunks_sql(), "chunk_id", "content", DIM, 4)
+    topk = Q.text_topk(q_src, q_id, q_text, chunks_sql(), "chunk_key", "content", DIM, 4)
     return f"""hits AS (SELECT t.query_id, t.rank, c.path, c.content FROM {topk} t
-                       JOIN {chunks_sql()} c ON c.chunk_id = t.cid),
+                       JOIN {chunks_sql()} c ON c.chunk_key = t.cid),
 docs AS (SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context,
                 string_agg(path, '|' ORDER BY rank) AS sources, count(*)::INTEGER AS n_sources
          FROM hits GROUP BY query_id)"""
@@ -313,7 +313,7 @@ SELECT b.item_id AS query_id, b.text AS question,
        coalesce(d.sources, '') AS sources, coalesce(d.n_sources, 0)::INTEGER AS n_sources
 FROM benchmark b LEFT JOIN docs d ON d.query_id = b.item_id""")
 def q_answer_questions(spark, sf_dir):
-    a = CH.answer(benchmark_questions(spark, sf_dir), sentence_chunks(spark, sf_dir), k=4, dim=DIM)
+    a = CH.answer(benchmark_questions(spark, sf_dir), sentence_chunks(spark, sf_dir), k=4, dim=DIM, chunk_id=CHUNK_KEY)
     return a.select("query_id", "question", "result", F.array_join("sources", "|").alias("sources"),
                     F.size("sources").alias("n_sources"))
 
@@ -335,7 +335,7 @@ FROM j WHERE verdict <> 'yes'"""
 def q_chat_full(spark, sf_dir):
     lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_share=MIN_DF_SHARE)
     out = CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
-                  threshold=RELEVANCE_THRESHOLD)
+                  threshold=RELEVANCE_THRESHOLD, chunk_id=CHUNK_KEY)
     return out.select("conv_id", "verdict", "query", "result", F.array_join("sources", "|").alias("sources"),
                       F.size("sources").alias("n_sources"))
 
@@ -568,32 +568,29 @@ def q_chunk_topics(spark, sf_dir):
 
 
 @register("chunks_head", f"""
-SELECT chunk_id, path, chunk_no, {Q.ntok('content')}::INTEGER AS n_tokens FROM {chunks_sql()}
-ORDER BY chunk_id LIMIT 10""")
+SELECT doc_id, path, chunk_no, {Q.ntok('content')}::INTEGER AS n_tokens FROM {chunks_sql()}
+ORDER BY doc_id, chunk_no LIMIT 10""")
 def q_chunks_head(spark, sf_dir):
     """LIM-1: the first rows of the chunk table in key order (a report)."""
     ch = sentence_chunks(spark, sf_dir)
-    return ch.orderBy("chunk_id").limit(10).select("chunk_id", "path", "chunk_no",
-                                                    T.token_count("content").alias("n_tokens"))
+    return ch.orderBy(*CHUNK_KEY).limit(10).select("doc_id", "path", "chunk_no", T.token_count("content").alias("n_tokens"))
 
 
 @register("sync_embeddings", f"""
 WITH c AS (SELECT * FROM {chunks_sql()}),
 todo AS (SELECT c.* FROM c JOIN documents d USING (doc_id) WHERE d.lang <> 'en'),
-p AS {Q.postings('todo', 'chunk_id', 'content', DIM)}
-SELECT todo.chunk_id, todo.path, todo.chunk_no, count(p.bucket)::INTEGER AS n_nonzero
-FROM todo LEFT JOIN p ON p.id = todo.chunk_id GROUP BY todo.chunk_id, todo.path, todo.chunk_no""")
+p AS {Q.postings('todo', 'chunk_key', 'content', DIM)}
+SELECT todo.doc_id, todo.path, todo.chunk_no, count(p.bucket)::INTEGER AS n_nonzero
+FROM todo LEFT JOIN p ON p.id = todo.chunk_key GROUP BY todo.doc_id, todo.path, todo.chunk_no""")
 def q_sync_embeddings(spark, sf_dir):
     """EMB-4: chunks of English documents count as already embedded; embed the rest only."""
-    from docsift.session import reuse
     # chunks carry their document's language (no join of many chunks per
     # document back to the documents); read twice, so chunked once
     d = spread(documents(spark, sf_dir).select("doc_id", "path", "lang", "text"))
-    ch = C.chunk_sentences(d, "text", keep=("doc_id", "path", "lang"), size=CHUNK_SIZE, overlap=CHUNK_OVERLAP)
-    ch = reuse(ch.withColumn("chunk_id", F.col("doc_id") * CHUNK_ID_BASE + F.col("chunk_no")))
-    done = ch.filter(F.col("lang") == "en").select("chunk_id")
-    new = E.sync_embeddings(ch.select("chunk_id", "path", "chunk_no", "content"), done, dim=DIM)
-    return new.select("chunk_id", "path", "chunk_no",
+    ch = stored(C.chunk_sentences(d, "text", keep=("doc_id", "path", "lang"), size=CHUNK_SIZE, overlap=CHUNK_OVERLAP), "chunks")
+    done = ch.filter(F.col("lang") == "en").select(*CHUNK_KEY)
+    new = E.sync_embeddings(ch.select(*CHUNK_KEY, "path", "content"), done, key=CHUNK_KEY, dim=DIM)
+    return new.select("doc_id", "path", "chunk_no",
                       F.size(F.filter("embedding", lambda x: x != 0)).alias("n_nonzero"))
 
 
@@ -654,7 +651,7 @@ def q_chat_relevance_model(spark, sf_dir):
 def _chat_answers(spark, sf_dir) -> DataFrame:
     lex = CH.corpus_lexicon(spread(table(spark, sf_dir, "documents")), min_share=MIN_DF_SHARE)
     return CH.chat(messages(spark, sf_dir), sentence_chunks(spark, sf_dir), lex, k=4, dim=DIM,
-                   threshold=RELEVANCE_THRESHOLD)
+                   threshold=RELEVANCE_THRESHOLD, chunk_id=CHUNK_KEY)
 
 
 @register("answer_log", f"""

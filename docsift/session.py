@@ -116,3 +116,28 @@ def reuse(df):
         checkpoint_root(spark)
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def stored(df, name: str, partition_by=None):
+    """``df`` written as Parquet to the session's part of the shared folder and
+    read back: evaluated once, and read again (not computed again) when an
+    executor is lost.  ``drop_stored`` removes the session's tables."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{_stored_root(spark)}/{name}-{uuid.uuid4().hex}"
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _stored_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/stored/{spark.sparkContext.applicationId}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Remove the tables that ``stored`` wrote in this session; frames over
+    them cannot be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -77,7 +77,7 @@ def test_blocked_path_equals_broadcast_path(spark):
     c = rng.normal(size=(40, 5)).astype(np.float32)
     qdf, cdf = frames(spark, q, c)
     a = as_dict(S.knn(qdf, cdf, k=3))
-    b = as_dict(S.knn(qdf, cdf, k=3, max_broadcast_bytes=200))   # forces several blocks
+    b = as_dict(S.knn(qdf, cdf, k=3, max_block_bytes=200))   # forces several blocks
     assert a == b
 
 
