@@ -32,6 +32,8 @@ def l2(a: Column, b: Column) -> Column:
 
 
 def check_dim(a: Column, dim: int) -> Column:
-    """EMB-5: pass the vector through, fail the task if its length is not ``dim``."""
-    return F.when(F.size(a) == dim, a).otherwise(
-        F.raise_error(F.concat(F.lit(f"embedding dimension must be {dim}, got "), F.size(a).cast("string"))))
+    """EMB-5: pass the vector through, fail the task if its length is not
+    ``dim`` or a component is null, NaN or infinite; null passes."""
+    fine = (F.size(a) == dim) & F.forall(a, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.when(a.isNull() | fine, a).otherwise(
+        F.raise_error(F.concat(F.lit(f"embedding must have {dim} finite numbers, got one of "), F.size(a).cast("string"))))

@@ -556,6 +556,16 @@ def train_centroids(candidates: DataFrame, n_lists: int, vec: str = "embedding",
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()], dtype=np.float64)
 
 
+def sample_centroids(candidates: DataFrame, n_lists: int, key: str, vec: str = "embedding") -> np.ndarray:
+    """Centroids without a fit: the unit vectors of the ``n_lists`` rows with
+    the smallest key hashes (the same on every run).  Search by cell stays
+    exact with any centroids; only the pruning depends on them."""
+    rows = candidates.where(F.col(vec).isNotNull()).select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), vec) \
+        .orderBy("h", "k").limit(n_lists).collect()
+    m = np.array([r[vec] for r in rows], dtype=np.float64)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) if len(m) else np.zeros((0, 0))
+
+
 def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
                  out_col: str = "centroid", dist_col: str = "cell_dist") -> DataFrame:
     """Nearest centroid of every row (cosine), one Arrow pass, centroids broadcast.

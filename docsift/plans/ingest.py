@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.text import clean_text
+from docsift.functions.vectors import check_dim
 from docsift.operators.chunking import chunk_key, chunk_sentences_arrow_col
-from docsift.operators.embedding import hash_vector
+from docsift.operators import versions as VS
+from docsift.operators.embedding import embed, hash_vector
 from docsift.sources.files import extract_section_arrays, read_files_stream, text_sections
 from docsift.streaming.publish import publish_stream, read_table_stream
 
@@ -25,8 +27,12 @@ def chunk_files(raw: DataFrame, extractor=text_sections, size: int = 500, overla
     return ch.select(chunk_key("path", "chunk_no", "content").alias("chunk_id"), "path", "chunk_no", "content")
 
 
-def embed_chunks(chunks: DataFrame, dim: int = 256) -> DataFrame:
-    return chunks.withColumn("embedding", hash_vector(F.col("content"), dim))
+def embed_chunks(chunks: DataFrame, dim: int = 256, model=None) -> DataFrame:
+    """Adds ``embedding``: the hash model's, or an injected one's.  A vector of
+    another length or with a non-finite number fails the task (EMB-5)."""
+    if model is not None:
+        return embed(chunks, "content", model).withColumn("embedding", check_dim(F.col("embedding"), dim))
+    return chunks.withColumn("_e", hash_vector(F.col("content"), dim)).withColumn("embedding", check_dim(F.col("_e"), dim)).drop("_e")
 
 
 def run_ingest(spark: SparkSession, folder: str, raw_table: str, chunk_table: str, emb_table: str,
@@ -38,14 +44,27 @@ def run_ingest(spark: SparkSession, folder: str, raw_table: str, chunk_table: st
     publish_stream(embed_chunks(read_table_stream(spark, chunk_table), dim), table=emb_table)
 
 
-def run_index(spark: SparkSession, chunk_table: str, root: str, centroids=None, dim: int = 256) -> str:
+def run_index(spark: SparkSession, chunk_table: str, root: str, centroids=None, dim: int = 256, model=None) -> int:
     """SCH-7: bring the versioned index under ``root`` in step with the chunk
-    table and write the next snapshot; only new and changed chunks are
-    embedded.  Returns the snapshot's path."""
-    from docsift.operators import index as IX
-    try:
-        old = IX.read_latest(spark, root)
-    except FileNotFoundError:
-        old = None
+    table; only new and changed chunks are embedded, only their cells are
+    written.  Cells are those of ``centroids``, or hashes of the key.
+    Returns the version."""
     source = spark.table(chunk_table).select("chunk_id", "path", "chunk_no", "content")
-    return IX.write_snapshot(IX.sync_index(old, source, "chunk_id", centroids, lambda d: embed_chunks(d, dim)), root)
+    return VS.sync(spark, root, source, "chunk_id", index_rows(centroids, dim, model))
+
+
+HASH_CELLS = 64
+
+
+def index_rows(centroids=None, dim: int = 256, model=None, key: str = "chunk_id"):
+    """Chunk rows -> index rows (embedding, cell), for ``versions.sync``."""
+    def make(rows: DataFrame) -> DataFrame:
+        out = embed_chunks(rows, dim, model)
+        if centroids is None:
+            return out.withColumn("centroid", F.pmod(F.xxhash64(key), F.lit(HASH_CELLS)).cast("int"))
+        # a chunk without text has no vector and lies in cell 0
+        from docsift.operators.search import assign_cells
+        some = assign_cells(out.where(F.col("embedding").isNotNull()), centroids)
+        none = out.where(F.col("embedding").isNull()).select("*", F.lit(0).alias("centroid"), F.lit(None).cast("double").alias("cell_dist"))
+        return some.unionByName(none)
+    return make

@@ -191,13 +191,15 @@ def test_lookup_join_matches_plain(spark):
 
 
 def test_index_runs_embed_changes_only(spark, scratch_dir):
+    from docsift.operators import versions as VS
     from docsift.plans import ingest
     root = os.path.join(scratch_dir, "index")
     schema = "chunk_id long, path string, chunk_no int, content string"
     spark.createDataFrame([(1, "p", 0, "one two"), (2, "p", 1, "three")], schema).createOrReplaceTempView("idx_chunks")
-    ingest.run_index(spark, "idx_chunks", root, dim=16)
+    assert ingest.run_index(spark, "idx_chunks", root, dim=16) == 0
+    assert ingest.run_index(spark, "idx_chunks", root, dim=16) == 0                 # nothing changed, nothing written
     spark.createDataFrame([(1, "p", 0, "one two"), (2, "p", 1, "four"), (3, "p", 2, None)], schema).createOrReplaceTempView("idx_chunks")
-    ingest.run_index(spark, "idx_chunks", root, dim=16)
-    got = {r.chunk_id: r for r in IX.read_latest(spark, root).collect()}
+    assert ingest.run_index(spark, "idx_chunks", root, dim=16) == 1
+    got = {r.chunk_id: r for r in VS.read_version(spark, root).collect()}
     want = {r.chunk_id: r.embedding for r in ingest.embed_chunks(spark.table("idx_chunks"), 16).collect()}
     assert {k: r.embedding for k, r in got.items()} == want and set(got) == {1, 2, 3}
