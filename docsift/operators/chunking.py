@@ -7,7 +7,6 @@ produced with ``posexplode`` (null and empty arrays give no row).
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -21,97 +20,90 @@ def _c(c) -> Column:
 
 # ---------------------------------------------------------------- units
 
+CUT_T = "struct<a:int,b:int>"
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is read."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def between(array: Column, a: Column, b: Column) -> Column:
+    """Elements a..b-1 (0-based, a < b), read one by one: cost b - a, not the array's length."""
+    return F.transform(F.sequence(a, b - 1), lambda i: F.get(array, i))
+
+
 def sentence_units(col, size: int) -> Column:
     """Sentences as ``array<struct<s:string,t:int>>`` (text, token count).
 
     A sentence of more than ``size`` tokens is cut into pieces of ``size``
     tokens (joined by one space); a sentence without any token is dropped.
-    Each sentence is tokenised once (a first ``transform`` keeps its
-    tokens; the second only reads that array).
+    Linear in the text: tokens are counted, and listed only for a sentence
+    that has to be cut.
     """
-    with_toks = F.transform(T.sentences(col), lambda u: F.struct(u.alias("s"), T.tokens(u).alias("k")))
-
-    def to_units(x):
-        n = F.size(x["k"])
-        pieces = F.when(
-            n <= size, F.array(F.struct(x["s"].alias("s"), n.alias("t")))
-        ).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")),
-                lambda i: F.struct(
-                    F.array_join(F.slice(x["k"], i * size + 1, size), " ").alias("s"),
-                    F.least(F.lit(size), n - i * size).alias("t")),
-            ))
-        return F.when(n > 0, pieces).otherwise(F.array().cast("array<struct<s:string,t:int>>"))
-
-    return F.flatten(F.transform(with_toks, to_units))
-
-
-def _suffix_len(cur: Column, overlap: int) -> Column:
-    """Number of trailing units of ``cur`` whose tokens total <= overlap."""
-    walk = F.aggregate(
-        F.reverse(cur),
-        F.struct(F.lit(0).alias("cnt"), F.lit(0).alias("sum"), F.lit(False).alias("stop")),
-        lambda acc, u: F.when(
-            (~acc["stop"]) & (acc["sum"] + u["t"] <= overlap),
-            F.struct((acc["cnt"] + 1).alias("cnt"), (acc["sum"] + u["t"]).alias("sum"),
-                     F.lit(False).alias("stop")),
-        ).otherwise(F.struct(acc["cnt"].alias("cnt"), acc["sum"].alias("sum"),
-                             F.lit(True).alias("stop"))),
-    )
-    return walk
-
-
-def pack_units(units: Column, size: int = 500, overlap: int = 50) -> Column:
-    """Greedy left-to-right packing of units into chunks.
+    counted = F.transform(T.sentences(col), lambda u: F.struct(u.alias("s"), F.regexp_count(u, F.lit(T.TOKEN_PATTERN)).alias("t")))
+
+    def pieces(x):
+        parts = F.sequence(F.lit(0), F.floor((x["t"] - 1) / size).cast("int"))
+        return let(T.tokens(x["s"]), lambda k: F.transform(parts, lambda i: F.struct(
+            F.array_join(between(k, i * size, F.least((i + 1) * size, x["t"])), " ").alias("s"),
+            F.least(F.lit(size), x["t"] - i * size).alias("t"))))
+
+    return F.flatten(F.transform(F.filter(counted, lambda x: x["t"] > 0),
+                                 lambda x: F.when(x["t"] <= size, F.array(x)).otherwise(pieces(x))))
+
+
+def sentence_cuts(counts: Column, size: int, overlap: int) -> Column:
+    """Greedy left-to-right packing of units with these token
+    counts: ``array<struct<a,b>>``, each chunk the units a..b-1.
 
     When the next unit would push a non-empty chunk over ``size`` the chunk
-    is emitted and the next one starts with the longest suffix of its units
-    holding <= ``overlap`` tokens, provided suffix + unit still fit.
-    Returns ``array<string>``; chunk text is the plain concatenation of units.
+    ends and the next one starts with the longest suffix of its units holding
+    <= ``overlap`` tokens, provided suffix + unit still fit.  The fold keeps
+    positions and sums only; a unit has a token at least, so a suffix is
+    found within ``overlap`` steps.
     """
-    unit_t = "struct<s:string,t:int>"
-    init = F.struct(
-        F.array().cast("array<string>").alias("out"),
-        F.array().cast(f"array<{unit_t}>").alias("cur"),
-        F.lit(0).alias("n"),
-    )
+    init = F.struct(F.array().cast(f"array<{CUT_T}>").alias("out"), F.lit(0).alias("a"), F.lit(0).alias("n"), F.lit(0).alias("i"))
 
-    def step(acc, u):
-        cur, n = acc["cur"], acc["n"]
-        emitted = F.array_join(F.transform(cur, lambda x: x["s"]), "")
-        if overlap > 0:
-            w = _suffix_len(cur, overlap)
-            keep = F.when(w["sum"] + u["t"] <= size, w["cnt"]).otherwise(F.lit(0))
-            keep_sum = F.when(w["sum"] + u["t"] <= size, w["sum"]).otherwise(F.lit(0))
-            suffix = F.when(keep > 0, F.slice(cur, F.size(cur) - keep + 1, keep)) \
-                      .otherwise(F.array().cast(f"array<{unit_t}>"))
-        else:
-            keep_sum = F.lit(0)
-            suffix = F.array().cast(f"array<{unit_t}>")
-        split = (n > 0) & (n + u["t"] > size)
-        return F.when(
-            split,
-            F.struct(F.concat(acc["out"], F.array(emitted)).alias("out"),
-                     F.concat(suffix, F.array(u)).alias("cur"),
-                     (keep_sum + u["t"]).alias("n")),
-        ).otherwise(
-            F.struct(acc["out"].alias("out"),
-                     F.concat(cur, F.array(u)).alias("cur"),
-                     (n + u["t"]).alias("n")))
+    def suffix(acc, t):
+        """(units, tokens) of the end of the chunk that the next one repeats."""
+        none = F.struct(F.lit(0).alias("c"), F.lit(0).alias("s"))
+        if overlap <= 0:
+            return none
+        back = F.sequence(acc["i"] - 1, F.greatest(acc["a"], acc["i"] - overlap), F.lit(-1))
+        # tokens of the last 1, 2, ... units; the first sum above the overlap ends the walk
+        walk = F.aggregate(back, F.struct(F.lit(0).alias("c"), F.lit(0).alias("s"), F.lit(True).alias("go")), lambda w, j: F.when(
+            w["go"] & (w["s"] + F.get(counts, j) <= overlap),
+            F.struct((w["c"] + 1).alias("c"), (w["s"] + F.get(counts, j)).alias("s"), F.lit(True).alias("go"))
+        ).otherwise(F.struct(w["c"].alias("c"), w["s"].alias("s"), F.lit(False).alias("go"))),
+            lambda w: F.struct(w["c"].alias("c"), w["s"].alias("s")))
+        return let(walk, lambda w: F.when(w["s"] + t <= size, w).otherwise(none))
 
-    def finish(acc):
-        last = F.array_join(F.transform(acc["cur"], lambda x: x["s"]), "")
-        return F.when(F.size(acc["cur"]) > 0, F.concat(acc["out"], F.array(last))).otherwise(acc["out"])
+    def step(acc, t):
+        cut = let(suffix(acc, t), lambda w: F.struct(
+            F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["i"].alias("b")))).alias("out"),
+            (acc["i"] - w["c"]).alias("a"), (w["s"] + t).alias("n"), (acc["i"] + 1).alias("i")))
+        return F.when((acc["n"] > 0) & (acc["n"] + t > size), cut).otherwise(
+            F.struct(acc["out"].alias("out"), acc["a"].alias("a"), (acc["n"] + t).alias("n"), (acc["i"] + 1).alias("i")))
 
-    return F.aggregate(units, init, step, finish)
+    return F.aggregate(counts, init, step, _last_cut)
+
+
+def _last_cut(acc):
+    return F.when(acc["n"] > 0, F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["i"].alias("b"))))).otherwise(acc["out"])
+
+
+def cut_texts(units: Column, cuts: Column) -> Column:
+    """The text of every cut: its units, end to end."""
+    return F.transform(cuts, lambda p: F.array_join(F.transform(between(units, p["a"], p["b"]), lambda u: u["s"]), ""))
 
 
 # ---------------------------------------------------------------- chunkers
 
 def chunk_sentences_col(col, size: int = 500, overlap: int = 50) -> Column:
     """Sentence chunker as a column expression -> ``array<string>``."""
-    return pack_units(sentence_units(col, size), size, overlap)
+    return let(sentence_units(col, size), lambda u: let(F.transform(u, lambda x: x["t"]),
+               lambda t: cut_texts(u, sentence_cuts(t, size, overlap))))
 
 
 def chunk_window_col(col, size: int = 200, overlap: int = 20, tokens_col=None) -> Column:
@@ -137,24 +129,9 @@ def explode_chunks(df: DataFrame, chunks: Column, keep: list[str],
     return df.select(*keep, F.posexplode(chunks).alias(no_col, out_col))
 
 
-def chunk_sentences(df: DataFrame, text_col: str = "text", keep=("path",),
-                    size: int = 500, overlap: int = 50, engine: str = "arrow") -> DataFrame:
-    """TXT-6 rows ``keep..., chunk_no, content``.
-
-    ``engine="arrow"`` (default) runs the linear Arrow twin, measured 2.4x
-    faster than the SQL fold at sf0.1 (the fold's higher-order functions are
-    interpreted); ``engine="sql"`` keeps everything in the JVM.  Both give
-    identical chunks.
-    """
-    if engine == "arrow":
-        from docsift.session import ship_package
-        ship_package(df.sparkSession)
-        col = chunk_sentences_arrow_col(text_col, size, overlap)
-    elif engine == "sql":
-        col = chunk_sentences_col(text_col, size, overlap)
-    else:
-        raise ValueError("engine must be 'arrow' or 'sql'")
-    return explode_chunks(df, col, list(keep))
+def chunk_sentences(df: DataFrame, text_col: str = "text", keep=("path",), size: int = 500, overlap: int = 50) -> DataFrame:
+    """TXT-6 rows ``keep..., chunk_no, content``; evaluated where the row is read, linear in its text."""
+    return explode_chunks(df, chunk_sentences_col(text_col, size, overlap), list(keep))
 
 
 def chunk_window(df: DataFrame, text_col: str = "text", keep=("path",),
@@ -215,43 +192,33 @@ def chunk_semantic_col(col, threshold: float = 0.1, size: int = 500) -> Column:
     previous unit is |A n B| / sqrt(|A| |B|) (0 when either is empty).  A new
     chunk starts where similarity < ``threshold`` or where the chunk would
     exceed ``size`` tokens; units are the sentence pieces of ``sentence_units``,
-    so no chunk is longer than ``size``.  Row-wise: no window, no shuffle.
+    so no chunk is longer than ``size``.  Row-wise: no window, no shuffle; the
+    fold keeps positions only, so it is linear in the text.
     """
-    units = F.transform(sentence_units(col, size),
-                        lambda u: F.struct(u["s"].alias("s"), u["t"].alias("t"),
-                                           F.array_distinct(T.terms(u["s"])).alias("tt")))
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"),
-                    F.lit(0).alias("n"), F.array().cast("array<string>").alias("prev"))
+    with_terms = F.transform(sentence_units(col, size),
+                             lambda u: F.struct(u["s"].alias("s"), u["t"].alias("t"), F.array_distinct(T.terms(u["s"])).alias("tt")))
 
-    def step(acc, u):
-        den = F.sqrt((F.size(acc["prev"]) * F.size(u["tt"])).cast("double"))
-        sim = F.when(den > 0, F.size(F.array_intersect(acc["prev"], u["tt"])) / den).otherwise(F.lit(0.0))
-        cut = (acc["n"] > 0) & ((sim < threshold) | (acc["n"] + u["t"] > size))
-        return F.when(cut, F.struct(F.concat(acc["out"], F.array(acc["cur"])).alias("out"), u["s"].alias("cur"),
-                                    u["t"].alias("n"), u["tt"].alias("prev"))) \
-                .otherwise(F.struct(acc["out"].alias("out"), F.concat(acc["cur"], u["s"]).alias("cur"),
-                                    (acc["n"] + u["t"]).alias("n"), u["tt"].alias("prev")))
+    def cuts(units):
+        init = F.struct(F.array().cast(f"array<{CUT_T}>").alias("out"), F.lit(0).alias("a"), F.lit(0).alias("n"), F.lit(0).alias("i"))
 
-    def finish(acc):
-        return F.when(acc["n"] > 0, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"])
+        def far(acc, u):
+            prev = F.get(units, acc["i"] - 1)["tt"]
+            den = F.sqrt((F.size(prev) * F.size(u["tt"])).cast("double"))
+            return F.coalesce(F.when(den > 0, F.size(F.array_intersect(prev, u["tt"])) / den), F.lit(0.0)) < threshold
+
+        def step(acc, u):
+            cut = (acc["n"] > 0) & ((acc["n"] + u["t"] > size) | far(acc, u))
+            return F.when(cut, F.struct(F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["i"].alias("b")))).alias("out"),
+                                        acc["i"].alias("a"), u["t"].alias("n"), (acc["i"] + 1).alias("i"))) \
+                    .otherwise(F.struct(acc["out"].alias("out"), acc["a"].alias("a"), (acc["n"] + u["t"]).alias("n"), (acc["i"] + 1).alias("i")))
+        return F.aggregate(units, init, step, _last_cut)
 
-    return F.aggregate(units, init, step, finish)
+    return let(with_terms, lambda u: cut_texts(u, cuts(u)))
 
 
-def chunk_semantic(df: DataFrame, text_col: str = "text", keep=("path",), threshold: float = 0.1,
-                   size: int = 500, engine: str = "sql") -> DataFrame:
-    """TXT-13 rows.  ``engine="sql"`` (default) stays in the JVM; the Arrow
-    twin gives identical chunks but measured only 1.4x faster at sf0.1, not
-    enough to move the work to Python."""
-    if engine == "arrow":
-        from docsift.session import ship_package
-        ship_package(df.sparkSession)
-        col = chunk_semantic_arrow_col(text_col, threshold, size)
-    elif engine == "sql":
-        col = chunk_semantic_col(text_col, threshold, size)
-    else:
-        raise ValueError("engine must be 'sql' or 'arrow'")
-    return explode_chunks(df, col, list(keep))
+def chunk_semantic(df: DataFrame, text_col: str = "text", keep=("path",), threshold: float = 0.1, size: int = 500) -> DataFrame:
+    """TXT-13 rows."""
+    return explode_chunks(df, chunk_semantic_col(text_col, threshold, size), list(keep))
 
 
 def chunk_topics(sentences_df: DataFrame, id_col: str = "doc_id", no_col: str = "sent_no",
@@ -323,105 +290,3 @@ def dense_id(df: DataFrame, order_by: list[str], out_col: str = "id", start: int
     j = s.join(F.broadcast(offs.select("_pid", "_off", "_first")), "_pid")
     return j.withColumn(out_col, (F.col("_off") + F.col("_pos") - F.col("_first") + start).cast("long")) \
             .drop("_pid", "_pos", "_off", "_first")
-
-
-# ---------------------------------------------------------------- Arrow twin of the sentence chunker
-
-def _py_chunks(text: str | None, size: int, overlap: int) -> list:
-    """Linear-time statement of the chunk contract (same output as the SQL fold)."""
-    import re
-    if text is None:
-        return None
-    # Java's \s is ASCII white space (Python's is Unicode-wide): spelled out
-    tok = re.compile("[^ \\t\\n\\x0b\\f\\r]+")
-    units = []
-    for s in re.findall(r"[^.!?]*[.!?]+|[^.!?]+$", text):
-        toks = tok.findall(s)
-        n = len(toks)
-        if n == 0:
-            continue
-        if n <= size:
-            units.append((s, n))
-        else:
-            for i in range(0, n, size):
-                part = toks[i:i + size]
-                units.append((" ".join(part), len(part)))
-    out, cur, n = [], [], 0
-    for s, t in units:
-        if n > 0 and n + t > size:
-            out.append("".join(u for u, _ in cur))
-            keep, ks = 0, 0
-            for _, ut in reversed(cur):
-                if ks + ut <= overlap:
-                    keep += 1
-                    ks += ut
-                else:
-                    break
-            if ks + t > size:
-                keep, ks = 0, 0
-            cur = (cur[len(cur) - keep:] if keep else []) + [(s, t)]
-            n = ks + t
-        else:
-            cur.append((s, t))
-            n += t
-    if cur:
-        out.append("".join(u for u, _ in cur))
-    return out
-
-
-def chunk_sentences_arrow_col(col, size: int = 500, overlap: int = 50) -> Column:
-    """TXT-6 as an Arrow-batched function: identical chunks, linear per row.
-
-    The SQL fold (``chunk_sentences_col``) stays in the JVM; this twin is
-    for very long single rows, where the fold's array rebuilding grows
-    quadratically with the chunk count.
-    """
-    @F.arrow_udf("array<string>")
-    def chunk(texts: pa.Array) -> pa.Array:
-        return pa.array([_py_chunks(t, size, overlap) for t in texts.to_pylist()], type=pa.list_(pa.string()))
-
-    return chunk(_c(col))
-
-
-def _py_semantic(text: str | None, threshold: float, size: int) -> list:
-    """Linear twin of ``chunk_semantic_col`` (same units, terms and cuts)."""
-    import math
-    import re
-
-    import regex
-    if text is None:
-        return None
-    tok = re.compile("[^ \\t\\n\\x0b\\f\\r]+")
-    term = regex.compile(r"[\p{L}\p{N}]+")
-    units = []
-    for s in re.findall(r"[^.!?]*[.!?]+|[^.!?]+$", text):
-        toks = tok.findall(s)
-        n = len(toks)
-        if n == 0:
-            continue
-        pieces = [(s, n)] if n <= size else [(" ".join(toks[i:i + size]), len(toks[i:i + size]))
-                                             for i in range(0, n, size)]
-        for p, t in pieces:
-            units.append((p, t, list(dict.fromkeys(term.findall(p.lower())))))
-    out, cur, n, prev = [], "", 0, []
-    for s, t, tt in units:
-        den = math.sqrt(len(prev) * len(tt))
-        sim = len(set(prev) & set(tt)) / den if den > 0 else 0.0
-        if n > 0 and (sim < threshold or n + t > size):
-            out.append(cur)
-            cur, n = s, t
-        else:
-            cur, n = cur + s, n + t
-        prev = tt
-    if n > 0:
-        out.append(cur)
-    return out
-
-
-def chunk_semantic_arrow_col(col, threshold: float = 0.1, size: int = 500) -> Column:
-    """TXT-13 as an Arrow-batched function: identical chunks to the SQL fold."""
-    @F.arrow_udf("array<string>")
-    def chunk(texts: pa.Array) -> pa.Array:
-        return pa.array([_py_semantic(t, threshold, size) for t in texts.to_pylist()], type=pa.list_(pa.string()))
-
-    return chunk(_c(col))

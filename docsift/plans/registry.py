@@ -65,9 +65,9 @@ def documents(spark, sf_dir) -> DataFrame:
     return d.withColumn("path", F.concat(F.lit("doc/"), F.col("doc_id").cast("string")))
 
 
-def sentence_chunks(spark, sf_dir, size=CHUNK_SIZE, overlap=CHUNK_OVERLAP, engine="arrow") -> DataFrame:
+def sentence_chunks(spark, sf_dir, size=CHUNK_SIZE, overlap=CHUNK_OVERLAP) -> DataFrame:
     d = spread(documents(spark, sf_dir).select("doc_id", "path", "text"))
-    return C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap, engine=engine)
+    return C.chunk_sentences(d, "text", keep=("doc_id", "path"), size=size, overlap=overlap)
 
 
 DOCS_SQL = "(SELECT *, 'doc/' || doc_id::VARCHAR AS path FROM documents)"
@@ -133,8 +133,9 @@ def q_chunk_sentences(spark, sf_dir):
 @register("chunk_sentences_sql", f"""
 SELECT path, chunk_no, content FROM {chunks_sql()}""")
 def q_chunk_sentences_sql(spark, sf_dir):
-    """The same chunks from the all-JVM engine (SQL fold)."""
-    return sentence_chunks(spark, sf_dir, engine="sql").select("path", "chunk_no", "content")
+    """The same chunks from the column form, in one select without a helper."""
+    d = spread(documents(spark, sf_dir).select("path", "text"))
+    return d.select("path", F.posexplode(C.chunk_sentences_col("text", CHUNK_SIZE, CHUNK_OVERLAP)).alias("chunk_no", "content"))
 
 
 @register("chunk_sentences_no_overlap", f"""

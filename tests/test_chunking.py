@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import chunk_models
 from docsift.operators import chunking as C
 
 
@@ -126,7 +127,7 @@ def test_injected_tokenizer(spark):
     assert got == [5, None, 0]
 
 
-def test_arrow_engine_equals_sql_engine(spark):
+def test_sentence_chunks_equal_the_model(spark):
     rng = random.Random(11)
     words = ["a", "bb", "ccc", "dé", "x.y", "end!", "why?", "..."]
     rows = []
@@ -139,11 +140,10 @@ def test_arrow_engine_equals_sql_engine(spark):
     df = spark.createDataFrame(rows, "id int, t string")
     for size, overlap in [(5, 2), (12, 0), (3, 3)]:
         a = dict(df.select("id", C.chunk_sentences_col("t", size, overlap)).collect())
-        b = dict(df.select("id", C.chunk_sentences_arrow_col("t", size, overlap)).collect())
-        assert a == b, (size, overlap)
+        assert a == {i: chunk_models.chunks(t, size, overlap) for i, t in rows}, (size, overlap)
 
 
-def test_semantic_engines_agree(spark):
+def test_semantic_chunks_equal_the_model(spark):
     rng = random.Random(5)
     words = ["spark", "data", "Stream", "été", "x1", "chat", "the", "a"]
     rows = [(i, " ".join(rng.choice(words) + rng.choice(["", ".", "!", "?"]) for _ in range(rng.randint(0, 80))))
@@ -151,8 +151,18 @@ def test_semantic_engines_agree(spark):
     df = spark.createDataFrame(rows, "id int, t string")
     for thr, size in [(0.1, 20), (0.5, 7), (0.0, 500)]:
         a = dict(df.select("id", C.chunk_semantic_col("t", thr, size)).collect())
-        b = dict(df.select("id", C.chunk_semantic_arrow_col("t", thr, size)).collect())
-        assert a == b, (thr, size)
+        assert a == {i: chunk_models.semantic(t, thr, size) for i, t in rows}, (thr, size)
+
+
+def test_a_document_of_100000_sentences(spark):
+    text = " ".join(f"sentence number {i} has words." for i in range(100_000))
+    df = spark.createDataFrame([(text,)], "t string")
+    plan = C.chunk_sentences(df.withColumn("path", F.lit("p")), "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert df.select(C.chunk_sentences_col("t", 500, 50)).first()[0] == chunk_models.chunks(text, 500, 50)
+    assert df.select(C.chunk_semantic_col("t", 0.1, 200)).first()[0] == chunk_models.semantic(text, 0.1, 200)
+    one = "w " * 200_000                                              # a sentence without a stop, cut into pieces
+    assert spark.createDataFrame([(one,)], "t string").select(C.chunk_sentences_col("t", 500, 50)).first()[0] == chunk_models.chunks(one, 500, 50)
 
 
 def test_topics_of_sentences_without_terms(spark):
