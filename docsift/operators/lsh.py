@@ -96,10 +96,10 @@ def _sides(queries, candidates, planes, probes, flips, query_id, query_vec, cand
         candidates = number_rows(candidates.select(*dict.fromkeys([*names, cand_vec, *carry])))
     c = _Candidates(candidates, cand_id, cand_vec, carry)
     own = _with_buckets(c.side(c.df, F.lit(0)).drop("_cell"), "_v", "_b", lambda m: planes.buckets(planes.sides(m)))
-    side = stored(own.select("*", F.explode("_b").alias("_cell")).drop("_b"), "buckets")
+    side = stored(own, "buckets").select("*", F.explode("_b").alias("_cell")).drop("_b")
     asked = _with_buckets(_questions(queries, query_id, query_vec), "_v", "_b",
                           lambda m: planes.probes(planes.sides(m), probes, flips).reshape(len(m), -1))
-    q = stored(asked.select("query_id", "_v", F.explode("_b").alias("_cell")), "probes")
+    q = stored(asked, "probes").select("query_id", "_v", F.explode("_b").alias("_cell"))
     sizes = {r["_cell"]: r["count"] for r in side.groupBy("_cell").count().collect()}   # tables * 2^bits rows at most
     return q, side, c, sizes
 

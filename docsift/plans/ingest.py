@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from docsift.functions.text import clean_text
 from docsift.functions.vectors import check_dim
 from docsift.operators.chunking import chunk_key, chunk_sentences_col
+from docsift.operators import index as IX
 from docsift.operators import versions as VS
 from docsift.operators.embedding import embed, hash_vector
-from docsift.sources.files import extract_section_arrays, read_files_stream, text_sections
+from docsift.session import stored
+from docsift.sources.files import extract_section_arrays, read_files, read_files_stream, text_sections
 from docsift.streaming.publish import publish_stream, read_table_stream
 
 
@@ -68,3 +70,46 @@ def index_rows(centroids=None, dim: int = 256, model=None, key: str = "chunk_id"
         none = out.where(F.col("embedding").isNull()).select("*", F.lit(0).alias("centroid"), F.lit(None).cast("double").alias("cell_dist"))
         return some.unionByName(none)
     return make
+
+
+PATHS = 10_000          # changed files read by name up to this many, else by a scan of the folder
+
+
+def refresh_files(spark: SparkSession, folder: str, root: str, pattern: str = "*", suffix: str | None = None,
+                  extractor=text_sections, size: int = 500, overlap: int = 50) -> int:
+    """SRC-1 with edits and deletions: the chunks under ``root/chunks`` (a
+    versioned table) become those of the files that are there now.
+
+    The files' names, times and lengths are compared with those of the last
+    run (``root/files``); only new and changed files are read and extracted,
+    chunks of changed and deleted ones go.  Chunks are committed before the
+    file list: a run cut off between the two extracts the same files again.
+    Returns the version of the chunks.
+    """
+    cell = F.pmod(F.xxhash64("path"), F.lit(HASH_CELLS)).cast("int").alias("cell")
+    files, chunks = f"{root.rstrip('/')}/files", f"{root.rstrip('/')}/chunks"
+    scan = read_files(spark, folder, pattern, suffix)
+    facts = stored(scan.select("path", "modificationTime", "length"), "files")          # reads no bytes of the files
+    if VS.manifest(spark, files) is None:
+        todo, stale = facts.select("path"), facts.limit(0).select("path")
+    else:
+        diff = stored(IX.diff_snapshots(VS.read_version(spark, files).drop("cell"), facts, "path", ["modificationTime", "length"]), "diff")
+        todo = diff.where("change_type <> 'delete'").select("path")
+        stale = diff.where("change_type <> 'insert'").select("path")
+    names = [r.path for r in todo.limit(PATHS + 1).collect()]
+    if not names:
+        changed = scan.limit(0)
+    elif len(names) <= PATHS and not any(set(n) & set("*?[]{}\\") for n in names):
+        changed = spark.read.format("binaryFile").load(names)
+    else:
+        changed = scan.join(todo, "path", "left_semi")
+    fresh = chunk_files(changed, extractor, size, overlap).select("*", cell)
+    if VS.manifest(spark, chunks) is None:
+        gone = spark.createDataFrame([], "chunk_id long, cell int")
+    else:
+        # a first run cut off after its chunks has no file list: its files count as stale, too
+        old = VS.read_version(spark, chunks)
+        gone = old.join(stale.union(todo).distinct(), "path", "left_semi").select("chunk_id", "cell")
+    version = VS.replace_rows(spark, chunks, ["chunk_id"], gone, fresh, "cell")
+    VS.sync(spark, files, facts, "path", lambda rows: rows.select("*", cell), "cell")
+    return version

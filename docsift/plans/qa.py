@@ -5,9 +5,9 @@
 * ``monitor_log``: the answer log -> per-answer metrics -> daily metrics
   with z-score drift -> metric table.
 
-The answer log is appended by batch jobs only (one writer kind per table);
-request ids are derived from the input keys, so a re-run after a failure
-can be de-duplicated by ``request_id``.
+Request ids are derived from the input keys; a job run twice, or on input
+that overlaps an earlier one, logs each request once
+(``streaming.answerlog``).
 """
 
 from __future__ import annotations
@@ -17,30 +17,43 @@ from pyspark.sql import functions as F
 
 from docsift.operators import chat as CH
 from docsift.operators import monitor as MO
+from docsift.streaming import answerlog as AL
 
 
 def answer_table(questions: DataFrame, chunks: DataFrame, log_path: str | None = None, k: int = 4,
-                 dim: int = 1024, model=None, id_col: str = "query_id", question_col: str = "question") -> DataFrame:
-    """Entry B for many questions at once; returns (and optionally appends) log rows."""
-    ans = CH.answer(questions, chunks, k=k, dim=dim, id_col=id_col, question_col=question_col, model=model)
-    msgs = F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content")))
-    log = MO.log_rows(ans, F.concat(F.lit("q-"), F.col(id_col).cast("string")), F.current_timestamp(), msgs)
-    if log_path:
-        log.write.mode("append").parquet(log_path)
-    return log
+                 dim: int = 1024, model=None, id_col: str = "query_id", question_col: str = "question", **search) -> DataFrame:
+    """Entry B for many questions at once; returns log rows.  With ``log_path``
+    they are logged, and questions logged by another run are left out."""
+    def rows(some: DataFrame) -> DataFrame:
+        ans = CH.answer(some, chunks, k=k, dim=dim, id_col=id_col, question_col=question_col, model=model, **search)
+        msgs = F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content")))
+        return MO.log_rows(ans, F.concat(F.lit("q-"), F.col(id_col).cast("string")), F.current_timestamp(), msgs)
+    if not log_path:
+        return rows(questions)
+    asked = questions.select(id_col, question_col)
+    key = AL.digest(asked)
+    new = AL.unlogged(asked.withColumn("_r", F.concat(F.lit("q-"), F.col(id_col).cast("string"))), log_path, key, "_r").drop("_r")
+    return AL.write_run(rows(new), log_path, key)
 
 
 def chat_table(turns: DataFrame, chunks: DataFrame, lexicon: DataFrame, log_path: str | None = None,
                k: int = 4, dim: int = 1024, **models) -> DataFrame:
-    """Entry C for every conversation in ``turns``; returns (and optionally appends) log rows."""
+    """Entry C for every conversation in ``turns``; returns log rows.  With
+    ``log_path`` they are logged, and conversations logged by another run are
+    left out."""
+    request = F.concat(F.lit("conv-"), F.col("conv_id").cast("string"))
+
+    def rows(msgs: DataFrame) -> DataFrame:
+        ans = CH.chat(msgs, chunks, lexicon, k=k, dim=dim, **models)
+        j = ans.join(msgs, "conv_id")
+        plain = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+        return MO.log_rows(j, request, F.current_timestamp(), plain)
     msgs = CH.to_messages(turns)
-    ans = CH.chat(msgs, chunks, lexicon, k=k, dim=dim, **models)
-    j = ans.join(msgs, "conv_id")
-    plain = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    log = MO.log_rows(j, F.concat(F.lit("conv-"), F.col("conv_id").cast("string")), F.current_timestamp(), plain)
-    if log_path:
-        log.write.mode("append").parquet(log_path)
-    return log
+    if not log_path:
+        return rows(msgs)
+    key = AL.digest(turns.select("conv_id", "turn", "role", "text"))
+    new = AL.unlogged(msgs.withColumn("_r", request), log_path, key, "_r").drop("_r")
+    return AL.write_run(rows(new), log_path, key)
 
 
 def monitor_log(log: DataFrame, counts: DataFrame, every: str = "1 day", drift_window: int = 7,

@@ -6,20 +6,20 @@ folder).  Each micro-batch runs the whole chain in ``foreachBatch`` and
 writes its answer-log rows to ``<log>/batch_id=<digest of its request ids>``
 in overwrite mode: a micro-batch replayed after a failure rewrites exactly
 the same folder, and requests that another folder already holds are left
-out, so the log holds every request once, also under a new checkpoint.
+out, so the log holds every request once, also under a new checkpoint
+(``streaming.answerlog``).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsift.operators import chat as CH
 from docsift.operators.monitor import log_rows
-from docsift.streaming.publish import _exists, checkpoint_for
+from docsift.streaming import answerlog as AL
+from docsift.streaming.publish import checkpoint_for
 
 REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.StringType()),
@@ -62,14 +62,8 @@ def serve_requests(requests_stream: DataFrame, chunks: DataFrame, lexicon: DataF
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        one = batch.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("request_id")).alias("x"),
-                        F.sum(F.xxhash64("request_id").cast("decimal(38,0)")).alias("s")).first()
-        key = f"{one.n}-{one.x & (2**64 - 1):016x}-{int(one.s or 0) & (2**64 - 1):016x}"
-        if _exists(spark, log_path):
-            logged = spark.read.schema("request_id string, batch_id string").parquet(log_path).where(F.col("batch_id") != key)
-            batch = batch.join(logged.select("request_id"), "request_id", "left_anti")
-        out = os.path.join(log_path, f"batch_id={key}")
-        answer_batch(batch, chunks, lexicon, **chat_kw).write.mode("overwrite").parquet(out)
+        key = AL.digest(batch.select("request_id"))
+        AL.write_run(answer_batch(AL.unlogged(batch, log_path, key), chunks, lexicon, **chat_kw), log_path, key)
 
     q = (requests_stream.writeStream.foreachBatch(handle).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())

@@ -230,3 +230,36 @@ def test_ivf_without_questions(spark):
     cen = np.eye(2)
     q = spark.createDataFrame([], "query_id long, embedding array<float>")
     assert S.knn_ivf(q, S.assign_cells(c, cen), cen, k=1).collect() == []
+
+
+def test_never_more_than_k_hits_with_repeated_ids(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<float>")
+    c = spark.createDataFrame([(1, [1.0, 0.0], "a"), (1, [0.9, 0.1], "b"), (2, [0.5, 0.5], "c"), (None, [1.0, 0.01], "d")],
+                              "chunk_id long, embedding array<float>, path string")
+    got = S.knn(q, c, k=2, carry=("path",)).orderBy("rank").collect()
+    assert [(r["rank"], r.chunk_id, r.path) for r in got] == [(1, 1, "a"), (2, None, "d")]
+    assert [(r["rank"], r.path) for r in S.knn(q, c, k=9, carry=("path",)).orderBy("rank").collect()] == [(1, "a"), (2, "d"), (3, "b"), (4, "c")]
+
+
+def test_several_id_columns(spark):
+    q = spark.createDataFrame([(1, "red fox")], "query_id long, question string")
+    c = spark.createDataFrame([(5, 1, "red fox"), (5, 0, "red fox"), (4, 7, "red fox"), (5, 0, "blue")], "doc_id long, chunk_no int, content string")
+    got = S.search_text(q, c, k=3, chunk_id=("doc_id", "chunk_no"), carry=("content",)).orderBy("rank").collect()
+    assert [(r.doc_id, r.chunk_no, r.content) for r in got] == [(4, 7, "red fox"), (5, 0, "red fox"), (5, 1, "red fox")]
+
+
+def test_many_groups_equal_one(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    q, c = rng.normal(size=(30, 6)).astype(np.float32), rng.normal(size=(300, 6)).astype(np.float32)
+    qdf, cdf = frames(spark, q, c)
+    a = {m: as_dict(S.knn(qdf, cdf, k=4, metric=m)) for m in S.METRICS}
+    cen = S.sample_centroids(cdf, 7, "chunk_id")
+    monkeypatch.setattr(S, "GROUP_ROWS", 16)
+    for m in S.METRICS:
+        assert as_dict(S.knn(qdf, cdf, k=4, metric=m, max_block_bytes=300)) == a[m]
+    assert as_dict(S.knn_ivf(qdf, S.assign_cells(cdf, cen), cen, k=4, nprobe=2, exact=True, max_block_bytes=300)) == a["cosine"]
+    monkeypatch.setattr(S, "WINNERS", 0)                                     # the winners join without a broadcast
+    late = S.knn(qdf, cdf, k=4, carry=("label",)).collect()
+    assert all(r.label == r.chunk_id % 3 for r in late) and len(late) == 120
+
+
