@@ -84,10 +84,10 @@ def knn_lsh(queries: DataFrame, candidates: DataFrame, planes: Planes, k: int =
     no probed bucket with the question.  Measure it with ``recall_at_k``.
     """
     q, side, c, sizes = _sides(queries, candidates, planes, probes, flips, query_id, query_vec, cand_id, cand_vec, carry)
-    found = _groups(q, side, c.keys, k, "cosine", exclude_self, None, sizes, max_block_bytes)
+    found, routed = _groups(q, side, c.keys, k, "cosine", exclude_self, None, sizes, max_block_bytes)
     if found is not None:
         found = found.dropDuplicates(["query_id", *c.keys])               # at most k rows a group reach this
-    return c.hits(None if found is None else _rank(found, k, c.keys), c.df, q.select("query_id").distinct().count() * k, carry)
+    return c.hits(None if found is None else _rank(found, k, c.keys), c.df, routed * k, carry)
 
 
 def _sides(queries, candidates, planes, probes, flips, query_id, query_vec, cand_id, cand_vec, carry):

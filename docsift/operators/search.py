@@ -376,8 +376,9 @@ def _cell_counts(questions: DataFrame) -> dict[int, tuple[int, int]]:
 
 
 def _groups(questions: DataFrame, candidates: DataFrame, keys: Sequence[str], k: int, metric: str, exclude_self: bool,
-            dim: int | None, sizes: dict[int, int], max_block_bytes: int) -> DataFrame | None:
-    """(query_id, score, ids ...): the top-k of every group; None without questions.
+            dim: int | None, sizes: dict[int, int], max_block_bytes: int) -> tuple[DataFrame | None, int]:
+    """(query_id, score, ids ...): the top-k of every group, None if nothing
+    meets; and the number of questions routed.
 
     ``questions``: query_id, _cell, _v.  ``candidates``: ids, _cell, _v.
     ``sizes``: candidates of every cell.
@@ -388,8 +389,9 @@ def _groups(questions: DataFrame, candidates: DataFrame, keys: Sequence[str], k:
     asked = _cell_counts(questions)
     # per cell: salts of its candidates and blocks of its questions
     facts = [(c, min(most, -(-sizes[c] // GROUP_ROWS)), -(-size // max_block_bytes)) for c, (_, size) in sorted(asked.items()) if sizes.get(c)]
+    routed = sum(n for n, _ in asked.values())
     if not facts:
-        return None
+        return None, routed
     if len(facts) == 1:
         cell, salts, blocks = facts[0]
 
@@ -410,7 +412,7 @@ def _groups(questions: DataFrame, candidates: DataFrame, keys: Sequence[str], k:
     parts = min(most, max(2, sum(s * b for _, s, b in facts)))
     both = q.unionByName(c).repartition(parts, "_cell", "_salt", "_qb").sortWithinPartitions("_cell", "_salt", "_qb", "_kind")
     fields = ", ".join(["query_id long", "score double", *[f"`{x}` long" for x in keys]])
-    return both.mapInArrow(_stream_fn(k, metric, keys, dim, exclude_self), fields)
+    return both.mapInArrow(_stream_fn(k, metric, keys, dim, exclude_self), fields), routed
 
 
 def _questions(queries: DataFrame, query_id: str, query_vec: str) -> DataFrame:
@@ -476,9 +478,8 @@ def knn(queries: DataFrame, candidates: DataFrame, k: int = 4, metric: str = "co
     c = _Candidates(candidates, cand_id, cand_vec, carry)
     q = _questions(queries, query_id, query_vec).withColumn("_cell", F.lit(0))
     side = c.side(c.df, F.lit(0))
-    found = _groups(q, side, c.keys, k, metric, exclude_self, dim, {0: side.count()}, max_block_bytes)
-    n = q.count() * k
-    return c.hits(None if found is None else _rank(found, k, c.keys), c.df, n, carry)
+    found, n = _groups(q, side, c.keys, k, metric, exclude_self, dim, {0: side.count()}, max_block_bytes)
+    return c.hits(None if found is None else _rank(found, k, c.keys), c.df, n * k, carry)
 
 
 # ---------------------------------------------------------------- text search
@@ -556,13 +557,14 @@ def train_centroids(candidates: DataFrame, n_lists: int, vec: str = "embedding",
     return np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()], dtype=np.float64)
 
 
-def sample_centroids(candidates: DataFrame, n_lists: int, key: str, vec: str = "embedding") -> np.ndarray:
+def sample_centroids(candidates: DataFrame, n_lists: int, key: str, vec: str = "embedding", embed=None) -> np.ndarray:
     """Centroids without a fit: the unit vectors of the ``n_lists`` rows with
-    the smallest key hashes (the same on every run).  Search by cell stays
-    exact with any centroids; only the pruning depends on them."""
-    rows = candidates.where(F.col(vec).isNotNull()).select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), vec) \
-        .orderBy("h", "k").limit(n_lists).collect()
-    m = np.array([r[vec] for r in rows], dtype=np.float64)
+    the smallest key hashes (the same on every run); ``embed`` makes the
+    vectors of these rows only.  Search by cell stays exact with any
+    centroids; only the pruning depends on them."""
+    rows = candidates.orderBy(F.xxhash64(key), key).limit(n_lists)
+    got = [r[0] for r in (embed(rows) if embed else rows).select(vec).collect() if r[0] is not None]
+    m = np.array(got, dtype=np.float64)
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) if len(m) else np.zeros((0, 0))
 
 
@@ -571,7 +573,8 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
     """Nearest centroid of every row (cosine), one Arrow pass, centroids broadcast.
 
     Also stores the distance between the unit-normalised vector and its
-    centroid, from which a cell's radius is a small aggregation.
+    centroid, from which a cell's radius is a small aggregation.  A row
+    without a vector lies in cell 0, its distance is null.
     """
     ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast(centroids)
@@ -584,20 +587,22 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
         for b in it:
             if b.num_rows == 0:
                 continue
-            m = _matrix(b.column(vec), cen.shape[1])
+            has = b.column(vec).is_valid().to_numpy(zero_copy_only=False)
+            m = np.zeros((b.num_rows, cen.shape[1]))
+            m[has] = _matrix(b.column(vec).drop_null(), cen.shape[1])
             nrm = np.linalg.norm(m, axis=1, keepdims=True)
             u = np.where(nrm > 0, m / np.where(nrm > 0, nrm, 1.0), 0.0)
-            cell = np.argmax(u @ cn.T, axis=1)
+            cell = np.where(has, np.argmax(u @ cn.T, axis=1), 0)
             dist = np.linalg.norm(u - cen[cell], axis=1)
             yield b.append_column(out_col, pa.array(cell.astype(np.int32), type=pa.int32())) \
-                   .append_column(dist_col, pa.array(dist, type=pa.float64()))
+                   .append_column(dist_col, pa.array(dist, type=pa.float64(), mask=~has))
 
     return df.mapInArrow(run, out_schema)
 
 
 def cell_facts(index: DataFrame, cell_col: str = "centroid", dist_col: str | None = "cell_dist") -> dict[int, tuple[int, float]]:
     """cell -> (rows, largest member distance); one row per cell reaches the driver."""
-    far = F.max(dist_col) if dist_col else F.lit(0.0)
+    far = F.coalesce(F.max(dist_col), F.lit(0.0)) if dist_col else F.max(F.lit(0.0))
     return {r[cell_col]: (r.n, float(r.far)) for r in
             index.groupBy(cell_col).agg(F.count(F.lit(1)).alias("n"), far.alias("far")).collect() if r[cell_col] is not None}
 
@@ -664,15 +669,15 @@ def knn_ivf(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: int
     routes = stored(_routes(q, centroids, cells, [facts[x][1] for x in cells]), "routes")
     side = c.side(c.df, F.col("centroid"))
 
-    def meet(near: Column, asked: DataFrame) -> DataFrame | None:
+    def meet(near: Column, asked: DataFrame) -> tuple[DataFrame | None, int]:
         to = asked.select("query_id", "_v", F.explode(near).alias("_n")).select("query_id", "_v", F.col("_n.cell").alias("_cell"))
         return _groups(to, side, c.keys, k, metric, exclude_self, dim, sizes, max_block_bytes)
 
-    found = meet(F.slice("_near", 1, nprobe), routes)
+    found, routed = meet(F.slice("_near", 1, nprobe), routes)
     if exact and nprobe < len(cells):
         first = stored(_rank(found, k, c.keys).drop("rank"), "first")
         kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("_kth"))
         more = F.filter(F.slice("_near", nprobe + 1, len(cells)), lambda x: F.col("_kth").isNull() | (x["upper"] + 1e-5 >= F.col("_kth")))
-        second = meet(more, routes.join(kth, "query_id", "left"))
+        second, _ = meet(more, routes.join(kth, "query_id", "left"))
         found = first if second is None else first.unionByName(second)
-    return c.hits(_rank(found, k, c.keys), c.df, q.count() * k, carry)
+    return c.hits(_rank(found, k, c.keys), c.df, routed * k, carry)

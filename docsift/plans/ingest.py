@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsift.functions.text import clean_text
-from docsift.functions.vectors import check_dim
 from docsift.operators.chunking import chunk_key, chunk_sentences_col
 from docsift.operators import index as IX
 from docsift.operators import versions as VS
@@ -30,11 +29,11 @@ def chunk_files(raw: DataFrame, extractor=text_sections, size: int = 500, overla
 
 
 def embed_chunks(chunks: DataFrame, dim: int = 256, model=None) -> DataFrame:
-    """Adds ``embedding``: the hash model's, or an injected one's.  A vector of
-    another length or with a non-finite number fails the task (EMB-5)."""
+    """Adds ``embedding``: the hash model's (``dim`` finite numbers as it is
+    made), or an injected one's, whose vectors are checked where they arrive."""
     if model is not None:
-        return embed(chunks, "content", model).withColumn("embedding", check_dim(F.col("embedding"), dim))
-    return chunks.withColumn("_e", hash_vector(F.col("content"), dim)).withColumn("embedding", check_dim(F.col("_e"), dim)).drop("_e")
+        return embed(chunks, "content", model, dim=dim)
+    return chunks.withColumn("embedding", hash_vector(F.col("content"), dim))
 
 
 def run_ingest(spark: SparkSession, folder: str, raw_table: str, chunk_table: str, emb_table: str,
@@ -64,11 +63,8 @@ def index_rows(centroids=None, dim: int = 256, model=None, key: str = "chunk_id"
         out = embed_chunks(rows, dim, model)
         if centroids is None:
             return out.withColumn("centroid", F.pmod(F.xxhash64(key), F.lit(HASH_CELLS)).cast("int"))
-        # a chunk without text has no vector and lies in cell 0
         from docsift.operators.search import assign_cells
-        some = assign_cells(out.where(F.col("embedding").isNotNull()), centroids)
-        none = out.where(F.col("embedding").isNull()).select("*", F.lit(0).alias("centroid"), F.lit(None).cast("double").alias("cell_dist"))
-        return some.unionByName(none)
+        return assign_cells(out, centroids)
     return make
 
 

@@ -193,7 +193,7 @@ def _knn_query(metric: str, k: int, where=None):
     def run(spark, sf_dir):
         e = table(spark, sf_dir, "embeddings")
         q = e.select(F.col("vec_id").alias("query_id"), "embedding")
-        return S.knn(q, spread(e), k=k, metric=metric, query_id="query_id", cand_id="vec_id",
+        return S.knn(q, e, k=k, metric=metric, query_id="query_id", cand_id="vec_id",
                      where=where, exclude_self=True)
     return run
 
@@ -464,10 +464,10 @@ def q_sync_index(spark, sf_dir):
     cleaned texts without German; it must equal an index built anew.  Both
     are versions of one stored index, partitioned by the nearest of
     SYNC_CELLS hashed vectors."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     root = f"{checkpoint_root(spark)}/indexes/{uuid.uuid4().hex}"
     first = d.filter(F.col("lang") != "es").select("doc_id", "lang", F.col("text").alias("content"))
-    cen = S.sample_centroids(ingest.embed_chunks(first, DIM), SYNC_CELLS, "doc_id")
+    cen = S.sample_centroids(first, SYNC_CELLS, "doc_id", embed=lambda x: ingest.embed_chunks(x, DIM))
     make = ingest.index_rows(cen, DIM, key="doc_id")
     VS.sync(spark, root, first, "doc_id", make)
     source = d.filter(F.col("lang") != "de").select("doc_id", "lang", T.clean_text("text").alias("content"))

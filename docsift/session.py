@@ -53,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local["):
+    if not root and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir: executors and driver need a folder that they share")
     if not root:
         root = tempfile.mkdtemp(prefix="docsift-ckpt-")
