@@ -759,3 +759,69 @@ def q_extract_page_sections(spark, sf_dir):
     secs = SF.extract_section_arrays(pages, SF.html_sections).where(F.size("sections") > 0)
     text = F.array_join(F.transform("sections", lambda s: T.clean_text(s)), "\n")
     return secs.select("path", F.size("sections").cast("long").alias("n_sections"), F.length(text).alias("n_chars"))
+
+
+# ------------------------------------------------------------------ injected models, versions, topic properties
+
+SCORE_LIMIT, SCORE_SLICES, MODEL_DIM = 50, 5, 64
+
+
+@register("score_questions", f"""
+WITH first AS (SELECT item_id, text FROM benchmark ORDER BY item_id LIMIT {SCORE_LIMIT}),
+{_answers_sql('first', 'item_id', 'text')}
+SELECT b.item_id AS query_id, {Q.extractive_answer('b.text', "coalesce(d.context, '')")} AS result,
+       coalesce(d.n_sources, 0)::INTEGER AS n_sources
+FROM first b LEFT JOIN docs d ON d.query_id = b.item_id""")
+def q_score_questions(spark, sf_dir):
+    """CHT-17: the first 50 questions of a table (the operator's own limit), in 5 slices, through the answer chain."""
+    a = CH.score_questions(benchmark_questions(spark, sf_dir), "query_id", SCORE_LIMIT, SCORE_SLICES,
+                           lambda q: CH.answer(q, sentence_chunks(spark, sf_dir), k=4, dim=DIM, chunk_id=CHUNK_KEY))
+    return a.select("query_id", "result", F.size("sources").alias("n_sources"))
+
+
+def _counting_model(prompts: list) -> list:
+    return [f"a prompt of {len(p)} characters" for p in prompts]
+
+
+@register("ask_model", f"""
+WITH {Q.MESSAGES_CTE}
+SELECT conv_id, 'a prompt of ' || length({Q.render(P.SHORT_ANSWER, question='question')})::VARCHAR || ' characters' AS answer FROM h""")
+def q_ask_model(spark, sf_dir):
+    """CHT-5: prompt -> model -> string for the question of every conversation."""
+    m = messages(spark, sf_dir).select("conv_id", CH.question("messages").alias("question"))
+    return CH.ask(m, "question", _counting_model).select("conv_id", "answer")
+
+
+@register("embed_model", f"""
+SELECT id AS doc_id, bucket, weight FROM {Q.postings('documents', 'doc_id', 'text', MODEL_DIM)}""")
+def q_embed_model(spark, sf_dir):
+    """EMB-1: every document through an injected model in requests of 150 rows."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    e = E.embed(d, "text", E.HashModel(MODEL_DIM), dim=MODEL_DIM)
+    return e.select("doc_id", F.posexplode("embedding").alias("bucket", "w")).where("w <> 0") \
+            .select("doc_id", "bucket", F.col("w").cast("int").alias("weight"))
+
+
+@register("latest_versions", """
+WITH v AS (SELECT event_type AS name, (floor(value)::BIGINT % 40 - 20)::VARCHAR AS version FROM events),
+n AS (SELECT DISTINCT event_type AS name FROM events UNION SELECT DISTINCT lang FROM documents)
+SELECT n.name, greatest(coalesce(max(v.version::INTEGER), 1), 1)::INTEGER AS latest_version
+FROM n LEFT JOIN v USING (name) GROUP BY n.name""")
+def q_latest_versions(spark, sf_dir):
+    """AGG-3: the highest version of every name, at least 1; names without versions are wanted, too."""
+    ev, d = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
+    v = ev.select(F.col("event_type").alias("name"), (F.floor("value") % 40 - 20).cast("string").alias("version"))
+    names = ev.select(F.col("event_type").alias("name")).union(d.select("lang"))
+    return MO.latest_version(v, names)
+
+
+@register("topic_chunks_hold", """
+SELECT doc_id, sha256(text) AS text_sha256, true AS neighbours_differ FROM documents WHERE text IS NOT NULL AND text <> ''""")
+def q_topic_chunks_hold(spark, sf_dir):
+    """TXT-14, what any fit must give: a document's chunks, end to end, are its text, and neighbours differ in topic."""
+    ch = q_chunk_topics(spark, sf_dir)
+    one = F.array_sort(F.collect_list(F.struct("chunk_no", "topic", "content")))       # chunks of one document
+    per = ch.groupBy("doc_id").agg(one.alias("c"))
+    differ = F.forall(F.sequence(F.lit(1), F.size("c")), lambda i: (i == F.size("c")) | (F.get("c", i - 1)["topic"] != F.get("c", i)["topic"]))
+    return per.select("doc_id", F.sha2(F.array_join(F.transform("c", lambda x: x["content"]), "").cast("binary"), 256).alias("text_sha256"),
+                      differ.alias("neighbours_differ"))

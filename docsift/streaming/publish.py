@@ -132,3 +132,48 @@ def rows_available(spark: SparkSession, table: str, n: int, tries: int = 10, wai
         if i + 1 < tries:
             time.sleep(wait_s)
     return False
+
+
+def publish_dense_ids(stream: DataFrame, path: str, order_by: list[str], id_col: str = "id", checkpoint: str | None = None):
+    """SNK-3 on a stream: rows appended with ids 1, 2, ... without gaps, in
+    ``order_by`` order within a micro-batch.
+
+    ``<path>_ledger/<batch>.json`` notes the first id and the number of a
+    micro-batch once its rows are written (``<path>/batch=<batch>``); the next
+    one goes on from there.  A replayed micro-batch starts from its own entry,
+    or from the last one if it was cut off, and overwrites its own folder.
+    """
+    import json
+
+    from docsift.operators.chunking import dense_id
+    from docsift.operators.versions import _fs
+    spark = stream.sparkSession
+    ck, ledger = checkpoint or checkpoint_for(spark, f"ids:{path}"), f"{path.rstrip('/')}_ledger"
+    if _exists(spark, ledger) and not _exists(spark, os.path.join(ck, "offsets")):
+        raise ValueError(f"{path} holds numbered batches, but {ck} is new; use its old checkpoint or a new target")
+
+    def entry(n: int) -> dict | None:
+        p, fs = _fs(spark, f"{ledger}/{n}.json")
+        if not fs.exists(p):
+            return None
+        f = fs.open(p)
+        try:
+            return json.loads(bytes(f.readAllBytes()).decode())
+        finally:
+            f.close()
+
+    def number(batch: DataFrame, n: int) -> None:
+        mine, before = entry(n), entry(n - 1) if n else {"start": 1, "n": 0}
+        start = mine["start"] if mine else before["start"] + before["n"]
+        dense_id(batch, order_by, id_col, start).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={n}")
+        if mine is None:
+            p, fs = _fs(spark, f"{ledger}/{n}.json")
+            out = fs.create(p, False)
+            try:
+                out.write(bytearray(json.dumps({"start": start, "n": spark.read.parquet(f"{path.rstrip('/')}/batch={n}").count()}).encode()))
+            finally:
+                out.close()
+
+    q = stream.writeStream.foreachBatch(number).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
