@@ -578,24 +578,24 @@ def assign_cells(df: DataFrame, centroids: np.ndarray, vec: str = "embedding",
     """
     ship_package(df.sparkSession)
     bc = df.sparkSession.sparkContext.broadcast(centroids)
+    step = max(64, (1 << 20) // max(1, centroids.shape[1] if centroids.ndim == 2 else 1))
     out_schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.IntegerType()),
                                                   T.StructField(dist_col, T.DoubleType())])
 
     def run(it):
         cen = bc.value
         cn = cen / np.maximum(np.linalg.norm(cen, axis=1, keepdims=True), 1e-12)
-        for b in it:
-            if b.num_rows == 0:
-                continue
-            has = b.column(vec).is_valid().to_numpy(zero_copy_only=False)
-            m = np.zeros((b.num_rows, cen.shape[1]))
-            m[has] = _matrix(b.column(vec).drop_null(), cen.shape[1])
-            nrm = np.linalg.norm(m, axis=1, keepdims=True)
-            u = np.where(nrm > 0, m / np.where(nrm > 0, nrm, 1.0), 0.0)
-            cell = np.where(has, np.argmax(u @ cn.T, axis=1), 0)
-            dist = np.linalg.norm(u - cen[cell], axis=1)
-            yield b.append_column(out_col, pa.array(cell.astype(np.int32), type=pa.int32())) \
-                   .append_column(dist_col, pa.array(dist, type=pa.float64(), mask=~has))
+        for whole in it:
+            for r in range(0, whole.num_rows, step):          # float64 copies of one slice at a time
+                b = whole.slice(r, step)
+                has = b.column(vec).is_valid().to_numpy(zero_copy_only=False)
+                u = np.zeros((b.num_rows, cen.shape[1]))
+                u[has] = _matrix(b.column(vec).drop_null(), cen.shape[1])
+                u /= np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)
+                cell = np.where(has, np.argmax(u @ cn.T, axis=1), 0)
+                dist = np.linalg.norm(u - cen[cell], axis=1)
+                yield b.append_column(out_col, pa.array(cell.astype(np.int32), type=pa.int32())) \
+                       .append_column(dist_col, pa.array(dist, type=pa.float64(), mask=~has))
 
     return df.mapInArrow(run, out_schema)
 
