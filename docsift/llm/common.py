@@ -22,7 +22,7 @@ from docsift.session import checkpoint_root
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 #: text bytes handled by one numpy pass; a longer document is a pass of its own
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)

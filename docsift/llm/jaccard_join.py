@@ -70,8 +70,13 @@ NOTED, FREQUENT = 3, 24
 #: bound of the broadcast table of frequent shingles (16 bytes each); the most frequent ones
 LATE = 500_000
 BLOOM_BITS = 1 << 24
+#: shingles of the sets that one comparing task holds on either side, about
+SLOT = 1 << 19
+#: pivots with known distances that a point keeps
+REFS = 4
+REFS_TYPE = "array<struct<a:bigint,lo:double,hi:double>>"
 #: points and shingles of a block of a component, about; columns of one matrix product
-BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 4096
+BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 2048
 
 
 def row_key() -> Column:
@@ -250,9 +255,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return made.join(wanted, "key").select("point", "s").dropDuplicates(["point"])
 
 
-def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose bit sketches allow a link: shared shingles are at most the
-    bits in common plus the shingles of the one that share a bit."""
+def screened(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b, na, nb, low, ok): ``low`` is a lower bound of the distance from the
+    bit sketches, ``ok`` whether it allows a link.  Shared shingles are at most
+    the bits in common plus the shingles of the one that share a bit."""
     j = pairs.join(sketches.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
         .join(sketches.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
 
@@ -261,12 +267,13 @@ def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             for lo in range(0, b.num_rows, 4096):
                 c = b.slice(lo, 4096)
                 x, y = (np.frombuffer(b"".join(c.column(k).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64) for k in ("sa", "sb"))
-                na, nb = c.column("na").to_numpy(), c.column("nb").to_numpy()
+                na, nb = c.column("na").to_numpy().astype(np.int64), c.column("nb").to_numpy().astype(np.int64)
                 count = lambda v: np.bitwise_count(v).sum(1, dtype=np.int64)
-                most = count(x & y) + np.minimum(na - count(x), nb - count(y))
-                ok = pa.array(DEN * most >= NUM * (na + nb - most))
-                yield pa.RecordBatch.from_arrays([c.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
-    return j.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+                most = np.minimum(count(x & y) + np.minimum(na - count(x), nb - count(y)), np.minimum(na, nb))
+                union = na + nb - most
+                yield pa.RecordBatch.from_arrays([*(c.column(k) for k in ("a", "b", "na", "nb")), pa.array(1 - most / union), pa.array(DEN * most >= NUM * union)],
+                                                 ["a", "b", "na", "nb", "low", "ok"])
+    return j.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, na int, nb int, low double, ok boolean")
 
 
 def unpack(raw) -> np.ndarray:
@@ -276,29 +283,57 @@ def unpack(raw) -> np.ndarray:
     return np.sort(out.view("<u8")[:, 0])
 
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, dist, linked) of every pair.  The larger side of a star, the
-    points, moves once; AQE splits a pivot that many points share."""
-    j = pairs.join(sets.withColumnRenamed("s", "sb"), F.col("b") == F.col("point")).drop("point")
-    pivots = sets.join(pairs.select(F.col("a").alias("point")).distinct(), "point", "left_semi").withColumnRenamed("s", "sa")
-    j = j.join(pivots, F.col("a") == F.col("point")).drop("point")
+def slots(pairs: DataFrame) -> DataFrame:
+    """(slot, point, others): where the set of a point is needed, and the points
+    it is compared with there.
 
-    def run(batches):
+    Pairs whose pivots meet the same smaller pivot share a home, so the points
+    of a group of near copies come together and a set moves about once a home
+    instead of once a pair.  Small homes are dealt over slots of about ``SLOT``
+    shingles; larger ones are cut on both sides by the points' hashes.
+    """
+    home = pairs.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("home"))
+    p = stage(pairs.join(home, "a", "left").select("a", "b", "na", "nb", F.coalesce("home", "a").alias("home")), "homes")
+
+    def parts(point: str, n: str) -> DataFrame:
+        return (p.groupBy("home", point).agg(F.first(n).alias("n")).groupBy("home")
+                .agg(F.sum("n").alias(f"w{point}"), F.ceil(F.sum("n") / SLOT).cast("int").alias(f"k{point}")))
+    weight = stage(parts("a", "na").join(parts("b", "nb"), "home"), "weights")
+    total = weight.agg(F.sum(F.col("wa") + F.col("wb"))).first()[0] or 0
+    cut = lambda point: F.pmod(F.xxhash64(point), F.col(f"k{point}"))
+    slot = (F.when((F.col("ka") <= 1) & (F.col("kb") <= 1), F.pmod(F.xxhash64("home"), F.lit(total // SLOT + 1)))
+            .otherwise(F.xxhash64("home", cut("a"), cut("b"))))
+    p = p.join(weight, "home").select(slot.alias("slot"), "a", "b")
+    return (p.groupBy("slot", F.col("b").alias("point")).agg(F.collect_set("a").alias("others"))
+            .unionByName(p.select("slot", F.col("a").alias("point"), F.array().cast("array<bigint>").alias("others")).distinct()))
+
+
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, dist, linked) of every pair, slot by slot."""
+    def run(t: pa.Table) -> pa.Table:
+        point, others = t.column("point").to_numpy(), t.column("others").to_pylist()
+        row = {p: k for k, p in enumerate(point.tolist())}          # a point may come twice, with the same set
+        s = t.column("s").combine_chunks()
         known: dict[int, np.ndarray] = {}
-        for b in batches:
-            inter, total = [], []
-            for a, sa, sb in zip(b.column("a").to_pylist(), b.column("sa"), b.column("sb"), strict=True):
-                if a not in known:
-                    known.clear()          # rows of a pivot come one after the other
-                    known[a] = unpack(sa.as_buffer())
-                x, y = known[a], unpack(sb.as_buffer())
-                n = len(np.intersect1d(x, y, assume_unique=True))
+        a, b, inter, total = [], [], [], []
+        for k, pivots in enumerate(others):
+            if not pivots:
+                continue
+            y = unpack(s[k].as_buffer())
+            for p in pivots:
+                x = known.get(p)
+                if x is None:
+                    x = known[p] = unpack(s[row[p]].as_buffer())
+                at = np.searchsorted(x, y)
+                at[at == len(x)] = 0
+                n = int(np.count_nonzero(x[at] == y))
+                a.append(p)
+                b.append(int(point[k]))
                 inter.append(n)
                 total.append(len(x) + len(y) - n)
-            i, u = np.array(inter, np.int64), np.array(total, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1 - i / np.maximum(u, 1)), pa.array(DEN * i >= NUM * u)],
-                                             ["a", "b", "dist", "linked"])
-    return j.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, dist double, linked boolean")
+        i, u = np.array(inter, np.int64), np.array(total, np.int64)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "dist": 1 - i / np.maximum(u, 1), "linked": DEN * i >= NUM * u})
+    return slots(pairs).join(sets, "point").groupBy("slot").applyInArrow(run, "a long, b long, dist double, linked boolean")
 
 
 # ---------------------------------------------------------------- components
@@ -346,62 +381,86 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
     asked = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).union(hot.select("point")).distinct()
     sketches = stage(listed.select("point", "n", "sketch").join(asked, "point", "left_semi").dropDuplicates(["point"]), "sketches")
     reg = hot.select("region", "point", "n", "i", F.lit(False).alias("done"))
-    sets = checked = None
+    sets = links = bounds = None
     comps = spark.createDataFrame([], "node long, comp long")
     k = 0
     while True:
-        pairs = stage(plausible(pairs, sketches), f"pairs-{k}")
+        seen = stage(screened(pairs, sketches), f"pairs-{k}")
+        pairs = seen.where("ok")
         asked = stage(pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct(), f"asked-{k}")
         wanted = asked if sets is None else asked.join(sets.select("point"), "point", "left_anti")
         wanted = stage(wanted.join(reps, "point"), f"wanted-{k}")
         if not wanted.isEmpty():
             more = stage(sets_of(docs, wanted, size), f"sets-{k}")
             sets = more if sets is None else sets.unionByName(more)
-        if not pairs.isEmpty():
+        found = seen.where("not ok").select("a", "b", F.col("low").alias("lo"), F.lit(1.0).alias("hi"))
+        if not asked.isEmpty():
             # in later rounds a few of the sets so far; the list of them is small then, and sets stay where they are
             some = sets if k == 0 else sets.join(asked, "point", "left_semi")
-            found = stage(distances(pairs, some), f"distances-{k}")
-            checked = found if checked is None else checked.unionByName(found)
-            comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        # Voronoi cell: nearest pivot so far, in either role
-        near = spark.createDataFrame([], "point long, near struct<dist:double,a:bigint>") if checked is None else (
-            checked.select("a", "b", "dist").unionByName(checked.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
-            .groupBy(F.col("b").alias("point")).agg(F.min(F.struct("dist", "a")).alias("near")))
-        most_pivots = PIVOTS[min(k, len(PIVOTS) - 1)]
-        m = stage(open_regions(reg, comps, near, most_pivots), f"open-{k}")
+            exact = stage(distances(pairs, some), f"distances-{k}")
+            found = found.unionByName(exact.select("a", "b", F.col("dist").alias("lo"), F.col("dist").alias("hi")))
+            new = exact.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+            links = new if links is None else links.unionByName(new)
+            comps = connect(links)
+        bounds = found if bounds is None else bounds.unionByName(found)
+        m, stats = open_regions(reg, comps, references(bounds), PIVOTS[min(k, len(PIVOTS) - 1)], k)
         if rounds is not None:
-            rounds.append({"pairs": pairs.count(), "open": m.count(), "pivots": m.where("turn").count()})
-        if m.isEmpty():
+            rounds.append({"pairs": seen.count(), "compared": pairs.count(), **stats()})
+        if m is None:
             return comps, sets
         pairs = pairs_of(m.select("point", "others"))
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         reg = m.select("region", "point", "n", "i", (F.col("done") | F.col("turn")).alias("done"))
         k += 1
 
 
-def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -> DataFrame:
+def references(bounds: DataFrame) -> DataFrame:
+    """(point, refs): up to ``REFS`` pivots a point has met, the nearest first, each
+    with bounds lo and hi of the distance; a pivot is its own reference."""
+    both = bounds.select("a", F.col("b").alias("point"), "lo", "hi").unionByName(bounds.select(F.col("b").alias("a"), F.col("a").alias("point"), "lo", "hi"))
+    own = bounds.select(F.col("a").alias("point")).distinct().select(F.col("point").alias("a"), "point", F.lit(0.0).alias("lo"), F.lit(0.0).alias("hi"))
+    nearest = F.row_number().over(Window.partitionBy("point").orderBy("hi", "a"))
+    kept = both.unionByName(own).withColumn("_k", nearest).where(F.col("_k") <= REFS)
+    return kept.groupBy("point").agg(F.collect_list(F.struct("a", "lo", "hi")).alias("refs"))
+
+
+def open_regions(reg: DataFrame, comps: DataFrame, refs: DataFrame, most: int, k: int):
     """Members of regions where some point still has to be a pivot: it is of
     another component than most of the region and has not been one.  ``turn``
-    marks up to ``most`` of them, ``others`` the turning pivots that a member
-    may link to.  One shuffle by region."""
-    m = (reg.join(comps.withColumnRenamed("node", "point"), "point", "left").join(near, "point", "left")
-         .withColumn("comp", F.coalesce("comp", "point")))
-    whole_region = Window.partitionBy("region")
-    m = m.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("region", "comp")))
-    m = m.withColumn("_most", F.max(F.struct("_c", "comp")).over(whole_region)["comp"])
-    m = m.withColumn("_due", ~F.col("done") & (F.col("comp") != F.col("_most")))
-    m = m.withColumn("_any", F.max("_due").over(whole_region)).where("_any")
-    m = m.withColumn("turn", F.col("_due") & (F.row_number().over(whole_region.orderBy(F.desc("_due"), "point")) <= most))
-    pivots = F.collect_list(F.when(F.col("turn"), F.struct("point", "n", "i", "comp", "near"))).over(whole_region)
+    marks up to ``most`` of them (a first of every component, then the next
+    ones), ``others`` the turning pivots that a member may link to.
+
+    Regions are counted by component in two steps, and the few pivots of a
+    region join its members, so no task holds a whole region.  None: no region
+    is open.
+    """
+    m = stage(reg.join(comps.withColumnRenamed("node", "point"), "point", "left").join(refs, "point", "left")
+              .withColumn("comp", F.coalesce("comp", "point")), f"members-{k}")
+    by_comp = m.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum(F.when(F.col("done"), 0).otherwise(1)).alias("todo"))
+    by_region = by_comp.groupBy("region").agg(F.max(F.struct("c", "comp", "todo")).alias("top"), F.sum("todo").alias("todo"))
+    is_open = by_region.where(F.col("todo") > F.col("top.todo")).select("region", F.col("top.comp").alias("_most"))
+    due = m.where(~F.col("done")).join(is_open, "region").where(F.col("comp") != F.col("_most"))
+    due = due.withColumn("_r", F.row_number().over(Window.partitionBy("region", "comp").orderBy("point"))).where(F.col("_r") <= most)
+    due = due.withColumn("_t", F.row_number().over(Window.partitionBy("region").orderBy("_r", "point"))).where(F.col("_t") <= most)
+    pivots = stage(due.groupBy("region").agg(F.collect_list(F.struct("point", "n", "i", "comp", "refs")).alias("pivots")), f"pivots-{k}")
+
+    def stats():
+        return {"open": pivots.count(), "pivots": pivots.agg(F.sum(F.size("pivots"))).first()[0] or 0}
+    if pivots.isEmpty():
+        return None, stats
     r = 1 - NUM / DEN + 1e-9
 
+    def apart(p: Column) -> Column:
+        # triangle inequality at a common reference: the distances to it differ by more than r
+        return F.exists(F.coalesce(p["refs"], F.array().cast(REFS_TYPE)), lambda x: F.exists(F.coalesce(F.col("refs"), F.array().cast(REFS_TYPE)), lambda y: (
+            (x["a"] == y["a"]) & ((x["lo"] - y["hi"] > r) | (y["lo"] - x["hi"] > r)))))
+
     def meets(p: Column) -> Column:
-        # triangle inequality inside a Voronoi cell: distances to its pivot differ by more than r
-        out = F.coalesce((p["near"]["a"] == F.col("near.a")) & (F.abs(p["near"]["dist"] - F.col("near.dist")) > r), F.lit(False))
-        return (p["comp"] != F.col("comp")) & possible(fields(p), row()) & ~out
-    others = F.transform(F.filter(pivots, meets), lambda p: p["point"])
-    return m.select("region", "point", "n", "i", "done", "turn", others.alias("others"))
+        return (p["comp"] != F.col("comp")) & possible(fields(p), row()) & ~apart(p)
+    j = m.join(pivots, "region")
+    # a point that was a pivot of the region has met all its members
+    others = F.when(F.col("done"), F.array().cast("array<bigint>")).otherwise(F.transform(F.filter("pivots", meets), lambda p: p["point"]))
+    return stage(j.select("region", "point", "n", "i", "done", F.exists("pivots", lambda p: p["point"] == F.col("point")).alias("turn"),
+                          others.alias("others")), f"open-{k}"), stats
 
 
 # ---------------------------------------------------------------- links
