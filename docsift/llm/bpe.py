@@ -153,14 +153,15 @@ class Encoder:
         """Ids of one pre-token."""
         raw, byte, pairs = piece.encode("utf-8"), self.byte, self.pairs
         key = (piece[:-1] if piece.isascii() and piece.isalnum() else "".join([byte[b] for b in raw[:-1]])) + self.sym[raw[-1]]
-        n, out, sizes, at, last, dead = len(key), [], [], 0, -1, 0
+        n, out, sizes, at, last = len(key), [], [], 0, -1
+        dead = bytearray(n + 1)                         # 1: no tokens end here; marked and tested in constant time
         matches = self.auto.iter_long(key)              # longest matches, one after the other
         while at < n:
             if matches is None:
                 matches = self.auto.iter_long(key, at)
             size, token = next(matches)[1]
             while True:
-                if not dead >> (at + size) & 1:
+                if not dead[at + size]:
                     if last < 0:
                         break
                     ok = pairs.get((last, token))
@@ -173,7 +174,7 @@ class Encoder:
                 while not size:                         # nothing fits here: take the last token back
                     if not out:
                         return [i for c in key for i in self._symbol(c)]
-                    dead |= 1 << at
+                    dead[at] = 1
                     token, size = out.pop(), sizes.pop()
                     at -= size
                     last = out[-1] if out else -1

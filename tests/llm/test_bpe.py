@@ -56,3 +56,9 @@ def test_encode_then_decode(spark, lib):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.round_trip(df, bpe.tokenizer_path()).collect() == []
+
+
+def test_very_long_pieces(lib):
+    rnd, enc = random.Random(5), bpe.encoder(bpe.tokenizer_path())
+    for piece in ("".join(rnd.choice("etaoinshr") for _ in range(300_000)), "ab" * 100_000, "x" * 200_000):
+        assert enc.encode(piece).tolist() == lib.encode(piece, add_special_tokens=False).ids
