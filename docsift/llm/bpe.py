@@ -76,6 +76,7 @@ class Encoder:
         self.symbols = {t: i for t, i in vocab.items() if i not in made}
         self.pairs: dict[tuple[int, int], bool] = {}     # compatibility of token pairs met so far
         keys = {self._key(t): i for t, i in vocab.items() if self._reachable(i)}
+        self.longest = max(map(len, keys))
         self.auto = ahocorasick.Automaton()
         #: the longest other token that a token begins with, (0, -1) if none
         self.shorter: dict[int, tuple[int, int]] = {}
@@ -155,10 +156,11 @@ class Encoder:
         key = (piece[:-1] if piece.isascii() and piece.isalnum() else "".join([byte[b] for b in raw[:-1]])) + self.sym[raw[-1]]
         n, out, sizes, at, last = len(key), [], [], 0, -1
         dead = bytearray(n + 1)                         # 1: no tokens end here; marked and tested in constant time
-        matches = self.auto.iter_long(key)              # longest matches, one after the other
-        while at < n:
-            if matches is None:
-                matches = self.auto.iter_long(key, at)
+        matches, safe = None, 0                         # longest matches, one after the other, over a stretch of the
+        while at < n:                                   # piece: the automaton copies what it is given
+            if matches is None or at > safe:
+                matches = self.auto.iter_long(key[at:at + 4 * self.longest] if at or n > 4 * self.longest else key)
+                safe = at + 3 * self.longest if at + 4 * self.longest < n else n
             size, token = next(matches)[1]
             while True:
                 if not dead[at + size]:
