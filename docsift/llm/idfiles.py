@@ -3,8 +3,8 @@
 Writing, as Spark jobs over all documents:
 
 1. every whole text is encoded once with the tokenizers library (words are
-   looked up first, only words not met before go through the library) and
-   stored as a compressed table of ids in the shared folder;
+   looked up first, only pre-tokens not met before go through the library)
+   and stored as a compressed table of ids in the shared folder;
 2. the ids are counted globally (one partial count per task, then summed);
    from the counts, of which there are at most as many as ids in the
    vocabulary, code lengths of at most ``MAX_BITS`` follow by package-merge,
@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import functools
 import heapq
+import json
+import re
 import zlib
 
 import numpy as np
@@ -50,13 +52,25 @@ LANES = 4096
 
 # ---------------------------------------------------------------- encoding with the library
 
+#: fixed values: how the tokenizer file folds text and cuts it into pre-tokens
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: words of ASCII and of Latin letters that are their own NFC form and fold one to one,
+#: and their pre-tokens once folded
+PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^0-9a-z\u00df-\u00f6\u00f8-\u017f]+").findall
+
+
 class LibraryWords:
-    """Ids of texts by the tokenizers library, one call per batch for all new words.
+    """Ids of texts by the tokenizers library, each distinct pre-token once.
 
     The normaliser and the pre-tokenizer of the file never look across white
-    space, so a text's ids are those of its words in order; texts with a
-    special token's string or with separators that only ``str.split`` takes
-    for white space are encoded whole.
+    space, so a text's ids are those of its words in order.  A word of
+    ``PLAIN`` characters is folded and cut where the pre-tokenizer cuts it, and
+    its ids are those of its pieces; other words go through the library as
+    they are, and so do all words if the file folds or cuts otherwise.  Texts
+    with a special token's string or with separators that only ``str.split``
+    takes for white space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -70,38 +84,67 @@ class LibraryWords:
         self.sep = self.special[-1] if self.special else None
         self.sep_id = self.tok.token_to_id(self.sep) if self.sep else -1
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.ends = self.word_ends(path)
+
+    def word_ends(self, path: str) -> np.ndarray | None:
+        """Which ids end a pre-token, or None if the file does not cut as ``PIECES`` does."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix")
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        pattern = (steps[0].get("pattern") or {}).get("Regex")
+        if not suffix or pattern != PRE_TOKENS or (spec.get("normalizer") or {}).get("normalizers") != NORMALIZERS:
+            return None
+        vocab = self.tok.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        return ends
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """One pass over all new words; a special token between them keeps them apart."""
+    def learn(self, words: list[str], known: dict[str, bytes]) -> None:
+        """One pass over new words; a special token between them keeps them apart."""
         for i in range(0, len(words), 2000):
             part = words[i:i + 2000]
             ids = np.asarray(self.tok.encode_batch_fast([self.sep.join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(ids == self.sep_id)
-            lo, hi = [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]
-            raw = ids.tobytes()
-            for w, a, b in zip(part, lo, hi, strict=True):
-                self.known[w] = raw[4 * a:4 * b]
+            self.keep(part, ids, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], known)
+
+    def learn_pieces(self, pieces: list[str]) -> None:
+        """One pass over new pre-tokens, with spaces between them: each ends with an id that ends a word."""
+        for i in range(0, len(pieces), 2000):
+            part = pieces[i:i + 2000]
+            ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cut) == len(part) and cut[-1] == len(ids):
+                self.keep(part, ids, [0, *cut[:-1]], cut, self.pieces)
+            else:
+                self.learn(part, self.pieces)
+
+    def keep(self, words: list[str], ids: np.ndarray, lo: list[int], hi: list[int], known: dict[str, bytes]) -> None:
+        raw = ids.tobytes()
+        for w, a, b in zip(words, lo, hi, strict=True):
+            known[w] = raw[4 * a:4 * b]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         odd = [any(s in t for s in self.special) or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         if self.sep is None:
             odd = [True] * len(texts)
         words = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        known = self.known
+        known, pieces = self.known, self.pieces
         new = set().union(*words).difference(known)
         if len(new) + len(known) > CACHE_WORDS:
             known.clear()
             new = set().union(*words)
-        # full stops and commas behind a letter or digit are a pre-token of their own, and ASCII case folds
-        cores = [(w, w.rstrip(".,")) for w in new]
-        cores = [(w, c.lower() if c.isascii() else c, w[len(c):]) if c and c[-1].lower().isalnum() else (w, w, "") for w, c in cores]
-        self.learn(list({x for _, c, tail in cores for x in (c, tail) if x and x not in known}))
-        for w, c, tail in cores:
-            if w is not c:
-                known[w] = known[c] + known[tail] if tail else known[c]
+        if len(pieces) > CACHE_WORDS:
+            pieces.clear()
+        cut = {w: PIECES(w.lower()) for w in new if PLAIN(w)} if self.ends is not None else {}
+        self.learn([w for w in new if w not in cut], known)
+        self.learn_pieces(list(set().union(*cut.values()).difference(pieces)))
+        for w, ps in cut.items():
+            known[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
         return [self.whole(t) if o else b"".join([known[w] for w in ws])
                 for t, o, ws in zip(texts, odd, words, strict=True)]
 

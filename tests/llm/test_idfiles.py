@@ -1,4 +1,6 @@
 import itertools
+import json
+import random
 import zlib
 
 import numpy as np
@@ -43,6 +45,32 @@ def test_words_through_the_library_equal_whole_texts():
     assert lib.batch(texts) == [lib.whole(t) for t in texts]
 
 
+def test_random_words_through_the_library_equal_whole_texts():
+    lib = idfiles.LibraryWords(bpe.tokenizer_path())
+    assert lib.ends is not None
+    rnd = random.Random(8)
+    parts = [*"abzAZ019.,'\"!?&%$#*-_<>|@/\\~^`{}[]()=+:;", "'s", "'LL", "'Re", "n't", "é", "É", "ß", "ſ", "Ÿ", "ÿ", "İ", "ı", "ŉ", "ǅ", "×", "÷",
+             "²", "½", "٣", "é", "Ω", "ΑΣ", "中", "文", "Ж", "😀", "ﬁ", "Å", "\u0301", "\u200d", "\ufeff", "\x00", "\x7f", "the", "Tion", "Öffn"]
+    space = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x85", "\x1c", "\u2028", "\u200b"]
+    texts = ["".join("".join(rnd.choices(parts, k=rnd.randrange(1, 7))) + (" " if rnd.random() < 0.9 else rnd.choice(space))
+                     for _ in range(rnd.randrange(0, 30))) for _ in range(1800)]
+    texts += ["A" * 200_000, "é" * 50_000 + "." * 50_000, "a'" * 50_000, "1" * 50_000]
+    for lo in range(0, len(texts), 300):
+        part = texts[lo:lo + 300]
+        for t, got in zip(part, lib.batch(part), strict=True):
+            assert got == lib.whole(t), t[:200]
+
+
+def test_other_rules_send_whole_words_through_the_library(tmp_path):
+    with open(bpe.tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    (tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    lib = idfiles.LibraryWords(str(tmp_path / "other.json"))
+    texts = ["abc123, don't a1b2", "Éa9."]
+    assert lib.ends is None and lib.batch(texts) == [lib.whole(t) for t in texts]
+
+
 def test_files_hold_every_document_in_order(spark):
     rows = [(7, "seven words"), (3, None), (5, ""), (None, "no id"), (3, "again three"), (100, "the " * 3000), (3, None)]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, start string").repartition(3)
