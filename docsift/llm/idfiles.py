@@ -48,6 +48,8 @@ MAX_BITS = 16
 BLOCK = 512
 #: blocks decoded in step; bounds the memory of a decoding task
 LANES = 4096
+#: ids of several documents handled together while counting and packing
+GROUP_IDS = 1 << 18
 
 
 # ---------------------------------------------------------------- encoding with the library
@@ -76,16 +78,22 @@ class LibraryWords:
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.sep = self.special[-1] if self.special else None
         self.sep_id = self.tok.token_to_id(self.sep) if self.sep else -1
+        self.kind = np.dtype("<u2" if max(self.tok.get_vocab().values()) < 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.ends = self.word_ends(path)
+        # the same vocabulary and merges for what is folded and cut already
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def word_ends(self, path: str) -> np.ndarray | None:
         """Which ids end a pre-token, or None if the file does not cut as ``PIECES`` does."""
@@ -102,7 +110,7 @@ class LibraryWords:
         return ends
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, words: list[str], known: dict[str, bytes]) -> None:
         """One pass over new words; a special token between them keeps them apart."""
@@ -116,7 +124,7 @@ class LibraryWords:
         """One pass over new pre-tokens, with spaces between them: each ends with an id that ends a word."""
         for i in range(0, len(pieces), 2000):
             part = pieces[i:i + 2000]
-            ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.asarray(self.merges.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cut) == len(part) and cut[-1] == len(ids):
                 self.keep(part, ids, [0, *cut[:-1]], cut, self.pieces)
@@ -124,9 +132,9 @@ class LibraryWords:
                 self.learn(part, self.pieces)
 
     def keep(self, words: list[str], ids: np.ndarray, lo: list[int], hi: list[int], known: dict[str, bytes]) -> None:
-        raw = ids.tobytes()
+        raw, k = ids.astype(self.kind).tobytes(), self.kind.itemsize
         for w, a, b in zip(words, lo, hi, strict=True):
-            known[w] = raw[4 * a:4 * b]
+            known[w] = raw[k * a:k * b]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         odd = [any(s in t for s in self.special) or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
@@ -140,12 +148,15 @@ class LibraryWords:
             new = set().union(*words)
         if len(pieces) > CACHE_WORDS:
             pieces.clear()
-        cut = {w: PIECES(w.lower()) for w in new if PLAIN(w)} if self.ends is not None else {}
-        self.learn([w for w in new if w not in cut], known)
+        plain = [] if self.ends is None else new if not new or PLAIN("".join(new)) else [w for w in new if PLAIN(w)]
+        cut = {w: (x,) if (x := w.lower()).isalpha() else PIECES(x) for w in plain}
+        if len(cut) < len(new):
+            self.learn([w for w in new if w not in cut], known)
         self.learn_pieces(list(set().union(*cut.values()).difference(pieces)))
         for w, ps in cut.items():
             known[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-        return [self.whole(t) if o else b"".join([known[w] for w in ws])
+        of = known.__getitem__
+        return [self.whole(t) if o else b"".join(map(of, ws))
                 for t, o, ws in zip(texts, odd, words, strict=True)]
 
 
@@ -155,35 +166,49 @@ def library(path: str) -> LibraryWords:
 
 
 def token_rows(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids binary): 32-bit little-endian ids of every whole text."""
-    tail = b"" if end_id is None else np.uint32(end_id).tobytes()
-
+    """(doc_id, n_tokens, ids binary): little-endian ids of every whole text, of
+    16 bits each if all ids of the tokenizer fit, else of 32."""
     def run(batches):
         lib = library(path)
+        tail = b"" if end_id is None else np.asarray([end_id], lib.kind).tobytes()
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for i in range(0, len(texts), 500):
-                ids = [x + tail for x in lib.batch([t or "" for t in texts[i:i + 500]])]
+            for i in range(0, b.num_rows, 500):
+                c = b.slice(i, 500)
+                ids = [x + tail for x in lib.batch([t or "" for t in c.column("text").to_pylist()])]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, len(ids)), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    [c.column("doc_id"), pa.array([len(x) // lib.kind.itemsize for x in ids], pa.int64()),
                      pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
     src = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     return src.mapInArrow(run, with_fields(src.select("doc_id"), "n_tokens long, ids binary"))
 
 
+def id_groups(batch: pa.RecordBatch, size: int = GROUP_IDS):
+    """(first row, ids end to end, their number in each row) of some rows after
+    another: about ``size`` ids, or one row with more."""
+    n = batch.column("n_tokens").to_numpy()
+    end = np.cumsum(n)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(end, (end[lo - 1] if lo else 0) + size, "right")))
+        raw = b"".join(batch.column("ids").slice(lo, hi - lo).to_pylist())
+        total = int(n[lo:hi].sum())
+        yield lo, np.frombuffer(raw, f"<u{len(raw) // total if total else 4}"), n[lo:hi]
+        lo = hi
+
+
 def id_counts(rows: DataFrame) -> DataFrame:
     """(id, n): global counts; a task sends one row per id it met."""
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for i in range(0, b.num_rows, 1000):     # concatenated: one count for many documents
-                c = np.bincount(np.frombuffer(b"".join(b.column("ids").slice(i, 1000).to_pylist()), "<u4"))
+            for _, ids, _ in id_groups(b):
+                c = np.bincount(ids)
                 if len(c) > len(total):
                     total, c = c, total
                 total[:len(c)] += c
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], ["id", "n"])
-    return rows.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return rows.select("n_tokens", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------- codes
@@ -233,19 +258,29 @@ class Codes:
 
     def pack(self, ids: np.ndarray, block: int = BLOCK) -> tuple[bytes, np.ndarray]:
         """(bit string, bit offset of every block)."""
+        return self.pack_all(ids, np.array([len(ids)]), block)[0]
+
+    def pack_all(self, ids: np.ndarray, counts: np.ndarray, block: int = BLOCK) -> list[tuple[bytes, np.ndarray]]:
+        """``pack`` of several documents, whose ids lie end to end; each starts a 32-bit cell."""
         bits = self.bits[ids]
-        end = np.cumsum(bits)
-        start = end - bits
-        total = int(end[-1]) if len(ids) else 0
-        words = np.zeros(total // 32 + 2, np.uint64)
+        end = np.concatenate([[0], np.cumsum(bits)])
+        last = np.cumsum(counts)
+        first = last - counts
+        total = end[last] - end[first]
+        base = np.concatenate([[0], np.cumsum((total + 31) // 32)])
+        start = end[:-1] - np.repeat(end[first], counts)
+        at = start + np.repeat(32 * base[:-1], counts)
+        words = np.zeros(base[-1] + 2, np.uint64)
         # a code lies in at most two 32-bit cells; codes do not overlap, so sums are bit unions
-        shifted = self.code[ids] << (np.uint64(64) - (start % 32 + bits).astype(np.uint64))
-        cell = start // 32
+        shifted = self.code[ids] << (np.uint64(64) - (at % 32 + bits).astype(np.uint64))
+        cell = at // 32
         lead = np.flatnonzero(np.diff(cell, prepend=-1))
         if len(ids):
             words[cell[lead]] += np.add.reduceat(shifted >> np.uint64(32), lead)
             words[cell[lead] + 1] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), lead)
-        return words.astype(">u4").tobytes()[: (total + 7) // 8], start[::block]
+        raw = words.astype(">u4").tobytes()
+        return [(raw[4 * b:4 * b + (t + 7) // 8], start[p:q:block])
+                for b, t, p, q in zip(base[:-1].tolist(), total.tolist(), first.tolist(), last.tolist(), strict=True)]
 
     def unpack(self, payloads: list[bytes], checkpoints: list[np.ndarray], counts: list[int], block: int = BLOCK) -> list[np.ndarray]:
         """Ids of several documents; all their blocks advance together."""
@@ -289,15 +324,15 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     def run(batches):
         codes = Codes(shipped.value)
         for b in batches:
-            ids = [np.frombuffer(x.as_buffer(), "<u4") for x in b.column("ids")]
-            made = [codes.pack(x) for x in ids]
-            doc = b.column("doc_id")
-            key = doc.is_valid().to_numpy(zero_copy_only=False)
-            part = np.where(key, np.searchsorted(bounds, doc.fill_null(0).to_numpy(zero_copy_only=False), "right"), 0)
-            yield pa.RecordBatch.from_arrays(
-                [doc, b.column("n_tokens"), pa.array(part, pa.int32()), pa.array([zlib.crc32(p) for p, _ in made], pa.int64()),
-                 pa.array([c for _, c in made], pa.list_(pa.int64())), pa.array([p for p, _ in made], pa.binary())],
-                ["doc_id", "n_tokens", "part", "tie", "checkpoints", "payload"])
+            for lo, ids, n in id_groups(b):
+                made = codes.pack_all(ids, n)
+                doc = b.column("doc_id").slice(lo, len(n))
+                key = doc.is_valid().to_numpy(zero_copy_only=False)
+                part = np.where(key, np.searchsorted(bounds, doc.fill_null(0).to_numpy(zero_copy_only=False), "right"), 0)
+                yield pa.RecordBatch.from_arrays(
+                    [doc, pa.array(n), pa.array(part, pa.int32()), pa.array([zlib.crc32(p) for p, _ in made], pa.int64()),
+                     pa.array([c for _, c in made], pa.list_(pa.int64())), pa.array([p for p, _ in made], pa.binary())],
+                    ["doc_id", "n_tokens", "part", "tie", "checkpoints", "payload"])
     schema = with_fields(rows.select("doc_id"), "n_tokens long, part int, tie long, checkpoints array<long>, payload binary")
     (rows.mapInArrow(run, schema).repartition(len(bounds) + 1, "part")
      .sortWithinPartitions("part", "doc_id", "tie").withColumn("row", F.monotonically_increasing_id())

@@ -33,6 +33,9 @@ def test_pack_and_unpack():
     made = [codes.pack(d) for d in docs]
     back = codes.unpack([p for p, _ in made], [q for _, q in made], [len(d) for d in docs])
     assert all((a == b).all() for a, b in zip(docs, back, strict=True))
+    # several documents at once are the same bit strings
+    for (p, q), (x, y) in zip(made, codes.pack_all(np.concatenate(docs), np.array([len(d) for d in docs])), strict=True):
+        assert p == x and (q == y).all()
     # a block decodes from its checkpoint alone
     p, q = made[5]
     one = codes.unpack([p], [q[3:4]], [512])
