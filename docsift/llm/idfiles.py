@@ -149,11 +149,21 @@ class LibraryWords:
         if len(pieces) > CACHE_WORDS:
             pieces.clear()
         plain = [] if self.ends is None else new if not new or PLAIN("".join(new)) else [w for w in new if PLAIN(w)]
-        cut = {w: (x,) if (x := w.lower()).isalpha() else PIECES(x) for w in plain}
-        if len(cut) < len(new):
-            self.learn([w for w in new if w not in cut], known)
-        self.learn_pieces(list(set().union(*cut.values()).difference(pieces)))
-        for w, ps in cut.items():
+        if len(plain) < len(new):
+            self.learn(list(new.difference(plain)), known)
+        cut = []
+        for w in plain:
+            x = w.lower()
+            if x in pieces:
+                known[w] = pieces[x]
+            elif x.isalpha():
+                cut.append((w, (x,)))
+            elif x[-1] in ".," and x[:-1].isalpha():
+                cut.append((w, (x[:-1], x[-1])))
+            else:
+                cut.append((w, PIECES(x)))
+        self.learn_pieces(list({p for _, ps in cut for p in ps if p not in pieces}))
+        for w, ps in cut:
             known[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
         of = known.__getitem__
         return [self.whole(t) if o else b"".join(map(of, ws))
