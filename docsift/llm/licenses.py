@@ -8,9 +8,9 @@ are met at any place.  Features are hashed word 1- and 2-grams (case folded,
 edge punctuation and digits dropped, each at most once, scaled to unit
 length); a multinomial logistic regression gives a probability to every
 licence family and to the class *unknown*.  Training rows are the templates
-below, whole and with words left out, and, as unknown, lines of at most
-``UNKNOWN_DOCS`` documents (a documented bound) that hold no word of a notice;
-the temperature of the probabilities is fitted on rows left out.  A line's
+below, whole and with words left out, and, as unknown, at most
+``UNKNOWN_ROWS`` lines of at most ``UNKNOWN_DOCS`` distinct texts (documented
+bounds; the smallest hashes) that hold no word of a notice; the temperature of the probabilities is fitted on rows left out.  A line's
 likeliest family, or the family of a window's template, is found if it is
 likelier than ``ACCEPT`` and confirmed by ``CONFIRM``; of finds that overlap
 the likeliest stays, and all else is unknown.
@@ -25,6 +25,7 @@ windows; equal rows get equal results; an empty table gives an empty result
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "SPDX-License-Identifier: MIT",
+    ),
+    "isc": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
@@ -50,6 +57,13 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "Released under the GPL version 2 or later.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "SPDX-License-Identifier: AGPL-3.0-only",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
@@ -108,14 +122,10 @@ def plain_spans(t: Texts):
     # digits and edge punctuation go: trim ends, and hash the rest without digits folded
     edge = np.zeros(256, bool)
     edge[list(b".,;:!?()[]\"'/-0123456789")] = True
-    s, e = s.copy(), e.copy()
-    for _ in range(8):
-        live = s < e
-        s[live] += edge[t.buf[s[live]]]
-        live = s < e
-        e[live] -= edge[t.buf[e[live] - 1]]
-    ok = s < e
-    s, e = s[ok], e[ok]
+    kept = np.flatnonzero(~edge[t.buf])
+    lo, hi = np.searchsorted(kept, s), np.searchsorted(kept, e)
+    ok = lo < hi
+    s, e = kept[lo[ok]], kept[hi[ok] - 1] + 1
     return s, e, t.hashes(s, e)
 
 
@@ -206,12 +216,14 @@ def train(unknown: list[str]) -> Model:
 
 
 def fit(docs: DataFrame, bound: int = UNKNOWN_DOCS) -> Model:
-    """A model from the templates and lines of at most ``bound`` documents, chosen by hash."""
+    """A model from the templates and lines of at most ``bound`` distinct texts, chosen by hash."""
     low = F.lower(whole())
     clean = docs.where(~F.greatest(*[F.contains(low, F.lit(w)) for w in NOTICE_WORDS]))
-    rows = clean.select(whole().alias("t"), F.xxhash64(whole()).alias("h")).orderBy("h", "t").limit(bound).toLocalIterator()
-    lines = [x for r in rows for x in r.t.split("\n") if plain_words(x)]
-    return train(lines[:UNKNOWN_ROWS])
+    clean = clean.select(whole().alias("t"), F.xxhash64(whole()).alias("h"))
+    chosen = F.broadcast(clean.select("h").distinct().orderBy("h").limit(bound))             # bound longs; texts stay where they are
+    rows = clean.join(chosen, "h").groupBy("h").agg(F.min("t").alias("t")).toLocalIterator()
+    lines = {x for r in rows for x in r.t.split("\n") if plain_words(x)}
+    return train(sorted(lines, key=lambda x: (zlib.crc32(x.encode()), x))[:UNKNOWN_ROWS])
 
 
 TEMPLATE_WORDS = {f: [frozenset(plain_words(t)) for t in ts] for f, ts in TEMPLATES.items()}

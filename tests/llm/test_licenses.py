@@ -66,3 +66,22 @@ def test_wrapped_headers_and_notices_inside_long_lines(spark, model):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, want string, text string")
     wrong = [(r.want, r.license_families, r.text[:200]) for r in L.scan(df, model).collect() if r.want != r.license_families]
     assert not wrong
+
+
+def test_near_families_tags_and_long_edges(spark, model):
+    rows = [("isc", "Licensed under the ISC License."), ("mit", "Licensed under the MIT License."), ("mit", "SPDX-License-Identifier: MIT"),
+            ("isc", "// SPDX-License-Identifier: ISC"), ("gpl", "# SPDX-License-Identifier: GPL-2.0-only"), ("apache", "SPDX-License-Identifier: Apache-2.0"),
+            ("agpl", "This program is licensed under the GNU Affero General Public License, version 3."),
+            ("gpl", "This program is licensed under the GNU General Public License, version 3."),
+            ("agpl", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+            ("mit", "-" * 40 + "Released under the MIT License." + "-" * 40)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, want string, text string")
+    wrong = [(r.want, r.license_families, r.text) for r in L.scan(df, model).collect() if r.want != r.license_families]
+    assert not wrong
+
+
+def test_edges_are_stripped_by_runs():
+    text = "----------MIT 0123456789abc0123456789 ((((((((((x)))))))))) ........... é"
+    t = L.one_text([text])
+    s, e, _ = L.plain_spans(t)
+    assert [t.buf[a:b].tobytes().decode().lower() for a, b in zip(s, e, strict=True)] == L.plain_words(text)
