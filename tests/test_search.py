@@ -263,3 +263,10 @@ def test_many_groups_equal_one(spark, monkeypatch):
     assert all(r.label == r.chunk_id % 3 for r in late) and len(late) == 120
 
 
+
+
+def test_normalize_sums_the_norm_once_per_vector(spark):
+    """The norm is one sum per vector, not one for each component as well."""
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,)], "v array<float>").select(S.normalize(F.col("v")).alias("u"))
+    assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
+    assert [r.u if r.u is None else [round(x, 6) for x in r.u] for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None]
