@@ -270,3 +270,45 @@ def test_normalize_sums_the_norm_once_per_vector(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,)], "v array<float>").select(S.normalize(F.col("v")).alias("u"))
     assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
     assert [r.u if r.u is None else [round(x, 6) for x in r.u] for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None]
+
+
+def _streamed(q, c, k, metric, exclude_self=False, limits=None):
+    import pyarrow as pa
+    g = S._Group(S.QuestionMatrix(np.arange(len(q)), q.shape[1], dense=q), k, metric, exclude_self, limits or (S.MAX_SCORES, S.DENSE_QUESTIONS))
+    for a in range(0, len(c), 1300):
+        ids = np.arange(a, min(len(c), a + 1300))
+        vecs = pa.array(list(c[ids]), pa.list_(pa.float64()))
+        g.add(pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), vecs], ["_k0", "_row", "_v"]), ["_k0", "_row"])
+    got = {}
+    for qi, sc, cid, _ in zip(*g.best()):
+        got.setdefault(int(qi), []).append((int(cid), float(sc)))
+    return got
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_few_pairs_are_scored_in_float64(metric, monkeypatch):
+    """Of the pairs that meet, only those near the k best so far are scored in float64."""
+    rng = np.random.default_rng(31)
+    q, c = rng.normal(size=(40, 12)), rng.normal(size=(4000, 12)) * rng.uniform(0.5, 2, size=(4000, 1))
+    scored = []
+    exact, whole = S._Group._exact, S._Group._whole
+    monkeypatch.setattr(S._Group, "_exact", lambda self, cm, cn, qm, qn, qi, ri: (scored.append(len(qi)), exact(self, cm, cn, qm, qn, qi, ri))[1])
+    monkeypatch.setattr(S._Group, "_whole", lambda self, cm, cn, qm, *a: (scored.append(len(cm) * len(qm)), whole(self, cm, cn, qm, *a))[1])
+    assert _streamed(q, c, 5, metric) == brute(q, c, np.arange(len(c)), 5, metric)
+    assert 0 < sum(scored) < len(q) * len(c) / 20
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_streamed_ties_zeros_and_long_vectors(metric):
+    rng = np.random.default_rng(32)
+    base = np.vstack([rng.normal(size=(9, 6)), np.zeros((2, 6)), 1e-30 * rng.normal(size=(2, 6))])
+    few = base[:11]
+    long = few if metric == "dot" else np.vstack([few, 3e4 + rng.normal(size=(5, 6))])      # products of 1e9 have no 6 places
+    for v, limits in ((few, None), (few, (50, 0)), (long, None), (base, None)):
+        c = v[rng.integers(0, len(v), 2000)]              # about 150 copies of every vector
+        with np.errstate(all="ignore"):
+            assert _streamed(v, c, 7, metric, limits=limits) == brute(v, c, np.arange(len(c)), 7, metric)
+    c = few[rng.integers(0, len(few), 900)]
+    c[::7, 2] = np.nan
+    got = _streamed(few, c, 3, metric, exclude_self=True)
+    assert all(cid % 7 and cid != qi for qi, hits in got.items() for cid, _ in hits) and all(len(h) == 3 for h in got.values())
