@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,6 +114,22 @@ def html_sections(data: bytes) -> list:
     return out
 
 
+SLICE_BYTES = 4 * 1024 * 1024      # file contents that a task turns into Python objects at once (one file at least)
+
+
+def byte_slices(b: pa.RecordBatch, content_col: str) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows, with contents of about ``SLICE_BYTES`` at most."""
+    sizes = pc.fill_null(pc.binary_length(b.column(content_col)), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > SLICE_BYTES:
+            yield b.slice(start, i - start)
+            start, held = i, 0
+        held += int(n)
+    if b.num_rows:
+        yield b.slice(start)
+
+
 def extract_sections(df: DataFrame, extractor: Callable[[bytes], list] = text_sections,
                      path_col: str = "path", content_col: str = "content") -> DataFrame:
     """TXT-1: bytes -> ordered sections ``(path, section_no, section)``.
@@ -126,18 +143,19 @@ def extract_sections(df: DataFrame, extractor: Callable[[bytes], list] = text_se
                            T.StructField("section", T.StringType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            paths, nos, secs = [], [], []
-            for p, c in zip(b.column(path_col).to_pylist(), b.column(content_col).to_pylist()):
-                if c is None:
-                    continue
-                for i, s in enumerate(extractor(c)):
-                    paths.append(p)
-                    nos.append(i)
-                    secs.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(nos, pa.int32()),
-                                              pa.array(secs, pa.string())], schema=pa.schema(
-                [(path_col, pa.string()), ("section_no", pa.int32()), ("section", pa.string())]))
+        for whole in it:
+            for b in byte_slices(whole, content_col):
+                paths, nos, secs = [], [], []
+                for p, c in zip(b.column(path_col).to_pylist(), b.column(content_col).to_pylist()):
+                    if c is None:
+                        continue
+                    for i, s in enumerate(extractor(c)):
+                        paths.append(p)
+                        nos.append(i)
+                        secs.append(s)
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(nos, pa.int32()),
+                                                  pa.array(secs, pa.string())], schema=pa.schema(
+                    [(path_col, pa.string()), ("section_no", pa.int32()), ("section", pa.string())]))
 
     return df.select(path_col, content_col).mapInArrow(run, schema)
 
@@ -165,11 +183,12 @@ def extract_section_arrays(df: DataFrame, extractor: Callable[[bytes], list] = t
     arrow_schema = pa.schema([(path_col, pa.string()), ("sections", pa.list_(pa.string()))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            paths = b.column(path_col).to_pylist()
-            secs = [None if c is None else list(extractor(c)) for c in b.column(content_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(secs, pa.list_(pa.string()))],
-                                             schema=arrow_schema)
+        for whole in it:
+            for b in byte_slices(whole, content_col):
+                paths = b.column(path_col).to_pylist()
+                secs = [None if c is None else list(extractor(c)) for c in b.column(content_col).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(secs, pa.list_(pa.string()))],
+                                                 schema=arrow_schema)
 
     return df.select(path_col, content_col).mapInArrow(run, schema)
 

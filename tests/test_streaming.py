@@ -1,6 +1,8 @@
 import pytest
 import os
 
+import pyarrow as pa
+
 from pyspark.sql import functions as F
 
 from docsift.plans import ingest
@@ -238,3 +240,26 @@ def test_a_new_checkpoint_on_a_committed_sink_is_refused(spark, scratch_dir):
         P.publish_stream(SF.read_files_stream(spark, src, suffix="txt"), path=out, checkpoint=os.path.join(scratch_dir, "c2"))
     P.publish_stream(SF.read_files_stream(spark, src, suffix="txt"), path=out, checkpoint=os.path.join(scratch_dir, "c1"))
     assert spark.read.parquet(out).count() == 2
+
+
+def test_few_bytes_of_files_are_extracted_at_once(spark, monkeypatch):
+    """Sections leave a task in slices of whole files, not a batch at a time."""
+    monkeypatch.setattr(SF, "SLICE_BYTES", 100)
+    rows = [(f"p{i}", None if i == 3 else (f"part {i}" + "x" * (i * 7) + "\n\nend").encode()) for i in range(40)]
+    tasks = []
+
+    class Frame:                       # takes the task function instead of running it
+        sparkSession = spark
+
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, schema):
+            tasks.append(run)
+    SF.extract_section_arrays(Frame())
+    b = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.binary())], ["path", "content"])
+    out = list(tasks[0](iter([b, b.slice(0, 0)])))
+    sizes = {p: len(c or b"") for p, c in rows}
+    assert len(out) > 10 and all(o.num_rows == 1 or sum(sizes[p] for p in o.column(0).to_pylist()) <= 100 for o in out)
+    got = [x for o in out for x in zip(o.column(0).to_pylist(), o.column(1).to_pylist())]
+    assert got == [(p, None if c is None else SF.text_sections(c)) for p, c in rows]
