@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docsift.llm.common import documents, with_fields
 
 #: entries of a worker's word cache before it starts anew (memory bound only)
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 #: and of its table of pairs and of pre-tokens
 PAIRS = 1_000_000
 PIECES = 50_000

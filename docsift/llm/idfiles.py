@@ -40,10 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.bpe import CACHE_WORDS, tokenizer_path
+from docsift.llm.bpe import tokenizer_path
 from docsift.llm.common import documents, shared_path, with_fields
 
 END_ID = 2
+#: entries of a worker's word cache before it starts anew (memory bound only)
+CACHE_WORDS = 1_000_000
 MAX_BITS = 16
 BLOCK = 512
 #: blocks decoded in step; bounds the memory of a decoding task

@@ -54,8 +54,18 @@ def statistics(t: Texts) -> np.ndarray:
         c = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
         return c[bounds[1:]] - c[bounds[:-1]]
 
+    def per_byte(x):
+        """Running counts in 32 bits: a chunk is a few MB, or one text, which is under 2 GB."""
+        c = np.zeros(len(x) + 1, np.int32)
+        np.cumsum(x, dtype=np.int32, out=c[1:])
+        return c
+
+    def of_class(k):
+        c = per_byte(kind == k)
+        return c[t.off[1:]] - c[t.off[:-1]]
+
     for k in range(N_CLASS):
-        out[:, len(NAMES) - N_CLASS + k] = per_doc(kind == k, t.off) / size
+        out[:, len(NAMES) - N_CLASS + k] = of_class(k) / size
     if not len(s):
         return out
     length = (e - s).astype(np.float64)
@@ -63,7 +73,7 @@ def statistics(t: Texts) -> np.ndarray:
     mean = per_doc(length, first) / safe
     out[:, 0], out[:, 1], out[:, 2] = np.log1p(n), np.log1p(np.diff(t.off)), mean
     out[:, 3] = np.sqrt(np.maximum(0, per_doc(length ** 2, first) / safe - mean ** 2))
-    out[:, 4] = n / np.maximum(1, per_doc(kind == 5, t.off) + 1)
+    out[:, 4] = n / np.maximum(1, of_class(5).astype(np.float64) + 1)
     again = np.concatenate([[False], h[1:] == h[:-1]])
     again[first[:-1][n > 0]] = False
     out[:, 7] = per_doc(again, first) / safe
@@ -71,11 +81,10 @@ def statistics(t: Texts) -> np.ndarray:
     out[:, 10] = per_doc((last == 9) | (last == 8), first) / safe
     out[:, 11] = per_doc((last == 6) | (last == 7), first) / safe
     out[:, 12] = per_doc(start == 1, first) / safe
-    uppers = np.concatenate([[0], np.cumsum(kind == 1)])
-    out[:, 13] = per_doc((uppers[e] - uppers[s]) * 2 > (e - s), first) / safe
+    uppers = per_byte(kind == 1)
+    out[:, 13] = per_doc((uppers[e] - uppers[s]).astype(np.int64) * 2 > (e - s), first) / safe
     pair = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) > 1 else h[:0]
-    breaks = np.concatenate([[0], np.cumsum(t.buf == 10)])
-    line = breaks[s]
+    line = per_byte(t.buf == 10)[s]
     line_hash = mix(h + (np.arange(len(h), dtype=np.uint64) - np.maximum.accumulate(
         np.where(np.diff(line, prepend=-1) != 0, np.arange(len(h)), 0)).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93))
     for d in np.flatnonzero(n):

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docsift.llm import quality_model as Q
@@ -42,3 +43,16 @@ def test_edge_texts_and_labels(spark):
         assert len(got) == 6 and all(0 <= r.quality_score <= 1 for r in got)
         assert len({r.quality_score for r in got if r.text is None or not r.text.strip() and not r.text}) == 1
     assert Q.score(docs.limit(0), model).collect() == []
+
+
+def test_statistics_of_a_chunk_stay_small():
+    import tracemalloc
+
+    from docsift.llm.common import CHUNK_BYTES, chunks
+    texts = ["Some words, and a line.\nanother line 12 | 3\n" * 40] * (CHUNK_BYTES // 1600)
+    (_, t), *_ = chunks(pa.array(texts))
+    tracemalloc.start()
+    Q.statistics(t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 * len(t.buf)      # bytes of numpy arrays for each byte of text
