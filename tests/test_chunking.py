@@ -177,3 +177,36 @@ def test_topics_of_sentences_without_terms(spark):
         assert "".join(c.content for c in chunks) == "".join(t for x, _, t in rows if x == d)
         assert all(a.topic != b.topic for a, b in zip(chunks, chunks[1:]))
     assert len(by[9]) == 1 and len(by[10]) == 1 and by[10][0].topic == 0
+
+
+def test_top_topics_equal_the_model_transform(spark):
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+    from docsift.operators import topics as TP
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, [rng.choice(words[(i % 3) * 20:][:30]) for _ in range(rng.choice([0, 1, 2, 5, 9, 40]))]) for i in range(600)]
+    rows += [(-1, None), (-2, [])]
+    df = HashingTF(numFeatures=256, inputCol="w", outputCol="v").transform(
+        spark.createDataFrame(rows, "id long, w array<string>").selectExpr("id", "coalesce(w, array()) AS w"))
+    model = LDA(k=5, seed=7, maxIter=3, featuresCol="v", topicDistributionCol="d").fit(df)
+    want = {r.id: (max(range(5), key=lambda j: r.d[j]) if r.w else None)
+            for r in model.transform(df).select("id", "w", vector_to_array("d").alias("d")).collect()}
+    assert {r.id: r.top for r in TP.top_topics(df, "v", model, "top", ["id"]).collect()} == want
+    assert len(set(want.values())) > 3
+
+
+def test_topic_runs_are_linear_in_a_document(spark):
+    from docsift.operators import chunking as CK
+    rows = [(1, i, "red fox runs. " if i % 3 else "stock market falls. ") for i in range(3000)] + [(2, 0, None), (2, 1, "red fox runs."), (3, 0, "..")]
+    got = CK.chunk_topics(spark.createDataFrame(rows, "doc_id long, sent_no int, sentence string"), k=2, max_iter=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "currentrow$(), unboundedfollowing$()" not in plan      # this frame reads the rest of the document for every row
+    assert "aggregate(" not in plan                                # a fold copies the text so far for every sentence
+    by = {}
+    for r in sorted(got.collect(), key=lambda r: (r.doc_id, r.chunk_no)):
+        by.setdefault(r.doc_id, []).append(r)
+    assert "".join(r.content for r in by[1]) == "".join(t for d, _, t in rows if d == 1)
+    assert [r.chunk_no for r in by[1]] == list(range(len(by[1]))) and all(a.topic != b.topic for a, b in zip(by[1], by[1][1:]))
+    assert [r.content for r in by[2]] == [None] and [r.content for r in by[3]] == [".."]
