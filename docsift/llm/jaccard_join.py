@@ -30,7 +30,10 @@ sets are one point (a class) with many documents.
    all intersections of two blocks come from products of 0/1 matrices.
    Copies are never expanded: a class counts with its number of documents.
 
-A pair that meets in many regions is listed once.  Bit sketches (a bit per
+A pair that meets in many regions is listed once, in the list of one of its
+points.  Lists with the same first point are compared in one slot (large ones
+in several), so a set moves once for its own list and once for a slot that
+lists it.  Bit sketches (a bit per
 class of shingles) bound the overlap of what is left from above and drop most
 pairs that do not link; the rest are compared exactly.
 
@@ -72,6 +75,8 @@ LATE = 500_000
 BLOOM_BITS = 1 << 24
 #: points and shingles of a block of a component, about; columns of one matrix product
 BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 4096
+#: listed points of a slot of comparisons, about
+BLOCK_LISTED = 4096
 
 
 def row_key() -> Column:
@@ -87,6 +92,11 @@ def point_sets(column, size: int):
             yield np.unique(h[a:b])
 
 
+def points_of(lists: DataFrame) -> DataFrame:
+    """(point) of every point with a list and every listed one, with repeats."""
+    return lists.select("point").union(lists.select(F.explode("others")))
+
+
 def set_hash(u: np.ndarray) -> int:
     x = mix(np.array([int(mix(u).sum(dtype=np.uint64)) ^ len(u)], np.uint64))
     return int(x.view(np.int64)[0])
@@ -122,8 +132,8 @@ def frequent(docs: DataFrame, size: int) -> DataFrame:
 
 def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
     """(doc_id, key, point, n, window, sketch): a row per document; ``window``
-    holds the 32-bit keys of the point's pivots in order, ``sketch`` a bit per
-    class of shingles; both are null where the same task has listed the point."""
+    holds the 32-bit keys of the point's pivots in order, ``sketch`` the number
+    of shingles (64 bits) and a bit per class of shingles; both are null where the same task has listed the point."""
     shipped = docs.sparkSession.sparkContext.broadcast(late)
 
     def run(batches):
@@ -156,7 +166,7 @@ def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> D
                         u = np.concatenate([u[~is_late], rest[np.lexsort((rest, late_n[at[is_late]]))]])
                 bits = np.zeros(SKETCH_BITS, np.uint8)
                 bits[(u % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
-                sketches[-1] = np.packbits(bits).tobytes()
+                sketches[-1] = np.uint64(n).tobytes() + np.packbits(bits).tobytes()
                 w = u[:window_length(n)]
                 w = (w ^ (w >> np.uint64(32))).astype(np.uint32).view(np.int32)
                 wins.append(w[np.sort(np.unique(w, return_index=True)[1])])     # of clashing keys the first
@@ -200,13 +210,51 @@ def regions(pts: DataFrame) -> DataFrame:
     return m.select("region", "point", "n", "i", "size", "first", others.alias("others"))
 
 
-def pairs_of(lists: DataFrame) -> DataFrame:
-    """(a, b), a < b, distinct, from (point, others): a point's lists come
-    together first (at most as long as its window times the list bound), so
-    a pair that meets in many regions is one row."""
-    one = lists.where(F.size("others") > 0).groupBy("point").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("o"))
-    p = one.select("point", F.explode("o").alias("o"))
-    return p.select(F.least("point", "o").alias("a"), F.greatest("point", "o").alias("b")).distinct()
+def lists_of(lists: DataFrame) -> DataFrame:
+    """(point, n, others), a row per point, from (point, n, others): a point's
+    lists come together (at most as long as its window times the list bound),
+    so a point that it meets in many regions is listed once."""
+    return lists.where(F.size("others") > 0).groupBy("point").agg(F.first("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+
+
+# ---------------------------------------------------------------- slots of comparisons
+
+def slots(lists: DataFrame, name: str) -> DataFrame:
+    """(slot, point, n, others): points that share the first point of their
+    lists come together, dealt by hash so that a slot has bounded numbers of
+    points, shingles and listed points (about)."""
+    m = stage(lists.select("point", "n", "others", F.array_min("others").alias("_g")), f"lists-{name}")
+    many = m.groupBy("_g").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES, F.sum(F.size("others")) / BLOCK_LISTED)).alias("_k"))
+    slot = F.xxhash64("_g", F.pmod(F.xxhash64("point"), F.col("_k")))
+    return stage(m.join(many, "_g").select(slot.alias("slot"), "point", "n", "others"), f"slots-{name}")
+
+
+def side_by_side(lists: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """(slot, point, n, others, v) in order of slots: first the listed points of
+    a slot (``others`` null), then its points.  A value (point, v) moves once
+    for a point and once for each slot that lists it, not for every pair."""
+    here = slots(lists, name)
+    listed = here.select("slot", F.explode("others").alias("point")).distinct()
+    parts = listed.join(values, "point").select("slot", "point", F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<bigint>").alias("others"), "v") \
+        .unionByName(here.join(values, "point").select("slot", "point", "n", "others", "v"))
+    return parts.repartition("slot").sortWithinPartitions("slot", F.col("others").isNotNull())
+
+
+def by_slot(batches, made):
+    """(batch, row, others, values) of the points of sorted slots; ``values``
+    holds what ``made`` has made of the listed points of the slot."""
+    slot, known = None, {}
+    for b in batches:
+        for lo in range(0, b.num_rows, 1024):
+            c = b.slice(lo, 1024)
+            rows = zip(c.column("slot").to_pylist(), c.column("point").to_pylist(), c.column("others").to_pylist(), strict=True)
+            for k, (at, point, others) in enumerate(rows):
+                if at != slot:
+                    slot, known = at, {}
+                if others is None:
+                    known[point] = made(c.column("v")[k].as_buffer())
+                else:
+                    yield c, k, others, known
 
 
 # ---------------------------------------------------------------- exact distances
@@ -250,23 +298,35 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return made.join(wanted, "key").select("point", "s").dropDuplicates(["point"])
 
 
-def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose bit sketches allow a link: shared shingles are at most the
-    bits in common plus the shingles of the one that share a bit."""
-    j = pairs.join(sketches.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a") \
-        .join(sketches.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-
+def plausible(lists: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
+    """The lists without the points whose bit sketches rule a link out: shared
+    shingles are at most the bits in common plus the shingles of the one that
+    share a bit."""
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 4096):
-                c = b.slice(lo, 4096)
-                x, y = (np.frombuffer(b"".join(c.column(k).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64) for k in ("sa", "sb"))
-                na, nb = c.column("na").to_numpy(), c.column("nb").to_numpy()
-                count = lambda v: np.bitwise_count(v).sum(1, dtype=np.int64)
-                most = count(x & y) + np.minimum(na - count(x), nb - count(y))
-                ok = pa.array(DEN * most >= NUM * (na + nb - most))
-                yield pa.RecordBatch.from_arrays([c.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
-    return j.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+        count = lambda v: np.bitwise_count(v).sum(-1, dtype=np.int64)
+
+        def made(raw):
+            v = np.frombuffer(raw, np.uint64)
+            return v[1:], int(v[0]), int(v[0]) - count(v[1:])
+        out = []
+        for c, k, others, known in by_slot(batches, made):
+            y, ny, ry = made(c.column("v")[k].as_buffer())
+            x, nx, rx = (np.array(z) for z in zip(*(known[o] for o in others), strict=True))
+            most = count(x & y) + np.minimum(rx, ry)
+            ok = np.flatnonzero(DEN * most >= NUM * (nx + ny - most))
+            if len(ok):
+                out.append((c.column("point")[k].as_py(), ny, [others[o] for o in ok]))
+            if len(out) >= 1024:
+                yield lists_batch(out)
+                out = []
+        if out:
+            yield lists_batch(out)
+    return side_by_side(lists, sketches, name).mapInArrow(run, "point long, n int, others array<bigint>")
+
+
+def lists_batch(rows: list[tuple]) -> pa.RecordBatch:
+    point, n, others = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(point, pa.int64()), pa.array(n, pa.int32()), pa.array(others, pa.list_(pa.int64()))], ["point", "n", "others"])
 
 
 def unpack(raw) -> np.ndarray:
@@ -276,29 +336,28 @@ def unpack(raw) -> np.ndarray:
     return np.sort(out.view("<u8")[:, 0])
 
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, dist, linked) of every pair.  The larger side of a star, the
-    points, moves once; AQE splits a pivot that many points share."""
-    j = pairs.join(sets.withColumnRenamed("s", "sb"), F.col("b") == F.col("point")).drop("point")
-    pivots = sets.join(pairs.select(F.col("a").alias("point")).distinct(), "point", "left_semi").withColumnRenamed("s", "sa")
-    j = j.join(pivots, F.col("a") == F.col("point")).drop("point")
-
+def distances(lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """(a, b, dist, linked) of every point b and point a of its list."""
     def run(batches):
-        known: dict[int, np.ndarray] = {}
-        for b in batches:
-            inter, total = [], []
-            for a, sa, sb in zip(b.column("a").to_pylist(), b.column("sa"), b.column("sb"), strict=True):
-                if a not in known:
-                    known.clear()          # rows of a pivot come one after the other
-                    known[a] = unpack(sa.as_buffer())
-                x, y = known[a], unpack(sb.as_buffer())
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                inter.append(n)
-                total.append(len(x) + len(y) - n)
+        def batch(a, b, inter, total):
             i, u = np.array(inter, np.int64), np.array(total, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1 - i / np.maximum(u, 1)), pa.array(DEN * i >= NUM * u)],
-                                             ["a", "b", "dist", "linked"])
-    return j.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, dist double, linked boolean")
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(1 - i / np.maximum(u, 1)), pa.array(DEN * i >= NUM * u)],
+                                              ["a", "b", "dist", "linked"])
+        a, b, inter, total = [], [], [], []
+        for c, k, others, known in by_slot(batches, unpack):
+            y, point = unpack(c.column("v")[k].as_buffer()), c.column("point")[k].as_py()
+            for o in others:
+                n = len(np.intersect1d(known[o], y, assume_unique=True))
+                a.append(o)
+                b.append(point)
+                inter.append(n)
+                total.append(len(known[o]) + len(y) - n)
+            if len(a) >= 4096:
+                yield batch(a, b, inter, total)
+                a, b, inter, total = [], [], [], []
+        if a:
+            yield batch(a, b, inter, total)
+    return side_by_side(lists, sets.withColumnRenamed("s", "v"), name).mapInArrow(run, "a long, b long, dist double, linked boolean")
 
 
 # ---------------------------------------------------------------- components
@@ -339,28 +398,25 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
     # small regions whole; in a hot region each point meets the pivot of its first hot region
     home = Window.partitionBy("point").orderBy("i")
     star = (hot.withColumn("_k", F.row_number().over(home)).where("_k = 1 and first.point <> point")
-            .where(possible(fields(F.col("first")), row())).select("point", F.array("first.point").alias("others")))
-    pairs = pairs_of(reg.where(F.col("size") <= SMALL).select("point", "others").unionByName(star))
-    pairs = stage(pairs, "listed")
+            .where(possible(fields(F.col("first")), row())).select("point", "n", F.array("first.point").alias("others")))
+    lists = stage(lists_of(reg.where(F.col("size") <= SMALL).select("point", "n", "others").unionByName(star)), "listed")
     # sketches of the points that can still be asked for, moved once
-    asked = pairs.select(F.col("a").alias("point")).union(pairs.select("b")).union(hot.select("point")).distinct()
-    sketches = stage(listed.select("point", "n", "sketch").join(asked, "point", "left_semi").dropDuplicates(["point"]), "sketches")
+    sketches = listed.select("point", F.col("sketch").alias("v"))
+    sketches = stage(sketches.join(points_of(lists).union(hot.select("point")).distinct(), "point", "left_semi").dropDuplicates(["point"]), "sketches")
     reg = hot.select("region", "point", "n", "i", F.lit(False).alias("done"))
     sets = checked = None
     comps = spark.createDataFrame([], "node long, comp long")
     k = 0
     while True:
-        pairs = stage(plausible(pairs, sketches), f"pairs-{k}")
-        asked = stage(pairs.select(F.col("a").alias("point")).union(pairs.select("b")).distinct(), f"asked-{k}")
+        lists = stage(plausible(lists, sketches, f"bits-{k}"), f"plausible-{k}")
+        asked = stage(points_of(lists).distinct(), f"asked-{k}")
         wanted = asked if sets is None else asked.join(sets.select("point"), "point", "left_anti")
         wanted = stage(wanted.join(reps, "point"), f"wanted-{k}")
         if not wanted.isEmpty():
             more = stage(sets_of(docs, wanted, size), f"sets-{k}")
             sets = more if sets is None else sets.unionByName(more)
-        if not pairs.isEmpty():
-            # in later rounds a few of the sets so far; the list of them is small then, and sets stay where they are
-            some = sets if k == 0 else sets.join(asked, "point", "left_semi")
-            found = stage(distances(pairs, some), f"distances-{k}")
+        if not lists.isEmpty():
+            found = stage(distances(lists, sets, f"sets-{k}"), f"distances-{k}")
             checked = found if checked is None else checked.unionByName(found)
             comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
         # Voronoi cell: nearest pivot so far, in either role
@@ -370,12 +426,14 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
         most_pivots = PIVOTS[min(k, len(PIVOTS) - 1)]
         m = stage(open_regions(reg, comps, near, most_pivots), f"open-{k}")
         if rounds is not None:
-            rounds.append({"pairs": pairs.count(), "open": m.count(), "pivots": m.where("turn").count()})
+            rounds.append({"pairs": lists.select(F.explode("others")).count(), "open": m.count(), "pivots": m.where("turn").count()})
         if m.isEmpty():
             return comps, sets
-        pairs = pairs_of(m.select("point", "others"))
-        if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        lists = lists_of(m.select("point", "n", "others"))
+        if checked is not None:            # a row per point on both sides, never one per pair
+            known = checked.groupBy(F.col("b").alias("point")).agg(F.collect_set("a").alias("_known"))
+            rest = F.array_except("others", F.coalesce("_known", F.array().cast("array<bigint>")))
+            lists = lists.join(known, "point", "left").select("point", "n", rest.alias("others")).where(F.size("others") > 0)
         reg = m.select("region", "point", "n", "i", (F.col("done") | F.col("turn")).alias("done"))
         k += 1
 
@@ -399,7 +457,8 @@ def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -
     def meets(p: Column) -> Column:
         # triangle inequality inside a Voronoi cell: distances to its pivot differ by more than r
         out = F.coalesce((p["near"]["a"] == F.col("near.a")) & (F.abs(p["near"]["dist"] - F.col("near.dist")) > r), F.lit(False))
-        return (p["comp"] != F.col("comp")) & possible(fields(p), row()) & ~out
+        once = ~F.col("turn") | (p["point"] < F.col("point"))          # two turning pivots: in the list of one
+        return once & (p["comp"] != F.col("comp")) & possible(fields(p), row()) & ~out
     others = F.transform(F.filter(pivots, meets), lambda p: p["point"])
     return m.select("region", "point", "n", "i", "done", "turn", others.alias("others"))
 

@@ -111,3 +111,28 @@ def test_rows_without_words_all_stay(spark):
     rows = [(None, None), (None, ""), (None, ""), (3, None), (3, ""), (3, " \t\x0b"), (3, " \t\x0b"), (4, "one two"), (4, "one two"), (None, "one two"), (5, "\u00a0")]
     kept = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [*rows[:7], (4, "one two"), (5, "\u00a0")]))
+
+
+def test_a_set_moves_once_for_a_slot(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 20)
+    rnd = random.Random(5)
+    sets = {p: set(rnd.sample(range(2000), rnd.randint(1, 60))) for p in range(90)}
+    packed = [(p, b"".join(x.to_bytes(6, "little") for x in sorted(s))) for p, s in sets.items()]
+    lists = [(p, len(sets[p]), list(range(30))) for p in range(30, 90)]             # 1,800 pairs
+    df = spark.createDataFrame(lists, "point long, n int, others array<long>").repartition(4)
+    values = spark.createDataFrame(packed, "point long, s binary").repartition(3)
+    moved = J.side_by_side(df, values.withColumnRenamed("s", "v"), "t")
+    assert moved.where("others is not null").count() == 60 and moved.count() <= 60 + 3 * 30
+    got = {(r.a, r.b): (round(r.dist, 9), r.linked) for r in J.distances(df, values, "t").collect()}
+    assert got == {(a, b): (round(1 - len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9), 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+                   for a in range(30) for b in range(30, 90)}
+
+
+def test_joins_of_a_large_group_have_no_row_per_pair(spark, monkeypatch):
+    """Every join on the way has rows by point: none has the two ends of a pair."""
+    plans = []
+    real = J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    J.components(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(corpus(4))], "doc_id long, text string")).count()
+    joins = [line for p in plans for line in p.splitlines() if "Join " in line]
+    assert joins and not [line for line in joins if re.search(r"\ba#\d+L? = a#", line)]
