@@ -295,7 +295,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([c.column("key"), pa.array(packed, pa.binary())], ["key", "s"])
     src = docs.select(row_key().alias("key"), whole().alias("_text"))
     made = src.mapInArrow(run, "key long, s binary")
-    return made.join(wanted, "key").select("point", "s").dropDuplicates(["point"])
+    # a row per key, then per point: the join on the key needs no other shuffle of the sets
+    return made.dropDuplicates(["key"]).join(wanted, "key").select("point", "s")
 
 
 def plausible(lists: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
