@@ -32,9 +32,9 @@ sets are one point (a class) with many documents.
 
 A pair that meets in many regions is listed once, in the list of one of its
 points.  Lists with the same first point are compared in one slot (large ones
-in several), so a set moves once for its own list and once for a slot that
-lists it.  Bit sketches (a bit per
-class of shingles) bound the overlap of what is left from above and drop most
+in several), where a point and its set come once, whether it lists others or
+is listed.  Bit sketches (a bit per class of shingles, more bits for longer
+texts) bound the overlap of what is left from above and drop most
 pairs that do not link; the rest are compared exactly.
 
 Which shingles count as frequent changes the work, never the result: a
@@ -43,7 +43,8 @@ are summed over all batches.
 
 Spark side: texts are read three times and never shuffled; what is shuffled
 are 32-bit shingle keys of the windows and the sets of points that take part
-in comparisons.  Tables between the steps lie in the shared folder.
+in comparisons.  Tables between the steps lie in the shared folder, sketches
+and sets in buckets of points.
 
 Cases: null and empty texts have the empty set and link with nothing;
 fewer words than a shingle are one shingle; repeated rows fall in one class;
@@ -55,19 +56,22 @@ and ``link_pairs`` and kept by ``keep_one``; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import chunks, documents, mix, shingle_hashes, stage
+from docsift.llm.common import chunks, documents, mix, shared_path, shingle_hashes, stage
 from docsift.llm.native import SPACES, whole
 
 SHINGLE = 5
 NUM, DEN = 75, 100                  # similarity at least NUM / DEN
 #: regions of up to so many points are compared whole; pivots a round in larger ones, first and later
 SMALL, PIVOTS = 16, (64, 512)
-SKETCH_BITS = 2048
+#: bits of a sketch, at least, and for each shingle of the point, at least; always a power of two
+SKETCH_BITS, SHINGLE_BITS = 2048, 4
 #: a shingle is noted if a batch has it in so many points, and frequent with so many noted in all
 NOTED, FREQUENT = 3, 24
 #: bound of the broadcast table of frequent shingles (16 bytes each); the most frequent ones
@@ -75,8 +79,10 @@ LATE = 500_000
 BLOOM_BITS = 1 << 24
 #: points and shingles of a block of a component, about; columns of one matrix product
 BLOCK, BLOCK_SHINGLES, COLUMNS = 256, 1 << 18, 4096
-#: listed points of a slot of comparisons, about
-BLOCK_LISTED = 4096
+#: entries of the lists of a slot of comparisons, about, and different points among them, at most
+LISTED, BLOCK_LISTED = 1 << 17, 4096
+#: text bytes taken apart at once
+TEXT_BYTES = 1 << 20
 
 
 def row_key() -> Column:
@@ -85,18 +91,13 @@ def row_key() -> Column:
 
 def point_sets(column, size: int):
     """For every text of an Arrow column: its sorted distinct shingle hashes."""
-    for _, t in chunks(column):
+    for _, t in chunks(column, TEXT_BYTES):
         s, e, first = t.words()
         h, bounds = shingle_hashes(t.hashes(s, e), first, size)
         for a, b in bounds.tolist():
             yield np.unique(h[a:b])
 
 
-def points_of(lists: DataFrame) -> DataFrame:
-    """(point) of every point with a list and every listed one, with repeats."""
-    return lists.select("point").union(lists.select(F.explode("others")))
-
-
 def set_hash(u: np.ndarray) -> int:
     x = mix(np.array([int(mix(u).sum(dtype=np.uint64)) ^ len(u)], np.uint64))
     return int(x.view(np.int64)[0])
@@ -120,7 +121,9 @@ def frequent(docs: DataFrame, size: int) -> DataFrame:
                     sets.append(u)
             if not sets:
                 continue
-            h = np.sort(np.concatenate(sets))
+            h = np.concatenate(sets)
+            sets.clear()
+            h.sort()
             at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
             n = np.diff(np.concatenate([at, [len(h)]]))
             hit = n >= NOTED
@@ -130,6 +133,24 @@ def frequent(docs: DataFrame, size: int) -> DataFrame:
             .orderBy(F.desc("n"), "h").limit(LATE))
 
 
+def sketch_of(u: np.ndarray) -> bytes:
+    """The number of shingles (64 bits) and a bit per class of shingles."""
+    bits = max(SKETCH_BITS, 1 << (SHINGLE_BITS * len(u) - 1).bit_length())
+    marks = np.zeros(bits, np.uint8)
+    marks[(u & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.uint64(len(u)).tobytes() + np.packbits(marks).tobytes()
+
+
+def most_shared(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: int) -> np.ndarray:
+    """Upper bounds of the shingles that points with the bits in the rows of
+    ``x`` share with a point with bits ``y``: the classes in common plus the
+    shingles of the one that share a class.  Longer bits are folded to the shorter."""
+    words = min(x.shape[1], len(y))
+    x, y = np.bitwise_or.reduce(x.reshape(len(x), -1, words), 1), np.bitwise_or.reduce(y.reshape(-1, words), 0)
+    count = lambda v: np.bitwise_count(v).sum(-1, dtype=np.int64)
+    return count(x & y) + np.minimum(nx - count(x), ny - count(y))
+
+
 def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
     """(doc_id, key, point, n, window, sketch): a row per document; ``window``
     holds the 32-bit keys of the point's pivots in order, ``sketch`` the number
@@ -164,9 +185,7 @@ def points(docs: DataFrame, late: tuple[np.ndarray, np.ndarray], size: int) -> D
                     if is_late.any():
                         rest = u[is_late]
                         u = np.concatenate([u[~is_late], rest[np.lexsort((rest, late_n[at[is_late]]))]])
-                bits = np.zeros(SKETCH_BITS, np.uint8)
-                bits[(u % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
-                sketches[-1] = np.uint64(n).tobytes() + np.packbits(bits).tobytes()
+                sketches[-1] = sketch_of(u)
                 w = u[:window_length(n)]
                 w = (w ^ (w >> np.uint64(32))).astype(np.uint32).view(np.int32)
                 wins.append(w[np.sort(np.unique(w, return_index=True)[1])])     # of clashing keys the first
@@ -217,44 +236,84 @@ def lists_of(lists: DataFrame) -> DataFrame:
     return lists.where(F.size("others") > 0).groupBy("point").agg(F.first("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
 
 
+# ---------------------------------------------------------------- values of points
+
+def by_point(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for rows that several steps join by point: stored in buckets of
+    points, so those joins do not move them again.  The table's name goes at
+    once, the files in the shared folder stay."""
+    spark = df.sparkSession
+    path, n = shared_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"by_point_{path[-32:]}"
+    df.repartition(n, "point").write.bucketBy(n, "point").option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+def with_values(rows: DataFrame, values: list[DataFrame]) -> DataFrame:
+    """``rows`` joined by point with the tables of values, which share no point."""
+    return functools.reduce(DataFrame.unionByName, [rows.join(v, "point") for v in values])
+
+
 # ---------------------------------------------------------------- slots of comparisons
 
 def slots(lists: DataFrame, name: str) -> DataFrame:
-    """(slot, point, n, others): points that share the first point of their
-    lists come together, dealt by hash so that a slot has bounded numbers of
-    points, shingles and listed points (about)."""
+    """(slot, point, others, listed), a row for each point of a slot: points that
+    share the first point of their lists come together, dealt by hash so that a
+    slot has bounded numbers of points, shingles and list entries (about), and
+    with them the points that they list (``listed``; ``others`` is null unless
+    such a point has its own list there too).  What a slot lists is made
+    distinct as one array, so no step has a row for each pair."""
     m = stage(lists.select("point", "n", "others", F.array_min("others").alias("_g")), f"lists-{name}")
-    many = m.groupBy("_g").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES, F.sum(F.size("others")) / BLOCK_LISTED)).alias("_k"))
+    many = m.groupBy("_g").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES, F.sum(F.size("others")) / LISTED)).alias("_k"))
     slot = F.xxhash64("_g", F.pmod(F.xxhash64("point"), F.col("_k")))
-    return stage(m.join(many, "_g").select(slot.alias("slot"), "point", "n", "others"), f"slots-{name}")
-
-
-def side_by_side(lists: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """(slot, point, n, others, v) in order of slots: first the listed points of
-    a slot (``others`` null), then its points.  A value (point, v) moves once
-    for a point and once for each slot that lists it, not for every pair."""
-    here = slots(lists, name)
-    listed = here.select("slot", F.explode("others").alias("point")).distinct()
-    parts = listed.join(values, "point").select("slot", "point", F.lit(None).cast("int").alias("n"), F.lit(None).cast("array<bigint>").alias("others"), "v") \
-        .unionByName(here.join(values, "point").select("slot", "point", "n", "others", "v"))
-    return parts.repartition("slot").sortWithinPartitions("slot", F.col("others").isNotNull())
+    m = stage(m.join(many, "_g").select(slot.alias("slot"), "point", "others"), f"dealt-{name}")
+    all_listed = stage(m.groupBy("slot").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("_l")), f"listed-{name}")
+    # a slot that lists too many is cut into parts of them, each with the lists' share
+    part = F.xxhash64("slot", "_p")
+    parts = F.ceil(F.size("_l") / BLOCK_LISTED).cast("int")
+    share = lambda p: F.slice("_l", p * BLOCK_LISTED + 1, BLOCK_LISTED)
+    listed = (all_listed.select("slot", "_l", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_p"))
+              .select(part.alias("slot"), F.explode(share(F.col("_p"))).alias("point"), F.lit(None).cast("array<bigint>").alias("others"), F.lit(True).alias("listed")))
+    cut = all_listed.where(parts > 1)
+    own = (m.join(cut, "slot", "left").select("slot", "point", "others", "_l", F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1)).alias("_p"))
+           .select(part.alias("slot"), "point", F.when(F.col("_l").isNull(), F.col("others")).otherwise(F.array_intersect("others", share(F.col("_p")))).alias("others"),
+                   F.lit(False).alias("listed")).where(F.size("others") > 0))
+    return stage(listed.unionByName(own).groupBy("slot", "point").agg(F.first("others", ignorenulls=True).alias("others"), F.max("listed").alias("listed")), f"slots-{name}")
+
+
+def side_by_side(lists: DataFrame, values: DataFrame | list[DataFrame], name: str) -> DataFrame:
+    """(slot, point, others, listed, v) in order of slots, from lists or their
+    slots: first the listed points of a slot, then the others.  A value (point,
+    v) moves once for each slot with the point, not for every pair."""
+    here = lists if "slot" in lists.columns else slots(lists, name)
+    values = values if isinstance(values, list) else [values]
+    return with_values(here, values).select("slot", "point", "others", "listed", "v").repartition("slot").sortWithinPartitions("slot", F.desc("listed"))
 
 
 def by_slot(batches, made):
-    """(batch, row, others, values) of the points of sorted slots; ``values``
-    holds what ``made`` has made of the listed points of the slot."""
-    slot, known = None, {}
+    """(point, others, value, values) of the points with lists in sorted slots;
+    ``values`` holds what ``made`` has made of the listed points of the slot."""
+    slot, known, waiting = None, {}, []
     for b in batches:
         for lo in range(0, b.num_rows, 1024):
             c = b.slice(lo, 1024)
-            rows = zip(c.column("slot").to_pylist(), c.column("point").to_pylist(), c.column("others").to_pylist(), strict=True)
-            for k, (at, point, others) in enumerate(rows):
+            rows = zip(*(c.column(x).to_pylist() for x in ("slot", "point", "others", "listed")), strict=True)
+            for k, (at, point, others, listed) in enumerate(rows):
+                if waiting and (at != slot or not listed):          # all listed points are there
+                    yield from ((p, o, known[p], known) for p, o in waiting)
+                    waiting = []
                 if at != slot:
                     slot, known = at, {}
-                if others is None:
-                    known[point] = made(c.column("v")[k].as_buffer())
+                v = made(c.column("v")[k].as_buffer())
+                if listed:
+                    known[point] = v
+                    if others is not None:
+                        waiting.append((point, others))
                 else:
-                    yield c, k, others, known
+                    yield point, others, v, known
+    yield from ((p, o, known[p], known) for p, o in waiting)
 
 
 # ---------------------------------------------------------------- exact distances
@@ -292,31 +351,30 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 c = b.slice(lo, 256)
                 got = list(point_sets(c.column("_text"), size))
                 packed = [np.ascontiguousarray(u.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes() for u in got]
-                yield pa.RecordBatch.from_arrays([c.column("key"), pa.array(packed, pa.binary())], ["key", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_hash(u) for u in got], pa.int64()), pa.array(packed, pa.binary())], ["point", "s"])
     src = docs.select(row_key().alias("key"), whole().alias("_text"))
-    made = src.mapInArrow(run, "key long, s binary")
-    # a row per key, then per point: the join on the key needs no other shuffle of the sets
-    return made.dropDuplicates(["key"]).join(wanted, "key").select("point", "s")
+    # the task that makes a set names its point, so the sets move once, by point
+    return src.mapInArrow(run, "point long, s binary").join(wanted.select("point"), "point", "left_semi").dropDuplicates(["point"])
 
 
 def plausible(lists: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
-    """The lists without the points whose bit sketches rule a link out: shared
-    shingles are at most the bits in common plus the shingles of the one that
-    share a bit."""
+    """The lists without the points whose bit sketches rule a link out."""
     def run(batches):
-        count = lambda v: np.bitwise_count(v).sum(-1, dtype=np.int64)
-
         def made(raw):
             v = np.frombuffer(raw, np.uint64)
-            return v[1:], int(v[0]), int(v[0]) - count(v[1:])
+            return v[1:], int(v[0])
         out = []
-        for c, k, others, known in by_slot(batches, made):
-            y, ny, ry = made(c.column("v")[k].as_buffer())
-            x, nx, rx = (np.array(z) for z in zip(*(known[o] for o in others), strict=True))
-            most = count(x & y) + np.minimum(rx, ry)
-            ok = np.flatnonzero(DEN * most >= NUM * (nx + ny - most))
-            if len(ok):
-                out.append((c.column("point")[k].as_py(), ny, [others[o] for o in ok]))
+        for point, others, (y, ny), known in by_slot(batches, made):
+            by_size: dict[int, list[int]] = {}
+            for o in others:
+                by_size.setdefault(len(known[o][0]), []).append(o)
+            kept = []
+            for same in by_size.values():
+                x, nx = (np.array(z) for z in zip(*(known[o] for o in same), strict=True))
+                most = most_shared(x, nx, y, ny)
+                kept += [same[k] for k in np.flatnonzero(DEN * most >= NUM * (nx + ny - most))]
+            if kept:
+                out.append((point, ny, kept))
             if len(out) >= 1024:
                 yield lists_batch(out)
                 out = []
@@ -337,7 +395,7 @@ def unpack(raw) -> np.ndarray:
     return np.sort(out.view("<u8")[:, 0])
 
 
-def distances(lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+def distances(lists: DataFrame, sets: DataFrame | list[DataFrame], name: str) -> DataFrame:
     """(a, b, dist, linked) of every point b and point a of its list."""
     def run(batches):
         def batch(a, b, inter, total):
@@ -345,8 +403,7 @@ def distances(lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(1 - i / np.maximum(u, 1)), pa.array(DEN * i >= NUM * u)],
                                               ["a", "b", "dist", "linked"])
         a, b, inter, total = [], [], [], []
-        for c, k, others, known in by_slot(batches, unpack):
-            y, point = unpack(c.column("v")[k].as_buffer()), c.column("point")[k].as_py()
+        for point, others, y, known in by_slot(batches, unpack):
             for o in others:
                 n = len(np.intersect1d(known[o], y, assume_unique=True))
                 a.append(o)
@@ -358,7 +415,7 @@ def distances(lists: DataFrame, sets: DataFrame, name: str) -> DataFrame:
                 a, b, inter, total = [], [], [], []
         if a:
             yield batch(a, b, inter, total)
-    return side_by_side(lists, sets.withColumnRenamed("s", "v"), name).mapInArrow(run, "a long, b long, dist double, linked boolean")
+    return side_by_side(lists, [s.withColumnRenamed("s", "v") for s in (sets if isinstance(sets, list) else [sets])], name).mapInArrow(run, "a long, b long, dist double, linked boolean")
 
 
 # ---------------------------------------------------------------- components
@@ -388,9 +445,9 @@ def connect(edges: DataFrame) -> DataFrame:
     return out
 
 
-def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(node, comp) of all points with a link to another point, and (point, s)
-    with the sets of these points among others (None: no point was compared)."""
+def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """(node, comp) of all points with a link to another point, and tables
+    (point, s) with the sets of these points among others (none: no point was compared)."""
     spark = docs.sparkSession
     reg = stage(regions(pts), "regions")
     listed = pts.where(F.col("window").isNotNull())
@@ -400,24 +457,26 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
     home = Window.partitionBy("point").orderBy("i")
     star = (hot.withColumn("_k", F.row_number().over(home)).where("_k = 1 and first.point <> point")
             .where(possible(fields(F.col("first")), row())).select("point", "n", F.array("first.point").alias("others")))
-    lists = stage(lists_of(reg.where(F.col("size") <= SMALL).select("point", "n", "others").unionByName(star)), "listed")
+    here = slots(lists_of(reg.where(F.col("size") <= SMALL).select("point", "n", "others").unionByName(star)), "bits-0")
     # sketches of the points that can still be asked for, moved once
     sketches = listed.select("point", F.col("sketch").alias("v"))
-    sketches = stage(sketches.join(points_of(lists).union(hot.select("point")).distinct(), "point", "left_semi").dropDuplicates(["point"]), "sketches")
+    sketches = by_point(sketches.join(here.select("point").union(hot.select("point")).distinct(), "point", "left_semi").dropDuplicates(["point"]), "sketches")
     reg = hot.select("region", "point", "n", "i", F.lit(False).alias("done"))
-    sets = checked = None
+    sets, checked = [], None
     comps = spark.createDataFrame([], "node long, comp long")
     k = 0
     while True:
-        lists = stage(plausible(lists, sketches, f"bits-{k}"), f"plausible-{k}")
-        asked = stage(points_of(lists).distinct(), f"asked-{k}")
-        wanted = asked if sets is None else asked.join(sets.select("point"), "point", "left_anti")
+        lists = stage(plausible(here, sketches, f"bits-{k}"), f"plausible-{k}")
+        here = slots(lists, f"sets-{k}")
+        asked = here.select("point").distinct()
+        wanted = asked
+        for s in sets:
+            wanted = wanted.join(s.select("point"), "point", "left_anti")
         wanted = stage(wanted.join(reps, "point"), f"wanted-{k}")
         if not wanted.isEmpty():
-            more = stage(sets_of(docs, wanted, size), f"sets-{k}")
-            sets = more if sets is None else sets.unionByName(more)
+            sets.append(by_point(sets_of(docs, wanted, size), f"sets-{k}"))
         if not lists.isEmpty():
-            found = stage(distances(lists, sets, f"sets-{k}"), f"distances-{k}")
+            found = stage(distances(here, sets, f"sets-{k}"), f"distances-{k}")
             checked = found if checked is None else checked.unionByName(found)
             comps = connect(checked.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
         # Voronoi cell: nearest pivot so far, in either role
@@ -435,6 +494,7 @@ def linked_points(docs: DataFrame, pts: DataFrame, size: int, rounds: list | Non
             known = checked.groupBy(F.col("b").alias("point")).agg(F.collect_set("a").alias("_known"))
             rest = F.array_except("others", F.coalesce("_known", F.array().cast("array<bigint>")))
             lists = lists.join(known, "point", "left").select("point", "n", rest.alias("others")).where(F.size("others") > 0)
+        here = slots(lists, f"bits-{k + 1}")
         reg = m.select("region", "point", "n", "i", (F.col("done") | F.col("turn")).alias("done"))
         k += 1
 
@@ -445,7 +505,7 @@ def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -
     marks up to ``most`` of them, ``others`` the turning pivots that a member
     may link to.  One shuffle by region."""
     m = (reg.join(comps.withColumnRenamed("node", "point"), "point", "left").join(near, "point", "left")
-         .withColumn("comp", F.coalesce("comp", "point")))
+         .withColumn("comp", F.coalesce("comp", "point")).repartition("region"))
     whole_region = Window.partitionBy("region")
     m = m.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("region", "comp")))
     m = m.withColumn("_most", F.max(F.struct("_c", "comp")).over(whole_region)["comp"])
@@ -466,13 +526,13 @@ def open_regions(reg: DataFrame, comps: DataFrame, near: DataFrame, most: int) -
 
 # ---------------------------------------------------------------- links
 
-def block_pairs(pts: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+def block_pairs(pts: DataFrame, comps: DataFrame, sets: list[DataFrame]) -> DataFrame:
     """(comp, i, j, b, point, docs, s): the points of block ``b`` of a component,
     once for each block they meet; i and j <= i are the two blocks."""
     docs = pts.where(F.col("point").isNotNull()).groupBy("point").agg(F.count(F.lit(1)).alias("docs"), F.first("n").alias("n"))
     m = stage(comps.withColumnRenamed("node", "point").join(docs, "point"), "members")
     many = m.groupBy("comp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("_k"))
-    m = m.join(many, "comp").withColumn("b", F.pmod(F.xxhash64("point"), F.col("_k")).cast("int")).join(sets, "point")
+    m = with_values(m.join(many, "comp").withColumn("b", F.pmod(F.xxhash64("point"), F.col("_k")).cast("int")), sets)
     m = m.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     return m.select("comp", F.greatest("b", "_o").alias("i"), F.least("b", "_o").alias("j"), "b", "point", "docs", "s")
 
@@ -519,7 +579,7 @@ def compared(t: pa.Table):
     return x, y, linked, inter / total
 
 
-def link_counts(pts: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+def link_counts(pts: DataFrame, comps: DataFrame, sets: list[DataFrame]) -> DataFrame:
     """(point, links): the number of documents of other classes that link to a point."""
     def run(t: pa.Table) -> pa.Table:
         x, y, linked, _ = compared(t)
@@ -533,7 +593,7 @@ def link_counts(pts: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
     return found.groupBy("point").agg(F.sum("links").alias("links"))
 
 
-def analysed(docs: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def analysed(docs: DataFrame, size: int, rounds: list | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
     """The points of all rows, (node, comp), and the sets of the points in it."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     late = stage(frequent(docs, size), "frequent").toArrow()                      # at most LATE rows
@@ -569,7 +629,7 @@ def components(docs: DataFrame, size: int = SHINGLE, rounds: list | None = None)
 def joined(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``components`` with ``n_links``: how many other rows a row links to."""
     pts, comps, sets = analysed(docs, size)
-    links = docs.sparkSession.createDataFrame([], "point long, links long") if sets is None else stage(link_counts(pts, comps, sets), "links")
+    links = docs.sparkSession.createDataFrame([], "point long, links long") if not sets else stage(link_counts(pts, comps, sets), "links")
     return labelled(pts, comps, links)
 
 
@@ -587,7 +647,7 @@ def link_pairs(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFra
         a, b = point[x[p]], point[y[q]]
         once = (a < b) | (t.column("i")[0] != t.column("j")[0])
         return pa.table({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once], "similarity": sim[p, q][once]})
-    if sets is None:
+    if not sets:
         return docs.sparkSession.createDataFrame([], "a long, b long, similarity double"), members
     return block_pairs(pts, comps, sets).groupBy("comp", "i", "j").applyInArrow(run, "a long, b long, similarity double"), members
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from docsift.llm import jaccard_join as J
@@ -136,3 +137,57 @@ def test_joins_of_a_large_group_have_no_row_per_pair(spark, monkeypatch):
     J.components(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(corpus(4))], "doc_id long, text string")).count()
     joins = [line for p in plans for line in p.splitlines() if "Join " in line]
     assert joins and not [line for line in joins if re.search(r"\ba#\d+L? = a#", line)]
+
+
+def test_a_point_of_a_slot_is_one_row_and_no_row_is_a_pair(spark, monkeypatch):
+    plans = []
+    real = J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    lists = spark.createDataFrame([(p, 9, list(range(p))) for p in range(1, 60)], "point long, n int, others array<long>")     # 1,770 pairs
+    values = spark.createDataFrame([(p, bytes([p])) for p in range(60)], "point long, v binary")
+    rows = J.side_by_side(lists, values, "t").collect()
+    assert len(rows) == 60 and sum(r.others is not None for r in rows) == 59
+    assert not [p for p in plans if "explode(others" in p]
+    monkeypatch.setattr(J, "BLOCK_LISTED", 16)         # a slot that lists too many falls into parts
+    rows = J.side_by_side(lists, values, "t").collect()
+    parts = {}
+    for r in rows:
+        parts.setdefault(r.slot, []).append(r)
+    assert len(parts) == 4 and all(sum(r.listed for r in p) <= 16 for p in parts.values())
+    assert sorted((o, r.point) for r in rows for o in r.others or []) == sorted((o, p) for p in range(60) for o in range(p))
+    assert all({o for r in p for o in r.others or []} <= {r.point for r in p if r.listed} for p in parts.values())
+
+
+def test_bits_of_long_texts_tell_them_apart(spark):
+    """Long texts with less than half of their shingles in common are not compared set by set."""
+    words = [f"w{i}" for i in range(5000)]
+    df = spark.createDataFrame([(1, " ".join(words[:2000])), (2, " ".join(words[1200:3200])), (3, " ".join(words[50:2050]))], "doc_id long, text string")
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    pts = {r.doc_id: r for r in J.points(df, none, 5).collect()}
+    sketches = spark.createDataFrame([(r.point, r.sketch) for r in pts.values()], "point long, v binary")
+    lists = spark.createDataFrame([(pts[1].point, 1996, [pts[2].point, pts[3].point])], "point long, n int, others array<long>")
+    assert [(r.point, r.n, r.others) for r in J.plausible(lists, sketches, "t").collect()] == [(pts[1].point, 1996, [pts[3].point])]
+    assert J.SKETCH_BITS < len(pts[1].sketch) * 8 < 8 * J.SHINGLE_BITS * 2000
+
+
+def test_sets_stored_by_point_do_not_move_again(spark):
+    real = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = J.by_point(spark.createDataFrame([(p, bytes([p])) for p in range(50)], "point long, s binary"), "t")
+        out = sets.join(spark.createDataFrame([(p, 1) for p in range(0, 90, 3)], "point long, x int"), "point")
+        assert out.count() == 17 and str(out._jdf.queryExecution().executedPlan()).count("Exchange") == 1
+        assert sorted(r.s[0] for r in J.with_values(out.select("point"), [sets.where("point < 20"), sets.where("point >= 20")]).collect()) == list(range(0, 50, 3))
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("by_point")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", real)
+
+
+def test_sets_are_made_by_point(spark):
+    """The sets are not shuffled by the key of their row first."""
+    df = spark.createDataFrame([(k, f"a b c d e {k % 7}") for k in range(20)], "doc_id long, text string")
+    pts = J.points(df, (np.zeros(0, np.uint64), np.zeros(0, np.int64)), 5)
+    wanted = pts.groupBy("point").agg({"key": "min"}).withColumnRenamed("min(key)", "key")
+    sets = J.sets_of(df, wanted, 5)
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", sets._jdf.queryExecution().executedPlan().toString())
+    assert sets.count() == 7 and moved and not [k for k in moved if k == "key"]
