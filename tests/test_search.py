@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsift.operators import search as S
+from docsift.operators.embedding import sparse_vector
 
 
 def brute(q, c, cids, k, metric):
@@ -312,3 +313,85 @@ def test_streamed_ties_zeros_and_long_vectors(metric):
     c[::7, 2] = np.nan
     got = _streamed(few, c, 3, metric, exclude_self=True)
     assert all(cid % 7 and cid != qi for qi, hits in got.items() for cid, _ in hits) and all(len(h) == 3 for h in got.values())
+
+
+def _sparse_rows(rows, dim):
+    """As an Arrow list of (bucket, weight); the first row is cut off again, so offsets do not begin at 0."""
+    import pyarrow as pa
+    whole = all(isinstance(w, int) for r in rows for _, w in r)
+    kind = pa.list_(pa.struct([("bucket", pa.int32()), ("weight", pa.int32() if whole else pa.float64())]))
+    return pa.array([[{"bucket": b, "weight": w} for b, w in r] for r in [[(1, rows[0][0][1])], *rows]], kind).slice(1)
+
+
+@pytest.mark.parametrize("rows", [
+    [[(0, 1), (9, -3)], [], [(3, 127)]],
+    [[(0, 1), (9, -3)], [(2, 70_000), (11, -70_000)], []],
+    [[(0, 0.1), (9, -3.5)], [], [(3, 1e300)]],
+])
+@pytest.mark.parametrize("bits", [False, True])
+def test_packed_vectors_are_the_same_vectors(rows, bits):
+    dim = 12
+    whole = isinstance(rows[0][0][1], int)
+    want = np.zeros((len(rows), dim))
+    for i, r in enumerate(rows):
+        for b, w in r:
+            want[i, b] = w
+    col = _sparse_rows(rows, dim)
+    packed = S.pack(col, dim, bits, whole)
+    assert np.array_equal(S._dense(packed, dim, bits, whole), want)
+    assert np.array_equal(S._dense(packed.slice(1), dim, bits, whole), want[1:])
+    import pyarrow as pa
+    mixed = pa.concat_arrays([packed, S.pack(_sparse_rows([[(5, -1 if whole else -1.0)]], dim), dim, bits, whole)])   # batches differ in width
+    assert np.array_equal(S._dense(mixed, dim, bits, whole), np.vstack([want, -np.eye(dim)[5]]))
+    with pytest.raises(ValueError, match="bucket"):
+        S.pack(_sparse_rows([[(dim, 1)]], dim), dim, bits, whole)
+
+
+def test_search_moves_packed_vectors(spark):
+    """What the join shuffles are bytes, a tenth or so of the array of structs."""
+    n = 400
+    words = [" ".join(f"w{x}" for x in r) for r in np.random.default_rng(41).integers(0, 20_000, size=(n, 150))]
+    c = spark.createDataFrame([(i, t) for i, t in enumerate(words)], "_k0 long, content string") \
+        .select("_k0", F.lit(0).cast("long").alias("_row"), F.lit(0).alias("_cell"), sparse_vector(F.col("content"), 1024).alias("_v"))
+    q = spark.createDataFrame([(i, " ".join(t.split()[:20])) for i, t in enumerate(words[:50])], "query_id long, t string") \
+        .select("query_id", F.lit(0).alias("_cell"), sparse_vector(F.col("t"), 1024).alias("_v"))
+    found, _ = S._groups(q, c, ["_k0", "_row"], 3, "cosine", False, 1024, {0: n}, S.MAX_BLOCK_BYTES, 140)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    joined = next(x for x in iter_plan(plan) if x.nodeName() == "RepartitionByExpression")
+    kinds = {f.name(): f.dataType().simpleString() for f in seq(joined.schema())}
+    assert kinds["_v"] == "struct<at:binary,weight:binary>"
+    best = {(r.query_id, r["_k0"]) for r in found.collect()}
+    assert all((i, i) in best for i in range(50))
+
+
+def seq(schema):
+    return [schema.apply(i) for i in range(schema.size())]
+
+
+def iter_plan(node):
+    yield node
+    for i in range(node.children().size()):
+        yield from iter_plan(node.children().apply(i))
+
+
+def test_groups_move_few_bytes():
+    """300,000 questions of 60 numbers and 5 million candidates of 180, 200 tasks, 8 cores: before, 9 copies of the candidates."""
+    block = lambda n, t: -(-(3 * t + 16 * n) // S.MAX_BLOCK_BYTES)
+    (cell, salts, blocks), = S._deal({0: (300_000, 18_000_000)}, {0: 5_000_000}, block, 380, 350, 200, 8)
+    assert cell == 0 and blocks == block(300_000, 18_000_000) == 2 and salts * blocks >= 32
+    assert 5_000_000 * 350 / salts <= S.GROUP_BYTES
+    assert salts * 300_000 * 380 + blocks * 5_000_000 * 350 < 7e9
+    # few candidates and many questions: blocks of questions, not a copy of them for every task
+    (_, salts, blocks), = S._deal({0: (2_000_000, 8_000_000)}, {0: 20_000}, lambda n, t: 1, 380, 350, 200, 8)
+    assert salts * 2_000_000 < 2_000_000 * 10 and salts * blocks >= 32
+    assert S._deal({0: (5, 50), 1: (4, 40)}, {1: 3, 2: 9}, lambda n, t: 1, 380, 350, 200, 8) == [(1, 1, 1)]
+
+
+def test_only_rows_that_won_are_joined(spark, monkeypatch):
+    """Rows are found by a bit each, across several bitmaps; all of them come where the bits are too many."""
+    ids = [0, 1, 7, 8, 32_767, 32_768, 32_769, 70_000, (3 << 33) + 5]
+    late = spark.createDataFrame([(i, f"t{i}") for i in [*ids, 2, 9, 32_770, (3 << 33) + 6, 3 << 33]], "_row long, content string")
+    won = spark.createDataFrame([(1, i) for i in ids] + [(2, 7)], "query_id long, _row long")
+    assert sorted((r["_row"], r.content) for r in S._only(late, won).collect()) == [(i, f"t{i}") for i in ids]
+    monkeypatch.setattr(S, "BITMAPS", 1)
+    assert S._only(late, won).count() == 14
